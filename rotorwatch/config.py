@@ -76,6 +76,7 @@ def build_session(app: str = "rotorwatch", cores: int | str = "*", shuffle_parti
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.driver.memory", "8g")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")

@@ -10,10 +10,17 @@ import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from rotorwatch.operators import windows
+from rotorwatch.config import Settings, scratch_path
+from rotorwatch.operators import alerts, ingest, quality, reliability, reports, windows
+from rotorwatch.plans import hot_path, nightly
 from rotorwatch.plans.edge import zone_free
-from rotorwatch.sources.telemetry_view import telemetry_readings
+from rotorwatch.schemas import GOLD
+from rotorwatch.sinks.raw import write_raw
+from rotorwatch.sinks.tables import upsert
+from rotorwatch.sources.raw import read_raw, read_table
+from rotorwatch.sources.telemetry_view import events, telemetry_envelopes, telemetry_readings
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -37,3 +44,166 @@ def q_window_status(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("window_status_closed")
 def q_window_status_closed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return zone_free(windows.closed_windows(telemetry_readings(spark, sf_dir), AS_OF))
+
+
+# ---------------------------------------------------------------- ingest
+
+def _lines(spark: SparkSession, sf_dir: str, cut_every: int | None = None) -> DataFrame:
+    """Envelope JSON lines (``value``) with event_id as the message offset.
+    With ``cut_every``, the line of every matching event loses its last 9
+    characters, like a half-written line."""
+    env = telemetry_envelopes(events(spark, sf_dir))
+    lines = ingest.encode_envelopes(env, keep=("event_id",))
+    if cut_every:
+        cut = F.col("event_id") % cut_every == 3
+        lines = lines.withColumn("value", F.when(cut, F.expr("substring(value, 1, length(value) - 9)"))
+                                 .otherwise(F.col("value")))
+    return lines
+
+
+@register("telemetry_parse")
+def q_telemetry_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    env = telemetry_envelopes(events(spark, sf_dir))
+    return zone_free(ingest.envelope_to_reading(env, keep=("event_id",)))
+
+
+@register("telemetry_parse_enqueued")
+def q_telemetry_parse_enqueued(spark: SparkSession, sf_dir: str) -> DataFrame:
+    env = telemetry_envelopes(events(spark, sf_dir))
+    return zone_free(ingest.envelope_to_reading(env, Settings(time_source="enqueued"), keep=("event_id",)))
+
+
+@register("envelope_roundtrip")
+def q_envelope_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    readings, _ = ingest.parse_envelopes(_lines(spark, sf_dir), keep=("event_id",))
+    return zone_free(readings)
+
+
+@register("malformed_lines")
+def q_malformed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    readings, corrupt = ingest.parse_envelopes(_lines(spark, sf_dir, cut_every=401), keep=("event_id",))
+    return (readings.select("event_id", F.lit(False).alias("corrupt"))
+            .unionByName(corrupt.select("event_id", F.lit(True).alias("corrupt"))))
+
+
+def device_registry(readings: DataFrame) -> DataFrame:
+    """Devices seen in the data; every sixth machine number is not registered."""
+    number = F.regexp_extract("machine_id", r"(\d+)$", 1).cast("int")
+    return (readings.filter(F.col("machine_id").isNotNull()).select("machine_id").distinct()
+            .select(F.col("machine_id").alias("device_id"), (number % 6 != 0).alias("registered")))
+
+
+@register("registered_devices")
+def q_registered_devices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    r = telemetry_readings(spark, sf_dir)
+    return zone_free(ingest.split_registered(r, device_registry(r))[0])
+
+
+@register("unregistered_devices")
+def q_unregistered_devices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    r = telemetry_readings(spark, sf_dir)
+    return zone_free(ingest.split_registered(r, device_registry(r))[1])
+
+
+# ---------------------------------------------------------------- raw zone
+
+@register("raw_rows_by_partition")
+def q_raw_rows_by_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "raw")
+    write_raw(telemetry_readings(spark, sf_dir), path)
+    return reports.partition_counts(read_raw(spark, path))
+
+
+# ---------------------------------------------------------------- alerts and reads
+
+def _status(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return windows.window_status(telemetry_readings(spark, sf_dir))
+
+
+@register("alert_lifecycle")
+def q_alert_lifecycle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return zone_free(alerts.alert_lifecycle(_status(spark, sf_dir)).drop("alert_id"))
+
+
+@register("unresolved_alerts")
+def q_unresolved_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reports.unresolved_count(alerts.alert_lifecycle(_status(spark, sf_dir)))
+
+
+@register("alert_feed")
+def q_alert_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = scratch_path(spark, "hot")
+    hot_path.write_batch(spark, _status(spark, sf_dir), root)
+    return zone_free(reports.alert_feed(hot_path.read_alerts(spark, root)).drop("alert_id"))
+
+
+@register("status_feed")
+def q_status_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = scratch_path(spark, "hot")
+    hot_path.write_batch(spark, _status(spark, sf_dir), root)
+    return zone_free(reports.status_feed(hot_path.read_status(spark, root)))
+
+
+@register("latest_status")
+def q_latest_status(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return zone_free(reports.latest_status(_status(spark, sf_dir)))
+
+
+@register("status_grid")
+def q_status_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reports.status_grid(_status(spark, sf_dir))
+
+
+# ---------------------------------------------------------------- quality and reliability
+
+@register("validation_summary")
+def q_validation_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.validation_summary(telemetry_readings(spark, sf_dir))
+
+
+@register("valid_rows")
+def q_valid_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return zone_free(quality.split_valid(telemetry_readings(spark, sf_dir))[0])
+
+
+@register("quarantine_rows")
+def q_quarantine_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return zone_free(quality.split_valid(telemetry_readings(spark, sf_dir))[1])
+
+
+@register("dedup_latest_per_minute")
+def q_dedup_latest_per_minute(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return zone_free(reliability.dedup_latest(telemetry_readings(spark, sf_dir)))
+
+
+@register("daily_reliability")
+def q_daily_reliability(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reliability.daily_reliability(telemetry_readings(spark, sf_dir), gated=False)
+
+
+@register("daily_reliability_gated")
+def q_daily_reliability_gated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reliability.daily_reliability(telemetry_readings(spark, sf_dir), gated=True)
+
+
+# Fixed backfill day of the upsert query.
+BACKFILL_DAY = dt.date(2024, 1, 2)
+
+
+@register("gold_upsert")
+def q_gold_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Gold from the ungated job, then the gated backfill of one day, run twice."""
+    raw = scratch_path(spark, "raw")
+    gold = scratch_path(spark, "gold")
+    write_raw(telemetry_readings(spark, sf_dir), raw)
+    upsert(spark, gold, reliability.daily_reliability(read_raw(spark, raw), gated=False),
+           ["machine_id", "date"], "date", GOLD)
+    for _ in range(2):
+        nightly.backfill(spark, raw, gold, BACKFILL_DAY, BACKFILL_DAY, Settings(gated=True))
+    return read_table(spark, gold, GOLD)
+
+
+@register("uptime_trend_pivot")
+def q_uptime_trend_pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    gold = reliability.daily_reliability(telemetry_readings(spark, sf_dir), gated=True)
+    return reports.uptime_pivot(gold, [f"machine-0{n}" for n in range(1, 7)])

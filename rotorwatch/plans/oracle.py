@@ -77,3 +77,103 @@ ORACLE["window_status"] = with_tele(WINDOWS) + "\nSELECT * FROM windows"
 
 ORACLE["window_status_closed"] = with_tele(WINDOWS) + """
 SELECT * FROM windows WHERE window_end <= TIMESTAMP '2024-01-02 12:00:00'"""
+
+READING_COLS = "machine_id, event_time, temperature, vibration, rpm, status, event_id"
+INCOMPLETE = ("(machine_id IS NULL OR event_time IS NULL OR temperature IS NULL OR vibration IS NULL "
+              "OR rpm IS NULL OR status IS NULL)")
+
+ORACLE["telemetry_parse"] = with_tele() + f"\nSELECT {READING_COLS} FROM readings"
+ORACLE["envelope_roundtrip"] = ORACLE["telemetry_parse"]
+ORACLE["telemetry_parse_enqueued"] = with_tele() + """
+SELECT coalesce(nullif(body_machine_id, ''), device_id) AS machine_id, enqueued_at AS event_time,
+       temperature, vibration, rpm, status, event_id
+FROM tele"""
+ORACLE["malformed_lines"] = "SELECT event_id, event_id % 401 = 3 AS corrupt FROM events"
+
+_MACHINE_NO = r"CAST(regexp_extract(machine_id, '(\d+)$', 1) AS INTEGER)"
+ORACLE["registered_devices"] = with_tele() + f"""
+SELECT {READING_COLS} FROM readings WHERE {_MACHINE_NO} % 6 <> 0"""
+ORACLE["unregistered_devices"] = with_tele() + f"""
+SELECT {READING_COLS} FROM readings WHERE machine_id IS NULL OR {_MACHINE_NO} % 6 = 0"""
+
+ORACLE["raw_rows_by_partition"] = with_tele() + """
+SELECT CAST(event_time AS DATE) AS date, machine_id, count(*) AS "rows"
+FROM readings WHERE event_time IS NOT NULL AND machine_id IS NOT NULL
+GROUP BY 1, 2"""
+
+ALERTS = f"""
+lagged AS (
+  SELECT *, lag(health_status) OVER (PARTITION BY machine_id ORDER BY window_end) AS prev FROM windows
+),
+alerts AS (
+  SELECT l.machine_id, l.window_end AS triggered_at,
+         'max_vibration=' || {fixed('l.max_vibration', 2)} || ', max_temp=' || {fixed('l.max_temp', 1)} AS reason,
+         EXISTS (SELECT 1 FROM windows w WHERE w.machine_id = l.machine_id AND w.health_status = 'OK'
+                 AND w.window_end > l.window_end) AS resolved
+  FROM lagged l
+  WHERE l.health_status = 'ALERT' AND (l.prev IS NULL OR l.prev = 'OK')
+)"""
+
+ORACLE["alert_lifecycle"] = with_tele(WINDOWS, ALERTS) + "\nSELECT * FROM alerts"
+ORACLE["alert_feed"] = ORACLE["alert_lifecycle"]
+ORACLE["status_feed"] = ORACLE["window_status"]
+ORACLE["unresolved_alerts"] = with_tele(WINDOWS, ALERTS) + """
+SELECT count(*) FILTER (WHERE NOT resolved) AS unresolved FROM alerts"""
+
+LATEST = """
+latest AS (
+  SELECT * FROM windows QUALIFY row_number() OVER (PARTITION BY machine_id ORDER BY window_end DESC) = 1
+)"""
+ORACLE["latest_status"] = with_tele(WINDOWS, LATEST) + "\nSELECT * FROM latest"
+ORACLE["status_grid"] = with_tele(WINDOWS, LATEST) + f"""
+SELECT machine_id, health_status,
+       CASE WHEN avg_vibration IS NOT NULL
+            THEN {fixed('avg_temp', 1)} || '°C / vib ' || {fixed('avg_vibration', 2)}
+            ELSE {fixed('avg_temp', 1)} || '°C' END AS label
+FROM latest"""
+
+ORACLE["validation_summary"] = with_tele() + f"""
+SELECT count(*) AS rows_validated, count(*) FILTER (WHERE {INCOMPLETE}) AS rows_quarantined FROM readings"""
+ORACLE["valid_rows"] = with_tele() + f"\nSELECT {READING_COLS} FROM readings WHERE NOT {INCOMPLETE}"
+ORACLE["quarantine_rows"] = with_tele() + f"\nSELECT {READING_COLS} FROM readings WHERE {INCOMPLETE}"
+
+
+def dedup_cte(name: str, source: str) -> str:
+    return f"""
+{name} AS (
+  SELECT {READING_COLS} FROM {source}
+  WHERE machine_id IS NOT NULL AND event_time IS NOT NULL
+  QUALIFY row_number() OVER (PARTITION BY machine_id, date_trunc('minute', event_time)
+                             ORDER BY event_time DESC, event_id DESC) = 1
+)"""
+
+
+def daily_cte(name: str, source: str) -> str:
+    return f"""
+{name} AS (
+  SELECT machine_id, date, total_readings, anomaly_count, avg_daily_temp, avg_daily_vibration,
+         1 - anomaly_count / total_readings AS uptime_score
+  FROM (
+    SELECT machine_id, CAST(event_time AS DATE) AS date, count(*) AS total_readings,
+           count(*) FILTER (WHERE coalesce(temperature > 90, false) OR coalesce(vibration > 1.8, false))
+             AS anomaly_count,
+           {exact_avg('temperature')} AS avg_daily_temp,
+           {exact_avg('vibration')} AS avg_daily_vibration
+    FROM {source} GROUP BY 1, 2)
+)"""
+
+
+VALID = f"valid AS (SELECT * FROM readings WHERE NOT {INCOMPLETE})"
+DAILY_ALL = (dedup_cte("dedup_all", "readings"), daily_cte("daily_all", "dedup_all"))
+DAILY_GATED = (VALID, dedup_cte("dedup_valid", "valid"), daily_cte("daily_gated", "dedup_valid"))
+
+ORACLE["dedup_latest_per_minute"] = with_tele(DAILY_ALL[0]) + "\nSELECT * FROM dedup_all"
+ORACLE["daily_reliability"] = with_tele(*DAILY_ALL) + "\nSELECT * FROM daily_all"
+ORACLE["daily_reliability_gated"] = with_tele(*DAILY_GATED) + "\nSELECT * FROM daily_gated"
+ORACLE["gold_upsert"] = with_tele(*DAILY_ALL, *DAILY_GATED) + """
+SELECT * FROM daily_all WHERE date <> DATE '2024-01-02'
+UNION ALL
+SELECT * FROM daily_gated WHERE date = DATE '2024-01-02'"""
+ORACLE["uptime_trend_pivot"] = with_tele(*DAILY_GATED) + "\nSELECT date, " + ", ".join(
+    f"avg(uptime_score) FILTER (WHERE machine_id = 'machine-0{n}') AS \"machine-0{n}\"" for n in range(1, 7)
+) + "\nFROM daily_gated GROUP BY date"
