@@ -13,10 +13,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rotorwatch.config import Settings, scratch_path
-from rotorwatch.operators import alerts, ingest, quality, reliability, reports, windows
+from rotorwatch.operators import alerts, detect, ingest, quality, reliability, reports, windows
 from rotorwatch.plans import hot_path, nightly
 from rotorwatch.plans.edge import zone_free
-from rotorwatch.schemas import GOLD
+from rotorwatch.schemas import GOLD, THRESHOLD
 from rotorwatch.sinks.raw import write_raw
 from rotorwatch.sinks.tables import upsert
 from rotorwatch.sources.raw import read_raw, read_table
@@ -207,3 +207,38 @@ def q_gold_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_uptime_trend_pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
     gold = reliability.daily_reliability(telemetry_readings(spark, sf_dir), gated=True)
     return reports.uptime_pivot(gold, [f"machine-0{n}" for n in range(1, 7)])
+
+
+# ---------------------------------------------------------------- documented-only detectors
+
+@register("rate_of_change")
+def q_rate_of_change(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return zone_free(detect.rate_of_change(telemetry_readings(spark, sf_dir)))
+
+
+@register("zscore_anomaly")
+def q_zscore_anomaly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return zone_free(detect.zscore_anomaly(telemetry_readings(spark, sf_dir)))
+
+
+# Fixed values of the machine-type example (ours: the reference names the idea only).
+MACHINE_TYPES = {1: "press", 2: "lathe", 0: "pump"}  # by machine number % 3
+TYPE_LIMITS = [("press", 2.0, 95.0), ("lathe", 1.5, 85.0)]  # pump has none -> default
+
+
+def machine_types(readings: DataFrame) -> DataFrame:
+    """machine_id -> machine_type for every machine in the data."""
+    number = F.regexp_extract("machine_id", r"(\d+)$", 1).cast("int")
+    kind = F.when(number % 3 == 1, MACHINE_TYPES[1]).when(number % 3 == 2, MACHINE_TYPES[2]) \
+        .otherwise(MACHINE_TYPES[0])
+    return (readings.filter(F.col("machine_id").isNotNull()).select("machine_id").distinct()
+            .select("machine_id", kind.alias("machine_type")))
+
+
+@register("typed_thresholds")
+def q_typed_thresholds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    readings = telemetry_readings(spark, sf_dir)
+    limits = spark.createDataFrame(TYPE_LIMITS, THRESHOLD)
+    out = detect.apply_thresholds(readings, machine_types(readings), limits,
+                                  Settings().reading_vib_limit, Settings().reading_temp_limit)
+    return zone_free(out)

@@ -177,3 +177,55 @@ SELECT * FROM daily_gated WHERE date = DATE '2024-01-02'"""
 ORACLE["uptime_trend_pivot"] = with_tele(*DAILY_GATED) + "\nSELECT date, " + ", ".join(
     f"avg(uptime_score) FILTER (WHERE machine_id = 'machine-0{n}') AS \"machine-0{n}\"" for n in range(1, 7)
 ) + "\nFROM daily_gated GROUP BY date"
+
+SERIES = """
+series AS (
+  SELECT machine_id, event_time, event_id, vibration FROM readings
+  WHERE machine_id IS NOT NULL AND event_time IS NOT NULL AND vibration IS NOT NULL
+)"""
+ORACLE["rate_of_change"] = with_tele(SERIES) + """,
+steps AS (
+  SELECT *, lag(vibration) OVER w AS prev_vibration, lag(event_time) OVER w AS prev_time
+  FROM series WINDOW w AS (PARTITION BY machine_id ORDER BY event_time, event_id)
+)
+SELECT machine_id, event_time, event_id, vibration, prev_vibration,
+       vibration - prev_vibration AS delta_vibration,
+       (vibration - prev_vibration) / (CAST(epoch_us(event_time) - epoch_us(prev_time) AS DOUBLE) / 1000000)
+         AS rate_per_s
+FROM steps
+WHERE prev_vibration IS NOT NULL AND epoch_us(event_time) > epoch_us(prev_time)
+  AND abs(vibration - prev_vibration) > 1.0"""
+
+ORACLE["zscore_anomaly"] = with_tele(SERIES) + """,
+framed AS (
+  SELECT *, count(vibration) OVER w AS n,
+         sum(CAST(vibration AS DECIMAL(18,4))) OVER w AS s1,
+         sum(CAST(vibration AS DECIMAL(18,4)) * CAST(vibration AS DECIMAL(18,4))) OVER w AS s2
+  FROM series
+  WINDOW w AS (PARTITION BY machine_id ORDER BY event_time, event_id ROWS BETWEEN 30 PRECEDING AND 1 PRECEDING)
+),
+scored AS (
+  SELECT machine_id, event_time, event_id, vibration, CAST(s1 AS DOUBLE) / 30 AS mean_vibration,
+         (CAST(s2 AS DOUBLE) * 30 - CAST(s1 AS DOUBLE) * CAST(s1 AS DOUBLE)) / 870 AS var
+  FROM framed WHERE n = 30
+)
+SELECT machine_id, event_time, event_id, vibration, mean_vibration, sqrt(var) AS std_vibration,
+       abs(vibration - mean_vibration) / sqrt(var) AS zscore
+FROM scored
+WHERE var > 0 AND abs(vibration - mean_vibration) / sqrt(var) > 3.0"""
+
+ORACLE["typed_thresholds"] = with_tele() + f""",
+typed AS (
+  SELECT *, CASE {_MACHINE_NO} % 3 WHEN 1 THEN 'press' WHEN 2 THEN 'lathe' ELSE 'pump' END AS mtype
+  FROM readings
+),
+limits(machine_type, vib_limit, temp_limit) AS (
+  VALUES ('press', CAST(2.0 AS DOUBLE), CAST(95.0 AS DOUBLE)), ('lathe', CAST(1.5 AS DOUBLE), CAST(85.0 AS DOUBLE))
+)
+SELECT r.machine_id, r.event_time, r.temperature, r.vibration, r.rpm, r.status, r.event_id,
+       CASE WHEN r.machine_id IS NULL THEN NULL ELSE r.mtype END AS machine_type,
+       coalesce(l.vib_limit, CAST(1.8 AS DOUBLE)) AS vib_limit,
+       coalesce(l.temp_limit, CAST(90.0 AS DOUBLE)) AS temp_limit,
+       coalesce(r.temperature > coalesce(l.temp_limit, 90.0), false)
+         OR coalesce(r.vibration > coalesce(l.vib_limit, 1.8), false) AS is_anomaly
+FROM typed r LEFT JOIN limits l ON l.machine_type = r.mtype AND r.machine_id IS NOT NULL"""
