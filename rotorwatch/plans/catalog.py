@@ -20,7 +20,8 @@ from rotorwatch.schemas import GOLD, THRESHOLD
 from rotorwatch.sinks.raw import write_raw
 from rotorwatch.sinks.tables import upsert
 from rotorwatch.sources.raw import read_raw, read_table
-from rotorwatch.sources.telemetry_view import events, telemetry_envelopes, telemetry_readings
+from rotorwatch.sources.telemetry_view import events, telemetry_columns, telemetry_envelopes, telemetry_readings
+from rotorwatch.streaming import jobs as streaming
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -242,3 +243,50 @@ def q_typed_thresholds(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = detect.apply_thresholds(readings, machine_types(readings), limits,
                                   Settings().reading_vib_limit, Settings().reading_temp_limit)
     return zone_free(out)
+
+
+# ---------------------------------------------------------------- streaming (stream = batch)
+
+def _stream_runs(spark: SparkSession, sf_dir: str, sinks: tuple[str, ...]) -> str:
+    """Replay the message lines as a stream: one landing per UTC date of the
+    readings, in time order (lines without a time land first); after each
+    landing the queries drain what is there and stop (availableNow), and the
+    next landing resumes them from their checkpoints."""
+    ev = events(spark, sf_dir)
+    env = telemetry_envelopes(ev)
+    day = telemetry_columns(ev).select("event_id", F.to_date("event_time").alias("_day"))
+    lines = ingest.encode_envelopes(env, keep=("event_id",)).join(day, "event_id")
+    # bounded list: the UTC dates of the data
+    days = sorted(r[0] for r in day.select("_day").distinct().collect() if r[0] is not None)
+    root = scratch_path(spark, "stream")
+    for i, d in enumerate(days):
+        landing = (F.col("_day") == d) | (F.col("_day").isNull() if i == 0 else F.lit(False))
+        lines.filter(landing).select("value").write.mode("append").text(f"{root}/landing")
+        started = []
+        if "raw" in sinks:
+            started += streaming.start_raw_sink(streaming.message_stream(spark, f"{root}/landing"),
+                                                f"{root}/raw", f"{root}/corrupt", f"{root}/ckpt")
+        if "hot" in sinks:
+            started.append(streaming.start_hot_path(streaming.message_stream(spark, f"{root}/landing"),
+                                                    f"{root}/hot", f"{root}/ckpt"))
+        for q in started:
+            q.awaitTermination()
+    return root
+
+
+@register("stream_window_status")
+def q_stream_window_status(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = _stream_runs(spark, sf_dir, ("hot",))
+    return zone_free(hot_path.read_status(spark, f"{root}/hot"))
+
+
+@register("stream_alert_lifecycle")
+def q_stream_alert_lifecycle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = _stream_runs(spark, sf_dir, ("hot",))
+    return zone_free(hot_path.read_alerts(spark, f"{root}/hot").drop("alert_id"))
+
+
+@register("stream_raw_rows_by_partition")
+def q_stream_raw_rows_by_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = _stream_runs(spark, sf_dir, ("raw",))
+    return reports.partition_counts(read_raw(spark, f"{root}/raw"))

@@ -229,3 +229,16 @@ SELECT r.machine_id, r.event_time, r.temperature, r.vibration, r.rpm, r.status,
        coalesce(r.temperature > coalesce(l.temp_limit, 90.0), false)
          OR coalesce(r.vibration > coalesce(l.vib_limit, 1.8), false) AS is_anomaly
 FROM typed r LEFT JOIN limits l ON l.machine_type = r.mtype AND r.machine_id IS NOT NULL"""
+
+# A stream emits a window once the watermark (newest shifted event time in
+# whole milliseconds, minus the 5 s tolerance) has passed its end.
+EMITTED = """
+emitted AS (
+  SELECT * FROM windows
+  WHERE window_end <= (SELECT date_trunc('millisecond', max(event_time) - INTERVAL 1 MICROSECOND)
+                              - INTERVAL 5 SECOND FROM readings WHERE machine_id IS NOT NULL)
+)"""
+ORACLE["stream_window_status"] = with_tele(WINDOWS, EMITTED) + "\nSELECT * FROM emitted"
+ORACLE["stream_alert_lifecycle"] = with_tele(WINDOWS, EMITTED, ALERTS.replace("FROM windows", "FROM emitted")) + \
+    "\nSELECT * FROM alerts"
+ORACLE["stream_raw_rows_by_partition"] = ORACLE["raw_rows_by_partition"]

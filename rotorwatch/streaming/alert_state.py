@@ -1,0 +1,85 @@
+"""Stateful alert lifecycle for streams (T5).
+
+Runs after the window aggregate: each machine's closed windows arrive in
+window_end order (append mode emits a window once, when the watermark passes
+its end).  The state per machine is the open alert, if any.  Output rows are
+either ``status`` rows (passed through) or ``alert`` rows carrying the final
+state of every alert touched in the micro-batch; ids and reason text are
+added by the sink with Spark expressions, identical to the batch operator.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+
+import pandas as pd
+from pyspark.sql import types as T
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+
+STATE_SCHEMA = "triggered_us LONG, max_vibration DOUBLE, max_temp DOUBLE"
+
+EVENTS = T.StructType([
+    T.StructField("kind", T.StringType()),
+    T.StructField("machine_id", T.StringType()),
+    T.StructField("window_end", T.TimestampType()),
+    T.StructField("avg_temp", T.DoubleType()),
+    T.StructField("max_temp", T.DoubleType()),
+    T.StructField("avg_vibration", T.DoubleType()),
+    T.StructField("max_vibration", T.DoubleType()),
+    T.StructField("health_status", T.StringType()),
+    T.StructField("triggered_at", T.TimestampType()),
+    T.StructField("resolved", T.BooleanType()),
+])
+
+_STATUS_COLS = ["machine_id", "window_end", "avg_temp", "max_temp", "avg_vibration", "max_vibration",
+                "health_status"]
+
+
+def _micros(ts) -> int:
+    return int(pd.Timestamp(ts).value // 1000)
+
+
+class AlertProcessor(StatefulProcessor):
+    """Open an alert on ALERT when none is open; resolve it on OK."""
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.open_alert = handle.getValueState("open_alert", STATE_SCHEMA)
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        machine = key[0]
+        windows = pd.concat(list(rows), ignore_index=True).sort_values("window_end", kind="stable")
+        state = self.open_alert.get() if self.open_alert.exists() else None
+        touched: dict[int, tuple] = {}
+        for end, health, max_v, max_t in zip(windows["window_end"], windows["health_status"],
+                                             windows["max_vibration"], windows["max_temp"]):
+            if health == "ALERT":
+                if state is None:
+                    state = (_micros(end), None if pd.isna(max_v) else float(max_v),
+                             None if pd.isna(max_t) else float(max_t))
+                    touched[state[0]] = (state[1], state[2], False)
+            elif state is not None:
+                touched[state[0]] = (state[1], state[2], True)
+                state = None
+        if state is None:
+            self.open_alert.clear()
+        else:
+            self.open_alert.update(state)
+
+        status = windows[_STATUS_COLS].assign(kind="status", triggered_at=pd.NaT, resolved=None)
+        alerts = pd.DataFrame({
+            "kind": "alert",
+            "machine_id": machine,
+            "window_end": pd.NaT,
+            "avg_temp": float("nan"),
+            "max_temp": [v[1] for v in touched.values()],
+            "avg_vibration": float("nan"),
+            "max_vibration": [v[0] for v in touched.values()],
+            "health_status": None,
+            "triggered_at": pd.to_datetime(list(touched.keys()), unit="us"),
+            "resolved": [v[2] for v in touched.values()],
+        })
+        out = status if alerts.empty else pd.concat([status, alerts], ignore_index=True)
+        yield out[EVENTS.fieldNames()]
+
+    def close(self) -> None:
+        pass
