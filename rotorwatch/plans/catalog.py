@@ -16,7 +16,7 @@ from rotorwatch.config import Settings, scratch_path
 from rotorwatch.operators import alerts, detect, ingest, quality, reliability, reports, windows
 from rotorwatch.plans import hot_path, nightly
 from rotorwatch.plans.edge import zone_free
-from rotorwatch.schemas import GOLD, THRESHOLD
+from rotorwatch.schemas import GOLD, QUARANTINE, RUN_LOG, THRESHOLD
 from rotorwatch.sinks.raw import write_raw
 from rotorwatch.sinks.tables import upsert
 from rotorwatch.sources.raw import read_raw, read_table
@@ -290,3 +290,34 @@ def q_stream_alert_lifecycle(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_stream_raw_rows_by_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = _stream_runs(spark, sf_dir, ("raw",))
     return reports.partition_counts(read_raw(spark, f"{root}/raw"))
+
+
+# ---------------------------------------------------------------- nightly run
+
+def _nightly_twice(spark: SparkSession, sf_dir: str) -> str:
+    """Land raw, run the nightly job (new files: all), run it again (none new)."""
+    root = scratch_path(spark, "nightly")
+    write_raw(telemetry_readings(spark, sf_dir), f"{root}/raw")
+    for _ in range(2):
+        nightly.run_nightly(spark, f"{root}/raw", f"{root}/gold", f"{root}/quarantine", f"{root}/runs")
+    return root
+
+
+@register("run_log")
+def q_run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both run records as written (start times are wall-clock: rows-only check)."""
+    return zone_free(read_table(spark, f"{_nightly_twice(spark, sf_dir)}/runs", RUN_LOG))
+
+
+@register("nightly_counts")
+def q_nightly_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The deterministic part of the run log: status and row counts per run."""
+    runs = read_table(spark, f"{_nightly_twice(spark, sf_dir)}/runs", RUN_LOG)
+    return runs.select("status", "rows_validated", "rows_quarantined")
+
+
+@register("nightly_quarantine")
+def q_nightly_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quarantined rows landed by the nightly run, per UTC date."""
+    q = read_table(spark, f"{_nightly_twice(spark, sf_dir)}/quarantine", QUARANTINE)
+    return q.groupBy("date").agg(F.count(F.lit(1)).alias("rows"))

@@ -242,3 +242,12 @@ ORACLE["stream_window_status"] = with_tele(WINDOWS, EMITTED) + "\nSELECT * FROM
 ORACLE["stream_alert_lifecycle"] = with_tele(WINDOWS, EMITTED, ALERTS.replace("FROM windows", "FROM emitted")) + \
     "\nSELECT * FROM alerts"
 ORACLE["stream_raw_rows_by_partition"] = ORACLE["raw_rows_by_partition"]
+
+RAW_ZONE = "raw_zone AS (SELECT * FROM readings WHERE event_time IS NOT NULL AND machine_id IS NOT NULL)"
+ORACLE["nightly_counts"] = with_tele(RAW_ZONE) + f"""
+SELECT 'success' AS status, count(*) AS rows_validated, count(*) FILTER (WHERE {INCOMPLETE}) AS rows_quarantined
+FROM raw_zone
+UNION ALL
+SELECT 'skipped_no_new_files', CAST(NULL AS BIGINT), CAST(NULL AS BIGINT)"""
+ORACLE["nightly_quarantine"] = with_tele(RAW_ZONE) + f"""
+SELECT CAST(event_time AS DATE) AS date, count(*) AS "rows" FROM raw_zone WHERE {INCOMPLETE} GROUP BY 1"""

@@ -43,6 +43,11 @@ RAW = T.StructType(RAW_FILE.fields + [
     T.StructField("date", T.DateType()),
 ])
 
+QUARANTINE = T.StructType(RAW_FILE.fields + [
+    T.StructField("source_file", T.StringType()),
+    T.StructField("date", T.DateType()),
+])
+
 STATUS = T.StructType([
     T.StructField("machine_id", T.StringType()),
     T.StructField("window_end", T.TimestampType()),
