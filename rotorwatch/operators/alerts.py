@@ -19,19 +19,21 @@ def alert_lifecycle(status: DataFrame) -> DataFrame:
 
     The status table has one row per machine and five-minute window, so the
     per-machine ordering is over windows (bounded by time span), not readings.
-    Resolution needs only the last OK window per machine: a grouped max with
-    partial aggregation, joined back on machine_id.
+    Both window functions share the machine partitioning: one shuffle, one
+    pass over the windows.  An alert is resolved when any OK window of its
+    machine comes after it.
     """
-    by_machine = Window.partitionBy("machine_id").orderBy("window_end")
-    prev = F.lag("health_status").over(by_machine)
-    opened = (status
-              .withColumn("_prev", prev)
-              .filter((F.col("health_status") == "ALERT") & (F.col("_prev").isNull() | (F.col("_prev") == "OK"))))
-    last_ok = (status.filter(F.col("health_status") == "OK")
-               .groupBy("machine_id").agg(F.max("window_end").alias("_last_ok")))
-    return (opened.join(last_ok, "machine_id", "left")
-            .select(alert_id("machine_id", "window_end").alias("alert_id"),
-                    "machine_id",
-                    F.col("window_end").alias("triggered_at"),
-                    alert_reason("max_vibration", "max_temp").alias("reason"),
-                    F.coalesce(F.col("_last_ok") > F.col("window_end"), F.lit(False)).alias("resolved")))
+    in_order = Window.partitionBy("machine_id").orderBy("window_end")
+    whole = Window.partitionBy("machine_id")
+    marked = status.select(
+        "*",
+        F.lag("health_status").over(in_order).alias("_prev"),
+        F.max(F.when(F.col("health_status") == "OK", F.col("window_end"))).over(whole).alias("_last_ok"),
+    )
+    opened = marked.filter((F.col("health_status") == "ALERT")
+                           & (F.col("_prev").isNull() | (F.col("_prev") == "OK")))
+    return opened.select(alert_id("machine_id", "window_end").alias("alert_id"),
+                         "machine_id",
+                         F.col("window_end").alias("triggered_at"),
+                         alert_reason("max_vibration", "max_temp").alias("reason"),
+                         F.coalesce(F.col("_last_ok") > F.col("window_end"), F.lit(False)).alias("resolved"))
