@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rotorwatch.config import DEFAULT, Settings
-from rotorwatch.operators.joins import broadcast_if_small
+from rotorwatch.operators.joins import small_side
 from rotorwatch.operators.sequence import CARRY, frame, with_preceding
 
 KEYS = ["machine_id"]
@@ -79,17 +79,19 @@ def zscore_anomaly(readings: DataFrame, cfg: Settings = DEFAULT) -> DataFrame:
 
 
 def apply_thresholds(readings: DataFrame, machines: DataFrame, thresholds: DataFrame,
-                     default_vib: float, default_temp: float) -> DataFrame:
+                     default_vib: float, default_temp: float,
+                     machines_broadcast: str = "runtime", thresholds_broadcast: str = "checked") -> DataFrame:
     """Anomaly flag with limits per machine type.
 
     ``machines`` maps machine_id -> machine_type; ``thresholds`` maps
     machine_type -> (vib_limit, temp_limit).  Machines without a type, or a
     type without limits, use the default limits.  Both dimensions are
-    broadcast only after a size check.
+    broadcast only after a size check (see ``joins.small_side``).
     """
     limits = (readings
-              .join(broadcast_if_small(machines.select("machine_id", "machine_type")), "machine_id", "left")
-              .join(broadcast_if_small(thresholds.select("machine_type", "vib_limit", "temp_limit")),
+              .join(small_side(machines.select("machine_id", "machine_type"), machines_broadcast),
+                    "machine_id", "left")
+              .join(small_side(thresholds.select("machine_type", "vib_limit", "temp_limit"), thresholds_broadcast),
                     "machine_type", "left"))
     vib = F.coalesce(F.col("vib_limit"), F.lit(default_vib))
     temp = F.coalesce(F.col("temp_limit"), F.lit(default_temp))

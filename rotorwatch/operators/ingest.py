@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from rotorwatch.config import CONTENT_TYPE, DEFAULT, Settings
 from rotorwatch.functions import first_present, nan_to_null, safe_timestamp
-from rotorwatch.operators.joins import broadcast_if_small
+from rotorwatch.operators.joins import small_side
 from rotorwatch.schemas import BODY, CORRUPT_COLUMN, ENVELOPE_WITH_CORRUPT, READING_COLUMNS
 
 JSON_OPTIONS = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT_COLUMN, "allowNonNumericNumbers": "true"}
@@ -78,12 +78,13 @@ def encode_envelopes(env: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     return env.select(*keep, F.to_json(msg).alias("value"))
 
 
-def split_registered(readings: DataFrame, devices: DataFrame, key: str = "machine_id") -> tuple[DataFrame, DataFrame]:
+def split_registered(readings: DataFrame, devices: DataFrame, key: str = "machine_id",
+                     broadcast: str = "runtime") -> tuple[DataFrame, DataFrame]:
     """(accepted, rejected): readings whose device is / is not registered.
 
     ``devices`` has ``device_id`` and ``registered``; it is broadcast only
-    when its size is checked to be small.
+    after a size check (see ``joins.small_side``).
     """
     known = devices.filter(F.col("registered")).select(F.col("device_id").alias(key)).distinct()
-    known = broadcast_if_small(known)
+    known = small_side(known, broadcast)
     return readings.join(known, key, "left_semi"), readings.join(known, key, "left_anti")

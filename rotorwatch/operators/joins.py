@@ -9,6 +9,24 @@ from pyspark.sql import functions as F
 BROADCAST_MAX_ROWS = 1_000_000
 
 
+def small_side(dim: DataFrame, how: str = "runtime", max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """Prepare a dimension for a join.
+
+    ``how="runtime"`` (default) adds no hint: the join is planned as a
+    shuffle join and AQE switches it to a broadcast only when the measured
+    size of the finished dimension stage is under
+    ``spark.sql.adaptive.autoBroadcastJoinThreshold`` - no extra job, and
+    right for dimensions derived from large data.  ``how="checked"`` counts
+    up to ``max_rows + 1`` rows first and hints a broadcast when under the
+    bound - for stored or literal dimensions that are cheap to count.
+    """
+    if how == "runtime":
+        return dim
+    if how == "checked":
+        return broadcast_if_small(dim, max_rows)
+    raise ValueError(f"how must be 'runtime' or 'checked', not {how!r}")
+
+
 def broadcast_if_small(dim: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     """Mark ``dim`` for broadcast only when it has at most ``max_rows`` rows.
 
