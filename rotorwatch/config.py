@@ -36,6 +36,9 @@ class Settings:
     required: tuple[str, ...] = REQUIRED_FIELDS
     raw_partitions: tuple[str, ...] = ("date", "machine_id")
     time_source: str = "device"  # "device" (body.timestamp) or "enqueued"
+    # late readings: "drop" (watermark) or "adjust" (device time that lags its
+    # arrival by more than the tolerance is moved up to arrival - tolerance)
+    late_policy: str = "drop"
     gated: bool = True  # daily metrics skip rows that fail validation
     tie_breaker: tuple[str, ...] = ("event_id",)
     # documented-only detectors

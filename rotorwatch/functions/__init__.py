@@ -1,4 +1,5 @@
 from rotorwatch.functions.columns import (  # noqa: F401
+    adjusted_time,
     alert_id,
     alert_reason,
     any_null,

@@ -30,6 +30,14 @@ def nan_to_null(c: str | Column) -> Column:
     c = col(c)
     return F.when(F.isnan(c), F.lit(None)).otherwise(c)
 
+def adjusted_time(event_time: str | Column, arrival: str | Column, tolerance: str) -> Column:
+    """Late-arrival "adjust" policy: a time more than ``tolerance`` before its
+    arrival becomes arrival - tolerance; a missing time stays missing."""
+    floor = col(arrival) - F.expr(f"INTERVAL {tolerance}")
+    return F.when(col(event_time).isNotNull() & floor.isNotNull(), F.greatest(col(event_time), floor)) \
+        .otherwise(col(event_time))
+
+
 def shifted_event_time(ts: str | Column = "event_time") -> Column:
     """Event time moved back by 1 µs so Spark's [start, end) windows become (start, end]."""
     return col(ts) - F.expr("INTERVAL '0.000001' SECOND")

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rotorwatch.config import CONTENT_TYPE, DEFAULT, Settings
-from rotorwatch.functions import first_present, nan_to_null, safe_timestamp
+from rotorwatch.functions import adjusted_time, first_present, nan_to_null, safe_timestamp
 from rotorwatch.operators.joins import small_side
 from rotorwatch.schemas import BODY, CORRUPT_COLUMN, ENVELOPE_WITH_CORRUPT, READING_COLUMNS
 
@@ -18,6 +18,8 @@ def envelope_to_reading(env: DataFrame, cfg: Settings = DEFAULT, keep: tuple[str
 
     machine_id and the time text fall back to the envelope when the payload's
     value is missing or empty; time text that does not parse becomes null.
+    With ``late_policy="adjust"`` the time is moved up to enqueue time minus
+    the tolerance when it lags further behind.
     """
     if cfg.time_source == "enqueued":
         time_text = F.col("enqueued_time")
@@ -25,9 +27,14 @@ def envelope_to_reading(env: DataFrame, cfg: Settings = DEFAULT, keep: tuple[str
         time_text = first_present("body.timestamp", "enqueued_time")
     else:
         raise ValueError(f"time_source must be 'device' or 'enqueued', not {cfg.time_source!r}")
+    event_time = safe_timestamp(time_text)
+    if cfg.late_policy == "adjust":
+        event_time = adjusted_time(event_time, safe_timestamp("enqueued_time"), cfg.tolerance)
+    elif cfg.late_policy != "drop":
+        raise ValueError(f"late_policy must be 'drop' or 'adjust', not {cfg.late_policy!r}")
     return env.select(
         first_present("body.machine_id", "device_id").alias("machine_id"),
-        safe_timestamp(time_text).alias("event_time"),
+        event_time.alias("event_time"),
         nan_to_null("body.temperature").alias("temperature"),
         nan_to_null("body.vibration").alias("vibration"),
         nan_to_null("body.rpm").alias("rpm"),

@@ -321,3 +321,11 @@ def q_nightly_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quarantined rows landed by the nightly run, per UTC date."""
     q = read_table(spark, f"{_nightly_twice(spark, sf_dir)}/quarantine", QUARANTINE)
     return q.groupBy("date").agg(F.count(F.lit(1)).alias("rows"))
+
+
+@register("window_status_adjusted")
+def q_window_status_adjusted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Status windows under the "adjust" late policy, parsed from envelopes."""
+    cfg = Settings(late_policy="adjust")
+    env = telemetry_envelopes(events(spark, sf_dir))
+    return zone_free(windows.window_status(ingest.envelope_to_reading(env, cfg), cfg))

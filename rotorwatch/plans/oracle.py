@@ -251,3 +251,14 @@ UNION ALL
 SELECT 'skipped_no_new_files', CAST(NULL AS BIGINT), CAST(NULL AS BIGINT)"""
 ORACLE["nightly_quarantine"] = with_tele(RAW_ZONE) + f"""
 SELECT CAST(event_time AS DATE) AS date, count(*) AS "rows" FROM raw_zone WHERE {INCOMPLETE} GROUP BY 1"""
+
+ADJUSTED = """
+adjusted AS (
+  SELECT coalesce(nullif(body_machine_id, ''), device_id) AS machine_id,
+         CASE WHEN event_time IS NULL THEN NULL
+              ELSE greatest(event_time, enqueued_at - INTERVAL 5 SECOND) END AS event_time,
+         temperature, vibration, rpm, status, event_id
+  FROM tele
+)"""
+ORACLE["window_status_adjusted"] = with_tele(ADJUSTED, WINDOWS.replace("FROM readings", "FROM adjusted")) + \
+    "\nSELECT * FROM windows"

@@ -65,3 +65,15 @@ def test_registered_split(spark):
     ok, rejected = split_registered(r, devices)
     assert [x["machine_id"] for x in ok.collect()] == ["m1"]
     assert [x["machine_id"] for x in rejected.collect()] == ["m2"]
+
+
+def test_adjust_late_policy(spark):
+    # device clock 20 s behind arrival -> moved up to arrival - 5 s; 3 s behind -> kept
+    lines = _lines(spark, [
+        _env({"machine_id": "m1", "timestamp": "2024-01-01T00:00:40+00:00"}, enq="2024-01-01T00:01:00+00:00"),
+        _env({"machine_id": "m1", "timestamp": "2024-01-01T00:00:57+00:00"}, enq="2024-01-01T00:01:00+00:00"),
+        _env({"machine_id": "m1", "timestamp": "garbage"}, enq="2024-01-01T00:01:00+00:00"),
+    ])
+    good, _ = parse_envelopes(lines, Settings(late_policy="adjust"), keep=("event_id",))
+    got = {r["event_id"]: naive(r["event_time"]) for r in good.collect()}
+    assert got == {0: naive(ts("2024-01-01 00:00:55")), 1: naive(ts("2024-01-01 00:00:57")), 2: None}

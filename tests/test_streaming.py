@@ -66,3 +66,21 @@ def test_raw_sink_and_corrupt_lines(spark, tmp_root):
     raw = spark.read.parquet(f"{tmp_root}/raw")
     assert [r["machine_id"] for r in raw.collect()] == ["m1"]
     assert [r["value"] for r in spark.read.parquet(f"{tmp_root}/bad").collect()] == ["{broken"]
+
+
+def test_processing_time_trigger_matches_available_now(spark, tmp_root):
+    # --watch style polling gives the same tables as a drain-and-stop run
+    land = f"{tmp_root}/in"
+    rows = [_msg("m1", f"2024-01-01T00:{m:02d}:00+00:00", 96.0 if m in (1, 12) else 70.0) for m in range(0, 30, 3)]
+    _land(land, "a.jsonl", rows, time.time() - 10)
+    polled = jobs.start_hot_path(jobs.message_stream(spark, land), f"{tmp_root}/hot_a", f"{tmp_root}/ck_a",
+                                 trigger="1 second")
+    polled.processAllAvailable()
+    polled.stop()
+    once = jobs.start_hot_path(jobs.message_stream(spark, land), f"{tmp_root}/hot_b", f"{tmp_root}/ck_b")
+    once.awaitTermination()
+    a = sorted(map(tuple, hot_path.read_status(spark, f"{tmp_root}/hot_a").collect()))
+    b = sorted(map(tuple, hot_path.read_status(spark, f"{tmp_root}/hot_b").collect()))
+    assert a and a == b
+    assert sorted(map(tuple, hot_path.read_alerts(spark, f"{tmp_root}/hot_a").collect())) == \
+        sorted(map(tuple, hot_path.read_alerts(spark, f"{tmp_root}/hot_b").collect()))
