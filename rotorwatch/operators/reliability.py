@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from rotorwatch.config import DEFAULT, Settings
@@ -13,18 +13,20 @@ from rotorwatch.operators.quality import split_valid
 def dedup_latest(readings: DataFrame, cfg: Settings = DEFAULT, grain: str = "minute") -> DataFrame:
     """Latest reading per (machine_id, ``grain`` bucket of event_time).
 
-    Expressed as a ``max_by`` aggregate ordered by (event_time, tie-breakers),
-    not a window sort: map tasks keep only their latest row per key before
-    the shuffle, so duplicate-heavy or hot keys shrink before they move.
+    ``row_number() = 1`` ordered by (event_time, tie-breakers) descending.
+    Spark plans it as a partial WindowGroupLimit before the shuffle and a
+    final one after it: every map task keeps only its latest row per key, so
+    duplicate-heavy or hot keys shrink before they move (measured faster than
+    a ``max_by`` struct aggregate, which falls back to sort-based aggregation).
     Readings without machine or time are dropped first.
     """
-    cols = readings.columns
-    order = F.struct(F.col("event_time"), *[F.col(c) for c in cfg.tie_breaker])
+    order = [F.col("event_time").desc()] + [F.col(c).desc() for c in cfg.tie_breaker]
+    w = Window.partitionBy("machine_id", F.date_trunc(grain, "event_time")).orderBy(*order)
     return (readings
             .filter(F.col("machine_id").isNotNull() & F.col("event_time").isNotNull())
-            .groupBy("machine_id", F.date_trunc(grain, "event_time").alias("_bucket"))
-            .agg(F.max_by(F.struct(*cols), order).alias("_r"))
-            .select("_r.*"))
+            .withColumn("_rn", F.row_number().over(w))
+            .filter(F.col("_rn") == 1)
+            .drop("_rn"))
 
 
 def daily_metrics(deduped: DataFrame, cfg: Settings = DEFAULT) -> DataFrame:
