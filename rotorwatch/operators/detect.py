@@ -30,7 +30,7 @@ def rate_of_change(readings: DataFrame, cfg: Settings = DEFAULT) -> DataFrame:
     Reports delta and delta per second; a zero time step is not scored.
     """
     framed = with_preceding(_vibration_series(readings, cfg), KEYS, ORDER, "_time_bucket", 1)
-    w = frame(KEYS)
+    w = frame(KEYS, ORDER)
     prev_v = F.lag("vibration").over(w)
     prev_t = F.lag("event_time").over(w)
     steps = (framed
@@ -56,7 +56,7 @@ def zscore_anomaly(readings: DataFrame, cfg: Settings = DEFAULT) -> DataFrame:
     """
     n = cfg.zscore_window
     framed = with_preceding(_vibration_series(readings, cfg), KEYS, ORDER, "_time_bucket", n)
-    w = frame(KEYS).rowsBetween(-n, -1)
+    w = frame(KEYS, ORDER).rowsBetween(-n, -1)
     x = F.col("vibration").cast("decimal(18,4)")
     stats = framed.select(
         "machine_id", "event_time", "event_id", "vibration", CARRY,

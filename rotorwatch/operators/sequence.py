@@ -6,6 +6,11 @@ job.  Here rows are partitioned by (key, time bucket) instead, and each bucket
 receives copies of the ``n`` rows that precede it in key order (they may come
 from several earlier buckets).  Row frames of up to ``n`` preceding rows then
 give exactly the result of the per-key window.
+
+Only one full shuffle of the rows happens (into (key, bucket) for the final
+frame).  The copies come from the last ``n`` rows of every bucket, which a
+partial WindowGroupLimit trims on the map side, and from a per-bucket count
+table (one row per key and bucket).
 """
 
 from __future__ import annotations
@@ -13,50 +18,55 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from rotorwatch.config import shared_dir
+
 BUCKET = "_bucket"
-SEQ = "_seq"
 CARRY = "_carry"
 
 
 def with_preceding(df: DataFrame, keys: list[str], order: list[str], bucket: str, n: int) -> DataFrame:
     """Rows of ``df`` plus, per (keys, bucket), copies of the ``n`` preceding rows.
 
-    ``bucket`` is a column of ``df`` that is non-decreasing in ``order``.
-    Adds ``_bucket`` (bucket the row is evaluated in), ``_seq`` (position of
-    the row within its key, 1-based) and ``_carry`` (true for copies).  Use
-    ``Window.partitionBy(*keys, "_bucket").orderBy("_seq")`` and keep rows
-    with ``_carry`` false.
+    ``bucket`` is a column of ``df`` that increases with ``order`` (rows of a
+    later bucket come strictly later).  Adds ``_bucket`` (bucket the row is
+    evaluated in) and ``_carry`` (true for copies).  Evaluate with
+    ``frame(keys, order)`` and keep rows with ``_carry`` false.
     """
     if n < 1:
         raise ValueError("n must be >= 1")
-    in_bucket = Window.partitionBy(*keys, bucket).orderBy(*order)
-    rows = df.withColumn(BUCKET, F.col(bucket)).withColumn("_rn", F.row_number().over(in_bucket))
-
-    # one row per (key, bucket): small next to the readings
-    per_key = Window.partitionBy(*keys).orderBy(BUCKET)
-    stats = (rows.groupBy(*keys, BUCKET).agg(F.count(F.lit(1)).alias("_cnt"))
+    # one row per (key, bucket): rows before the bucket (_base) and its rank (_ord).
+    # Small (keys x buckets) and used twice: computed once into the shared
+    # checkpoint folder.
+    shared_dir(df.sparkSession)
+    per_key = Window.partitionBy(*keys).orderBy(bucket)
+    stats = (df.groupBy(*keys, bucket).agg(F.count(F.lit(1)).alias("_cnt"))
              .withColumn("_base", F.coalesce(F.sum("_cnt").over(per_key.rowsBetween(Window.unboundedPreceding, -1)),
                                              F.lit(0)))
-             .withColumn("_ord", F.row_number().over(per_key)))
+             .withColumn("_ord", F.row_number().over(per_key))
+             .checkpoint(eager=True))
 
-    rows = (rows.join(stats, [*keys, BUCKET])
-            .withColumn(SEQ, F.col("_base") + F.col("_rn")))
+    # the last n rows of each bucket, with their position in the key (1-based)
+    from_end = Window.partitionBy(*keys, bucket).orderBy(*[F.col(c).desc() for c in order])
+    tails = (df.withColumn("_rd", F.row_number().over(from_end))
+             .filter(F.col("_rd") <= n)
+             .join(stats, [*keys, bucket])
+             .withColumn("_pos", F.col("_base") + F.col("_cnt") - F.col("_rd") + 1))
 
-    # the last n rows of a bucket can precede rows of the next n buckets;
-    # copy each to the buckets whose first n predecessors include it
-    targets = stats.select(*keys, F.col("_ord").alias("_tgt"), F.col(BUCKET).alias("_tgt_bucket"),
+    # a tail row precedes the first rows of up to n later buckets: copy it to
+    # every bucket whose n predecessors include it
+    targets = stats.select(*keys, F.col("_ord").alias("_tgt"), F.col(bucket).alias("_tgt_bucket"),
                            F.col("_base").alias("_tgt_base"))
-    carried = (rows.filter(F.col("_rn") > F.col("_cnt") - n)
+    carried = (tails
                .withColumn("_tgt", F.explode(F.sequence(F.col("_ord") + 1, F.col("_ord") + n)))
                .join(targets, [*keys, "_tgt"])
-               .filter(F.col(SEQ) > F.col("_tgt_base") - n)
-               .withColumn(BUCKET, F.col("_tgt_bucket"))
-               .withColumn(CARRY, F.lit(True))
-               .drop("_tgt", "_tgt_bucket", "_tgt_base"))
-    own = rows.withColumn(CARRY, F.lit(False))
-    return own.unionByName(carried).drop("_rn", "_cnt", "_base", "_ord")
+               .filter(F.col("_pos") > F.col("_tgt_base") - n)
+               .select(*df.columns, F.col("_tgt_bucket").alias(BUCKET), F.lit(True).alias(CARRY)))
+    own = df.select(*df.columns, F.col(bucket).alias(BUCKET), F.lit(False).alias(CARRY))
+    # Spark accepts a partitioning on a subset of the clustering keys, which
+    # could put a whole machine back into one task: pin (keys, bucket).
+    return own.unionByName(carried).repartition(*keys, BUCKET)
 
 
-def frame(keys: list[str]) -> Window:
+def frame(keys: list[str], order: list[str]) -> Window:
     """Window over a :func:`with_preceding` result, in key order."""
-    return Window.partitionBy(*keys, BUCKET).orderBy(SEQ)
+    return Window.partitionBy(*keys, BUCKET).orderBy(*order)

@@ -1,4 +1,5 @@
 import random
+from collections import Counter
 
 import pandas as pd
 from pyspark.sql import Window
@@ -22,7 +23,7 @@ def test_bucketed_frames_equal_per_key_window(spark):
     for n in (1, 5, 30):
         framed = with_preceding(df, ["machine_id"], ["b", "seq_key"], "b", n)
         got = (framed.select("machine_id", "seq_key", CARRY,
-                             F.collect_list("v").over(frame(["machine_id"]).rowsBetween(-n, -1)).alias("prev"))
+                             F.collect_list("v").over(frame(["machine_id"], ["b", "seq_key"]).rowsBetween(-n, -1)).alias("prev"))
                .filter(~F.col(CARRY)).drop(CARRY))
         w = Window.partitionBy("machine_id").orderBy("b", "seq_key").rowsBetween(-n, -1)
         want = df.select("machine_id", "seq_key", F.collect_list("v").over(w).alias("prev"))
@@ -60,3 +61,31 @@ def test_zscore_brute_force(spark):
         if win.std() > 0 and abs(s[i] - win.mean()) / win.std() > 3:
             want.add(i)
     assert got == want and 90 in got
+
+
+def test_hot_machine_is_spread_over_tasks(spark):
+    """A machine with a third of all rows: per-key frames run in many tasks,
+    while a plain per-machine window would put the whole machine in one."""
+    rows = []
+    for i in range(3000):
+        m = "hot" if i % 3 == 0 else f"m{i % 50}"
+        rows.append((m, i // 30, i, float(i % 17)))  # 100 time buckets
+    df = spark.createDataFrame(rows, "machine_id string, b int, seq_key long, v double")
+    conf = "spark.sql.adaptive.coalescePartitions.enabled"
+    old = spark.conf.get(conf)
+    spark.conf.set(conf, "false")
+    try:
+        framed = with_preceding(df, ["machine_id"], ["b", "seq_key"], "b", 30)
+        per_task = (framed.filter(~F.col(CARRY))
+                    .select("machine_id", F.sum("v").over(frame(["machine_id"], ["b", "seq_key"]).rowsBetween(-30, -1)).alias("s"))
+                    .select("machine_id", "s", F.spark_partition_id().alias("pid")).collect())
+        plain = (df.select("machine_id", F.sum("v").over(Window.partitionBy("machine_id").orderBy("b", "seq_key"))
+                           .alias("s"))
+                 .select("machine_id", "s", F.spark_partition_id().alias("pid")).collect())
+    finally:
+        spark.conf.set(conf, old)
+    hot_plain = Counter(r["pid"] for r in plain if r["machine_id"] == "hot")
+    hot_split = Counter(r["pid"] for r in per_task if r["machine_id"] == "hot")
+    assert len(hot_plain) == 1                  # per-machine window: one task holds the hot machine
+    assert len(hot_split) >= 3                  # bucketed frames: spread over several tasks
+    assert max(hot_split.values()) < 0.6 * sum(hot_split.values())
