@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import os
 import uuid
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import SparkSession
 
@@ -48,7 +48,6 @@ class Settings:
     # per-key sequence work is split into time buckets of this size so one
     # busy machine never lands in a single task
     sequence_bucket: str = "hour"
-    extra: dict = field(default_factory=dict)
 
 
 DEFAULT = Settings()
@@ -99,14 +98,18 @@ def shared_dir(spark: SparkSession) -> str:
     On a cluster this is ``spark.checkpoint.dir`` (a shared file system).  Only
     when the session has none (local tests) is a local folder chosen and set.
     """
-    sc = spark.sparkContext
-    root = sc.getConf().get("spark.checkpoint.dir", None) or spark.conf.get(_LOCAL_KEY, None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: no SparkContext, the server brings its settings
+        sc = None
+    root = (sc.getConf().get("spark.checkpoint.dir", None) if sc else spark.conf.get("spark.checkpoint.dir", None)) \
+        or spark.conf.get(_LOCAL_KEY, None)
     if not root:
         # tests / local runs only: no shared folder configured
         root = os.environ.get("ROTORWATCH_SCRATCH") or os.path.join("/tmp", "rotorwatch-" + uuid.uuid4().hex[:8])
         os.makedirs(root, exist_ok=True)
         spark.conf.set(_LOCAL_KEY, root)
-    if sc.getCheckpointDir() is None:
+    if sc is not None and sc.getCheckpointDir() is None:
         sc.setCheckpointDir(root)
     return root.rstrip("/")
 

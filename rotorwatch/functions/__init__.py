@@ -13,5 +13,4 @@ from rotorwatch.functions.columns import (  # noqa: F401
     safe_timestamp,
     shifted_event_time,
     status_label,
-    window_end_of,
 )

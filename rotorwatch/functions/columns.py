@@ -11,13 +11,16 @@ from functools import reduce
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+
 def col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
+
 def first_present(primary: str | Column, fallback: str | Column) -> Column:
     """First non-empty value: an empty string counts as missing."""
     return F.coalesce(F.nullif(col(primary), F.lit("")), col(fallback))
 
+
 def safe_timestamp(text: str | Column) -> Column:
     """ISO-8601 text (offset and fraction optional) to TIMESTAMP; bad text -> null.
 
@@ -25,11 +28,13 @@ def safe_timestamp(text: str | Column) -> Column:
     """
     return F.try_to_timestamp(col(text))
 
+
 def nan_to_null(c: str | Column) -> Column:
     """Spark keeps NaN distinct from null and ``NaN > x`` is true: map it to null."""
     c = col(c)
     return F.when(F.isnan(c), F.lit(None)).otherwise(c)
 
+
 def adjusted_time(event_time: str | Column, arrival: str | Column, tolerance: str) -> Column:
     """Late-arrival "adjust" policy: a time more than ``tolerance`` before its
     arrival becomes arrival - tolerance; a missing time stays missing."""
@@ -42,50 +47,55 @@ def shifted_event_time(ts: str | Column = "event_time") -> Column:
     """Event time moved back by 1 µs so Spark's [start, end) windows become (start, end]."""
     return col(ts) - F.expr("INTERVAL '0.000001' SECOND")
 
-def window_end_of(ts: str | Column, duration: str) -> Column:
-    """Right-closed window end: the smallest multiple of ``duration`` that is >= ts."""
-    return F.window(shifted_event_time(ts), duration).end
 
 def exact_sum(c: str | Column, scale: int = 4) -> Column:
     """Sum in fixed-point decimal: order-independent, so every engine agrees bit for bit."""
     return F.sum(col(c).cast(f"decimal(18,{scale})"))
 
+
 def exact_avg(c: str | Column, scale: int = 4) -> Column:
     """Average of non-null values through an exact decimal sum (null when none)."""
     return F.try_divide(exact_sum(c, scale).cast("double"), F.count(col(c)))
 
+
 def health_status(max_vibration: str | Column, max_temp: str | Column,
                   vib_limit: float, temp_limit: float) -> Column:
     """ALERT when a maximum is strictly above its limit; null maxima never alert."""
     return (F.when((col(max_vibration) > F.lit(vib_limit)) | (col(max_temp) > F.lit(temp_limit)), F.lit("ALERT"))
             .otherwise(F.lit("OK")))
 
+
 def reading_anomaly(temperature: str | Column, vibration: str | Column,
                     temp_limit: float, vib_limit: float) -> Column:
     """Reading-level anomaly; a null measurement is not anomalous (never null)."""
     return F.coalesce(col(temperature) > F.lit(temp_limit), F.lit(False)) | \
         F.coalesce(col(vibration) > F.lit(vib_limit), F.lit(False))
 
+
 def fixed_decimals(c: str | Column, digits: int, missing: str = "nan") -> Column:
     """Number as text with ``digits`` decimals, rounded half-up on the decimal value."""
     rounded = F.round(col(c).cast("decimal(18,6)"), digits).cast(f"decimal(18,{digits})")
     return F.coalesce(rounded.cast("string"), F.lit(missing))
 
+
 def alert_reason(max_vibration: str | Column, max_temp: str | Column) -> Column:
     """``max_vibration=<2 dp>, max_temp=<1 dp>``; a missing value reads ``nan``."""
     return F.concat(F.lit("max_vibration="), fixed_decimals(max_vibration, 2),
                     F.lit(", max_temp="), fixed_decimals(max_temp, 1))
 
+
 def status_label(avg_temp: str | Column, avg_vibration: str | Column) -> Column:
     """Dashboard tile text; the vibration part is left out when it is null."""
     temp = F.concat(fixed_decimals(avg_temp, 1), F.lit("°C"))
     return F.when(col(avg_vibration).isNotNull(),
                   F.concat(temp, F.lit(" / vib "), fixed_decimals(avg_vibration, 2))).otherwise(temp)
 
+
 def any_null(columns) -> Column:
     """True when any of the columns is null."""
     return reduce(lambda a, b: a | b, [col(c).isNull() for c in columns])
 
+
 def alert_id(machine_id: str | Column, triggered_at: str | Column) -> Column:
     """Stable alert key: the same alert gets the same id on every retry or rerun."""
     return F.xxhash64(col(machine_id), col(triggered_at))
