@@ -39,8 +39,8 @@ def adjusted_time(event_time: str | Column, arrival: str | Column, tolerance: st
     """Late-arrival "adjust" policy: a time more than ``tolerance`` before its
     arrival becomes arrival - tolerance; a missing time stays missing."""
     floor = col(arrival) - F.expr(f"INTERVAL {tolerance}")
-    return F.when(col(event_time).isNotNull() & floor.isNotNull(), F.greatest(col(event_time), floor)) \
-        .otherwise(col(event_time))
+    # greatest() skips a null floor, so a missing arrival keeps the event time
+    return F.when(col(event_time).isNotNull(), F.greatest(col(event_time), floor))
 
 
 def shifted_event_time(ts: str | Column = "event_time") -> Column:

@@ -46,13 +46,21 @@ def envelope_to_reading(env: DataFrame, cfg: Settings = DEFAULT, keep: tuple[str
 def decode_lines(lines: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """JSON text in ``value`` to envelope columns plus the corrupt-record column.
 
-    Blank lines are skipped; lines that are not valid JSON keep their text in
-    ``_corrupt_record``.
+    Blank lines are skipped (``from_json`` gives a null message for them);
+    lines that are not valid JSON keep their text in ``_corrupt_record``.
+
+    Each line is parsed exactly once.  In a plain ``select``, Catalyst pushes
+    every later filter (corrupt split, null time, null machine) below the
+    projection and inlines ``from_json`` into it, so a line would be parsed
+    once per filter plus once for the output.  Producing the message from a
+    one-element ``inline`` keeps the parse in a Generate node, which those
+    filters cannot pass.
     """
+    message = F.struct(F.from_json("value", ENVELOPE_WITH_CORRUPT, JSON_OPTIONS).alias("_m"))
     return (lines
-            .filter(F.trim(F.col("value")) != "")
-            .select(*keep, F.from_json("value", ENVELOPE_WITH_CORRUPT, JSON_OPTIONS).alias("m"))
-            .select(*keep, "m.*"))
+            .select(*keep, F.inline(F.array(message)))
+            .filter(F.col("_m").isNotNull())
+            .select(*keep, "_m.*"))
 
 
 def parse_envelopes(lines: DataFrame, cfg: Settings = DEFAULT,

@@ -325,7 +325,7 @@ def q_nightly_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("window_status_adjusted")
 def q_window_status_adjusted(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Status windows under the "adjust" late policy, parsed from envelopes."""
+    """Status windows under the "adjust" late policy, parsed from the message lines."""
     cfg = Settings(late_policy="adjust")
-    env = telemetry_envelopes(events(spark, sf_dir))
-    return zone_free(windows.window_status(ingest.envelope_to_reading(env, cfg), cfg))
+    readings, _ = ingest.parse_envelopes(_lines(spark, sf_dir), cfg)
+    return zone_free(windows.window_status(readings, cfg))

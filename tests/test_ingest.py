@@ -39,6 +39,23 @@ def test_parse_fallbacks_and_bad_lines(spark):
     assert 5 not in rows
 
 
+def test_each_line_in_one_output_and_parsed_once(spark):
+    # a wrongly typed body field makes the line corrupt, also when the corrupt
+    # side is counted on its own (no column of it is selected)
+    lines = _lines(spark, [
+        _env({"machine_id": "m1", "timestamp": "2024-01-01T00:00:01+00:00", "temperature": "hot"}),
+        _env({"machine_id": "m2", "timestamp": "2024-01-01T00:00:02+00:00", "temperature": 70.0}),
+        "", "null", "{broken",
+    ])
+    good, bad = parse_envelopes(lines, keep=("event_id",))
+    assert bad.count() == 3  # "null" is not an envelope object either
+    assert sorted(r["event_id"] for r in bad.collect()) == [0, 3, 4]
+    assert [r["event_id"] for r in good.collect()] == [1]
+    # the corrupt split and the null filters stay above the parse: one from_json per line
+    plan = good.filter(good["event_time"].isNotNull())._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json") == 1
+
+
 def test_enqueued_time_source(spark):
     lines = _lines(spark, [_env({"machine_id": "m1", "timestamp": "2024-01-01T00:00:01+00:00"})])
     good, _ = parse_envelopes(lines, Settings(time_source="enqueued"))
