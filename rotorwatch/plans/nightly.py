@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import SparkSession
+from pyspark.sql import Observation, SparkSession
 from pyspark.sql import functions as F
 
 from rotorwatch.config import DEFAULT, Settings, shared_dir
@@ -42,22 +42,27 @@ def run_nightly(spark: SparkSession, raw_path: str, gold_path: str, quarantine_p
     # files landing during the run have a later mtime and are seen next time
     new = conform(new_files_since(spark, raw_path, since), cfg.required) \
         .filter(F.col("file_mtime") <= F.lit(started_at))
-    # one pass over the new rows: files, rows, incomplete rows, touched dates (bounded list)
-    stats = new.agg(F.count_distinct("source_file").alias("files"),
-                    F.count(F.lit(1)).alias("rows"),
-                    F.count_if(is_incomplete(cfg.required)).alias("bad"),
-                    F.collect_set("date").alias("dates")).first()
-    if not stats["files"]:
+    # A probe that reads at most a row: with no new rows the run is skipped
+    # (new files holding no rows count as nothing new).
+    if new.limit(1).count() == 0:
         record = {"started_at": started_at, "status": "skipped_no_new_files", "files_seen": 0}
         append_run(spark, log_path, record)
         return record
-    bad = new.filter(is_incomplete(cfg.required)).drop("file_mtime")
-    write_quarantine(bad, quarantine_path)
+    # One pass over the new rows: the quarantine write also yields the run's
+    # counts and the touched dates (bounded lists: one entry per new file or
+    # date).  Filters are not pushed below an observation, so it sees every row.
+    obs = Observation("nightly")
+    observed = new.observe(obs, F.collect_set("source_file").alias("files"),
+                           F.count(F.lit(1)).alias("rows"),
+                           F.count_if(is_incomplete(cfg.required)).alias("bad"),
+                           F.collect_set("date").alias("dates"))
+    write_quarantine(observed.filter(is_incomplete(cfg.required)).drop("file_mtime"), quarantine_path)
+    stats = obs.get
     touched = sorted(d for d in stats["dates"] if d is not None)
     if touched:
         daily = daily_reliability(read_raw(spark, raw_path, touched), cfg)
         upsert(spark, gold_path, daily, ["machine_id", "date"], "date", GOLD)
-    record = {"started_at": started_at, "status": "success", "files_seen": stats["files"],
+    record = {"started_at": started_at, "status": "success", "files_seen": len(stats["files"]),
               "rows_validated": stats["rows"], "rows_quarantined": stats["bad"]}
     append_run(spark, log_path, record)
     return record
