@@ -45,9 +45,10 @@ class Settings:
     roc_limit: float = 1.0
     zscore_window: int = 30
     zscore_k: float = 3.0
-    # per-key sequence work is split into time buckets of this size so one
-    # busy machine never lands in a single task
-    sequence_bucket: str = "hour"
+    # per-key sequence work is split into consecutive time buckets, sized per
+    # machine to hold about this many readings, so one busy machine never
+    # lands in a single task and sparse machines do not make tiny buckets
+    sequence_bucket_rows: int = 10_000
 
 
 DEFAULT = Settings()
@@ -84,6 +85,10 @@ def build_session(app: str = "rotorwatch", cores: int | str = "*", shuffle_parti
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.sql.streaming.stateStore.providerClass",
                 "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+        # small local inputs: AQE may keep shuffle partitions down to 128 KB
+        # (default 1 MB), so CPU-heavy window stages over a few MB still run
+        # on every core instead of one task; at scale the advisory size rules
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "128k")
     )
     for key, value in {**SESSION_CONF, **(extra or {})}.items():
         builder = builder.config(key, value)

@@ -8,19 +8,20 @@ from pyspark.sql import functions as F
 
 from rotorwatch.config import DEFAULT, Settings
 from rotorwatch.operators.joins import small_side
-from rotorwatch.operators.sequence import CARRY, frame, with_preceding
+from rotorwatch.operators.sequence import CARRY, density_buckets, frame, with_preceding
 
 KEYS = ["machine_id"]
 ORDER = ["event_time", "event_id"]
 
 
 def _vibration_series(readings: DataFrame, cfg: Settings) -> DataFrame:
-    """Readings with machine, time and vibration, bucketed by time."""
-    return (readings
-            .filter(F.col("machine_id").isNotNull() & F.col("event_time").isNotNull()
-                    & F.col("vibration").isNotNull())
-            .select("machine_id", "event_time", "event_id", "vibration",
-                    F.date_trunc(cfg.sequence_bucket, "event_time").alias("_time_bucket")))
+    """Readings with machine, time and vibration, in per-machine time buckets
+    of about ``sequence_bucket_rows`` readings (``_time_bucket``)."""
+    series = (readings
+              .filter(F.col("machine_id").isNotNull() & F.col("event_time").isNotNull()
+                      & F.col("vibration").isNotNull())
+              .select("machine_id", "event_time", "event_id", "vibration"))
+    return density_buckets(series, KEYS, "event_time", cfg.sequence_bucket_rows, out="_time_bucket")
 
 
 def rate_of_change(readings: DataFrame, cfg: Settings = DEFAULT) -> DataFrame:

@@ -2,28 +2,72 @@
 
 A ``Window.partitionBy(machine)`` over readings puts every reading of a
 machine into one task; a machine holding a third of all rows would stall the
-job.  Here rows are partitioned by (key, time bucket) instead, and each bucket
+job.  Here rows are partitioned by (key, bucket) instead, and each bucket
 receives copies of the ``n`` rows that precede it in key order (they may come
 from several earlier buckets).  Row frames of up to ``n`` preceding rows then
 give exactly the result of the per-key window.
 
+Buckets are consecutive time ranges per key.  :func:`density_buckets` sizes
+them per key from the key's own density, so a busy key is cut into many
+buckets and a sparse key into few, each holding about the same number of rows.
+
 Only one full shuffle of the rows happens (into (key, bucket) for the final
 frame).  The copies come from the last ``n`` rows of every bucket, which a
 partial WindowGroupLimit trims on the map side, and from a per-bucket count
-table (one row per key and bucket).
+table (one row per key and bucket).  Each bucket joins the tails of exactly
+the preceding buckets that hold its ``n`` predecessors, so at most about
+``2n`` rows are produced per bucket whatever the density.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rotorwatch.config import shared_dir
+from rotorwatch.operators.joins import broadcast_if_small
 
 BUCKET = "_bucket"
 CARRY = "_carry"
 
 
+def density_buckets(df: DataFrame, keys: list[str], time_col: str, rows_per_bucket: int,
+                    out: str = "_density_bucket") -> DataFrame:
+    """Add ``out``: bucket number of the row within its key.
+
+    Per key, the time range is cut into equal-width buckets whose width makes
+    the key's average bucket hold ``rows_per_bucket`` rows.  Bucket numbers
+    increase with ``time_col``.  The per-key width table has one row per key;
+    it is broadcast only when its row count is under the checked bound, else
+    it is a shuffle join (AQE splits a skewed key there).
+    """
+    if rows_per_bucket < 1:
+        raise ValueError("rows_per_bucket must be >= 1")
+    shared_dir(df.sparkSession)
+    us = F.unix_micros(F.col(time_col))
+    widths = (df.groupBy(*keys)
+              .agg(F.count(F.lit(1)).alias("_kn"), F.min(us).alias("_k0"), F.max(us).alias("_k1"))
+              .select(*keys, "_k0",
+                      F.greatest(F.lit(1), F.expr(f"(_k1 - _k0 + 1) * {int(rows_per_bucket)} div _kn"))
+                      .alias("_kw"))
+              .checkpoint(eager=True))
+    return (df.join(broadcast_if_small(widths), keys)
+            .withColumn(out, F.expr(f"(unix_micros(`{time_col}`) - _k0) div _kw"))
+            .drop("_k0", "_kw"))
+
+
+def _buckets_needed(counts: Column, n: int) -> Column:
+    """How many of the latest buckets in ``counts`` (row counts, oldest first)
+    hold the last ``n`` rows; all of them when they hold fewer."""
+    start = F.struct(F.lit(0).cast("long").alias("rows"), F.lit(0).alias("buckets"))
+
+    def step(acc: Column, cnt: Column) -> Column:
+        return F.when(acc["rows"] >= n, acc).otherwise(
+            F.struct((acc["rows"] + cnt).alias("rows"), (acc["buckets"] + 1).alias("buckets")))
+
+    return F.aggregate(F.reverse(counts), start, step)["buckets"]
+
+
 def with_preceding(df: DataFrame, keys: list[str], order: list[str], bucket: str, n: int) -> DataFrame:
     """Rows of ``df`` plus, per (keys, bucket), copies of the ``n`` preceding rows.
 
@@ -34,31 +78,32 @@ def with_preceding(df: DataFrame, keys: list[str], order: list[str], bucket: str
     """
     if n < 1:
         raise ValueError("n must be >= 1")
-    # one row per (key, bucket): rows before the bucket (_base) and its rank (_ord).
-    # Small (keys x buckets) and used twice: computed once into the shared
-    # checkpoint folder.
+    # one row per (key, bucket): its rank (_ord), rows before it (_base), and
+    # how many preceding buckets hold its n predecessors (_span; every bucket
+    # has a row, so at most n).  Small and used twice: computed once into the
+    # shared checkpoint folder.
     shared_dir(df.sparkSession)
     per_key = Window.partitionBy(*keys).orderBy(bucket)
     stats = (df.groupBy(*keys, bucket).agg(F.count(F.lit(1)).alias("_cnt"))
+             .withColumn("_ord", F.row_number().over(per_key))
              .withColumn("_base", F.coalesce(F.sum("_cnt").over(per_key.rowsBetween(Window.unboundedPreceding, -1)),
                                              F.lit(0)))
-             .withColumn("_ord", F.row_number().over(per_key))
+             .withColumn("_span", _buckets_needed(F.collect_list("_cnt").over(per_key.rowsBetween(-n, -1)), n))
              .checkpoint(eager=True))
 
     # the last n rows of each bucket, with their position in the key (1-based)
     from_end = Window.partitionBy(*keys, bucket).orderBy(*[F.col(c).desc() for c in order])
     tails = (df.withColumn("_rd", F.row_number().over(from_end))
              .filter(F.col("_rd") <= n)
-             .join(stats, [*keys, bucket])
+             .join(stats.select(*keys, bucket, "_ord", "_base", "_cnt"), [*keys, bucket])
              .withColumn("_pos", F.col("_base") + F.col("_cnt") - F.col("_rd") + 1))
 
-    # a tail row precedes the first rows of up to n later buckets: copy it to
-    # every bucket whose n predecessors include it
-    targets = stats.select(*keys, F.col("_ord").alias("_tgt"), F.col(bucket).alias("_tgt_bucket"),
-                           F.col("_base").alias("_tgt_base"))
-    carried = (tails
-               .withColumn("_tgt", F.explode(F.sequence(F.col("_ord") + 1, F.col("_ord") + n)))
-               .join(targets, [*keys, "_tgt"])
+    # each bucket asks for the tails of the _span buckets before it and keeps
+    # the rows among its n predecessors
+    targets = (stats.filter(F.col("_span") > 0)
+               .select(*keys, F.col(bucket).alias("_tgt_bucket"), F.col("_base").alias("_tgt_base"),
+                       F.explode(F.sequence(F.col("_ord") - F.col("_span"), F.col("_ord") - 1)).alias("_ord")))
+    carried = (tails.join(targets, [*keys, "_ord"])
                .filter(F.col("_pos") > F.col("_tgt_base") - n)
                .select(*df.columns, F.col("_tgt_bucket").alias(BUCKET), F.lit(True).alias(CARRY)))
     own = df.select(*df.columns, F.col(bucket).alias(BUCKET), F.lit(False).alias(CARRY))

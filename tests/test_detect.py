@@ -53,7 +53,7 @@ def test_zscore_brute_force(spark):
     for i in range(120):
         v = round(0.5 + rnd.random() / 10, 3) if i != 90 else 3.0
         rows.append(("m1", f"2024-01-01 {i // 60:02d}:{i % 60:02d}:00", 70.0, v, 1.0, "s", i))
-    got = {r["event_id"] for r in zscore_anomaly(readings(spark, rows), Settings(sequence_bucket="minute")).collect()}
+    got = {r["event_id"] for r in zscore_anomaly(readings(spark, rows), Settings(sequence_bucket_rows=3)).collect()}
     s = pd.Series([r[3] for r in rows])
     want = set()
     for i in range(30, len(s)):
@@ -89,3 +89,34 @@ def test_hot_machine_is_spread_over_tasks(spark):
     assert len(hot_plain) == 1                  # per-machine window: one task holds the hot machine
     assert len(hot_split) >= 3                  # bucketed frames: spread over several tasks
     assert max(hot_split.values()) < 0.6 * sum(hot_split.values())
+
+
+def test_density_buckets_mixed_machines_equal_per_key_window(spark):
+    """A dense machine and sparse ones: buckets sized per machine, frames exact."""
+    from rotorwatch.operators.sequence import density_buckets
+    rnd = random.Random(11)
+    rows = []
+    for i in range(2400):
+        if i % 2 == 0:
+            m, t = "dense", i * 10                                  # every 20 s
+        else:
+            m, t = f"s{i % 7}", rnd.randrange(0, 24000) * 1000      # scattered over the day
+        rows.append((m, t, i, rnd.random()))
+    df = (spark.createDataFrame(rows, "machine_id string, t long, seq_key long, v double")
+          .withColumn("event_time", F.timestamp_seconds("t")))
+    for target in (3, 40):
+        b = density_buckets(df, ["machine_id"], "event_time", target, out="b")
+        per_machine = {r["machine_id"]: (r["rows"], r["buckets"]) for r in
+                       b.groupBy("machine_id").agg(F.count(F.lit(1)).alias("rows"),
+                                                   F.count_distinct("b").alias("buckets")).collect()}
+        rows_d, buckets_d = per_machine["dense"]
+        assert buckets_d >= rows_d / target * 0.8          # evenly spread: about target rows per bucket
+        for n in (1, 30):
+            framed = with_preceding(b, ["machine_id"], ["event_time", "seq_key"], "b", n)
+            got = (framed.select("seq_key", CARRY, F.collect_list("v").over(
+                       frame(["machine_id"], ["event_time", "seq_key"]).rowsBetween(-n, -1)).alias("prev"))
+                   .filter(~F.col(CARRY)))
+            w = Window.partitionBy("machine_id").orderBy("event_time", "seq_key").rowsBetween(-n, -1)
+            want = df.select("seq_key", F.collect_list("v").over(w).alias("prev"))
+            assert {r["seq_key"]: r["prev"] for r in got.collect()} == \
+                   {r["seq_key"]: r["prev"] for r in want.collect()}, (target, n)
