@@ -3,12 +3,12 @@ design notes but implements none; the definitions below are ours."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from rotorwatch.config import DEFAULT, Settings
 from rotorwatch.operators.joins import small_side
-from rotorwatch.operators.sequence import CARRY, density_buckets, frame, with_preceding
+from rotorwatch.operators.sequence import BUCKET, CARRY, density_buckets, frame, with_preceding
 
 KEYS = ["machine_id"]
 ORDER = ["event_time", "event_id"]
@@ -52,18 +52,33 @@ def zscore_anomaly(readings: DataFrame, cfg: Settings = DEFAULT) -> DataFrame:
     preceding readings above ``zscore_k``; only with a full window and a
     positive spread.
 
-    The frame sums are exact decimals, so the statistic does not depend on the
-    summation order of a sliding frame.
+    The frame sums are differences of running sums in exact decimals: the
+    same values a sliding frame would give, independent of summation order,
+    at constant cost per row (a sliding ROWS frame re-aggregates its whole
+    buffer for every row).
     """
     n = cfg.zscore_window
     framed = with_preceding(_vibration_series(readings, cfg), KEYS, ORDER, "_time_bucket", n)
-    w = frame(KEYS, ORDER).rowsBetween(-n, -1)
+    w = frame(KEYS, ORDER)
+    running = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     x = F.col("vibration").cast("decimal(18,4)")
-    stats = framed.select(
+    xx = (x * x).cast("decimal(18,8)")  # exact: 4 decimals squared
+    prefix = framed.select(
+        "machine_id", "event_time", "event_id", "vibration", BUCKET, CARRY,
+        F.row_number().over(w).alias("_i"),
+        F.sum(x).over(running).alias("_p1"),
+        F.sum(xx).over(running).alias("_p2"),
+    )
+
+    def preceding_sum(p: str):
+        # sum over rows i-n .. i-1 = P(i-1) - P(i-n-1)
+        return F.lag(p, 1).over(w) - F.coalesce(F.lag(p, n + 1).over(w), F.lit(0))
+
+    stats = prefix.select(
         "machine_id", "event_time", "event_id", "vibration", CARRY,
-        F.count("vibration").over(w).alias("_n"),
-        F.sum(x).over(w).alias("_s1"),
-        F.sum(x * x).over(w).alias("_s2"),
+        F.least(F.col("_i") - 1, F.lit(n)).alias("_n"),  # the series has no null vibration
+        preceding_sum("_p1").alias("_s1"),
+        preceding_sum("_p2").alias("_s2"),
     ).filter(~F.col(CARRY) & (F.col("_n") == n))
     s1 = F.col("_s1").cast("double")
     s2 = F.col("_s2").cast("double")
