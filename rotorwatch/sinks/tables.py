@@ -33,11 +33,17 @@ def upsert(spark: SparkSession, path: str, incoming: DataFrame, keys: list[str],
     schema = schema or incoming.schema
     # computed once: the key check, the touched list and the merge reuse it
     incoming = incoming.select(*schema.fieldNames()).checkpoint(eager=True)
-    dupes = incoming.groupBy(*keys).count().filter(F.col("count") > 1).limit(1).count()
-    if dupes:
+    # One job gives the touched partitions (a bounded list: e.g. the dates of
+    # one run) and the key check.  A key always lies in one partition (the
+    # partition value is part of, or derived from, the key - else a key that
+    # moved would leave its old row behind), so keys are unique when every
+    # partition has as many distinct keys as rows.
+    per_partition = (incoming.groupBy(partition)
+                     .agg(F.count(F.lit(1)).alias("_rows"), F.count_distinct(F.struct(*keys)).alias("_keys"))
+                     .collect())
+    if any(r["_rows"] != r["_keys"] for r in per_partition):
         raise DuplicateKeyError(f"incoming rows repeat a key {keys}")
-    # bounded list: one value per touched partition (e.g. the dates of one run)
-    touched = [r[0] for r in incoming.select(partition).distinct().collect()]
+    touched = [r[partition] for r in per_partition]
     if not touched:
         return 0
     existing = read_table(spark, path, schema).filter(F.col(partition).isin(touched))
