@@ -84,3 +84,33 @@ def test_processing_time_trigger_matches_available_now(spark, tmp_root):
     assert a and a == b
     assert sorted(map(tuple, hot_path.read_alerts(spark, f"{tmp_root}/hot_a").collect())) == \
         sorted(map(tuple, hot_path.read_alerts(spark, f"{tmp_root}/hot_b").collect()))
+
+
+def test_fan_out_readers_keep_their_own_position(spark, tmp_root):
+    # K4 + T7: raw sink and hot path read one landing folder with their own
+    # checkpoints; a reader that is not restarted does not lose its place
+    land, ckpt = f"{tmp_root}/in", f"{tmp_root}/ckpt"
+    now = time.time()
+    _land(land, "a.jsonl", [_msg("m1", "2024-01-01T00:01:00+00:00", 96.0),
+                            _msg("m1", "2024-01-01T00:06:00+00:00")], now - 100)
+
+    def raw_once():
+        qs = jobs.start_raw_sink(jobs.message_stream(spark, land), f"{tmp_root}/raw", f"{tmp_root}/bad", ckpt)
+        for q in qs:
+            q.awaitTermination()
+
+    def hot_once():
+        jobs.start_hot_path(jobs.message_stream(spark, land), f"{tmp_root}/hot", ckpt).awaitTermination()
+
+    raw_once()
+    hot_once()
+    _land(land, "b.jsonl", [_msg("m1", "2024-01-01T00:20:00+00:00")], now - 50)
+    raw_once()  # only the raw reader moves on
+    assert spark.read.parquet(f"{tmp_root}/raw").count() == 3
+    assert [r["health_status"] for r in hot_path.read_status(spark, f"{tmp_root}/hot").collect()] == ["ALERT"]
+    hot_once()  # the hot path resumes from its own position and sees b.jsonl once
+    status = sorted((r["window_end"].strftime("%H:%M"), r["health_status"])
+                    for r in hot_path.read_status(spark, f"{tmp_root}/hot").collect())
+    assert status == [("00:05", "ALERT"), ("00:10", "OK")]
+    assert spark.read.parquet(f"{tmp_root}/raw").count() == 3
+    assert [(r["resolved"]) for r in hot_path.read_alerts(spark, f"{tmp_root}/hot").collect()] == [True]
