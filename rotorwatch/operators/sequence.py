@@ -31,12 +31,18 @@ BUCKET = "_bucket"
 CARRY = "_carry"
 
 
+# The per-bucket count table is ordered per key in one task; a key this many
+# buckets long gets wider buckets instead of more of them.
+MAX_BUCKETS_PER_KEY = 1_000_000
+
+
 def density_buckets(df: DataFrame, keys: list[str], time_col: str, rows_per_bucket: int,
-                    out: str = "_density_bucket") -> DataFrame:
+                    out: str = "_density_bucket", max_buckets: int = MAX_BUCKETS_PER_KEY) -> DataFrame:
     """Add ``out``: bucket number of the row within its key.
 
     Per key, the time range is cut into equal-width buckets whose width makes
-    the key's average bucket hold ``rows_per_bucket`` rows.  Bucket numbers
+    the key's average bucket hold ``rows_per_bucket`` rows (more for a key so
+    large that it would need over ``max_buckets`` buckets).  Bucket numbers
     increase with ``time_col``.  The per-key width table has one row per key;
     it is broadcast only when its row count is under the checked bound, else
     it is a shuffle join (AQE splits a skewed key there).
@@ -48,7 +54,8 @@ def density_buckets(df: DataFrame, keys: list[str], time_col: str, rows_per_buck
     widths = (df.groupBy(*keys)
               .agg(F.count(F.lit(1)).alias("_kn"), F.min(us).alias("_k0"), F.max(us).alias("_k1"))
               .select(*keys, "_k0",
-                      F.greatest(F.lit(1), F.expr(f"(_k1 - _k0 + 1) * {int(rows_per_bucket)} div _kn"))
+                      F.greatest(F.lit(1), F.expr(f"(_k1 - _k0 + 1) div least(_kn div {int(rows_per_bucket)} + 1, "
+                                                   f"{int(max_buckets)})"))
                       .alias("_kw"))
               .checkpoint(eager=True))
     return (df.join(broadcast_if_small(widths), keys)

@@ -104,6 +104,8 @@ def test_density_buckets_mixed_machines_equal_per_key_window(spark):
         rows.append((m, t, i, rnd.random()))
     df = (spark.createDataFrame(rows, "machine_id string, t long, seq_key long, v double")
           .withColumn("event_time", F.timestamp_seconds("t")))
+    capped = density_buckets(df, ["machine_id"], "event_time", 1, out="b", max_buckets=5)
+    assert capped.filter(F.col("machine_id") == "dense").select("b").distinct().count() <= 5
     for target in (3, 40):
         b = density_buckets(df, ["machine_id"], "event_time", target, out="b")
         per_machine = {r["machine_id"]: (r["rows"], r["buckets"]) for r in
