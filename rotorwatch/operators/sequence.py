@@ -51,12 +51,11 @@ def density_buckets(df: DataFrame, keys: list[str], time_col: str, rows_per_buck
         raise ValueError("rows_per_bucket must be >= 1")
     shared_dir(df.sparkSession)
     us = F.unix_micros(F.col(time_col))
+    # width = ceil(time range / bucket count), so the last bucket number is below the count
+    buckets = f"least(_kn div {int(rows_per_bucket)} + 1, {int(max_buckets)})"
     widths = (df.groupBy(*keys)
               .agg(F.count(F.lit(1)).alias("_kn"), F.min(us).alias("_k0"), F.max(us).alias("_k1"))
-              .select(*keys, "_k0",
-                      F.greatest(F.lit(1), F.expr(f"(_k1 - _k0 + 1) div least(_kn div {int(rows_per_bucket)} + 1, "
-                                                   f"{int(max_buckets)})"))
-                      .alias("_kw"))
+              .select(*keys, "_k0", F.expr(f"(_k1 - _k0 + {buckets}) div {buckets}").alias("_kw"))
               .checkpoint(eager=True))
     return (df.join(broadcast_if_small(widths), keys)
             .withColumn(out, F.expr(f"(unix_micros(`{time_col}`) - _k0) div _kw"))
