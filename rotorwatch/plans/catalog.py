@@ -20,7 +20,8 @@ from rotorwatch.schemas import GOLD, QUARANTINE, RUN_LOG, THRESHOLD
 from rotorwatch.sinks.raw import write_raw
 from rotorwatch.sinks.tables import upsert
 from rotorwatch.sources.raw import read_raw, read_table
-from rotorwatch.sources.telemetry_view import events, telemetry_columns, telemetry_envelopes, telemetry_readings
+from rotorwatch.sources.telemetry_view import (envelopes_from_columns, events, telemetry_columns,
+                                                 telemetry_envelopes, telemetry_readings)
 from rotorwatch.streaming import jobs as streaming
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -252,12 +253,10 @@ def _stream_runs(spark: SparkSession, sf_dir: str, sinks: tuple[str, ...]) -> st
     readings, in time order (lines without a time land first); after each
     landing the queries drain what is there and stop (availableNow), and the
     next landing resumes them from their checkpoints."""
-    ev = events(spark, sf_dir)
-    env = telemetry_envelopes(ev)
-    day = telemetry_columns(ev).select("event_id", F.to_date("event_time").alias("_day"))
-    lines = ingest.encode_envelopes(env, keep=("event_id",)).join(day, "event_id")
+    t = telemetry_columns(events(spark, sf_dir)).withColumn("_day", F.to_date("event_time"))
+    lines = ingest.encode_envelopes(envelopes_from_columns(t, "_day"), keep=("event_id", "_day"))
     # bounded list: the UTC dates of the data
-    days = sorted(r[0] for r in day.select("_day").distinct().collect() if r[0] is not None)
+    days = sorted(r[0] for r in t.select("_day").distinct().collect() if r[0] is not None)
     root = scratch_path(spark, "stream")
     for i, d in enumerate(days):
         landing = (F.col("_day") == d) | (F.col("_day").isNull() if i == 0 else F.lit(False))

@@ -97,14 +97,18 @@ def telemetry_envelopes(ev: DataFrame, machines: str = "six") -> DataFrame:
     """Envelope rows (device_id, enqueued_time, content_type, body) plus event_id
     as the message offset.  A missing event time is sent as unparseable text so
     that it does not fall back to the enqueue time."""
-    t = telemetry_columns(ev, machines)
+    return envelopes_from_columns(telemetry_columns(ev, machines))
+
+
+def envelopes_from_columns(t: DataFrame, *extra: str) -> DataFrame:
+    """Envelope rows from :func:`telemetry_columns` output, keeping ``extra`` columns."""
     body = F.struct(
         F.col("body_machine_id").alias("machine_id"),
         F.coalesce(iso_utc(F.col("event_time")), F.lit("garbage")).alias("timestamp"),
         "temperature", "vibration", "rpm", "status",
     ).cast(BODY)
     return t.select("event_id", "device_id", iso_utc(F.col("enqueued_at")).alias("enqueued_time"),
-                    F.lit(CONTENT_TYPE).alias("content_type"), body.alias("body"))
+                    F.lit(CONTENT_TYPE).alias("content_type"), body.alias("body"), *extra)
 
 
 def readings_from_events(ev: DataFrame, machines: str = "six") -> DataFrame:
