@@ -42,3 +42,19 @@ def validation_summary(readings: DataFrame, required=REQUIRED_FIELDS) -> DataFra
     readings = conform(readings, required)
     return readings.agg(F.count(F.lit(1)).alias("rows_validated"),
                         F.count_if(is_incomplete(required)).alias("rows_quarantined"))
+
+
+def validation_report(readings: DataFrame, by, required=REQUIRED_FIELDS) -> DataFrame:
+    """Per group (a source file, or a raw-zone partition): rows, rows that fail
+    validation, and ``missing_columns`` - the required columns without a single
+    value in the group, comma-separated (empty when none).  Read under the
+    declared schema, a column a file lacks is null in all its rows, so it is
+    listed here while its rows are quarantined.  One aggregation with partial
+    counts before the shuffle."""
+    readings = conform(readings, required)
+    present = [F.count(F.col(c)).alias(f"_present_{c}") for c in required]
+    counts = readings.groupBy(*by).agg(F.count(F.lit(1)).alias("rows"),
+                                       F.count_if(is_incomplete(required)).alias("rows_quarantined"), *present)
+    missing = F.concat_ws(",", *[F.when(F.col(f"_present_{c}") == 0, F.lit(c)) for c in required])
+    return counts.select(*by, "rows", "rows_quarantined", missing.alias("missing_columns"))
+

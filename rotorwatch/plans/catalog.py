@@ -116,6 +116,15 @@ def q_raw_rows_by_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.partition_counts(read_raw(spark, path))
 
 
+@register("validation_by_partition")
+def q_validation_by_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per raw-zone partition (UTC date, machine): rows, failing rows and
+    required columns without any value (D8), read back from the written zone."""
+    path = scratch_path(spark, "raw")
+    write_raw(telemetry_readings(spark, sf_dir), path)
+    return quality.validation_report(read_raw(spark, path), ["date", "machine_id"])
+
+
 # ---------------------------------------------------------------- alerts and reads
 
 def _status(spark: SparkSession, sf_dir: str) -> DataFrame:

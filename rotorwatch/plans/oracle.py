@@ -79,6 +79,8 @@ ORACLE["window_status_closed"] = with_tele(WINDOWS) + """
 SELECT * FROM windows WHERE window_end <= TIMESTAMP '2024-01-02 12:00:00'"""
 
 READING_COLS = "machine_id, event_time, temperature, vibration, rpm, status, event_id"
+# The required reading fields, in the order the report lists them.
+REQUIRED = ("machine_id", "event_time", "temperature", "vibration", "rpm", "status")
 INCOMPLETE = ("(machine_id IS NULL OR event_time IS NULL OR temperature IS NULL OR vibration IS NULL "
               "OR rpm IS NULL OR status IS NULL)")
 
@@ -244,6 +246,11 @@ ORACLE["stream_alert_lifecycle"] = with_tele(WINDOWS, EMITTED, ALERTS.replace("F
 ORACLE["stream_raw_rows_by_partition"] = ORACLE["raw_rows_by_partition"]
 
 RAW_ZONE = "raw_zone AS (SELECT * FROM readings WHERE event_time IS NOT NULL AND machine_id IS NOT NULL)"
+ORACLE["validation_by_partition"] = with_tele(RAW_ZONE) + f"""
+SELECT CAST(event_time AS DATE) AS date, machine_id, count(*) AS "rows",
+       count(*) FILTER (WHERE {INCOMPLETE}) AS rows_quarantined,
+       concat_ws(',', {", ".join(f"CASE WHEN count({c}) = 0 THEN '{c}' END" for c in REQUIRED)}) AS missing_columns
+FROM raw_zone GROUP BY 1, 2"""
 ORACLE["nightly_counts"] = with_tele(RAW_ZONE) + f"""
 SELECT 'success' AS status, count(*) AS rows_validated, count(*) FILTER (WHERE {INCOMPLETE}) AS rows_quarantined
 FROM raw_zone

@@ -48,3 +48,16 @@ def test_missing_column_quarantines_all(spark):
     valid, bad = split_valid(r)
     assert valid.count() == 0 and bad.count() == 1
     assert "vibration" in conform(r).columns
+
+
+def test_validation_report_lists_missing_columns(spark):
+    # A file without a vibration column is reported per file, its rows quarantined
+    from pyspark.sql import functions as F
+    from rotorwatch.operators.quality import validation_report
+    full = readings(spark, [("m1", "2024-01-01 00:00:10", 70.0, 0.5, 1500.0, "s", 1),
+                            ("m1", "2024-01-01 00:00:20", 70.0, 0.6, None, "s", 2)]).withColumn("source_file", F.lit("a"))
+    lacking = readings(spark, [("m2", "2024-01-01 00:00:10", 71.0, None, 1500.0, "s", 3)]) \
+        .drop("vibration").withColumn("source_file", F.lit("b"))
+    report = {r["source_file"]: (r["rows"], r["rows_quarantined"], r["missing_columns"])
+              for r in validation_report(full.unionByName(lacking, allowMissingColumns=True), ["source_file"]).collect()}
+    assert report == {"a": (2, 1, ""), "b": (1, 1, "vibration")}
