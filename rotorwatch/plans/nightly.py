@@ -49,20 +49,21 @@ def run_nightly(spark: SparkSession, raw_path: str, gold_path: str, quarantine_p
         append_run(spark, log_path, record)
         return record
     # One pass over the new rows: the quarantine write also yields the run's
-    # counts and the touched dates (bounded lists: one entry per new file or
-    # date).  Filters are not pushed below an observation, so it sees every row.
+    # counts and the touched dates (a bounded list: one entry per date).  Files
+    # are counted by their first row, so no file list reaches the driver.
+    # Filters are not pushed below an observation, so it sees every row.
     obs = Observation("nightly")
-    observed = new.observe(obs, F.collect_set("source_file").alias("files"),
+    observed = new.observe(obs, F.count_if(F.col("file_row") == 0).alias("files"),
                            F.count(F.lit(1)).alias("rows"),
                            F.count_if(is_incomplete(cfg.required)).alias("bad"),
                            F.collect_set("date").alias("dates"))
-    write_quarantine(observed.filter(is_incomplete(cfg.required)).drop("file_mtime"), quarantine_path)
+    write_quarantine(observed.filter(is_incomplete(cfg.required)).drop("file_mtime", "file_row"), quarantine_path)
     stats = obs.get
     touched = sorted(d for d in stats["dates"] if d is not None)
     if touched:
         daily = daily_reliability(read_raw(spark, raw_path, touched), cfg)
         upsert(spark, gold_path, daily, ["machine_id", "date"], "date", GOLD)
-    record = {"started_at": started_at, "status": "success", "files_seen": len(stats["files"]),
+    record = {"started_at": started_at, "status": "success", "files_seen": stats["files"],
               "rows_validated": stats["rows"], "rows_quarantined": stats["bad"]}
     append_run(spark, log_path, record)
     return record

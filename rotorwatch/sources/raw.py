@@ -28,14 +28,17 @@ def read_raw(spark: SparkSession, path: str, dates: list[dt.date] | None = None)
 
 
 def with_file_info(df: DataFrame) -> DataFrame:
-    """Add source_file and file_mtime from the scan's hidden metadata column."""
+    """Add source_file, file_mtime and file_row (the row's index in its file,
+    so ``file_row = 0`` marks one row per non-empty file) from the scan's
+    hidden metadata column."""
     return df.select("*", F.col("_metadata.file_path").alias("source_file"),
-                     F.col("_metadata.file_modification_time").alias("file_mtime"))
+                     F.col("_metadata.file_modification_time").alias("file_mtime"),
+                     F.col("_metadata.row_index").alias("file_row"))
 
 
 def new_files_since(spark: SparkSession, path: str, since: dt.datetime | None) -> DataFrame:
     """Raw rows from files modified strictly after ``since`` (all when None),
-    with source_file and file_mtime."""
+    with source_file, file_mtime and file_row."""
     df = with_file_info(spark.read.schema(RAW).option("basePath", path).parquet(path))
     if since is not None:
         df = df.filter(F.col("file_mtime") > F.lit(since))

@@ -1,4 +1,5 @@
 import datetime as dt
+import os
 
 import pytest
 from conftest import readings
@@ -57,6 +58,8 @@ def test_nightly_success_then_skip(spark, tmp_root):
     args = (spark, f"{tmp_root}/raw", f"{tmp_root}/gold", f"{tmp_root}/q", f"{tmp_root}/runs")
     first = run_nightly(*args)
     assert (first["status"], first["rows_validated"], first["rows_quarantined"]) == ("success", 2, 1)
+    files = [f for _, _, fs in os.walk(f"{tmp_root}/raw") for f in fs if f.endswith(".parquet")]
+    assert first["files_seen"] == len(files) >= 1
     second = run_nightly(*args)
     assert second == {"started_at": second["started_at"], "status": "skipped_no_new_files", "files_seen": 0}
     log = read_table(spark, f"{tmp_root}/runs", RUN_LOG).orderBy("started_at").collect()
