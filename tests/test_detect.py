@@ -122,3 +122,25 @@ def test_density_buckets_mixed_machines_equal_per_key_window(spark):
             want = df.select("seq_key", F.collect_list("v").over(w).alias("prev"))
             assert {r["seq_key"]: r["prev"] for r in got.collect()} == \
                    {r["seq_key"]: r["prev"] for r in want.collect()}, (target, n)
+
+
+def test_density_buckets_spread_a_hot_machine(spark):
+    """Through density buckets, a machine with a third of all rows is evaluated in several tasks."""
+    from rotorwatch.operators.sequence import density_buckets
+    rows = []
+    for i in range(3000):
+        m = "hot" if i % 3 == 0 else f"m{i % 50}"
+        rows.append((m, i, i, float(i % 17)))
+    df = (spark.createDataFrame(rows, "machine_id string, t long, seq_key long, v double")
+          .withColumn("event_time", F.timestamp_seconds("t")))
+    conf = "spark.sql.adaptive.coalescePartitions.enabled"
+    old = spark.conf.get(conf)
+    spark.conf.set(conf, "false")
+    try:
+        b = density_buckets(df, ["machine_id"], "event_time", 50, out="b")
+        framed = with_preceding(b, ["machine_id"], ["event_time", "seq_key"], "b", 30)
+        pids = Counter(r["pid"] for r in framed.filter(~F.col(CARRY) & (F.col("machine_id") == "hot"))
+                       .select(F.spark_partition_id().alias("pid")).collect())
+    finally:
+        spark.conf.set(conf, old)
+    assert len(pids) >= 3 and max(pids.values()) < 0.6 * sum(pids.values())

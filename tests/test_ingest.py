@@ -94,3 +94,12 @@ def test_adjust_late_policy(spark):
     good, _ = parse_envelopes(lines, Settings(late_policy="adjust"), keep=("event_id",))
     got = {r["event_id"]: naive(r["event_time"]) for r in good.collect()}
     assert got == {0: naive(ts("2024-01-01 00:00:55")), 1: naive(ts("2024-01-01 00:00:57")), 2: None}
+
+
+def test_undersplit_input_is_spread(spark):
+    from rotorwatch.sources.telemetry_view import spread_if_undersplit
+    cores = spark.sparkContext.defaultParallelism
+    one = spark.range(100).coalesce(1)
+    assert spread_if_undersplit(one).rdd.getNumPartitions() == cores
+    many = spark.range(0, 100, numPartitions=cores * 2)
+    assert spread_if_undersplit(many) is many
