@@ -26,11 +26,15 @@ def write_raw(readings: DataFrame, path: str, cfg: Settings = DEFAULT, mode: str
     splitting an oversized (hot) partition over several tasks, so files are
     neither tiny nor one giant file from one task.
     """
-    rows = raw_rows(readings)
-    (rows.hint("rebalance", *cfg.raw_partitions)
-     .write.mode(mode)
-     .partitionBy(*cfg.raw_partitions)
-     .parquet(path))
+    rows = raw_rows(readings).hint("rebalance", *cfg.raw_partitions)
+    if "machine_id" not in cfg.raw_partitions:
+        # many machines: folders by date only (not machines x days folders);
+        # rows sorted by machine inside each file, so Parquet row-group
+        # statistics still let a machine filter skip the other machines
+        # (folder columns first: that is the order the file writer needs, so it
+        # adds no sort of its own that would undo the machine order)
+        rows = rows.sortWithinPartitions(*cfg.raw_partitions, "machine_id", "event_time")
+    rows.write.mode(mode).partitionBy(*cfg.raw_partitions).parquet(path)
 
 
 def write_quarantine(rows: DataFrame, path: str, source_file: str | None = None) -> None:

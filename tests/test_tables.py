@@ -65,3 +65,22 @@ def test_nightly_success_then_skip(spark, tmp_root):
     log = read_table(spark, f"{tmp_root}/runs", RUN_LOG).orderBy("started_at").collect()
     assert [x["status"] for x in log] == ["success", "skipped_no_new_files"]
     assert read_table(spark, f"{tmp_root}/gold", GOLD).first()["total_readings"] == 1
+
+
+def test_raw_zone_by_date_only_keeps_rows_and_clusters_machines(spark, tmp_root):
+    from rotorwatch.config import Settings
+    rows = [(f"m{i % 4}", f"2024-01-0{1 + i % 2} 00:00:{i:02d}", 70.0, 0.5, 1.0, "s", i) for i in range(40)]
+    cfg = Settings(raw_partitions=("date",))
+    write_raw(readings(spark, rows), f"{tmp_root}/raw", cfg)
+    folders = sorted(d for d in os.listdir(f"{tmp_root}/raw") if not d.startswith(("_", ".")))
+    assert folders == ["date=2024-01-01", "date=2024-01-02"]  # no machine_id= folders
+    back = read_raw(spark, f"{tmp_root}/raw")
+    assert sorted(r["event_id"] for r in back.collect()) == list(range(40))
+    # inside every file, rows come in machine order
+    files = {}
+    for r in spark.read.parquet(f"{tmp_root}/raw").selectExpr(
+            "_metadata.file_path AS f", "_metadata.row_index AS i", "machine_id").collect():
+        files.setdefault(r["f"], []).append((r["i"], r["machine_id"]))
+    for rows_in_file in files.values():
+        machines = [m for _, m in sorted(rows_in_file)]
+        assert machines == sorted(machines)
