@@ -45,11 +45,14 @@ def running_sum(parts: DataFrame, value: str, within: Sequence[str], out: str) -
     """``parts`` (of :func:`range_kept`, ordered by ``within`` first) with ``out``: the sum of ``value`` over the rows of
     the same ``within`` values before this one.  Sums by part come first, so no task sees more than a part's rows or
     one row per part."""
+    names = [f"_in{k}" for k in range(len(within))]
     sums = parts.groupBy(*within, "_part").agg(F.sum(value).alias("_sum"))
-    ahead = Window.partitionBy(*within).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    sums = sums.select(*within, "_part", F.coalesce(F.sum("_sum").over(ahead), F.lit(0)).alias("_ahead"))
+    sums = sums.select(*(F.col(c).alias(n) for c, n in zip(within, names, strict=True)), F.col("_part").alias("_of"), "_sum")
+    ahead = Window.partitionBy(*names).orderBy("_of").rowsBetween(Window.unboundedPreceding, -1)
+    sums = sums.select(*names, "_of", F.coalesce(F.sum("_sum").over(ahead), F.lit(0)).alias("_ahead"))
     inside = Window.partitionBy("_part", *within).orderBy("_row").rowsBetween(Window.unboundedPreceding, -1)
-    parts = parts.withColumn("_inside", F.coalesce(F.sum(value).over(inside), F.lit(0)))
-    on = [parts["_part"] == sums["_part"], *(parts[c].eqNullSafe(sums[c]) for c in within)]
-    joined = parts.join(sums, on, "left")
-    return joined.select(*(parts[c] for c in parts.columns if c != "_inside"), (F.col("_ahead") + F.col("_inside")).alias(out))
+    rows = parts.withColumn("_inside", F.coalesce(F.sum(value).over(inside), F.lit(0)))
+    same = F.col("_part") == F.col("_of")
+    for c, n in zip(within, names, strict=True):
+        same &= F.col(c).eqNullSafe(F.col(n))
+    return rows.join(sums, same, "left").select(*parts.columns, (F.col("_ahead") + F.col("_inside")).alias(out))

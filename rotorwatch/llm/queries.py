@@ -7,18 +7,35 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rotorwatch.llm import counts, packing, tokenfiles
+from rotorwatch.llm import counts, exact, mixing, packing, tokenfiles
 from rotorwatch.llm.common import table, tokenizer_file
 
 WORDS, BYTES = "word_bpe_49k.json", "byte_bpe_50k.json"
 END_ID = 1
 
 
+def quality_weight(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """``docs`` with ``_quality``: 2 where labelled good, 0.5 where labelled bad, 1 where not labelled."""
+    by_id = labels.groupBy(F.col("doc_id").alias("_labelled")).agg(F.max("quality").alias("_q"))
+    weight = F.when(F.col("_q") == 1, 2.0).when(F.col("_q") == 0, 0.5).otherwise(1.0)
+    return docs.join(by_id, F.col("doc_id") == F.col("_labelled"), "left").withColumn("_quality", weight)
+
+
+def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", mixing.words(F.col("text")).alias("size"))
+    mixed = mixing.mix(quality_weight(docs, table(spark, sf_dir, "labels")), quality=F.col("_quality"), size="size")
+    return mixed.select("doc_id", "size", "source_size", "target", "taken")
+
+
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     packed = packing.pack(table(spark, sf_dir, "documents"), tokenizer_file(WORDS), END_ID)
     return packed.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
+def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact.exact_duplicates(table(spark, sf_dir, "documents"), keep="largest")
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     counted = counts.count_tokens(table(spark, sf_dir, "documents"), tokenizer_file(BYTES))
     return counted.withColumn("over_limit", F.col("n_tokens") > 512)
@@ -30,7 +47,9 @@ def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_mixing": op2_mixing,
     "op3_packing": op3_packing,
+    "op6_exact_dedup": op6_exact_dedup,
     "op7_token_counts": op7_token_counts,
     "op8_token_files": op8_token_files,
 }
