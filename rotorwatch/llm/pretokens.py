@@ -24,8 +24,8 @@ import pyarrow as pa
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 os.environ.setdefault("RAYON_NUM_THREADS", "1")
 
-SLICE_BYTES = 8 << 20  # texts are worked on in slices of about this size, so memory does not follow the batch
-CACHE_ENTRIES = 800_000  # a worker's cache is emptied beyond this many pre-tokens (a matter of speed alone)
+SLICE_BYTES = 3 << 20  # texts are worked on in slices of about this size, so memory does not follow the batch
+CACHE_ENTRIES = 300_000  # a worker's cache is emptied beyond this many pre-tokens (a matter of speed alone)
 JOINED = 400  # distinct pre-tokens handed to the library in one call
 
 _WS, _LETTER, _OTHER = 0, 1, 2
@@ -76,7 +76,7 @@ def segments(texts: pa.Array, attach_space: bool, lower: bool) -> tuple[pa.Dicti
     np.not_equal(kind[1:], kind[:-1], out=cut[1:])
     doc_starts = borders[:-1][borders[:-1] < n]
     cut[doc_starts] = True
-    runs = np.flatnonzero(cut)
+    runs = np.flatnonzero(cut).astype(np.int32)
     run_kind = kind[runs]
     at_doc = np.zeros(len(runs), bool)
     at_doc[np.searchsorted(runs, doc_starts)] = True
@@ -97,7 +97,7 @@ def segments(texts: pa.Array, attach_space: bool, lower: bool) -> tuple[pa.Dicti
     space = run_kind == _WS
     before = np.concatenate([[False], space[:-1]])
     opens = at_doc | space if attach_space else at_doc | space | before
-    chunk = np.cumsum(opens) - 1
+    chunk = np.cumsum(opens, dtype=np.int32) - 1
     flagged = np.zeros(int(chunk[-1]) + 1, bool)
     flagged[chunk[np.searchsorted(runs, np.flatnonzero(odd), "right") - 1]] = True
     first_run = np.flatnonzero(opens)
