@@ -141,6 +141,26 @@ def segments(texts: pa.Array, attach_space: bool, lower: bool) -> tuple[pa.Dicti
     return cells.dictionary_encode(), np.searchsorted(starts, borders)
 
 
+def words(texts: pa.Array) -> tuple[pa.BinaryArray, np.ndarray, np.ndarray]:
+    """Distinct lower-cased words (runs without ASCII white space), each word's place among them in order, and the
+    index of each text's first (one entry more)."""
+    data, borders = flat(texts)
+    n = len(data)
+    space = _CLASS[data] == _WS
+    cut = np.empty(n, bool)
+    cut[:1] = True
+    np.not_equal(space[1:], space[:-1], out=cut[1:])
+    cut[borders[:-1][borders[:-1] < n]] = True
+    starts = np.flatnonzero(cut)
+    small = _LOWER[data]
+    capital = np.flatnonzero((small[1:] >= 0x80) & (small[1:] <= 0x9E) & (small[1:] != 0x97) & (small[:-1] == 0xC3)) + 1
+    small[capital] += 32
+    offsets = np.concatenate([starts, [n]]).astype(np.int32)
+    cells = pa.Array.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(small)]).dictionary_encode()
+    inside = ~space[starts]
+    return cells.dictionary, cells.indices.to_numpy()[inside], np.concatenate([[0], np.cumsum(inside)])[np.searchsorted(starts, borders)]
+
+
 class _Store:
     """Growing arrays: ids of all cached pre-tokens, and where each one's ids start."""
 
