@@ -7,13 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rotorwatch.llm import counts, exact, mixing, packing, tokenfiles, toxicity
+from rotorwatch.llm import chat, counts, exact, mixing, packing, tokenfiles, toxicity
 from rotorwatch.llm.common import table, tokenizer_file
 
 WORDS, BYTES = "word_bpe_49k.json", "byte_bpe_50k.json"
 END_ID = 1
 
 
+def op1_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    more = spark.range(2).select(
+        F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit("</s>[INST] ok [/INST]").alias("text"))
+    return chat.read_chats(chat.format_chats(turns.unionByName(more)))
+
+
 def quality_weight(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """``docs`` with ``_quality``: 2 where labelled good, 0.5 where labelled bad, 1 where not labelled."""
     by_id = labels.groupBy(F.col("doc_id").alias("_labelled")).agg(F.max("quality").alias("_q"))
@@ -54,6 +62,7 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_chat_format": op1_chat_format,
     "op2_mixing": op2_mixing,
     "op3_packing": op3_packing,
     "op6_exact_dedup": op6_exact_dedup,
