@@ -24,8 +24,8 @@ import pyarrow as pa
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 os.environ.setdefault("RAYON_NUM_THREADS", "1")
 
-SLICE_BYTES = 3 << 20  # texts are worked on in slices of about this size, so memory does not follow the batch
-CACHE_ENTRIES = 300_000  # a worker's cache is emptied beyond this many pre-tokens (a matter of speed alone)
+SLICE_BYTES = 2 << 20  # texts are worked on in slices of about this size, so memory does not follow the batch
+CACHE_ENTRIES = 200_000  # a worker's cache is emptied beyond this many pre-tokens (a matter of speed alone)
 JOINED = 400  # distinct pre-tokens handed to the library in one call
 
 _WS, _LETTER, _OTHER = 0, 1, 2

@@ -1,7 +1,8 @@
 """Token-id files: frequency-ranked ids in byte-aligned variable-length coding (operator 8).
 
 File format: a Parquet table of blocks in ascending ``doc_id`` order (by ``part``, then ``block``).  A block holds whole
-documents, one at least: their ids, their lengths in tokens, and their token ids.  A token id is replaced by its rank
+documents, one at least: how many tokens lie ahead of it in its part, the documents' ids and lengths in tokens, and
+their token ids.  A token id is replaced by its rank
 by frequency in the corpus (rank 0 is the commonest), and a rank takes 1 to 4 little-endian bytes in ``data``; the
 byte counts less one stand apart in ``control``, two bits each, four to a byte, the lowest bits first.  The ranks' ids
 are one more table beside the blocks.
@@ -117,21 +118,21 @@ def write_token_files(docs: DataFrame, path: str, end_id: int = 1, doc_id: str =
     ranks.write.parquet(f"{folder}/ranks")
 
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, block = TaskContext.get().partitionId(), 0
+        part, block, ahead = TaskContext.get().partitionId(), 0, 0
         names, lengths, waiting, held = [], [], [], 0
 
         def close() -> pa.RecordBatch:
             control, data = pack_ranks(rank_of[np.concatenate(waiting)])
-            cells = [[part], [block], [held], pa.array([pa.concat_arrays(names).to_pylist()], pa.list_(kind)), [lengths], [control], [data]]
-            types = [pa.int32(), pa.int32(), pa.int64(), None, pa.list_(pa.int32()), pa.binary(), pa.binary()]
-            return pa.RecordBatch.from_arrays([c if t is None else pa.array(c, t) for c, t in zip(cells, types, strict=True)], names=["part", "block", "n_tokens", "doc_ids", "lengths", "control", "data"])
+            cells = [[part], [block], [ahead], [held], pa.array([pa.concat_arrays(names).to_pylist()], pa.list_(kind)), [lengths], [control], [data]]
+            types = [pa.int32(), pa.int32(), pa.int64(), pa.int64(), None, pa.list_(pa.int32()), pa.binary(), pa.binary()]
+            return pa.RecordBatch.from_arrays([c if t is None else pa.array(c, t) for c, t in zip(cells, types, strict=True)], names=["part", "block", "ahead", "n_tokens", "doc_ids", "lengths", "control", "data"])
 
         for batch in batches:
             kind = batch.column(0).type
             for k, (n, ids) in enumerate(zip(batch.column(1).to_pylist(), batch.column(2), strict=True)):
                 if held and held + n > BLOCK_TOKENS:
                     yield close()
-                    block, names, lengths, waiting, held = block + 1, [], [], [], 0
+                    block, ahead, names, lengths, waiting, held = block + 1, ahead + held, [], [], [], 0
                 raw = ids.as_buffer()
                 names.append(batch.column(0).slice(k, 1))
                 lengths.append(n)
@@ -140,7 +141,7 @@ def write_token_files(docs: DataFrame, path: str, end_id: int = 1, doc_id: str =
         if held:
             yield close()
 
-    out = T.StructType([T.StructField("part", T.IntegerType()), T.StructField("block", T.IntegerType()), T.StructField("n_tokens", T.LongType()), T.StructField("doc_ids", T.ArrayType(docs.schema[doc_id].dataType)), T.StructField("lengths", T.ArrayType(T.IntegerType())), T.StructField("control", T.BinaryType()), T.StructField("data", T.BinaryType())])
+    out = T.StructType([T.StructField("part", T.IntegerType()), T.StructField("block", T.IntegerType()), T.StructField("ahead", T.LongType()), T.StructField("n_tokens", T.LongType()), T.StructField("doc_ids", T.ArrayType(docs.schema[doc_id].dataType)), T.StructField("lengths", T.ArrayType(T.IntegerType())), T.StructField("control", T.BinaryType()), T.StructField("data", T.BinaryType())])
     ordered = tokens.repartitionByRange(F.col(doc_id).asc_nulls_first(), "n_tokens", F.xxhash64("ids")).sortWithinPartitions(F.col(doc_id).asc_nulls_first(), "n_tokens", F.xxhash64("ids"), "ids")
     ordered.mapInArrow(blocks, out).write.parquet(f"{folder}/blocks")
     return TokenFiles(f"{folder}/blocks", f"{folder}/ranks", doc_id)
@@ -154,13 +155,10 @@ def read_token_files(spark: SparkSession, files: TokenFiles) -> DataFrame:
     blocks = spark.read.parquet(files.blocks)
     by_rank = np.array([r["id"] for r in spark.read.parquet(files.ranks).orderBy("rank").collect()], "<u4")  # at most the vocabulary
     kind = blocks.schema["doc_ids"].dataType.elementType
-    # starts: sums by part, of which there are as many as files, then inside each part
-    heads = blocks.select("part", "block", "n_tokens")
-    sums = heads.groupBy("part").agg(F.sum("n_tokens").alias("_sum"))
+    # what the parts before hold: a row per file, so small enough to send along (some 12 bytes a file)
+    sums = blocks.groupBy("part").agg(F.sum("n_tokens").alias("_sum"))
     before = sums.select(F.col("part").alias("_part"), F.coalesce(F.sum("_sum").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"))
-    inside = F.coalesce(F.sum("n_tokens").over(Window.partitionBy("part").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    starts = heads.withColumn("_inside", inside).join(before, F.col("part") == F.col("_part")).select(F.col("part").alias("_p"), F.col("block").alias("_b"), (F.col("_before") + F.col("_inside")).alias("start"))
-    joined = blocks.join(starts, (F.col("part") == F.col("_p")) & (F.col("block") == F.col("_b"))).select("start", "doc_ids", "lengths", "control", "data")
+    joined = blocks.join(F.broadcast(before), F.col("part") == F.col("_part")).select((F.col("_before") + F.col("ahead")).alias("start"), "doc_ids", "lengths", "control", "data")
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
