@@ -21,6 +21,18 @@ def tokenizer_file(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def arrow_rows(df: DataFrame, *columns: Column | str) -> DataFrame:
+    """``df``'s ``columns``, about to be handed to Python: batches go by bytes, not only by rows, so that long texts do not
+    add up.  A session's own setting stays; only Spark's default of 64 MB is lowered, to 8 MB."""
+    spark = df.sparkSession
+    if spark.conf.get(BATCH).rstrip("bB") == str(64 << 20):
+        spark.conf.set(BATCH, str(8 << 20))
+    return df.select(*columns)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rotorwatch.llm import ann, chat, counts, exact, mixing, packing, tokenfiles, toxicity
+from rotorwatch.llm import ann, chat, counts, exact, mixing, nearcopies, packing, tokenfiles, toxicity
 from rotorwatch.llm.common import table, tokenizer_file
 
 WORDS, BYTES = "word_bpe_49k.json", "byte_bpe_50k.json"
@@ -44,6 +44,10 @@ def op4_nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.search(table(spark, sf_dir, "embeddings"), every=50, k=5)
 
 
+def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearcopies.near_duplicates(table(spark, sf_dir, "documents"), percent=85)
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.exact_duplicates(table(spark, sf_dir, "documents"), keep="largest")
 
@@ -70,6 +74,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_mixing": op2_mixing,
     "op3_packing": op3_packing,
     "op4_nearest_vectors": op4_nearest_vectors,
+    "op5_near_duplicates": op5_near_duplicates,
     "op6_exact_dedup": op6_exact_dedup,
     "op7_token_counts": op7_token_counts,
     "op8_token_files": op8_token_files,

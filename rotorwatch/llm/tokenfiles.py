@@ -23,7 +23,7 @@ from pyspark.sql.window import Window
 
 from rotorwatch.config import scratch_path
 from rotorwatch.llm import pretokens
-from rotorwatch.llm.common import kept
+from rotorwatch.llm.common import arrow_rows, kept
 
 BLOCK_TOKENS = 1 << 18
 
@@ -72,7 +72,7 @@ def token_ids(docs: DataFrame, path: str, end_id: int, doc_id: str = "doc_id", t
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, len(part)), pa.array(np.diff(borders).astype(np.int32)), cells], names=[doc_id, "n_tokens", "ids"])
 
     out = T.StructType([docs.schema[doc_id], T.StructField("n_tokens", T.IntegerType()), T.StructField("ids", T.BinaryType())])
-    return docs.select(doc_id, text).mapInArrow(encode, out)
+    return arrow_rows(docs, doc_id, text).mapInArrow(encode, out)
 
 
 def id_counts(tokens: DataFrame, size: int) -> DataFrame:
@@ -86,7 +86,7 @@ def id_counts(tokens: DataFrame, size: int) -> DataFrame:
         some = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array(total[some])], names=["id", "n"])
 
-    return tokens.select("n_tokens", "ids").mapInArrow(count, "id int, n long").groupBy("id").agg(F.sum("n").alias("n"))
+    return arrow_rows(tokens, "n_tokens", "ids").mapInArrow(count, "id int, n long").groupBy("id").agg(F.sum("n").alias("n"))
 
 
 def _width(size: int, n: int) -> str:
