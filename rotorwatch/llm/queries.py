@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rotorwatch.llm import ann, chat, counts, exact, mixing, nearcopies, packing, tokenfiles, toxicity
+from rotorwatch.llm import ann, chat, counts, exact, mixing, nearcopies, packing, repeats, tokenfiles, toxicity
 from rotorwatch.llm.common import table, tokenizer_file
 
 WORDS, BYTES = "word_bpe_49k.json", "byte_bpe_50k.json"
@@ -69,6 +69,12 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op10_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    left = repeats.remove_repeats(table(spark, sf_dir, "documents"))
+    n_removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["begin"])
+    return left.select("doc_id", "n_bytes", n_removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_format": op1_chat_format,
     "op2_mixing": op2_mixing,
@@ -79,4 +85,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_token_counts": op7_token_counts,
     "op8_token_files": op8_token_files,
     "op9_toxicity": op9_toxicity,
+    "op10_repeated_passages": op10_repeated_passages,
 }
