@@ -174,13 +174,15 @@ def score(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "te
 
     A null or empty text, or one of white space, has the score of no words; nothing but the text is an input.
     """
-    names = [doc_id, *carry]
+    names = list(dict.fromkeys([doc_id, *carry]))
+    columns = names if text in names else [*names, text]
+    place = columns.index(text)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for first, part in pretokens.text_slices(batch.column(0)):
+            for first, part in pretokens.text_slices(batch.column(place)):
                 values = 1 / (1 + np.exp(-np.clip(model.logits(part), -40, 40)))
-                yield pa.RecordBatch.from_arrays([*(c.slice(first, len(part)) for c in batch.columns[1:]), pa.array(values)], names=[*names, "score"])
+                yield pa.RecordBatch.from_arrays([*(c.slice(first, len(part)) for c in batch.columns[: len(names)]), pa.array(values)], names=[*names, "score"])
 
     out = T.StructType([*(docs.schema[c] for c in names), T.StructField("score", T.DoubleType())])
-    return arrow_rows(docs, F.col(text).alias("_scored"), *names).mapInArrow(work, out)
+    return arrow_rows(docs, *columns).mapInArrow(work, out)
