@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from rotorwatch.llm.common import kept
+from rotorwatch.llm.common import kept, tidy
 
 SAMPLE = 16_384  # vectors that the centroids are fitted on, at most
 LIST = 128  # vectors a list should hold
@@ -179,7 +179,7 @@ def search(vectors: DataFrame, every: int, k: int = 5, vec_id: str = "vec_id", v
 
     same = Window.partitionBy("vector").orderBy("id")
     shape = f"list int, id {kinds['id']}, vector {kinds['vector']}"
-    data = kept(rows.withColumn("_n", F.row_number().over(same)).where(F.col("_n") <= k + 1).select("id", "vector").mapInArrow(place, shape), "ann-lists")
+    data = kept(rows.withColumn("_n", F.row_number().over(same)).where(F.col("_n") <= k + 1).select("id", "vector").mapInArrow(tidy(place), shape), "ann-lists")
     sizes = np.zeros(len(index.centroids), np.int64)
     for r in data.groupBy("list").count().collect():  # a row per centroid at most
         sizes[r["list"]] = r["count"]
@@ -196,7 +196,7 @@ def search(vectors: DataFrame, every: int, k: int = 5, vec_id: str = "vec_id", v
                     number = np.arange(len(lists)) - np.repeat(np.cumsum(times) - times, times)
                     yield pa.RecordBatch.from_arrays([pa.array(lists.astype(np.int32)), *(c.take(pa.array(which)) for c in part.columns), pa.array(number.astype(np.int32))], names=["list", "id", "vector", "chunk"])
 
-    queries = rows.where(F.col("id") % every == 0).mapInArrow(probe, f"{shape}, chunk int")
+    queries = rows.where(F.col("id") % every == 0).mapInArrow(tidy(probe), f"{shape}, chunk int")
     both = data.withColumn("chunk", chunk_of.cast("int")).withColumn("asks", F.lit(False)).unionByName(queries.withColumn("asks", F.lit(True)))
     both = both.repartition("list", "chunk").sortWithinPartitions("list", "chunk", "asks").select("list", "chunk", "asks", "id", "vector")
 
@@ -238,7 +238,7 @@ def search(vectors: DataFrame, every: int, k: int = 5, vec_id: str = "vec_id", v
                     fine = ~np.isneginf(values)
                     yield pa.RecordBatch.from_arrays([asked.column(3).take(pa.array(q_at[fine])), ids.take(pa.array(best.ravel()[fine])), pa.array(values[fine])], names=["query_id", "found", "score"])
 
-    hits = both.mapInArrow(scan, f"query_id {kinds['id']}, found {kinds['id']}, score double")
+    hits = both.mapInArrow(tidy(scan), f"query_id {kinds['id']}, found {kinds['id']}, score double")
     hits = hits.groupBy("query_id", "found").agg(F.max("score").alias("score"))
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "found"))
     return hits.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", F.col("found").alias(vec_id), "score")

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from rotorwatch.llm.common import tidy
 from rotorwatch.llm.templates import CLOSE, OPEN, compile_template
 
 CONTROLS = ("<s>", "</s>", "[INST]", "[/INST]")
@@ -108,7 +109,7 @@ def format_chats(turns: DataFrame, template: str = TEMPLATE, controls: tuple[str
     batch = lambda rows: pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), arrow, strict=True)], schema=arrow)
     rows = turns.select(F.col(conv_id).alias("_conv"), F.col(turn).alias("_turn"), F.col(role).alias("_role"), F.col(text).alias("_text"))
     rows = rows.repartition("_conv").sortWithinPartitions("_conv", "_turn", "_role", "_text")
-    return rows.select("_conv", "_role", "_text").mapInArrow(work, schema)
+    return rows.select("_conv", "_role", "_text").mapInArrow(tidy(work), schema)
 
 
 def read_chats(formatted: DataFrame, controls: tuple[str, ...] = CONTROLS, conv_id: str = "conv_id") -> DataFrame:
@@ -145,4 +146,4 @@ def read_chats(formatted: DataFrame, controls: tuple[str, ...] = CONTROLS, conv_
     from pyspark.sql.pandas.types import to_arrow_type
 
     arrow_kind = to_arrow_type(kind)
-    return formatted.select(conv_id, "begin", "text", "loss").mapInArrow(work, schema)
+    return formatted.select(conv_id, "begin", "text", "loss").mapInArrow(tidy(work), schema)

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rotorwatch.llm import pretokens
-from rotorwatch.llm.common import arrow_rows
+from rotorwatch.llm.common import arrow_rows, tidy
 
 TABLE_ENTRIES = 32_768  # size of tier one: a fixed bound of about 1 MB, however large the corpus is
 SLICE_ENTRIES = 4_096  # what each slice of text puts forward
@@ -37,7 +37,7 @@ def frequent_pretokens(docs: DataFrame, text: str = "text", entries: int = TABLE
                 top = np.argpartition(-n, SLICE_ENTRIES)[:SLICE_ENTRIES] if len(n) > SLICE_ENTRIES else np.arange(len(n))
                 yield pa.RecordBatch.from_arrays([cells.dictionary.take(pa.array(top)), pa.array(n[top])], names=["pretoken", "n"])
 
-    slices = arrow_rows(docs, text).mapInArrow(forward, "pretoken binary, n long")
+    slices = arrow_rows(docs, text).mapInArrow(tidy(forward), "pretoken binary, n long")
     return slices.groupBy("pretoken").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "pretoken").limit(entries)
 
 
@@ -72,4 +72,4 @@ def count_tokens(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str =
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, len(part)), pa.array(np.diff(borders)), pa.array(tokens)], names=[doc_id, "n_bytes", "n_tokens"])
 
     out = T.StructType([docs.schema[doc_id], T.StructField("n_bytes", T.LongType()), T.StructField("n_tokens", T.LongType())])
-    return arrow_rows(docs, doc_id, text).mapInArrow(count, out)
+    return arrow_rows(docs, doc_id, text).mapInArrow(tidy(count), out)

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from rotorwatch.llm import pretokens
-from rotorwatch.llm.common import arrow_rows
+from rotorwatch.llm.common import arrow_rows, tidy
 
 CAPACITY = 2048
 CLASSES = 6  # capacity / 1, 2, 4 ... 32; one more for what is shorter
@@ -139,4 +139,4 @@ def pack(docs: DataFrame, path: str, end_id: int = 1, capacity: int = CAPACITY,
                 yield from emit(kind, *open_[kind], last=True)
 
     out = T.StructType([docs.schema[doc_id], *(T.StructField(c, T.LongType()) for c in ("start", "length")), T.StructField("ids", T.BinaryType()), *(T.StructField(c, T.LongType()) for c in ("doc_tokens", "sequence_id", "offset"))])
-    return arrow_rows(docs, doc_id, text).mapInArrow(work, out)
+    return arrow_rows(docs, doc_id, text).mapInArrow(tidy(work), out)

@@ -15,6 +15,8 @@ from __future__ import annotations
 
 import os
 import re
+import sys
+import types
 from collections.abc import Iterator
 
 import numpy as np
@@ -267,15 +269,18 @@ class Encoder:
         return store.ids[np.cumsum(step, out=step)], borders.astype(np.int64)
 
 
-_ENCODERS: dict[tuple, Encoder] = {}
+def worker_cache() -> dict:
+    """What a worker process keeps from task to task.  The package reaches executors by value, so its own globals are new in
+    each task; a module made in the worker stays."""
+    return vars(sys.modules.setdefault("_rotorwatch_worker", types.ModuleType("_rotorwatch_worker"))).setdefault("cache", {})
 
 
 def _encoder(path: str, attach_space: bool, lower: bool) -> Encoder:
     """One per worker process and file: it stays from task to task."""
-    key = (path, attach_space, lower)
-    if key not in _ENCODERS:
-        _ENCODERS[key] = Encoder(*key)
-    return _ENCODERS[key]
+    cache, key = worker_cache(), (path, attach_space, lower)
+    if key not in cache:
+        cache[key] = Encoder(*key)
+    return cache[key]
 
 
 def word_encoder(path: str) -> Encoder:

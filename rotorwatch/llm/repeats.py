@@ -20,8 +20,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rotorwatch.llm import interleave
-from rotorwatch.llm.common import arrow_rows, kept
-from rotorwatch.llm.pretokens import flat, text_slices
+from rotorwatch.llm.common import arrow_rows, kept, tidy
+from rotorwatch.llm.pretokens import flat, text_slices, worker_cache
 
 LENGTH = 400
 ANCHOR = 64
@@ -31,16 +31,16 @@ CROWD = 8_192  # different pieces of an anchor beyond which strings are compared
 
 _BASE = 0x9E3779B97F4A7C15
 _VALUE = np.array([(k + 1) * 0xD6E8FEB86659FD93 * (2 * k + 3) % (1 << 64) for k in range(256)], np.uint64)
-_POWERS: list[np.ndarray] = []
 
 
 def _powers(n: int) -> list[np.ndarray]:
     """Powers of the base, and of its inverse modulo 2**64, up to the n-th at least."""
-    if not _POWERS or len(_POWERS[0]) <= n:
+    cache = worker_cache()
+    if len(cache.get("powers", [""])[0]) <= n:
         one = np.ones(1, np.uint64)
         size = max(n, PART + 2 * LENGTH) + 1
-        _POWERS[:] = [np.multiply.accumulate(np.concatenate([one, np.full(size, b, np.uint64)])) for b in (_BASE, pow(_BASE, -1, 1 << 64))]
-    return _POWERS
+        cache["powers"] = [np.multiply.accumulate(np.concatenate([one, np.full(size, b, np.uint64)])) for b in (_BASE, pow(_BASE, -1, 1 << 64))]
+    return cache["powers"]
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -118,7 +118,7 @@ def pieces(docs: DataFrame, doc_id: str, text: str, length: int, gram: int) -> D
                     yield pa.RecordBatch.from_arrays([*names, *cells], names=["id", "mark", "anchor", "whole", "first", "last", "at"])
 
     out = T.StructType([T.StructField("id", docs.schema[doc_id].dataType), T.StructField("mark", T.IntegerType()), *(T.StructField(c, T.LongType()) for c in ("anchor", "whole", "first", "last")), T.StructField("at", T.IntegerType())])
-    return arrow_rows(docs.select(*_ids(docs, doc_id, text)).where(F.octet_length("text") >= length), "id", "mark", "text").mapInArrow(work, out)
+    return arrow_rows(docs.select(*_ids(docs, doc_id, text)).where(F.octet_length("text") >= length), "id", "mark", "text").mapInArrow(tidy(work), out)
 
 
 def cut_out(docs: DataFrame, wanted: DataFrame, doc_id: str, text: str, length: int, crowd: int) -> DataFrame:
@@ -154,7 +154,7 @@ def cut_out(docs: DataFrame, wanted: DataFrame, doc_id: str, text: str, length:
                 yield pa.RecordBatch.from_arrays([pa.array(anchor[k]), pa.array(digest, pa.int64()), *names, pa.array([w[1] for w in where], pa.int64()), pa.array(single[k]), pa.array(piece, pa.binary())], names=out.names)
 
     shape = [T.StructField("anchor", T.LongType()), T.StructField("string", T.LongType()), T.StructField("id", docs.schema[doc_id].dataType), T.StructField("mark", T.IntegerType()), T.StructField("first", T.LongType()), T.StructField("single", T.BooleanType()), T.StructField("piece", T.BinaryType())]
-    return arrow_rows(rows, "id", "mark", "text", "_cuts").mapInArrow(work, T.StructType(shape))
+    return arrow_rows(rows, "id", "mark", "text", "_cuts").mapInArrow(tidy(work), T.StructType(shape))
 
 
 def merged(cut: DataFrame, length: int, shard: int, batch_bytes: int) -> DataFrame:
@@ -195,7 +195,7 @@ def merged(cut: DataFrame, length: int, shard: int, batch_bytes: int) -> DataFra
 
     out = T.StructType([*(f for f in cut.schema if f.name in ("id", "mark")), T.StructField("first", T.LongType()), T.StructField("last", T.LongType())])
     rows = cut.select("anchor", "id", "mark", "first", "single", "piece").repartition("anchor").sortWithinPartitions("anchor")
-    return arrow_rows(rows, "*").mapInArrow(work, out)
+    return arrow_rows(rows, "*").mapInArrow(tidy(work), out)
 
 
 def repeated_starts(docs: DataFrame, doc_id: str, text: str, length: int, gram: int, crowd: int, shard: int, batch: int) -> DataFrame:
@@ -260,4 +260,4 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 
     span = T.StructType([T.StructField("begin", T.LongType()), T.StructField("end", T.LongType())])
     out = T.StructType([docs.schema[doc_id], T.StructField("n_bytes", T.LongType()), T.StructField("spans", T.ArrayType(span)), T.StructField("kept", T.BinaryType())])
-    return arrow_rows(rows, F.col("id").alias(doc_id), "text", "_starts").mapInArrow(work, out)
+    return arrow_rows(rows, F.col("id").alias(doc_id), "text", "_starts").mapInArrow(tidy(work), out)

@@ -23,7 +23,7 @@ from pyspark.sql.window import Window
 
 from rotorwatch.config import scratch_path
 from rotorwatch.llm import pretokens
-from rotorwatch.llm.common import arrow_rows, kept
+from rotorwatch.llm.common import arrow_rows, kept, tidy
 
 BLOCK_TOKENS = 1 << 18
 
@@ -72,7 +72,7 @@ def token_ids(docs: DataFrame, path: str, end_id: int, doc_id: str = "doc_id", t
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, len(part)), pa.array(np.diff(borders).astype(np.int32)), cells], names=[doc_id, "n_tokens", "ids"])
 
     out = T.StructType([docs.schema[doc_id], T.StructField("n_tokens", T.IntegerType()), T.StructField("ids", T.BinaryType())])
-    return arrow_rows(docs, doc_id, text).mapInArrow(encode, out)
+    return arrow_rows(docs, doc_id, text).mapInArrow(tidy(encode), out)
 
 
 def id_counts(tokens: DataFrame, size: int) -> DataFrame:
@@ -86,7 +86,7 @@ def id_counts(tokens: DataFrame, size: int) -> DataFrame:
         some = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array(total[some])], names=["id", "n"])
 
-    return arrow_rows(tokens, "n_tokens", "ids").mapInArrow(count, "id int, n long").groupBy("id").agg(F.sum("n").alias("n"))
+    return arrow_rows(tokens, "n_tokens", "ids").mapInArrow(tidy(count), "id int, n long").groupBy("id").agg(F.sum("n").alias("n"))
 
 
 def _width(size: int, n: int) -> str:
@@ -143,7 +143,7 @@ def write_token_files(docs: DataFrame, path: str, end_id: int = 1, doc_id: str =
 
     out = T.StructType([T.StructField("part", T.IntegerType()), T.StructField("block", T.IntegerType()), T.StructField("ahead", T.LongType()), T.StructField("n_tokens", T.LongType()), T.StructField("doc_ids", T.ArrayType(docs.schema[doc_id].dataType)), T.StructField("lengths", T.ArrayType(T.IntegerType())), T.StructField("control", T.BinaryType()), T.StructField("data", T.BinaryType())])
     ordered = tokens.repartitionByRange(F.col(doc_id).asc_nulls_first(), "n_tokens", F.xxhash64("ids")).sortWithinPartitions(F.col(doc_id).asc_nulls_first(), "n_tokens", F.xxhash64("ids"), "ids")
-    ordered.mapInArrow(blocks, out).write.parquet(f"{folder}/blocks")
+    ordered.mapInArrow(tidy(blocks), out).write.parquet(f"{folder}/blocks")
     return TokenFiles(f"{folder}/blocks", f"{folder}/ranks", doc_id)
 
 
@@ -170,6 +170,6 @@ def read_token_files(spark: SparkSession, files: TokenFiles) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([batch.column(1)[k].values, pa.array(start + ends - lengths), pa.array(lengths.astype(np.int64)), cells], names=[files.doc_id, "start", "n_tokens", "ids"])
 
     out = T.StructType([T.StructField(files.doc_id, kind), T.StructField("start", T.LongType()), T.StructField("n_tokens", T.LongType()), T.StructField("ids", T.BinaryType())])
-    return joined.mapInArrow(decode, out)
+    return joined.mapInArrow(tidy(decode), out)
 
 

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rotorwatch.llm import pretokens
-from rotorwatch.llm.common import arrow_rows, kept
+from rotorwatch.llm.common import arrow_rows, kept, tidy
 
 GRAMS = (4, 5)
 ROWS = 1 << 16  # of the embedding table
@@ -185,4 +185,4 @@ def score(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "te
                 yield pa.RecordBatch.from_arrays([*(c.slice(first, len(part)) for c in batch.columns[: len(names)]), pa.array(values)], names=[*names, "score"])
 
     out = T.StructType([*(docs.schema[c] for c in names), T.StructField("score", T.DoubleType())])
-    return arrow_rows(docs, *columns).mapInArrow(work, out)
+    return arrow_rows(docs, *columns).mapInArrow(tidy(work), out)
