@@ -11,6 +11,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
+from llm_fixtures import make_docs, odd_rows  # noqa: F401
 from rotorwatch.llm import counts, packing, pretokens, tokenfiles
 from rotorwatch.llm.common import tokenizer_file
 
