@@ -28,7 +28,7 @@ CHUNK = 2_048  # vectors scanned at once
 DEGREE = 24  # neighbours of a centroid in the graph
 COPIES, COPY_RATIO = 4, 1.10  # lists a vector goes to, and how much farther than the first the others may be
 BEAM, PROBE_RATIO = 128, 1.25  # lists a query may visit, and how much farther than the nearest
-LEAST = 256  # a query goes on to farther lists until the lists hold so many vectors
+LEAST = 1_024  # a query goes on to farther lists until the lists hold so many vectors
 
 
 @dataclass(frozen=True)

@@ -25,7 +25,7 @@ ROWS = 1 << 16  # of the embedding table
 DIM = 8
 WINDOW, STEP = 16, 8  # words
 PER_CLASS = 2000  # toxic labelled texts that a model is fitted on, at most, and twice as many others
-SAMPLE_BYTES = 16_384  # a longer text is not used for fitting (it is scored whole all the same)
+SAMPLE_BYTES = 8_192  # a longer text is not used for fitting (it is scored whole all the same)
 ROUNDS = 80
 STRIDE = 60.0  # of the first step, for the n-gram that moves most
 _PRIME = np.uint64(0x9E3779B97F4A7C15)
