@@ -6,6 +6,7 @@ re-run with other thresholds without code changes.
 
 from __future__ import annotations
 
+import datetime as dt
 import os
 import uuid
 from dataclasses import dataclass
@@ -23,6 +24,17 @@ REQUIRED_FIELDS = ("machine_id", "event_time", "temperature", "vibration", "rpm"
 CONTENT_TYPE = "application/json"
 
 
+def duration(text: str) -> dt.timedelta:
+    """A duration with its unit, as Spark's intervals take it: ``5 seconds``, ``1 minute 30 seconds``."""
+    parts = text.lower().split()
+    if not parts or len(parts) % 2:
+        raise ValueError(f"duration {text!r} must be pairs of a number and a unit")
+    units = {parts[k + 1].rstrip("s") + "s": float(parts[k]) for k in range(0, len(parts), 2)}
+    if set(units) - {"microseconds", "milliseconds", "seconds", "minutes", "hours", "days", "weeks"}:
+        raise ValueError(f"duration {text!r}: unknown unit")
+    return dt.timedelta(**units)
+
+
 @dataclass(frozen=True)
 class Settings:
     """Parameters of the telemetry engine (defaults = reference behaviour)."""
@@ -39,15 +51,17 @@ class Settings:
     # late readings: "drop" (watermark) or "adjust" (device time that lags its
     # arrival by more than the tolerance is moved up to arrival - tolerance)
     late_policy: str = "drop"
+    # a stream takes no reading whose time is further ahead of its arrival:
+    # one device clock must not close every machine's windows
+    max_ahead: str = "5 minutes"
     gated: bool = True  # daily metrics skip rows that fail validation
     tie_breaker: tuple[str, ...] = ("event_id",)
     # documented-only detectors
     roc_limit: float = 1.0
     zscore_window: int = 30
     zscore_k: float = 3.0
-    # per-key sequence work is split into consecutive time buckets, sized per
-    # machine to hold about this many readings, so one busy machine never
-    # lands in a single task and sparse machines do not make tiny buckets
+    # per-key sequence work is split into slices of at most this many
+    # consecutive readings, so a busy machine never lands in a single task
     sequence_bucket_rows: int = 10_000
 
 
@@ -100,28 +114,46 @@ def build_session(app: str = "rotorwatch", cores: int | str = "*", shuffle_parti
 def shared_dir(spark: SparkSession) -> str:
     """Shared folder for written tables and checkpoints.
 
-    On a cluster this is ``spark.checkpoint.dir`` (a shared file system).  Only
-    when the session has none (local tests) is a local folder chosen and set.
+    On a cluster this is ``spark.checkpoint.dir``, or the checkpoint folder
+    set at run time (a shared file system either way).  Only a local master
+    may go without: it then gets a local folder (tests).
     """
     try:
         sc = spark.sparkContext
     except Exception:  # Spark Connect: no SparkContext, the server brings its settings
         sc = None
-    root = (sc.getConf().get("spark.checkpoint.dir", None) if sc else spark.conf.get("spark.checkpoint.dir", None)) \
-        or spark.conf.get(_LOCAL_KEY, None)
+    if sc is None:
+        root = spark.conf.get("spark.checkpoint.dir", None)
+        if not root:
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+        return root.rstrip("/")
+    root = sc.getConf().get("spark.checkpoint.dir", None) or spark.conf.get(_LOCAL_KEY, None) or _set_at_run_time(sc)
     if not root:
-        # tests / local runs only: no shared folder configured
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError(f"master {sc.master}: spark.checkpoint.dir must name a folder that driver and executors share")
         root = os.environ.get("ROTORWATCH_SCRATCH") or os.path.join("/tmp", "rotorwatch-" + uuid.uuid4().hex[:8])
         os.makedirs(root, exist_ok=True)
         spark.conf.set(_LOCAL_KEY, root)
-    if sc is not None and sc.getCheckpointDir() is None:
+    if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(root)
     return root.rstrip("/")
 
 
+def _set_at_run_time(sc) -> str | None:
+    """The folder handed to ``setCheckpointDir``: Spark adds a folder of its own to it."""
+    path = sc.getCheckpointDir()
+    return path.rstrip("/").rpartition("/")[0] if path else None
+
+
 _LOCAL_KEY = "rotorwatch.local.shared.dir"
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique sub-folder of the shared folder for one job run."""
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def drop_path(spark: SparkSession, path: str) -> None:
+    """Free a scratch table once nothing reads it any more."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(target, True)

@@ -3,12 +3,11 @@ from rotorwatch.functions.columns import (  # noqa: F401
     alert_id,
     alert_reason,
     any_null,
-    exact_avg,
-    exact_sum,
+    finite_or_null,
     first_present,
     fixed_decimals,
     health_status,
-    nan_to_null,
+    mean,
     reading_anomaly,
     safe_timestamp,
     shifted_event_time,

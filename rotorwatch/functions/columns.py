@@ -29,10 +29,11 @@ def safe_timestamp(text: str | Column) -> Column:
     return F.try_to_timestamp(col(text))
 
 
-def nan_to_null(c: str | Column) -> Column:
-    """Spark keeps NaN distinct from null and ``NaN > x`` is true: map it to null."""
+def finite_or_null(c: str | Column) -> Column:
+    """A measurement that is NaN or infinite counts as missing: ``NaN > x`` is true in Spark, and one infinite value would make
+    an average infinite or NaN."""
     c = col(c)
-    return F.when(F.isnan(c), F.lit(None)).otherwise(c)
+    return F.when(F.isnan(c) | (F.abs(c) == F.lit(float("inf"))), F.lit(None)).otherwise(c)
 
 
 def adjusted_time(event_time: str | Column, arrival: str | Column, tolerance: str) -> Column:
@@ -48,14 +49,10 @@ def shifted_event_time(ts: str | Column = "event_time") -> Column:
     return col(ts) - F.expr("INTERVAL '0.000001' SECOND")
 
 
-def exact_sum(c: str | Column, scale: int = 4) -> Column:
-    """Sum in fixed-point decimal: order-independent, so every engine agrees bit for bit."""
-    return F.sum(col(c).cast(f"decimal(18,{scale})"))
-
-
-def exact_avg(c: str | Column, scale: int = 4) -> Column:
-    """Average of non-null values through an exact decimal sum (null when none)."""
-    return F.try_divide(exact_sum(c, scale).cast("double"), F.count(col(c)))
+def mean(c: str | Column) -> Column:
+    """Average of non-null values in double precision (null when none): no digit of the input is dropped, and no finite value
+    is refused.  Summation order may move the last bits; queries round where they are compared."""
+    return F.avg(col(c))
 
 
 def health_status(max_vibration: str | Column, max_temp: str | Column,
@@ -73,9 +70,8 @@ def reading_anomaly(temperature: str | Column, vibration: str | Column,
 
 
 def fixed_decimals(c: str | Column, digits: int, missing: str = "nan") -> Column:
-    """Number as text with ``digits`` decimals, rounded half-up on the decimal value."""
-    rounded = F.round(col(c).cast("decimal(18,6)"), digits).cast(f"decimal(18,{digits})")
-    return F.coalesce(rounded.cast("string"), F.lit(missing))
+    """Number of any size as text with ``digits`` decimals, rounded half-up on the decimal value."""
+    return F.when(col(c).isNotNull(), F.format_string(f"%.{digits}f", col(c))).otherwise(F.lit(missing))
 
 
 def alert_reason(max_vibration: str | Column, max_temp: str | Column) -> Column:

@@ -3,25 +3,25 @@ design notes but implements none; the definitions below are ours."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rotorwatch.config import DEFAULT, Settings
-from rotorwatch.operators.joins import small_side
-from rotorwatch.operators.sequence import BUCKET, CARRY, density_buckets, frame, with_preceding
+from rotorwatch.operators.joins import measured
+from rotorwatch.operators.sequence import CARRY, rank_buckets, frame, with_preceding
 
 KEYS = ["machine_id"]
 ORDER = ["event_time", "event_id"]
 
 
 def _vibration_series(readings: DataFrame, cfg: Settings) -> DataFrame:
-    """Readings with machine, time and vibration, in per-machine time buckets
-    of about ``sequence_bucket_rows`` readings (``_time_bucket``)."""
+    """Readings with machine, time and vibration, in buckets of consecutive
+    readings, ``sequence_bucket_rows`` of them at most (``_rank_bucket``)."""
     series = (readings
               .filter(F.col("machine_id").isNotNull() & F.col("event_time").isNotNull()
                       & F.col("vibration").isNotNull())
               .select("machine_id", "event_time", "event_id", "vibration"))
-    return density_buckets(series, KEYS, "event_time", cfg.sequence_bucket_rows, out="_time_bucket")
+    return rank_buckets(series, KEYS, ORDER, cfg.sequence_bucket_rows)
 
 
 def rate_of_change(readings: DataFrame, cfg: Settings = DEFAULT) -> DataFrame:
@@ -30,7 +30,7 @@ def rate_of_change(readings: DataFrame, cfg: Settings = DEFAULT) -> DataFrame:
 
     Reports delta and delta per second; a zero time step is not scored.
     """
-    framed = with_preceding(_vibration_series(readings, cfg), KEYS, ORDER, "_time_bucket", 1)
+    framed = with_preceding(_vibration_series(readings, cfg), KEYS, ORDER, "_rank_bucket", 1)
     w = frame(KEYS, ORDER)
     prev_v = F.lag("vibration").over(w)
     prev_t = F.lag("event_time").over(w)
@@ -52,63 +52,39 @@ def zscore_anomaly(readings: DataFrame, cfg: Settings = DEFAULT) -> DataFrame:
     preceding readings above ``zscore_k``; only with a full window and a
     positive spread.
 
-    The frame sums are differences of running sums in exact decimals: the
-    same values a sliding frame would give, independent of summation order,
-    at constant cost per row (a sliding ROWS frame re-aggregates its whole
-    buffer for every row).
+    The frame is a sliding one in double precision: mean and spread are merged
+    stably, so no digit is dropped, no finite value overflows a decimal, and
+    large values with a small spread do not cancel, as differences of running
+    sums would.
     """
     n = cfg.zscore_window
-    framed = with_preceding(_vibration_series(readings, cfg), KEYS, ORDER, "_time_bucket", n)
-    w = frame(KEYS, ORDER)
-    running = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    x = F.col("vibration").cast("decimal(18,4)")
-    xx = (x * x).cast("decimal(18,8)")  # exact: 4 decimals squared
-    prefix = framed.select(
-        "machine_id", "event_time", "event_id", "vibration", BUCKET, CARRY,
-        F.row_number().over(w).alias("_i"),
-        F.sum(x).over(running).alias("_p1"),
-        F.sum(xx).over(running).alias("_p2"),
-    )
-
-    def preceding_sum(p: str):
-        # sum over rows i-n .. i-1 = P(i-1) - P(i-n-1)
-        return F.lag(p, 1).over(w) - F.coalesce(F.lag(p, n + 1).over(w), F.lit(0))
-
-    stats = prefix.select(
-        "machine_id", "event_time", "event_id", "vibration", CARRY,
-        F.least(F.col("_i") - 1, F.lit(n)).alias("_n"),  # the series has no null vibration
-        preceding_sum("_p1").alias("_s1"),
-        preceding_sum("_p2").alias("_s2"),
-    ).filter(~F.col(CARRY) & (F.col("_n") == n))
-    s1 = F.col("_s1").cast("double")
-    s2 = F.col("_s2").cast("double")
-    mean = s1 / n
-    var = (s2 * n - s1 * s1) / (n * (n - 1))
-    scored = stats.select("machine_id", "event_time", "event_id", "vibration",
-                          mean.alias("mean_vibration"), var.alias("_var"))
-    sd = F.sqrt("_var")
-    z = F.abs(F.col("vibration") - F.col("mean_vibration")) / sd
-    return (scored.filter(F.col("_var") > 0)
-            .select("machine_id", "event_time", "event_id", "vibration", "mean_vibration",
-                    sd.alias("std_vibration"), z.alias("zscore"))
+    framed = with_preceding(_vibration_series(readings, cfg), KEYS, ORDER, "_rank_bucket", n)
+    before = frame(KEYS, ORDER).rowsBetween(-n, -1)
+    scored = framed.select("machine_id", "event_time", "event_id", "vibration", CARRY,
+                           F.count("vibration").over(before).alias("_n"),
+                           F.avg("vibration").over(before).alias("mean_vibration"),
+                           F.stddev_samp("vibration").over(before).alias("std_vibration"))
+    z = F.abs(F.col("vibration") - F.col("mean_vibration")) / F.col("std_vibration")
+    return (scored.filter(~F.col(CARRY) & (F.col("_n") == n) & (F.col("std_vibration") > 0))
+            .select("machine_id", "event_time", "event_id", "vibration", "mean_vibration", "std_vibration",
+                    z.alias("zscore"))
             .filter(F.col("zscore") > F.lit(cfg.zscore_k)))
 
 
 def apply_thresholds(readings: DataFrame, machines: DataFrame, thresholds: DataFrame,
-                     default_vib: float, default_temp: float,
-                     machines_broadcast: str = "runtime", thresholds_broadcast: str = "checked") -> DataFrame:
+                     default_vib: float, default_temp: float) -> DataFrame:
     """Anomaly flag with limits per machine type.
 
     ``machines`` maps machine_id -> machine_type; ``thresholds`` maps
     machine_type -> (vib_limit, temp_limit).  Machines without a type, or a
-    type without limits, use the default limits.  Both dimensions are
-    broadcast only after a size check (see ``joins.small_side``).
+    type without limits, use the default limits.  The limits are joined to the
+    machines first, and the one dimension that results is broadcast by its
+    measured size (see ``joins.measured``).
     """
-    limits = (readings
-              .join(small_side(machines.select("machine_id", "machine_type"), machines_broadcast),
-                    "machine_id", "left")
-              .join(small_side(thresholds.select("machine_type", "vib_limit", "temp_limit"), thresholds_broadcast),
-                    "machine_type", "left"))
+    typed = (machines.select("machine_id", "machine_type")
+             .join(thresholds.select("machine_type", "vib_limit", "temp_limit"), "machine_type", "left"))
+    limits = readings.join(measured(typed.select("machine_id", "machine_type", "vib_limit", "temp_limit")),
+                           "machine_id", "left")
     vib = F.coalesce(F.col("vib_limit"), F.lit(default_vib))
     temp = F.coalesce(F.col("temp_limit"), F.lit(default_temp))
     anomalous = (F.coalesce(F.col("temperature") > temp, F.lit(False))

@@ -6,20 +6,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rotorwatch.config import CONTENT_TYPE, DEFAULT, Settings
-from rotorwatch.functions import adjusted_time, first_present, nan_to_null, safe_timestamp
-from rotorwatch.operators.joins import small_side
+from rotorwatch.functions import adjusted_time, first_present, finite_or_null, safe_timestamp
+from rotorwatch.operators.joins import measured
 from rotorwatch.schemas import BODY, CORRUPT_COLUMN, ENVELOPE_WITH_CORRUPT, READING_COLUMNS
 
 JSON_OPTIONS = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT_COLUMN, "allowNonNumericNumbers": "true"}
 
 
-def envelope_to_reading(env: DataFrame, cfg: Settings = DEFAULT, keep: tuple[str, ...] = ()) -> DataFrame:
+def envelope_to_reading(env: DataFrame, cfg: Settings = DEFAULT, keep: tuple[str, ...] = (), arrival: bool = False) -> DataFrame:
     """Envelope columns (device_id, enqueued_time, body.*) to reading columns.
 
     machine_id and the time text fall back to the envelope when the payload's
     value is missing or empty; time text that does not parse becomes null.
     With ``late_policy="adjust"`` the time is moved up to enqueue time minus
-    the tolerance when it lags further behind.
+    the tolerance when it lags further behind.  ``arrival`` adds ``arrived_at``.
     """
     if cfg.time_source == "enqueued":
         time_text = F.col("enqueued_time")
@@ -35,10 +35,11 @@ def envelope_to_reading(env: DataFrame, cfg: Settings = DEFAULT, keep: tuple[str
     return env.select(
         first_present("body.machine_id", "device_id").alias("machine_id"),
         event_time.alias("event_time"),
-        nan_to_null("body.temperature").alias("temperature"),
-        nan_to_null("body.vibration").alias("vibration"),
-        nan_to_null("body.rpm").alias("rpm"),
+        finite_or_null("body.temperature").alias("temperature"),
+        finite_or_null("body.vibration").alias("vibration"),
+        finite_or_null("body.rpm").alias("rpm"),
         F.col("body.status").alias("status"),
+        *([safe_timestamp("enqueued_time").alias("arrived_at")] if arrival else []),
         *keep,
     )
 
@@ -64,13 +65,13 @@ def decode_lines(lines: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
 
 
 def parse_envelopes(lines: DataFrame, cfg: Settings = DEFAULT,
-                    keep: tuple[str, ...] = ()) -> tuple[DataFrame, DataFrame]:
+                    keep: tuple[str, ...] = (), arrival: bool = False) -> tuple[DataFrame, DataFrame]:
     """Message lines -> (readings, corrupt lines).  Nothing is dropped silently:
     every non-blank line is in exactly one of the two outputs."""
     decoded = decode_lines(lines, keep)
     corrupt = decoded.filter(F.col(CORRUPT_COLUMN).isNotNull()).select(*keep, F.col(CORRUPT_COLUMN).alias("value"))
     good = decoded.filter(F.col(CORRUPT_COLUMN).isNull())
-    return envelope_to_reading(good, cfg, keep), corrupt
+    return envelope_to_reading(good, cfg, keep, arrival), corrupt
 
 
 def reading_payload(readings: DataFrame) -> DataFrame:
@@ -93,13 +94,11 @@ def encode_envelopes(env: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     return env.select(*keep, F.to_json(msg).alias("value"))
 
 
-def split_registered(readings: DataFrame, devices: DataFrame, key: str = "machine_id",
-                     broadcast: str = "runtime") -> tuple[DataFrame, DataFrame]:
+def split_registered(readings: DataFrame, devices: DataFrame, key: str = "machine_id") -> tuple[DataFrame, DataFrame]:
     """(accepted, rejected): readings whose device is / is not registered.
 
-    ``devices`` has ``device_id`` and ``registered``; it is broadcast only
-    after a size check (see ``joins.small_side``).
+    ``devices`` has ``device_id`` and ``registered``; it is broadcast by its
+    measured size (see ``joins.measured``).
     """
-    known = devices.filter(F.col("registered")).select(F.col("device_id").alias(key)).distinct()
-    known = small_side(known, broadcast)
+    known = measured(devices.filter(F.col("registered")).select(F.col("device_id").alias(key)).distinct())
     return readings.join(known, key, "left_semi"), readings.join(known, key, "left_anti")

@@ -1,38 +1,23 @@
-"""Join helpers: broadcast only behind a size check."""
+"""Join helpers: small sides are broadcast by their measured size."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-# A dimension up to this many rows may be broadcast (a few tens of MB).
-BROADCAST_MAX_ROWS = 1_000_000
+from rotorwatch.config import scratch_path
 
 
-def small_side(dim: DataFrame, how: str = "runtime", max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Prepare a dimension for a join.
+def measured(dim: DataFrame) -> DataFrame:
+    """``dim`` as a written table.
 
-    ``how="runtime"`` (default) adds no hint: the join is planned as a
-    shuffle join and AQE switches it to a broadcast only when the measured
-    size of the finished dimension stage is under
-    ``spark.sql.adaptive.autoBroadcastJoinThreshold`` - no extra job, and
-    right for dimensions derived from large data.  ``how="checked"`` counts
-    up to ``max_rows + 1`` rows first and hints a broadcast when under the
-    bound - for stored or literal dimensions that are cheap to count.
+    Spark then plans with the table's size in bytes: a dimension under
+    ``spark.sql.autoBroadcastJoinThreshold`` is broadcast from the start, and
+    the large side is never shuffled; a larger one is joined by a shuffle that
+    AQE splits where it is skewed.  Left as a plan, a dimension that is derived
+    from large data has no size before it runs, and the large side would be
+    shuffled before AQE could tell.
     """
-    if how == "runtime":
-        return dim
-    if how == "checked":
-        return broadcast_if_small(dim, max_rows)
-    raise ValueError(f"how must be 'runtime' or 'checked', not {how!r}")
-
-
-def broadcast_if_small(dim: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Mark ``dim`` for broadcast only when it has at most ``max_rows`` rows.
-
-    The check reads at most ``max_rows + 1`` rows.  Above the bound the
-    dimension stays a normal shuffle (sort-merge) join side, and AQE may still
-    pick a broadcast at run time from measured sizes.
-    """
-    n = dim.limit(max_rows + 1).count()
-    return F.broadcast(dim) if n <= max_rows else dim
+    spark = dim.sparkSession
+    path = scratch_path(spark, "dimension")
+    dim.write.parquet(path)
+    return spark.read.schema(dim.schema).parquet(path)

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from rotorwatch.config import DEFAULT, Settings
-from rotorwatch.functions import exact_avg, reading_anomaly
+from rotorwatch.functions import mean, reading_anomaly
 from rotorwatch.operators.quality import split_valid
 
 
@@ -37,8 +37,8 @@ def daily_metrics(deduped: DataFrame, cfg: Settings = DEFAULT) -> DataFrame:
            .groupBy("machine_id", F.to_date("event_time").alias("date"))
            .agg(F.count(F.lit(1)).alias("total_readings"),
                 F.count_if(anomaly).alias("anomaly_count"),
-                exact_avg("temperature").alias("avg_daily_temp"),
-                exact_avg("vibration").alias("avg_daily_vibration")))
+                mean("temperature").alias("avg_daily_temp"),
+                mean("vibration").alias("avg_daily_vibration")))
     return agg.withColumn("uptime_score", 1 - F.col("anomaly_count") / F.col("total_readings"))
 
 

@@ -7,12 +7,14 @@ receives copies of the ``n`` rows that precede it in key order (they may come
 from several earlier buckets).  Row frames of up to ``n`` preceding rows then
 give exactly the result of the per-key window.
 
-Buckets are consecutive time ranges per key.  :func:`density_buckets` sizes
-them per key from the key's own density, so a busy key is cut into many
-buckets and a sparse key into few, each holding about the same number of rows.
-
-Only one full shuffle of the rows happens (into (key, bucket) for the final
-frame).  The copies come from the last ``n`` rows of every bucket, which a
+Buckets are cut by rank (:func:`rank_buckets`): rows are range-partitioned by
+(key, order) from sampled splitters, sorted, and cut into slices of a fixed
+number of rows.  How the rows spread over time does not matter: a burst, or one
+row with a wild clock, leaves every bucket at or under that number.
+
+The sorted rows are written once, and all further steps read that table.  One
+more shuffle brings them into (key, bucket) for the final frame, together with
+the copies.  The copies come from the last ``n`` rows of every bucket, which a
 partial WindowGroupLimit trims on the map side, and from a per-bucket count
 table (one row per key and bucket).  Each bucket joins the tails of exactly
 the preceding buckets that hold its ``n`` predecessors, so at most about
@@ -24,42 +26,28 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from rotorwatch.config import shared_dir
-from rotorwatch.operators.joins import broadcast_if_small
+from rotorwatch.config import scratch_path, shared_dir
 
 BUCKET = "_bucket"
 CARRY = "_carry"
 
 
-# The per-bucket count table is ordered per key in one task; a key this many
-# buckets long gets wider buckets instead of more of them.
-MAX_BUCKETS_PER_KEY = 1_000_000
-
-
-def density_buckets(df: DataFrame, keys: list[str], time_col: str, rows_per_bucket: int,
-                    out: str = "_density_bucket", max_buckets: int = MAX_BUCKETS_PER_KEY) -> DataFrame:
-    """Add ``out``: bucket number of the row within its key.
-
-    Per key, the time range is cut into equal-width buckets whose width makes
-    the key's average bucket hold ``rows_per_bucket`` rows (more for a key so
-    large that it would need over ``max_buckets`` buckets).  Bucket numbers
-    increase with ``time_col``.  The per-key width table has one row per key;
-    it is broadcast only when its row count is under the checked bound, else
-    it is a shuffle join (AQE splits a skewed key there).
-    """
+def rank_buckets(df: DataFrame, keys: list[str], order: list[str], rows_per_bucket: int,
+                 out: str = "_rank_bucket") -> DataFrame:
+    """``df`` as a written table sorted by (keys, order), with ``out``: a bucket
+    number that rises with that order and is shared by at most
+    ``rows_per_bucket`` rows."""
     if rows_per_bucket < 1:
         raise ValueError("rows_per_bucket must be >= 1")
-    shared_dir(df.sparkSession)
-    us = F.unix_micros(F.col(time_col))
-    # width = ceil(time range / bucket count), so the last bucket number is below the count
-    buckets = f"least(_kn div {int(rows_per_bucket)} + 1, {int(max_buckets)})"
-    widths = (df.groupBy(*keys)
-              .agg(F.count(F.lit(1)).alias("_kn"), F.min(us).alias("_k0"), F.max(us).alias("_k1"))
-              .select(*keys, "_k0", F.expr(f"(_k1 - _k0 + {buckets}) div {buckets}").alias("_kw"))
-              .checkpoint(eager=True))
-    return (df.join(broadcast_if_small(widths), keys)
-            .withColumn(out, F.expr(f"(unix_micros(`{time_col}`) - _k0) div _kw"))
-            .drop("_k0", "_kw"))
+    # part number and place in the part, as monotonically_increasing_id packs them
+    place, part = F.col("_place").bitwiseAND(F.lit((1 << 33) - 1)), F.shiftright("_place", 33)
+    rows = (df.repartitionByRange(*keys, *order).sortWithinPartitions(*keys, *order)
+            .withColumn("_place", F.monotonically_increasing_id())
+            .withColumn(out, F.shiftleft(part, 33) + F.floor(place / F.lit(rows_per_bucket)).cast("long"))
+            .drop("_place"))
+    path = scratch_path(df.sparkSession, "rank-buckets")
+    rows.write.parquet(path)
+    return df.sparkSession.read.schema(rows.schema).parquet(path)
 
 
 def _buckets_needed(counts: Column, n: int) -> Column:

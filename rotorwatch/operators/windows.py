@@ -11,8 +11,8 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rotorwatch.config import DEFAULT, Settings
-from rotorwatch.functions import exact_avg, health_status, shifted_event_time
+from rotorwatch.config import DEFAULT, Settings, duration
+from rotorwatch.functions import mean, health_status, shifted_event_time
 
 WINDOW_TIME = "_wt"
 
@@ -37,9 +37,9 @@ def aggregate_windows(readings_wt: DataFrame, cfg: Settings = DEFAULT) -> DataFr
     """
     agg = (readings_wt
            .groupBy("machine_id", F.window(WINDOW_TIME, cfg.window).alias("w"))
-           .agg(exact_avg("temperature").alias("avg_temp"),
+           .agg(mean("temperature").alias("avg_temp"),
                 F.max("temperature").alias("max_temp"),
-                exact_avg("vibration").alias("avg_vibration"),
+                mean("vibration").alias("avg_vibration"),
                 F.max("vibration").alias("max_vibration")))
     return agg.select(
         "machine_id",
@@ -56,13 +56,9 @@ def window_status(readings: DataFrame, cfg: Settings = DEFAULT) -> DataFrame:
 
 
 def _window_floor(ts: dt.datetime, cfg: Settings) -> dt.datetime:
-    minutes = int(cfg.window.split()[0]) if cfg.window.split()[1].startswith("minute") else None
-    if minutes is None:
-        raise ValueError(f"window {cfg.window!r}: only minute windows can be pre-filtered")
     epoch = dt.datetime(1970, 1, 1, tzinfo=dt.timezone.utc)
-    step = dt.timedelta(minutes=minutes)
-    aware = ts if ts.tzinfo else ts.replace(tzinfo=dt.timezone.utc)
-    return epoch + ((aware - epoch) // step) * step
+    step = duration(cfg.window)
+    return epoch + ((ts - epoch) // step) * step
 
 
 def closed_windows(readings: DataFrame, as_of: dt.datetime, cfg: Settings = DEFAULT) -> DataFrame:
@@ -71,9 +67,8 @@ def closed_windows(readings: DataFrame, as_of: dt.datetime, cfg: Settings = DEFA
     ``window_end <= cutoff`` is the same as ``event_time <= floor(cutoff)``, so
     readings of still-open windows are dropped before the shuffle.
     """
-    seconds = int(cfg.tolerance.split()[0])
     aware = as_of if as_of.tzinfo else as_of.replace(tzinfo=dt.timezone.utc)
-    cutoff = aware - dt.timedelta(seconds=seconds)
+    cutoff = aware - duration(cfg.tolerance)
     last_edge = _window_floor(cutoff, cfg)
     early = readings.filter(F.col("event_time") <= F.lit(last_edge))
     return window_status(early, cfg).filter(F.col("window_end") <= F.lit(cutoff))

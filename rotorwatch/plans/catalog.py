@@ -148,6 +148,31 @@ def q_alert_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return zone_free(reports.alert_feed(hot_path.read_alerts(spark, root)).drop("alert_id"))
 
 
+@register("alert_lifecycle_incremental")
+def q_alert_lifecycle_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The windows in three batches by time, the last one given twice: the alerts of the whole history."""
+    root = scratch_path(spark, "hot")
+    status = _status(spark, sf_dir)
+    cuts = [dt.datetime(2024, 1, 1, 8, tzinfo=dt.timezone.utc), dt.datetime(2024, 1, 2, tzinfo=dt.timezone.utc)]
+    end = F.col("window_end")
+    parts = [end <= F.lit(cuts[0]), (end > F.lit(cuts[0])) & (end <= F.lit(cuts[1])), end > F.lit(cuts[1])]
+    for part in (*parts, parts[-1]):
+        hot_path.write_batch(spark, status.filter(part), root)
+    return zone_free(hot_path.read_alerts(spark, root).drop("alert_id"))
+
+
+@register("raw_mixed_writers")
+def q_raw_mixed_writers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One raw zone, landed by a stream (odd events) and by a batch (even ones): rows per partition."""
+    root = scratch_path(spark, "mixed")
+    lines = _lines(spark, sf_dir)
+    lines.filter("event_id % 2 = 1").select("value").write.text(f"{root}/landing")
+    for q in streaming.start_raw_sink(streaming.message_stream(spark, f"{root}/landing"), f"{root}/raw", f"{root}/corrupt", f"{root}/ckpt"):
+        q.awaitTermination()
+    write_raw(telemetry_readings(spark, sf_dir).filter("event_id % 2 = 0"), f"{root}/raw")
+    return reports.partition_counts(read_raw(spark, f"{root}/raw"))
+
+
 @register("status_feed")
 def q_status_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch_path(spark, "hot")
@@ -189,12 +214,12 @@ def q_dedup_latest_per_minute(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("daily_reliability")
 def q_daily_reliability(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reliability.daily_reliability(telemetry_readings(spark, sf_dir), gated=False)
+    return zone_free(reliability.daily_reliability(telemetry_readings(spark, sf_dir), gated=False))
 
 
 @register("daily_reliability_gated")
 def q_daily_reliability_gated(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reliability.daily_reliability(telemetry_readings(spark, sf_dir), gated=True)
+    return zone_free(reliability.daily_reliability(telemetry_readings(spark, sf_dir), gated=True))
 
 
 # Fixed backfill day of the upsert query.
@@ -211,13 +236,23 @@ def q_gold_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
            ["machine_id", "date"], "date", GOLD)
     for _ in range(2):
         nightly.backfill(spark, raw, gold, BACKFILL_DAY, BACKFILL_DAY, Settings(gated=True))
-    return read_table(spark, gold, GOLD)
+    return zone_free(read_table(spark, gold, GOLD))
 
 
 @register("uptime_trend_pivot")
 def q_uptime_trend_pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
     gold = reliability.daily_reliability(telemetry_readings(spark, sf_dir), gated=True)
-    return reports.uptime_pivot(gold, [f"machine-0{n}" for n in range(1, 7)])
+    return reports.uptime_pivot(gold)
+
+
+@register("uptime_trend")
+def q_uptime_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reports.uptime_trend(reliability.daily_reliability(telemetry_readings(spark, sf_dir), gated=True))
+
+
+@register("gold_display")
+def q_gold_display(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return zone_free(reports.gold_display(reliability.daily_reliability(telemetry_readings(spark, sf_dir), gated=True)))
 
 
 # ---------------------------------------------------------------- documented-only detectors
@@ -311,12 +346,6 @@ def _nightly_twice(spark: SparkSession, sf_dir: str) -> str:
     return root
 
 
-@register("run_log")
-def q_run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Both run records as written (start times are wall-clock: rows-only check)."""
-    return zone_free(read_table(spark, f"{_nightly_twice(spark, sf_dir)}/runs", RUN_LOG))
-
-
 @register("nightly_counts")
 def q_nightly_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The deterministic part of the run log: status and row counts per run."""
@@ -324,6 +353,27 @@ def q_nightly_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return runs.select("status", "rows_validated", "rows_quarantined")
 
 
+@register("nightly_clean")
+def q_nightly_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Gold after a nightly run over a raw zone without a single bad row."""
+    root = scratch_path(spark, "nightly")
+    write_raw(quality.split_valid(telemetry_readings(spark, sf_dir))[0], f"{root}/raw")
+    nightly.run_nightly(spark, f"{root}/raw", f"{root}/gold", f"{root}/quarantine", f"{root}/runs")
+    return zone_free(read_table(spark, f"{root}/gold", GOLD))
+
+
+@register("nightly_missing_columns")
+def q_nightly_missing_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the nightly run reports about files that lack columns: those of one landing have no rpm."""
+    root = scratch_path(spark, "nightly")
+    readings = telemetry_readings(spark, sf_dir)
+    write_raw(readings.filter("event_id % 3 = 0").drop("rpm"), f"{root}/raw")
+    write_raw(readings.filter("event_id % 3 <> 0"), f"{root}/raw")
+    nightly.run_nightly(spark, f"{root}/raw", f"{root}/gold", f"{root}/quarantine", f"{root}/runs")
+    report = spark.read.parquet(nightly.report_path(f"{root}/quarantine"))
+    return report.filter("missing_columns LIKE '%rpm%'").agg(F.sum("rows").alias("rows"), F.sum("rows_quarantined").alias("rows_quarantined"))
+
+
 @register("nightly_quarantine")
 def q_nightly_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quarantined rows landed by the nightly run, per UTC date."""

@@ -7,8 +7,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+AVERAGED = ("avg_temp", "avg_vibration", "avg_daily_temp", "avg_daily_vibration", "mean_vibration", "std_vibration", "zscore")
+
+
 def zone_free(df: DataFrame) -> DataFrame:
-    """UTC timestamps as TIMESTAMP_NTZ (zone-free, wall clock in UTC)."""
-    cols = [F.col(f.name).cast("timestamp_ntz").alias(f.name) if isinstance(f.dataType, T.TimestampType)
-            else F.col(f"`{f.name}`") for f in df.schema.fields]
-    return df.select(*cols)
+    """UTC timestamps as TIMESTAMP_NTZ (zone-free, wall clock in UTC), and
+    averages rounded to six decimals, as their last bits depend on the order
+    of summation.  Operators and tables keep every digit."""
+    def edge(f: T.StructField):
+        if isinstance(f.dataType, T.TimestampType):
+            return F.col(f.name).cast("timestamp_ntz").alias(f.name)
+        return F.round(f.name, 6).alias(f.name) if f.name in AVERAGED else F.col(f"`{f.name}`")
+    return df.select(*map(edge, df.schema.fields))

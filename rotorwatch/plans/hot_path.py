@@ -10,12 +10,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rotorwatch.operators.alerts import alert_lifecycle
+from rotorwatch.config import drop_path, scratch_path
+from rotorwatch.operators.alerts import alert_changes
 from rotorwatch.schemas import ALERT, STATUS
-from rotorwatch.sinks.tables import upsert, write_status_batch
+from rotorwatch.sinks.tables import upsert
 from rotorwatch.sources.raw import read_table
 
-ALERT_TABLE = T.StructType(ALERT.fields + [T.StructField("date", T.DateType())])
+ALERT_TABLE = T.StructType(ALERT.fields + [T.StructField("resolved_at", T.TimestampType()), T.StructField("date", T.DateType())])
+STATUS_TABLE = T.StructType(STATUS.fields + [T.StructField("date", T.DateType())])
 
 
 def status_path(root: str) -> str:
@@ -27,26 +29,38 @@ def alerts_path(root: str) -> str:
 
 
 def upsert_alerts(spark: SparkSession, alerts: DataFrame, root: str) -> int:
-    """Insert new alerts and update resolved flags, keyed by alert_id and
-    partitioned by the UTC date the alert was triggered."""
-    rows = alerts.select(*ALERT.fieldNames(), F.to_date("triggered_at").alias("date"))
-    return upsert(spark, alerts_path(root), rows, ["alert_id"], "date", ALERT_TABLE)
+    """Insert new alerts and update resolved flags, keyed by machine and time
+    (an id is a hash and may collide) and partitioned by the UTC date the alert
+    was triggered."""
+    rows = alerts.select(*ALERT.fieldNames(), "resolved_at", F.to_date("triggered_at").alias("date"))
+    return upsert(spark, alerts_path(root), rows, ["machine_id", "triggered_at"], "date", ALERT_TABLE)
 
 
-def write_batch(spark: SparkSession, status: DataFrame, root: str, batch_id: int = 0) -> None:
-    """Batch hot path: status rows, then alerts derived from them.
+def write_batch(spark: SparkSession, status: DataFrame, root: str) -> None:
+    """The windows of a batch or micro-batch: status rows, then the alerts they
+    open and resolve.
 
-    The alert step reads the status rows back from the table just written (a
-    written table in the shared folder cuts the lineage), so the windows are
-    computed once and never recomputed from the readings.
+    The windows are written first and read back, so they are computed once and
+    never from the readings again.  The alert step starts from the machines'
+    open alerts, and both tables are keyed, so batches follow each other and a
+    repeated one, also under a new stream checkpoint, changes nothing.
     """
-    write_status_batch(status, status_path(root), batch_id)
-    written = read_table(spark, f"{status_path(root)}/batch_id={batch_id}", STATUS)
-    upsert_alerts(spark, alert_lifecycle(written), root)
+    path = scratch_path(spark, "windows")
+    status.select(*STATUS.fieldNames()).write.parquet(path)
+    new = read_table(spark, path, STATUS)
+    upsert(spark, status_path(root), new.withColumn("date", F.to_date("window_end")), ["machine_id", "window_end"], "date", STATUS_TABLE)
+    # alerts that were open when the machine's first window of this batch began
+    # (a repeated batch finds those that it has resolved itself, too)
+    first = new.groupBy("machine_id").agg(F.min("window_end").alias("_first"))
+    before = read_table(spark, alerts_path(root), ALERT_TABLE).join(first, "machine_id")
+    still_open = before.filter((F.col("triggered_at") < F.col("_first"))
+                               & (F.col("resolved_at").isNull() | (F.col("resolved_at") >= F.col("_first"))))
+    upsert_alerts(spark, alert_changes(new, still_open), root)
+    drop_path(spark, path)
 
 
 def read_status(spark: SparkSession, root: str) -> DataFrame:
-    return read_table(spark, status_path(root), STATUS).select(*STATUS.fieldNames())
+    return read_table(spark, status_path(root), STATUS_TABLE).select(*STATUS.fieldNames())
 
 
 def read_alerts(spark: SparkSession, root: str) -> DataFrame:

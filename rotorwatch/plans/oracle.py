@@ -48,8 +48,8 @@ def with_tele(*ctes: str) -> str:
     return "WITH " + ",\n".join([TELEMETRY.strip()] + [c.strip() for c in ctes])
 
 
-def exact_avg(c: str) -> str:
-    return f"CAST(sum(CAST({c} AS DECIMAL(18,4))) AS DOUBLE) / count({c})"
+def mean(c: str) -> str:
+    return f"round(avg({c}), 6)"
 
 
 def fixed(c: str, digits: int) -> str:
@@ -60,9 +60,9 @@ WINDOWS = f"""
 windows AS (
   SELECT machine_id,
          make_timestamp(((epoch_us(event_time) - 1) // 300000000 + 1) * 300000000) AS window_end,
-         {exact_avg('temperature')} AS avg_temp,
+         {mean('temperature')} AS avg_temp,
          max(temperature) AS max_temp,
-         {exact_avg('vibration')} AS avg_vibration,
+         {mean('vibration')} AS avg_vibration,
          max(vibration) AS max_vibration,
          CASE WHEN max(vibration) > 2.0 OR max(temperature) > 95 THEN 'ALERT' ELSE 'OK' END AS health_status
   FROM readings
@@ -117,6 +117,8 @@ alerts AS (
 )"""
 
 ORACLE["alert_lifecycle"] = with_tele(WINDOWS, ALERTS) + "\nSELECT * FROM alerts"
+ORACLE["alert_lifecycle_incremental"] = ORACLE["alert_lifecycle"]
+ORACLE["raw_mixed_writers"] = ORACLE["raw_rows_by_partition"]
 ORACLE["alert_feed"] = ORACLE["alert_lifecycle"]
 ORACLE["status_feed"] = ORACLE["window_status"]
 ORACLE["unresolved_alerts"] = with_tele(WINDOWS, ALERTS) + """
@@ -159,8 +161,8 @@ def daily_cte(name: str, source: str) -> str:
     SELECT machine_id, CAST(event_time AS DATE) AS date, count(*) AS total_readings,
            count(*) FILTER (WHERE coalesce(temperature > 90, false) OR coalesce(vibration > 1.8, false))
              AS anomaly_count,
-           {exact_avg('temperature')} AS avg_daily_temp,
-           {exact_avg('vibration')} AS avg_daily_vibration
+           {mean('temperature')} AS avg_daily_temp,
+           {mean('vibration')} AS avg_daily_vibration
     FROM {source} GROUP BY 1, 2)
 )"""
 
@@ -180,6 +182,9 @@ ORACLE["uptime_trend_pivot"] = with_tele(*DAILY_GATED) + "\nSELECT date, " + ",
     f"avg(uptime_score) FILTER (WHERE machine_id = 'machine-0{n}') AS \"machine-0{n}\"" for n in range(1, 7)
 ) + "\nFROM daily_gated GROUP BY date"
 
+ORACLE["uptime_trend"] = with_tele(*DAILY_GATED) + "\nSELECT date, machine_id, uptime_score FROM daily_gated"
+ORACLE["gold_display"] = with_tele(*DAILY_GATED) + "\nSELECT * FROM daily_gated"
+
 SERIES = """
 series AS (
   SELECT machine_id, event_time, event_id, vibration FROM readings
@@ -200,21 +205,14 @@ WHERE prev_vibration IS NOT NULL AND epoch_us(event_time) > epoch_us(prev_time)
 
 ORACLE["zscore_anomaly"] = with_tele(SERIES) + """,
 framed AS (
-  SELECT *, count(vibration) OVER w AS n,
-         sum(CAST(vibration AS DECIMAL(18,4))) OVER w AS s1,
-         sum(CAST(vibration AS DECIMAL(18,4)) * CAST(vibration AS DECIMAL(18,4))) OVER w AS s2
+  SELECT *, count(vibration) OVER w AS n, avg(vibration) OVER w AS mean, stddev_samp(vibration) OVER w AS sd
   FROM series
   WINDOW w AS (PARTITION BY machine_id ORDER BY event_time, event_id ROWS BETWEEN 30 PRECEDING AND 1 PRECEDING)
-),
-scored AS (
-  SELECT machine_id, event_time, event_id, vibration, CAST(s1 AS DOUBLE) / 30 AS mean_vibration,
-         (CAST(s2 AS DOUBLE) * 30 - CAST(s1 AS DOUBLE) * CAST(s1 AS DOUBLE)) / 870 AS var
-  FROM framed WHERE n = 30
 )
-SELECT machine_id, event_time, event_id, vibration, mean_vibration, sqrt(var) AS std_vibration,
-       abs(vibration - mean_vibration) / sqrt(var) AS zscore
-FROM scored
-WHERE var > 0 AND abs(vibration - mean_vibration) / sqrt(var) > 3.0"""
+SELECT machine_id, event_time, event_id, vibration, round(mean, 6) AS mean_vibration, round(sd, 6) AS std_vibration,
+       round(abs(vibration - mean) / sd, 6) AS zscore
+FROM framed
+WHERE n = 30 AND sd > 0 AND abs(vibration - mean) / sd > 3.0"""
 
 ORACLE["typed_thresholds"] = with_tele() + f""",
 typed AS (
@@ -256,6 +254,9 @@ SELECT 'success' AS status, count(*) AS rows_validated, count(*) FILTER (WHERE {
 FROM raw_zone
 UNION ALL
 SELECT 'skipped_no_new_files', CAST(NULL AS BIGINT), CAST(NULL AS BIGINT)"""
+ORACLE["nightly_clean"] = ORACLE["daily_reliability_gated"]
+ORACLE["nightly_missing_columns"] = with_tele(RAW_ZONE) + """
+SELECT count(*) AS "rows", count(*) AS rows_quarantined FROM raw_zone WHERE event_id % 3 = 0"""
 ORACLE["nightly_quarantine"] = with_tele(RAW_ZONE) + f"""
 SELECT CAST(event_time AS DATE) AS date, count(*) AS "rows" FROM raw_zone WHERE {INCOMPLETE} GROUP BY 1"""
 

@@ -26,7 +26,11 @@ def write_raw(readings: DataFrame, path: str, cfg: Settings = DEFAULT, mode: str
     splitting an oversized (hot) partition over several tasks, so files are
     neither tiny nor one giant file from one task.
     """
-    rows = raw_rows(readings).hint("rebalance", *cfg.raw_partitions)
+    _write(raw_rows(readings), path, cfg, mode)
+
+
+def _write(rows: DataFrame, path: str, cfg: Settings, mode: str) -> None:
+    rows = rows.hint("rebalance", *cfg.raw_partitions)
     if "machine_id" not in cfg.raw_partitions:
         # many machines: folders by date only (not machines x days folders);
         # rows sorted by machine inside each file, so Parquet row-group
@@ -37,12 +41,43 @@ def write_raw(readings: DataFrame, path: str, cfg: Settings = DEFAULT, mode: str
     rows.write.mode(mode).partitionBy(*cfg.raw_partitions).parquet(path)
 
 
-def write_quarantine(rows: DataFrame, path: str, source_file: str | None = None) -> None:
-    """Append quarantined rows, partitioned by UTC date, carrying the source file.
+def land_batch(rows: DataFrame, path: str, batch_id: int, checkpoint: str, cfg: Settings = DEFAULT) -> None:
+    """Land a stream's micro-batch in the raw zone exactly once.
+
+    The batch is written beside the checkpoint first, and its files, whose
+    names are then settled, are moved into the zone one by one.  A repeated
+    batch goes on where the first attempt ended: a staged batch is not written
+    again, and a moved file is not moved again.
+    """
+    spark = rows.sparkSession
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    staged = hadoop.Path(f"{checkpoint}-staged/batch={batch_id}")
+    fs = staged.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    done = hadoop.Path(f"{checkpoint}-landed/batch={batch_id}")
+    if fs.exists(done):
+        return
+    if not fs.exists(hadoop.Path(staged, "_SUCCESS")):
+        _write(rows, staged.toString(), cfg, "overwrite")
+    base = fs.getFileStatus(staged).getPath().toUri().getPath()
+    files = fs.listFiles(staged, True)
+    while files.hasNext():  # as many as the batch has written, some per folder
+        file = files.next().getPath()
+        if not file.getName().endswith(".parquet"):
+            continue
+        folder = hadoop.Path(path + file.getParent().toUri().getPath()[len(base):])
+        fs.mkdirs(folder)
+        fs.rename(file, hadoop.Path(folder, f"b{batch_id}-{file.getName()}"))
+    fs.mkdirs(done)
+    fs.delete(staged, True)
+
+
+def write_quarantine(rows: DataFrame, path: str, run: int | str = 0, source_file: str | None = None) -> None:
+    """Quarantined rows of a run, partitioned by UTC date, carrying the source
+    file, in the run's own folder: a repeated run replaces its rows.
 
     Rows without a time go to the ``date=__HIVE_DEFAULT_PARTITION__`` folder.
     """
     out = rows.withColumn("date", F.to_date("event_time"))
     if "source_file" not in out.columns:
         out = out.withColumn("source_file", F.lit(source_file).cast("string"))
-    out.hint("rebalance", "date").write.mode("append").partitionBy("date").parquet(path)
+    out.hint("rebalance", "date").write.mode("overwrite").partitionBy("date").parquet(f"{path}/run={run}")

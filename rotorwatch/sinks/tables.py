@@ -1,4 +1,4 @@
-"""Keyed upsert, run log and hot-path table sinks."""
+"""Keyed upsert and run log."""
 
 from __future__ import annotations
 
@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rotorwatch.config import shared_dir
+from rotorwatch.config import drop_path, scratch_path
 from rotorwatch.schemas import RUN_LOG
 from rotorwatch.sources.raw import read_table
 
@@ -24,15 +24,22 @@ def upsert(spark: SparkSession, path: str, incoming: DataFrame, keys: list[str],
     Only the partitions (``partition`` values) present in ``incoming`` are read
     and rewritten, using a literal IN list so the scan is partition-pruned and
     dynamic partition overwrite leaves every other partition untouched.  The
-    merged rows are checkpointed to the shared folder before the overwrite, so
-    the write never depends on the files it replaces and a lost executor
-    recomputes from the checkpoint.  Running it twice equals running it once;
+    merged rows are a written table in the shared folder before the overwrite,
+    so the write never depends on the files it replaces and a lost executor
+    recomputes from that table; it is freed afterwards.  Running it twice equals running it once;
     empty input is a no-op.  Returns the number of partitions rewritten.
     """
-    shared_dir(spark)  # checkpoint folder: the cluster's shared one when configured
     schema = schema or incoming.schema
+    scratch = scratch_path(spark, "upsert")
     # computed once: the key check, the touched list and the merge reuse it
-    incoming = incoming.select(*schema.fieldNames()).checkpoint(eager=True)
+    incoming.select(*schema.fieldNames()).write.parquet(f"{scratch}/incoming")
+    try:
+        return _merge(spark, path, spark.read.schema(schema).parquet(f"{scratch}/incoming"), keys, partition, schema, scratch)
+    finally:
+        drop_path(spark, scratch)
+
+
+def _merge(spark: SparkSession, path: str, incoming: DataFrame, keys: list[str], partition: str, schema: T.StructType, scratch: str) -> int:
     # One job gives the touched partitions (a bounded list: e.g. the dates of
     # one run) and the key check.  A key always lies in one partition (the
     # partition value is part of, or derived from, the key - else a key that
@@ -48,7 +55,8 @@ def upsert(spark: SparkSession, path: str, incoming: DataFrame, keys: list[str],
         return 0
     existing = read_table(spark, path, schema).filter(F.col(partition).isin(touched))
     kept = existing.join(incoming.select(*keys), keys, "left_anti")
-    merged = kept.unionByName(incoming).checkpoint(eager=True)
+    kept.unionByName(incoming).write.parquet(f"{scratch}/merged")
+    merged = spark.read.schema(schema).parquet(f"{scratch}/merged")
     (merged.hint("rebalance", partition)
      .sortWithinPartitions(*keys)
      .write.mode("overwrite")
@@ -62,19 +70,3 @@ def append_run(spark: SparkSession, path: str, record: dict) -> None:
     """Append one run-log record (missing counts stay null)."""
     row = {f.name: record.get(f.name) for f in RUN_LOG.fields}
     spark.createDataFrame([row], RUN_LOG).coalesce(1).write.mode("append").parquet(path)
-
-
-def last_success(spark: SparkSession, path: str) -> dt.datetime | None:
-    """Start time of the latest successful run (the new-files marker)."""
-    row = (read_table(spark, path, RUN_LOG).filter(F.col("status") == "success")
-           .agg(F.max("started_at").alias("m")).first())
-    return row["m"] if row else None
-
-
-def write_status_batch(status: DataFrame, path: str, batch_id: int) -> None:
-    """machine_status rows of one micro-batch into their own ``batch_id=`` folder.
-
-    Overwriting that folder makes a replayed batch idempotent; readers see
-    one row per (machine_id, window_end) because a window is emitted once.
-    """
-    status.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")

@@ -27,24 +27,17 @@ def read_raw(spark: SparkSession, path: str, dates: list[dt.date] | None = None)
     return df.select(*RAW.fieldNames())
 
 
-def with_file_info(df: DataFrame) -> DataFrame:
-    """Add source_file, file_mtime and file_row (the row's index in its file,
-    so ``file_row = 0`` marks one row per non-empty file) from the scan's
-    hidden metadata column."""
+def new_raw_files(spark: SparkSession, path: str) -> DataFrame:
+    """Stream of raw rows by file, each file once, with source_file and
+    file_row (the row's index in its file, so ``file_row = 0`` marks one row
+    per non-empty file).  What has been taken is in the checkpoint of the query
+    that reads it, by file name: a file's time plays no part, however old."""
+    prepare(spark)
+    df = (spark.readStream.schema(RAW).option("maxFileAge", "36500d").parquet(path))
     return df.select("*", F.col("_metadata.file_path").alias("source_file"),
-                     F.col("_metadata.file_modification_time").alias("file_mtime"),
                      F.col("_metadata.row_index").alias("file_row"))
 
 
-def new_files_since(spark: SparkSession, path: str, since: dt.datetime | None) -> DataFrame:
-    """Raw rows from files modified strictly after ``since`` (all when None),
-    with source_file, file_mtime and file_row."""
-    df = with_file_info(spark.read.schema(RAW).option("basePath", path).parquet(path))
-    if since is not None:
-        df = df.filter(F.col("file_mtime") > F.lit(since))
-    return df
-
-
 def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """A written table, or an empty typed DataFrame when nothing was written yet."""
     prepare(spark)
@@ -54,11 +47,3 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFram
         if "PATH_NOT_FOUND" in str(e) or "Path does not exist" in str(e):
             return spark.createDataFrame([], schema)
         raise
-
-
-def table_exists(spark: SparkSession, path: str) -> bool:
-    try:
-        spark.read.parquet(path).schema  # noqa: B018 - listing only, no data read
-        return True
-    except AnalysisException:
-        return False

@@ -1,29 +1,23 @@
 """Structured Streaming jobs.
 
 One message source feeds independent queries, each with its own checkpoint
-(fan-out): the raw-zone sink, the corrupt-line sink and the hot path.  Raw
-and corrupt lines use the exactly-once file sink; the hot path writes
-through ``foreachBatch`` with idempotent keyed writes, so a replayed
-micro-batch changes nothing.
+(fan-out): the raw-zone sink, the corrupt-line sink, the hot path, and the
+readings that are ahead of their time.  The raw zone and the hot path write
+through ``foreachBatch`` with the batch writers, keyed or by batch, so a
+replayed micro-batch changes nothing; the others use the exactly-once file sink.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from rotorwatch.config import DEFAULT, Settings, prepare, shared_dir
-from rotorwatch.functions import alert_id, alert_reason
 from rotorwatch.operators.ingest import parse_envelopes
 from rotorwatch.operators.windows import WINDOW_TIME, aggregate_windows, with_window_time
-from rotorwatch.plans.hot_path import status_path, upsert_alerts
-from rotorwatch.schemas import STATUS
-from rotorwatch.sinks.raw import raw_rows
-from rotorwatch.sinks.tables import write_status_batch
-from rotorwatch.streaming.alert_state import EVENTS, AlertProcessor
-
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+from rotorwatch.plans.hot_path import write_batch
+from rotorwatch.sinks.raw import raw_rows, land_batch
 
 
 def message_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
@@ -48,63 +42,64 @@ def start_raw_sink(lines: DataFrame, raw_path: str, corrupt_path: str, checkpoin
                    cfg: Settings = DEFAULT, trigger: str | None = None) -> tuple[StreamingQuery, StreamingQuery]:
     """Parse messages; land timed readings in the partitioned raw zone and
     undecodable lines in the corrupt-line folder.  Readings with missing
-    measurements pass through to raw (validation happens in the batch run)."""
-    readings, corrupt = parse_envelopes(lines, cfg)
-    raw_q = _trigger(raw_rows(readings).writeStream.format("parquet")
-                     .option("path", raw_path)
+    measurements pass through to raw (validation happens in the batch run).
+
+    The raw zone is written by the batch writer, so a stream and batches share
+    one zone, files are rebalanced, and a repeated micro-batch adds nothing
+    (``sinks.raw.land_batch``).  ``event_id`` is a hash of the
+    message: a total order for ties that does not depend on how files are split.
+    """
+    keyed = lines.withColumn("event_id", F.xxhash64("value"))
+    readings, corrupt = parse_envelopes(keyed, cfg, keep=("event_id",))
+    raw_q = _trigger(raw_rows(readings).writeStream
+                     .foreachBatch(lambda batch, batch_id: land_batch(batch, raw_path, batch_id, f"{checkpoint}/raw", cfg))
                      .option("checkpointLocation", f"{checkpoint}/raw")
-                     .partitionBy(*cfg.raw_partitions)
                      .outputMode("append"), trigger).start()
-    bad_q = _trigger(corrupt.writeStream.format("parquet")
+    bad_q = _trigger(corrupt.select("value").writeStream.format("parquet")
                      .option("path", corrupt_path)
                      .option("checkpointLocation", f"{checkpoint}/corrupt")
                      .outputMode("append"), trigger).start()
     return raw_q, bad_q
 
 
+def in_time(readings: DataFrame, cfg: Settings = DEFAULT) -> Column:
+    """Whether a reading's time is no further ahead of its arrival than
+    ``max_ahead``; without an arrival time the clock of the run decides."""
+    arrival = F.coalesce("arrived_at", F.current_timestamp())
+    return F.col("event_time").isNull() | (F.col("event_time") <= arrival + F.expr(f"INTERVAL {cfg.max_ahead}"))
+
+
 def status_stream(lines: DataFrame, cfg: Settings = DEFAULT) -> DataFrame:
     """Closed five-minute windows per machine.  The watermark sits on the
     shifted time ``_wt``; a window is emitted once, ``tolerance`` after its end
     has been passed by the newest event time, and later readings for it are
-    dropped (counted in ``numRowsDroppedByWatermark``)."""
-    readings, _ = parse_envelopes(lines, cfg)
-    timed = with_window_time(readings).withWatermark(WINDOW_TIME, cfg.tolerance)
+    dropped (counted in ``numRowsDroppedByWatermark``).  Readings ahead of
+    their arrival go to :func:`start_ahead_sink` instead and never move the
+    watermark."""
+    readings, _ = parse_envelopes(lines, cfg, arrival=True)
+    timed = with_window_time(readings.filter(in_time(readings, cfg))).withWatermark(WINDOW_TIME, cfg.tolerance)
     return aggregate_windows(timed, cfg)
 
 
-def hot_path_events(lines: DataFrame, cfg: Settings = DEFAULT) -> DataFrame:
-    """Status rows and alert changes from the stateful alert processor."""
-    return (status_stream(lines, cfg)
-            .groupBy("machine_id")
-            .transformWithStateInPandas(AlertProcessor(), EVENTS, "Append", "None"))
-
-
-def _hot_path_writer(root: str):
-    def write(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        batch = batch.persist()
-        try:
-            write_status_batch(batch.filter(F.col("kind") == "status").select(*STATUS.fieldNames()),
-                               status_path(root), batch_id)
-            alerts = (batch.filter(F.col("kind") == "alert")
-                      .select(alert_id("machine_id", "triggered_at").alias("alert_id"), "machine_id",
-                              "triggered_at", alert_reason("max_vibration", "max_temp").alias("reason"),
-                              "resolved"))
-            if not alerts.isEmpty():
-                upsert_alerts(spark, alerts, root)
-        finally:
-            batch.unpersist()
-    return write
+def start_ahead_sink(lines: DataFrame, path: str, checkpoint: str, cfg: Settings = DEFAULT,
+                     trigger: str | None = None) -> StreamingQuery:
+    """Readings whose time is too far ahead of their arrival, for a device's
+    owner to see; the raw zone holds them as well."""
+    readings, _ = parse_envelopes(lines, cfg, arrival=True)
+    return _trigger(readings.filter(~in_time(readings, cfg)).writeStream.format("parquet")
+                    .option("path", path)
+                    .option("checkpointLocation", f"{checkpoint}/ahead")
+                    .outputMode("append"), trigger).start()
 
 
 def start_hot_path(lines: DataFrame, root: str, checkpoint: str, cfg: Settings = DEFAULT,
                    trigger: str | None = None) -> StreamingQuery:
-    """machine_status and active_alerts under ``root``, state in RocksDB."""
-    spark = lines.sparkSession
-    shared_dir(spark)
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
-    writer = (hot_path_events(lines, cfg).writeStream
-              .foreachBatch(_hot_path_writer(root))
+    """machine_status and active_alerts under ``root``.  The stream's state is
+    its open windows; alerts follow from the windows of each micro-batch and
+    the alert table, in the step that batches take (``hot_path.write_batch``)."""
+    shared_dir(lines.sparkSession)
+    writer = (status_stream(lines, cfg).writeStream
+              .foreachBatch(lambda batch, _: write_batch(batch.sparkSession, batch, root))
               .option("checkpointLocation", f"{checkpoint}/hot_path")
               .outputMode("append"))
     return _trigger(writer, trigger).start()

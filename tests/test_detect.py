@@ -2,6 +2,7 @@ import random
 from collections import Counter
 
 import pandas as pd
+from conftest import readings
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -91,56 +92,59 @@ def test_hot_machine_is_spread_over_tasks(spark):
     assert max(hot_split.values()) < 0.6 * sum(hot_split.values())
 
 
-def test_density_buckets_mixed_machines_equal_per_key_window(spark):
-    """A dense machine and sparse ones: buckets sized per machine, frames exact."""
-    from rotorwatch.operators.sequence import density_buckets
+def test_rank_buckets_equal_per_key_window(spark):
+    """A dense machine, sparse ones, a burst and one 1970 row: buckets never exceed the target, frames are exact."""
+    from rotorwatch.operators.sequence import rank_buckets
     rnd = random.Random(11)
-    rows = []
+    rows = [("dense", 0, -1, 0.5)]                                  # a wild clock
     for i in range(2400):
         if i % 2 == 0:
-            m, t = "dense", i * 10                                  # every 20 s
+            m, t = "dense", 1_700_000_000 + (i * 10 if i < 1200 else 12_000)   # every 20 s, then a burst
         else:
-            m, t = f"s{i % 7}", rnd.randrange(0, 24000) * 1000      # scattered over the day
+            m, t = f"s{i % 7}", 1_700_000_000 + rnd.randrange(0, 24000) * 1000
         rows.append((m, t, i, rnd.random()))
     df = (spark.createDataFrame(rows, "machine_id string, t long, seq_key long, v double")
           .withColumn("event_time", F.timestamp_seconds("t")))
-    capped = density_buckets(df, ["machine_id"], "event_time", 1, out="b", max_buckets=5)
-    assert capped.filter(F.col("machine_id") == "dense").select("b").distinct().count() <= 5
+    order = ["event_time", "seq_key"]
     for target in (3, 40):
-        b = density_buckets(df, ["machine_id"], "event_time", target, out="b")
-        per_machine = {r["machine_id"]: (r["rows"], r["buckets"]) for r in
-                       b.groupBy("machine_id").agg(F.count(F.lit(1)).alias("rows"),
-                                                   F.count_distinct("b").alias("buckets")).collect()}
-        rows_d, buckets_d = per_machine["dense"]
-        assert buckets_d >= rows_d / target * 0.8          # evenly spread: about target rows per bucket
+        b = rank_buckets(df, ["machine_id"], order, target, out="b")
+        assert max(r["count"] for r in b.groupBy("b").count().collect()) <= target
         for n in (1, 30):
-            framed = with_preceding(b, ["machine_id"], ["event_time", "seq_key"], "b", n)
+            framed = with_preceding(b, ["machine_id"], order, "b", n)
             got = (framed.select("seq_key", CARRY, F.collect_list("v").over(
-                       frame(["machine_id"], ["event_time", "seq_key"]).rowsBetween(-n, -1)).alias("prev"))
+                       frame(["machine_id"], order).rowsBetween(-n, -1)).alias("prev"))
                    .filter(~F.col(CARRY)))
-            w = Window.partitionBy("machine_id").orderBy("event_time", "seq_key").rowsBetween(-n, -1)
+            w = Window.partitionBy("machine_id").orderBy(*order).rowsBetween(-n, -1)
             want = df.select("seq_key", F.collect_list("v").over(w).alias("prev"))
             assert {r["seq_key"]: r["prev"] for r in got.collect()} == \
                    {r["seq_key"]: r["prev"] for r in want.collect()}, (target, n)
 
 
-def test_density_buckets_spread_a_hot_machine(spark):
-    """Through density buckets, a machine with a third of all rows is evaluated in several tasks."""
-    from rotorwatch.operators.sequence import density_buckets
-    rows = []
-    for i in range(3000):
-        m = "hot" if i % 3 == 0 else f"m{i % 50}"
-        rows.append((m, i, i, float(i % 17)))
+def test_rank_buckets_spread_a_hot_machine(spark):
+    """A machine with a third of all rows is evaluated in several tasks."""
+    from rotorwatch.operators.sequence import rank_buckets
+    rows = [("hot" if i % 3 == 0 else f"m{i % 50}", i, i, float(i % 17)) for i in range(3000)]
     df = (spark.createDataFrame(rows, "machine_id string, t long, seq_key long, v double")
           .withColumn("event_time", F.timestamp_seconds("t")))
     conf = "spark.sql.adaptive.coalescePartitions.enabled"
     old = spark.conf.get(conf)
     spark.conf.set(conf, "false")
     try:
-        b = density_buckets(df, ["machine_id"], "event_time", 50, out="b")
+        b = rank_buckets(df, ["machine_id"], ["event_time", "seq_key"], 50, out="b")
         framed = with_preceding(b, ["machine_id"], ["event_time", "seq_key"], "b", 30)
         pids = Counter(r["pid"] for r in framed.filter(~F.col(CARRY) & (F.col("machine_id") == "hot"))
                        .select(F.spark_partition_id().alias("pid")).collect())
     finally:
         spark.conf.set(conf, old)
     assert len(pids) >= 3 and max(pids.values()) < 0.6 * sum(pids.values())
+
+
+def test_zscore_keeps_digits_and_takes_large_values(spark):
+    """Values far apart in size: no digit dropped, nothing overflows, a small spread on a large value does not cancel."""
+    rows = [("m", f"2024-01-01 00:{i:02d}:00", 1.0, 1e9 + (i % 2) * 1e-3, 1.0, "running", i) for i in range(31)]
+    rows += [("m", "2024-01-01 00:40:00", 1.0, 1e9 + 1.0, 1.0, "running", 99),
+             ("big", "2024-01-01 00:40:00", 1.0, 1e20, 1.0, "running", 100)]
+    from rotorwatch.operators.detect import zscore_anomaly
+    got = zscore_anomaly(readings(spark, rows)).collect()
+    assert [r["event_id"] for r in got] == [99]
+    assert 0.0004 < got[0]["std_vibration"] < 0.0006

@@ -114,3 +114,65 @@ def test_fan_out_readers_keep_their_own_position(spark, tmp_root):
     assert status == [("00:05", "ALERT"), ("00:10", "OK")]
     assert spark.read.parquet(f"{tmp_root}/raw").count() == 3
     assert [(r["resolved"]) for r in hot_path.read_alerts(spark, f"{tmp_root}/hot").collect()] == [True]
+
+
+def test_one_wild_clock_does_not_close_other_machines_windows(spark, tmp_root):
+    land = f"{tmp_root}/in"
+    wild = json.loads(_msg("m2", "2099-01-01T00:00:00+00:00"))
+    wild["enqueued_time"] = "2024-01-01T00:01:30+00:00"
+    now = time.time()
+    _land(land, "a.jsonl", [_msg("m1", "2024-01-01T00:01:00+00:00"), json.dumps(wild)], now - 100)
+    jobs.start_hot_path(jobs.message_stream(spark, land), f"{tmp_root}/hot", f"{tmp_root}/ckpt").awaitTermination()
+    _land(land, "b.jsonl", [_msg("m1", "2024-01-01T00:02:00+00:00", 99.0), _msg("m1", "2024-01-01T00:20:00+00:00")], now - 50)
+    lines = jobs.message_stream(spark, land)
+    jobs.start_hot_path(lines, f"{tmp_root}/hot", f"{tmp_root}/ckpt").awaitTermination()
+    jobs.start_ahead_sink(lines, f"{tmp_root}/ahead", f"{tmp_root}/ckpt").awaitTermination()
+    alerts = hot_path.read_alerts(spark, f"{tmp_root}/hot").collect()
+    assert [(r["machine_id"], r["triggered_at"].strftime("%H:%M")) for r in alerts] == [("m1", "00:05")]
+    assert [r["machine_id"] for r in spark.read.parquet(f"{tmp_root}/ahead").collect()] == ["m2"]
+
+
+def test_huge_values_do_not_stop_the_stream(spark, tmp_root):
+    land = f"{tmp_root}/in"
+    _land(land, "a.jsonl", [_msg("m1", "2024-01-01T00:01:00+00:00", 1e20), _msg("m2", "2024-01-01T00:20:00+00:00"),
+                            _msg("m3", "2024-01-01T00:01:00+00:00", float("inf"))], time.time() - 10)
+    jobs.start_hot_path(jobs.message_stream(spark, land), f"{tmp_root}/hot", f"{tmp_root}/ckpt").awaitTermination()
+    status = {r["machine_id"]: (r["avg_temp"], r["health_status"]) for r in hot_path.read_status(spark, f"{tmp_root}/hot").collect()}
+    assert status == {"m1": (1e20, "ALERT"), "m3": (None, "OK")}
+
+
+def test_stream_and_batch_share_the_raw_zone(spark, tmp_root):
+    from conftest import readings
+    from rotorwatch.config import Settings
+    from rotorwatch.sinks.raw import land_batch, raw_rows, write_raw
+    from rotorwatch.sources.raw import read_raw
+    land, raw = f"{tmp_root}/in", f"{tmp_root}/raw"
+    _land(land, "a.jsonl", [_msg("m1", "2024-01-01T00:01:00+00:00")], time.time() - 10)
+    for q in jobs.start_raw_sink(jobs.message_stream(spark, land), raw, f"{tmp_root}/bad", f"{tmp_root}/ckpt"):
+        q.awaitTermination()
+    batch = readings(spark, [("m2", "2024-01-01 00:02:00", 70.0, 0.5, 1.0, "s", 5), ("m2", "2024-01-02 00:02:00", 70.0, 0.5, 1.0, "s", 6)])
+    write_raw(batch, raw)
+    assert sorted(r["machine_id"] for r in read_raw(spark, raw).collect()) == ["m1", "m2", "m2"]
+    assert read_raw(spark, raw).filter("event_id IS NULL").count() == 0  # streamed rows have a tie-breaker
+    for _ in range(2):  # a repeated micro-batch
+        land_batch(raw_rows(batch), raw, 7, f"{tmp_root}/other", Settings())
+    assert read_raw(spark, raw).count() == 5
+    # one that had been staged, and moved in part
+    land_batch(raw_rows(batch), raw, 8, f"{tmp_root}/third", Settings())
+    os.rmdir(f"{tmp_root}/third-landed/batch=8")
+    write_raw(batch.limit(0), f"{tmp_root}/third-staged/batch=8", mode="overwrite")
+    land_batch(raw_rows(batch), raw, 8, f"{tmp_root}/third", Settings())
+    assert read_raw(spark, raw).count() == 7
+
+
+def test_batches_follow_each_other(spark, tmp_root):
+    """ALERT, then ALERT, OK: one alert, resolved; repeated batches change nothing."""
+    from conftest import readings
+    from rotorwatch.operators.windows import window_status
+    first = window_status(readings(spark, [("m1", "2024-01-01 00:01:00", 99.0, 0.5, 1.0, "s", 1), ("m2", "2024-01-01 00:01:00", 99.0, 0.5, 1.0, "s", 2)]))
+    then = window_status(readings(spark, [("m1", "2024-01-01 00:06:00", 98.0, 0.5, 1.0, "s", 3), ("m1", "2024-01-01 00:11:00", 70.0, 0.5, 1.0, "s", 4)]))
+    for batch in (first, first, then, then):
+        hot_path.write_batch(spark, batch, tmp_root)
+    alerts = sorted((r["machine_id"], r["triggered_at"].strftime("%H:%M"), r["resolved"], r["reason"]) for r in hot_path.read_alerts(spark, tmp_root).collect())
+    assert alerts == [("m1", "00:05", True, "max_vibration=0.50, max_temp=99.0"), ("m2", "00:05", False, "max_vibration=0.50, max_temp=99.0")]
+    assert hot_path.read_status(spark, tmp_root).count() == 4

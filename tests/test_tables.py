@@ -67,6 +67,64 @@ def test_nightly_success_then_skip(spark, tmp_root):
     assert read_table(spark, f"{tmp_root}/gold", GOLD).first()["total_readings"] == 1
 
 
+def _nightly(spark, root):
+    return run_nightly(spark, f"{root}/raw", f"{root}/gold", f"{root}/q", f"{root}/runs")
+
+
+def test_nightly_on_clean_input(spark, tmp_root):
+    assert _nightly(spark, tmp_root)["status"] == "skipped_no_new_files"  # nothing landed yet
+    write_raw(readings(spark, [("m1", "2024-01-01 00:00:10", 70.0, 0.5, 1.0, "s", 1)]), f"{tmp_root}/raw")
+    record = _nightly(spark, tmp_root)
+    assert (record["status"], record["rows_validated"], record["rows_quarantined"]) == ("success", 1, 0)
+    assert read_table(spark, f"{tmp_root}/gold", GOLD).count() == 1
+
+
+def test_nightly_takes_a_file_that_appears_late(spark, tmp_root):
+    write_raw(readings(spark, [("m1", "2024-01-01 00:00:10", 70.0, 0.5, 1.0, "s", 1)]), f"{tmp_root}/raw")
+    _nightly(spark, tmp_root)
+    write_raw(readings(spark, [("m2", "2024-01-01 00:00:10", 70.0, 0.5, 1.0, "s", 2)]), f"{tmp_root}/raw")
+    for d, _, fs in os.walk(f"{tmp_root}/raw/date=2024-01-01/machine_id=m2"):
+        for f in fs:
+            os.utime(os.path.join(d, f), (1_000_000_000, 1_000_000_000))  # older than any run
+    assert _nightly(spark, tmp_root)["files_seen"] == 1
+    assert sorted(r["machine_id"] for r in read_table(spark, f"{tmp_root}/gold", GOLD).collect()) == ["m1", "m2"]
+
+
+def test_nightly_that_died_is_repeated(spark, tmp_root, monkeypatch):
+    import pytest
+
+    from rotorwatch.plans import nightly
+    from rotorwatch.schemas import QUARANTINE
+    write_raw(readings(spark, [("m1", "2024-01-01 00:00:10", 70.0, 0.5, None, "s", 1),
+                               ("m1", "2024-01-01 00:01:10", 70.0, 0.5, 1.0, "s", 2)]), f"{tmp_root}/raw")
+    with monkeypatch.context() as m:
+        m.setattr(nightly, "upsert", lambda *a: 1 / 0)
+        with pytest.raises(Exception):
+            _nightly(spark, tmp_root)
+    record = _nightly(spark, tmp_root)
+    assert (record["status"], record["rows_quarantined"]) == ("success", 1)
+    assert read_table(spark, f"{tmp_root}/q", QUARANTINE).count() == 1
+    assert read_table(spark, f"{tmp_root}/gold", GOLD).first()["total_readings"] == 1
+
+
+def test_nightly_reports_missing_columns(spark, tmp_root):
+    from rotorwatch.plans.nightly import report_path
+    r = readings(spark, [("m1", "2024-01-01 00:00:10", 70.0, 0.5, 1.0, "s", 1)])
+    write_raw(r.drop("vibration"), f"{tmp_root}/raw")
+    _nightly(spark, tmp_root)
+    found = spark.read.parquet(report_path(f"{tmp_root}/q")).collect()
+    assert [(x["rows"], x["rows_quarantined"], x["missing_columns"]) for x in found] == [(1, 1, "vibration")]
+
+
+def test_upsert_frees_its_scratch(spark, tmp_root):
+    from rotorwatch.config import shared_dir
+    scratch = lambda: {d for d in os.listdir(shared_dir(spark)) if d.startswith("upsert")}
+    before = scratch()
+    write_raw(readings(spark, [("m1", "2024-01-01 00:00:10", 70.0, 0.5, 1.0, "s", 1)]), f"{tmp_root}/raw")
+    _nightly(spark, tmp_root)
+    assert scratch() == before
+
+
 def test_raw_zone_by_date_only_keeps_rows_and_clusters_machines(spark, tmp_root):
     from rotorwatch.config import Settings
     rows = [(f"m{i % 4}", f"2024-01-0{1 + i % 2} 00:00:{i:02d}", 70.0, 0.5, 1.0, "s", i) for i in range(40)]
