@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from rotorwatch.config import CONTENT_TYPE, DEFAULT, Settings
 from rotorwatch.functions import adjusted_time, first_present, finite_or_null, safe_timestamp
 from rotorwatch.operators.joins import measured
-from rotorwatch.schemas import BODY, CORRUPT_COLUMN, ENVELOPE_WITH_CORRUPT, READING_COLUMNS
+from rotorwatch.schemas import BODY, CORRUPT_COLUMN, ENVELOPE, READING_COLUMNS
 
 JSON_OPTIONS = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT_COLUMN, "allowNonNumericNumbers": "true"}
 
@@ -45,10 +46,13 @@ def envelope_to_reading(env: DataFrame, cfg: Settings = DEFAULT, keep: tuple[str
 
 
 def decode_lines(lines: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
-    """JSON text in ``value`` to envelope columns plus the corrupt-record column.
+    """JSON text in ``value`` to envelope columns, plus the line's text in
+    ``_corrupt_record`` where it is anything but one JSON object.
 
-    Blank lines are skipped (``from_json`` gives a null message for them);
-    lines that are not valid JSON keep their text in ``_corrupt_record``.
+    The line is parsed as the first of two members of an object, so whatever
+    follows the first value breaks the object or hides its second member: JSON
+    parsers stop after one value, and a second message on a line would vanish.
+    Blank lines are skipped.
 
     Each line is parsed exactly once.  In a plain ``select``, Catalyst pushes
     every later filter (corrupt split, null time, null machine) below the
@@ -57,11 +61,14 @@ def decode_lines(lines: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     one-element ``inline`` keeps the parse in a Generate node, which those
     filters cannot pass.
     """
-    message = F.struct(F.from_json("value", ENVELOPE_WITH_CORRUPT, JSON_OPTIONS).alias("_m"))
-    return (lines
-            .select(*keep, F.inline(F.array(message)))
-            .filter(F.col("_m").isNotNull())
-            .select(*keep, "_m.*"))
+    line = F.concat(F.lit('{"_m":'), F.col("value"), F.lit(',"_end":1}'))
+    whole = T.StructType([T.StructField("_m", ENVELOPE), T.StructField("_end", T.IntegerType()),
+                          T.StructField(CORRUPT_COLUMN, T.StringType())])
+    parsed = lines.select(*keep, "value", F.inline(F.array(F.struct(F.from_json(line, whole, JSON_OPTIONS).alias("_p")))))
+    fine = F.col(f"_p.{CORRUPT_COLUMN}").isNull() & F.col("_p._m").isNotNull() & F.col("_p._end").isNotNull()
+    return (parsed
+            .filter(F.trim(F.regexp_replace("value", r"\s+", " ")) != "")
+            .select(*keep, "_p._m.*", F.when(~fine, F.col("value")).alias(CORRUPT_COLUMN)))
 
 
 def parse_envelopes(lines: DataFrame, cfg: Settings = DEFAULT,

@@ -23,8 +23,6 @@ ENVELOPE = T.StructType([
     T.StructField("body", BODY),
 ])
 
-ENVELOPE_WITH_CORRUPT = T.StructType(ENVELOPE.fields + [T.StructField(CORRUPT_COLUMN, T.StringType())])
-
 # Parsed reading, also the raw-zone file schema (partition columns excluded).
 READING_COLUMNS = ("machine_id", "event_time", "temperature", "vibration", "rpm", "status")
 READING = T.StructType([
@@ -84,11 +82,6 @@ RUN_LOG = T.StructType([
     T.StructField("rows_quarantined", T.LongType()),
 ])
 
-DEVICE = T.StructType([
-    T.StructField("device_id", T.StringType()),
-    T.StructField("registered", T.BooleanType()),
-])
-
 THRESHOLD = T.StructType([
     T.StructField("machine_type", T.StringType()),
     T.StructField("vib_limit", T.DoubleType()),

@@ -22,24 +22,8 @@ SIX_MACHINES = 6
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The driver's events table.  The file is small (one row group at sf0.1),
-    so Spark reads it in one task and every step before the first shuffle -
-    the derivation below, message encoding and parsing, partial aggregates -
-    would run on one core.  An input with fewer splits than the default
-    parallelism is spread round-robin; a large input is read as it is."""
-    prepare(spark)
-    return spread_if_undersplit(spark.read.parquet(f"{sf_dir}/events.parquet"))
-
-
-def spread_if_undersplit(df: DataFrame) -> DataFrame:
-    """Round-robin ``df`` over the default parallelism when its scan has fewer
-    splits (file listing only, no data read)."""
-    try:
-        splits = df.rdd.getNumPartitions()
-        cores = df.sparkSession.sparkContext.defaultParallelism
-    except Exception:  # Spark Connect: no RDD API; leave the plan as it is
-        return df
-    return df.repartition(cores) if splits < cores else df
+    """The driver's events table."""
+    return prepare(spark).read.parquet(f"{sf_dir}/events.parquet")
 
 
 def _device(user_id: Column, machines: str) -> Column:

@@ -96,10 +96,10 @@ def test_adjust_late_policy(spark):
     assert got == {0: naive(ts("2024-01-01 00:00:55")), 1: naive(ts("2024-01-01 00:00:57")), 2: None}
 
 
-def test_undersplit_input_is_spread(spark):
-    from rotorwatch.sources.telemetry_view import spread_if_undersplit
-    cores = spark.sparkContext.defaultParallelism
-    one = spark.range(100).coalesce(1)
-    assert spread_if_undersplit(one).rdd.getNumPartitions() == cores
-    many = spark.range(0, 100, numPartitions=cores * 2)
-    assert spread_if_undersplit(many) is many
+def test_anything_after_the_first_value_makes_a_line_malformed(spark):
+    one = '{"device_id": "m1", "enqueued_time": "2024-01-01T00:00:00+00:00", "body": {"temperature": NaN}}'
+    lines = [one, one + one, one + " junk", one + "," + one, one + "]", "[" + one + "]", "", "  ", " " + one + "  ", "null", "7", '"x"', "[]", "{}", one[:-3]]
+    df = spark.createDataFrame([(k, v) for k, v in enumerate(lines)], "event_id int, value string")
+    good, bad = parse_envelopes(df, keep=("event_id",))
+    assert sorted(r["event_id"] for r in good.collect()) == [0, 8, 13]  # {}: a message without any field
+    assert {r["event_id"]: r["value"] for r in bad.collect()} == {k: lines[k] for k in (1, 2, 3, 4, 5, 9, 10, 11, 12, 14)}
