@@ -201,7 +201,8 @@ def merged(cut: DataFrame, length: int, shard: int, batch_bytes: int) -> DataFra
 def repeated_starts(docs: DataFrame, doc_id: str, text: str, length: int, gram: int, crowd: int, shard: int, batch: int) -> DataFrame:
     """(id, mark, first, last): runs of starts of repeated strings, by text."""
     found = pieces(docs, doc_id, text, length, gram)
-    often = found.groupBy(F.col("anchor").alias("_a")).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("_a")
+    # written, so that the join below has plain shuffles on both sides, whose skewed keys Spark can split
+    often = kept(found.groupBy(F.col("anchor").alias("_a")).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("_a"), "repeat-anchors")
     found = kept(found.join(often, F.col("anchor") == F.col("_a")).drop("_a"), "repeat-pieces")
     kinds = found.groupBy("anchor", "whole").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("id", "mark", "first", "last", "at")).alias("one"))
     by_anchor = kinds.groupBy(F.col("anchor").alias("_a")).agg(F.count(F.lit(1)).alias("kinds"))
