@@ -18,14 +18,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rotorwatch.llm import pretokens
-from rotorwatch.llm.common import arrow_rows, tidy
+from rotorwatch.llm.common import arrow_rows, kept, tidy
 
 TABLE_ENTRIES = 32_768  # size of tier one: a fixed bound of about 1 MB, however large the corpus is
 SLICE_ENTRIES = 4_096  # what each slice of text puts forward
 
 
 def frequent_pretokens(docs: DataFrame, text: str = "text", entries: int = TABLE_ENTRIES) -> DataFrame:
-    """(pretoken binary, n long): the ``entries`` most frequent by what the slices put forward; ties by bytes."""
+    """(pretoken binary, n long): the most frequent by what the slices put forward, down to a power of two in ``n`` that
+    leaves ``entries`` of them at most, so that no more ever reach the driver."""
 
     def forward(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -38,7 +39,15 @@ def frequent_pretokens(docs: DataFrame, text: str = "text", entries: int = TABLE
                 yield pa.RecordBatch.from_arrays([cells.dictionary.take(pa.array(top)), pa.array(n[top])], names=["pretoken", "n"])
 
     slices = arrow_rows(docs, text).mapInArrow(tidy(forward), "pretoken binary, n long")
-    return slices.groupBy("pretoken").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "pretoken").limit(entries)
+    found = kept(slices.groupBy("pretoken").agg(F.sum("n").alias("n")), "pretokens")
+    level = F.floor(F.log2("n")).cast("int").alias("level")
+    held, least = 0, None
+    for r in found.groupBy(level).count().orderBy(F.desc("level")).collect():  # some 60 rows
+        held += r["count"]
+        if held > entries:
+            break
+        least = 1 << r["level"]
+    return found.where(F.col("n") >= least) if least else found.limit(0)
 
 
 def count_tokens(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

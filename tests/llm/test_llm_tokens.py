@@ -93,6 +93,14 @@ def test_counts(make_docs, odd_rows, monkeypatch):
     assert counts.count_tokens(make_docs([]), BYTES).count() == 0
 
 
+def test_frequent_pretokens_are_bounded(make_docs):
+    docs = make_docs([(k, " the" * 8 + f" w{k}", "a") for k in range(50)])
+    for entries in (0, 1, 10, 1000):
+        got = {bytes(r["pretoken"]): r["n"] for r in counts.frequent_pretokens(docs, entries=entries).collect()}
+        assert len(got) <= entries and (entries == 0 or got[b" the"] == 400)
+    assert counts.frequent_pretokens(make_docs([])).count() == 0
+
+
 def check_packing(rows, pieces, capacity):
     ids = defaultdict(list)
     for d, i in expected(rows):
