@@ -154,8 +154,9 @@ def held_out(doc_id: Column) -> Column:
 
 def train(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "toxic", per_class: int = PER_CLASS) -> Model:
     """Fit on at most ``per_class`` toxic texts and twice as many others: those first by a hash of their ids among labelled rows
-    that are not held out.  The driver gets no more than those texts, each of ``SAMPLE_BYTES`` at most.  Null labels
-    and ids are left out; a document labelled more than once is toxic if any label says so."""
+    that are not held out.  One task fits, on no more than those texts, each of ``SAMPLE_BYTES`` at most; the driver
+    gets the model alone.  Null labels and ids are left out; a document labelled more than once is toxic if any label
+    says so."""
     marked = labels.where(F.col(label).isNotNull() & F.col(doc_id).isNotNull()).groupBy(F.col(doc_id).alias("_id")).agg(F.max(label).cast("int").alias("_y")).where(~held_out(F.col("_id")))
     most = {0: 2 * per_class, 1: per_class}
     # some candidates are too long to be used
@@ -164,9 +165,22 @@ def train(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
         return fit([], [])
     small = F.broadcast(docs.sparkSession.createDataFrame([(r["_id"], r["_y"]) for r in chosen], T.StructType([T.StructField("_id", docs.schema[doc_id].dataType), T.StructField("_y", T.IntegerType())])))
     found = docs.select(F.col(doc_id).alias("_doc"), F.coalesce(F.col(text), F.lit("")).alias("_text")).where(F.octet_length("_text") <= SAMPLE_BYTES).join(small, F.col("_doc") == F.col("_id"))
-    found = kept(found, "toxicity-sample")
-    used = [r for y, n in most.items() for r in found.where(F.col("_y") == y).orderBy(F.xxhash64("_doc"), "_doc", F.xxhash64("_text")).limit(n).collect()]
-    return fit([r["_text"] for r in used], [r["_y"] for r in used])
+    found = kept(found.select("_doc", "_y", "_text"), "toxicity-sample")
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        texts, marks, left = [], [], dict(most)
+        for batch in batches:
+            for y, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                if left.get(y, 0):
+                    left[y] -= 1
+                    texts.append(t)
+                    marks.append(y)
+        model = fit(texts, marks)
+        yield pa.RecordBatch.from_arrays([pa.array([model.grams.tobytes()]), pa.array([model.bias])], names=["grams", "bias"])
+
+    ordered = found.repartition(1).sortWithinPartitions(F.xxhash64("_doc"), "_doc", F.xxhash64("_text"))
+    rows = arrow_rows(ordered, "_y", "_text").mapInArrow(tidy(work), "grams binary, bias double").collect()
+    return Model(np.frombuffer(bytes(rows[0]["grams"])), rows[0]["bias"]) if rows else fit([], [])
 
 
 def score(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "text", carry: tuple[str, ...] = ()) -> DataFrame:
