@@ -25,7 +25,7 @@ ROWS = 1 << 16  # of the embedding table
 DIM = 8
 WINDOW, STEP = 16, 8  # words
 PER_CLASS = 2000  # toxic labelled texts that a model is fitted on, at most, and twice as many others
-SAMPLE_BYTES = 8_192  # a longer text is not used for fitting (it is scored whole all the same)
+SAMPLE_BYTES = 96 << 20  # of all texts that a model is fitted on: a third for toxic ones, the rest for others
 ROUNDS = 80
 STRIDE = 60.0  # of the first step, for the n-gram that moves most
 _PRIME = np.uint64(0x9E3779B97F4A7C15)
@@ -111,7 +111,20 @@ def _best(values: np.ndarray, firsts: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return top, begin[hit], end[hit]
 
 
-def fit(texts: list[str], labels: list[int], seed: int = 11) -> Model:
+def _blocks(texts: pa.Array) -> tuple[pa.Array, list[tuple[np.ndarray, np.ndarray]]]:
+    """Distinct words of all texts, and for each slice of the texts its words' places among them and its texts' firsts: what
+    :func:`pretokens.words` gives, with memory by the slice."""
+    parts = [pretokens.words(part) for _, part in pretokens.text_slices(texts)]
+    cells = pa.chunked_array([p[0] for p in parts]).dictionary_encode().combine_chunks()
+    cells = cells.chunk(0) if isinstance(cells, pa.ChunkedArray) else cells
+    to, blocks, begin = cells.indices.to_numpy(), [], 0
+    for vocabulary, at, firsts in parts:
+        blocks.append((to[begin: begin + len(vocabulary)][at], firsts))
+        begin += len(vocabulary)
+    return cells.dictionary, blocks
+
+
+def fit(texts: list[str] | pa.Array, labels: list[int], seed: int = 11) -> Model:
     """Train embeddings and softmax weights jointly on the texts' highest windows, classes weighted equally.
 
     Gradient steps have a set length and keep the gradient's shape: n-grams that tell the classes apart in many texts
@@ -121,7 +134,7 @@ def fit(texts: list[str], labels: list[int], seed: int = 11) -> Model:
     y = np.asarray(labels, float)
     if not len(y) or y.min() == y.max():
         return Model(np.zeros(ROWS), -20.0 if not len(y) or y[0] == 0 else 20.0)
-    vocabulary, at, firsts = pretokens.words(pa.array(texts, pa.large_string()))
+    vocabulary, blocks = _blocks(pa.array(texts, pa.large_string()) if isinstance(texts, list) else texts)
     rows, borders = subwords(vocabulary)
     per_word = np.diff(borders)
     rng = np.random.default_rng(seed)
@@ -131,13 +144,18 @@ def fit(texts: list[str], labels: list[int], seed: int = 11) -> Model:
     for step in range(ROUNDS):
         apart = weight[:, 1] - weight[:, 0]
         word = _sums((table @ apart)[rows], borders) / per_word
-        top, begin, end = _best(word[at], firsts)
+        top, size, hit = [], [], []
+        for at, firsts in blocks:
+            best, begin, end = _best(word[at], firsts)
+            long = end - begin
+            top.append(best)
+            size.append(long)
+            hit.append(at[np.repeat(begin - (np.cumsum(long) - long), long) + np.arange(long.sum())])
+        top, size, hit = np.concatenate(top), np.concatenate(size), np.concatenate(hit)
         odds = top + bias[1] - bias[0]
         error = (1 / (1 + np.exp(-np.clip(odds, -40, 40))) - y) * balance  # of the toxic class; the other's is its negative
         # each window's error to its words, each word's to its n-grams
-        size = end - begin
-        place = np.repeat(begin - (np.cumsum(size) - size), size) + np.arange(size.sum())
-        share = np.bincount(at[place], np.repeat(error / np.maximum(1, size), size), len(vocabulary))
+        share = np.bincount(hit, np.repeat(error / np.maximum(1, size), size), len(vocabulary))
         each = np.bincount(rows, np.repeat(share / per_word, per_word), ROWS)
         pull = table.T @ each
         rate = 1 - step / ROUNDS
@@ -152,30 +170,40 @@ def held_out(doc_id: Column) -> Column:
     return F.pmod(F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")), F.lit(5)) == 0
 
 
-def train(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "toxic", per_class: int = PER_CLASS) -> Model:
-    """Fit on at most ``per_class`` toxic texts and twice as many others: those first by a hash of their ids among labelled rows
-    that are not held out.  One task fits, on no more than those texts, each of ``SAMPLE_BYTES`` at most; the driver
-    gets the model alone.  Null labels and ids are left out; a document labelled more than once is toxic if any label
-    says so."""
+def train(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "toxic", per_class: int = PER_CLASS, sample_bytes: int = SAMPLE_BYTES) -> Model:
+    """Fit on at most ``per_class`` toxic texts and twice as many others, of any length: those first by a hash of their ids among
+    documents that are labelled and not held out.  ``sample_bytes`` bounds them together, a third of it for toxic texts: of
+    each class, texts are taken until its share is full, the last one as a whole, so each class has one at least.  One
+    task fits, on no more than those texts; the driver gets the model alone.  Null labels and ids are left out; a
+    document labelled more than once is toxic if any label says so."""
     marked = labels.where(F.col(label).isNotNull() & F.col(doc_id).isNotNull()).groupBy(F.col(doc_id).alias("_id")).agg(F.max(label).cast("int").alias("_y")).where(~held_out(F.col("_id")))
+    texts = docs.select(F.col(doc_id).alias("_doc"), F.coalesce(F.col(text), F.lit("")).alias("_text")).where("_doc IS NOT NULL")
+    # labels without a document take no place in the sample
+    sizes = texts.groupBy("_doc").agg(F.sum(F.octet_length("_text")).alias("_bytes"))
+    sizes = kept(sizes.join(marked, F.col("_doc") == F.col("_id")).select("_doc", "_y", "_bytes"), "toxicity-sizes")
     most = {0: 2 * per_class, 1: per_class}
-    # some candidates are too long to be used
-    chosen = [r for y, n in most.items() for r in marked.where(F.col("_y") == y).orderBy(F.xxhash64("_id"), "_id").limit(n + n // 2).collect()]
+    chosen = []
+    for y, n in most.items():
+        left = max(1, sample_bytes * n // (3 * per_class))
+        for r in sizes.where(F.col("_y") == y).orderBy(F.xxhash64("_doc"), "_doc").limit(n).collect():
+            if left > 0:
+                chosen.append((r["_doc"], y))
+                left -= r["_bytes"]
     if not chosen:
         return fit([], [])
-    small = F.broadcast(docs.sparkSession.createDataFrame([(r["_id"], r["_y"]) for r in chosen], T.StructType([T.StructField("_id", docs.schema[doc_id].dataType), T.StructField("_y", T.IntegerType())])))
-    found = docs.select(F.col(doc_id).alias("_doc"), F.coalesce(F.col(text), F.lit("")).alias("_text")).where(F.octet_length("_text") <= SAMPLE_BYTES).join(small, F.col("_doc") == F.col("_id"))
-    found = kept(found.select("_doc", "_y", "_text"), "toxicity-sample")
+    small = F.broadcast(docs.sparkSession.createDataFrame(chosen, T.StructType([T.StructField("_id", docs.schema[doc_id].dataType), T.StructField("_y", T.IntegerType())])))
+    found = kept(texts.join(small, F.col("_doc") == F.col("_id")).select("_doc", "_y", "_text"), "toxicity-sample")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         texts, marks, left = [], [], dict(most)
         for batch in batches:
-            for y, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                if left.get(y, 0):
-                    left[y] -= 1
-                    texts.append(t)
-                    marks.append(y)
-        model = fit(texts, marks)
+            use = []
+            for y in batch.column(0).to_pylist():
+                use.append(left.get(y, 0) > 0)
+                left[y] = left.get(y, 0) - 1
+            marks += [y for y, u in zip(batch.column(0).to_pylist(), use, strict=True) if u]
+            texts.append(batch.column(1).filter(pa.array(use)).cast(pa.large_string()))
+        model = fit(pa.concat_arrays(texts), marks) if texts else fit([], [])
         yield pa.RecordBatch.from_arrays([pa.array([model.grams.tobytes()]), pa.array([model.bias])], names=["grams", "bias"])
 
     ordered = found.repartition(1).sortWithinPartitions(F.xxhash64("_doc"), "_doc", F.xxhash64("_text"))

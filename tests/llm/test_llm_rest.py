@@ -170,6 +170,28 @@ def test_toxicity_of_odd_texts(spark, make_docs, odd_rows):
     assert toxicity.score(make_docs([]), empty).count() == 0
 
 
+def test_toxicity_learns_from_long_texts(spark, make_docs):
+    rows, labels = toxic_rows()
+    tail = " ".join(["than", "on", "er"] * 2000)
+    long = [(d, f"{t} {tail}", s) for d, t, s in rows]
+    assert min(len(t) for _, t, _ in long) > 1 << 14
+    labels = spark.createDataFrame(labels, "doc_id long, toxic int")
+    model = toxicity.train(make_docs(long), labels)
+    held = toxicity.score(make_docs(long), model).where(toxicity.held_out(F.col("doc_id"))).join(labels, "doc_id").collect()
+    toxic, other = ([r["score"] for r in held if r["toxic"] == y] for y in (1, 0))
+    assert np.mean([t > o for t in toxic for o in other]) > 0.95
+    # however little may be learned from, each class has a text
+    least = toxicity.train(make_docs(long), labels, sample_bytes=1)
+    assert abs(least.bias) < 20 and least.grams.any()
+
+
+def test_toxicity_labels_without_documents_take_no_place(spark, make_docs):
+    rows, labels = toxic_rows()
+    more = labels + [(100_000 + k, k % 2) for k in range(4000)]
+    a, b = (toxicity.train(make_docs(rows), spark.createDataFrame(x, "doc_id long, toxic int"), per_class=20) for x in (labels, more))
+    assert (a.grams == b.grams).all() and a.bias == b.bias
+
+
 def test_windows_cover_every_word():
     for n in (0, 1, 15, 16, 17, 31, 100):
         begin, end, _ = toxicity.windows(np.array([0, n]))
