@@ -7,6 +7,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from llm_fixtures import SF, make_docs, odd_rows  # noqa: F401
 from rotorwatch.llm import components, exact, interleave, nearcopies, repeats, shingles
@@ -189,6 +190,16 @@ def test_repeated_passages(make_docs, odd_rows, crowd, monkeypatch):
     assert repeats.remove_repeats(make_docs([])).count() == 0
 
 
+def test_repeated_passages_of_rows_with_one_id(spark, make_docs):
+    """Two texts of one id whose 32-bit hashes are equal stay two texts."""
+    texts = spark.range(300_000).select(F.concat(F.sha2(F.col("id").cast("string"), 256), F.sha2(F.concat(F.lit("x"), "id"), 256)).alias("t"))
+    one, other = texts.groupBy(F.hash("t")).agg(F.sort_array(F.collect_list("t")).alias("ts")).where("size(ts) > 1").orderBy("ts").first()["ts"][:2]
+    rows = [(None, one, "a"), (None, other, "a"), (3, "q" + one[10:110] + "z", "a")]
+    got = repeats.remove_repeats(make_docs(rows), length=80, gram=16).collect()
+    want = [(d, spans, left) for (d, _, _), (spans, left) in zip(rows, brute([t.encode() for _, t, _ in rows], 80), strict=True)]
+    assert sorted(str((r["doc_id"], [tuple(s) for s in r["spans"]], bytes(r["kept"]))) for r in got) == sorted(map(str, want))
+
+
 def test_repeated_passages_of_documents(spark):
     docs = spark.read.parquet(f"{SF}/sf0.001/documents.parquet")
     rows = [(r["doc_id"], (r["text"] or "").encode()) for r in docs.collect()]
