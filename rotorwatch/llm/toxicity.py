@@ -175,38 +175,38 @@ def train(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
     documents that are labelled and not held out.  ``sample_bytes`` bounds them together, a third of it for toxic texts: of
     each class, texts are taken until its share is full, the last one as a whole, so each class has one at least.  One
     task fits, on no more than those texts; the driver gets the model alone.  Null labels and ids are left out; a
-    document labelled more than once is toxic if any label says so."""
+    document labelled more than once is toxic if any label says so; of rows with one id, that with the least hash of its
+    text counts."""
     marked = labels.where(F.col(label).isNotNull() & F.col(doc_id).isNotNull()).groupBy(F.col(doc_id).alias("_id")).agg(F.max(label).cast("int").alias("_y")).where(~held_out(F.col("_id")))
     texts = docs.select(F.col(doc_id).alias("_doc"), F.coalesce(F.col(text), F.lit("")).alias("_text")).where("_doc IS NOT NULL")
     # labels without a document take no place in the sample
-    sizes = texts.groupBy("_doc").agg(F.sum(F.octet_length("_text")).alias("_bytes"))
-    sizes = kept(sizes.join(marked, F.col("_doc") == F.col("_id")).select("_doc", "_y", "_bytes"), "toxicity-sizes")
+    texts = texts.withColumn("_hash", F.xxhash64("_text"))
+    sizes = texts.groupBy("_doc").agg(F.min(F.struct("_hash", F.octet_length("_text").alias("_bytes"))).alias("_one")).select("_doc", "_one.*")
+    sizes = kept(sizes.join(marked, F.col("_doc") == F.col("_id")).select("_doc", "_hash", "_y", "_bytes"), "toxicity-sizes")
     most = {0: 2 * per_class, 1: per_class}
     chosen = []
     for y, n in most.items():
         left = max(1, sample_bytes * n // (3 * per_class))
         for r in sizes.where(F.col("_y") == y).orderBy(F.xxhash64("_doc"), "_doc").limit(n).collect():
             if left > 0:
-                chosen.append((r["_doc"], y))
+                chosen.append((r["_doc"], r["_hash"], y))
                 left -= r["_bytes"]
     if not chosen:
         return fit([], [])
-    small = F.broadcast(docs.sparkSession.createDataFrame(chosen, T.StructType([T.StructField("_id", docs.schema[doc_id].dataType), T.StructField("_y", T.IntegerType())])))
-    found = kept(texts.join(small, F.col("_doc") == F.col("_id")).select("_doc", "_y", "_text"), "toxicity-sample")
+    small = F.broadcast(docs.sparkSession.createDataFrame(chosen, T.StructType([T.StructField("_id", docs.schema[doc_id].dataType), T.StructField("_least", T.LongType()), T.StructField("_y", T.IntegerType())])))
+    found = texts.join(small, (F.col("_doc") == F.col("_id")) & (F.col("_hash") == F.col("_least")))
+    # equal rows become one before they leave their tasks
+    found = kept(found.groupBy("_doc", "_y").agg(F.min("_text").alias("_text")), "toxicity-sample")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        texts, marks, left = [], [], dict(most)
+        texts, marks = [], []
         for batch in batches:
-            use = []
-            for y in batch.column(0).to_pylist():
-                use.append(left.get(y, 0) > 0)
-                left[y] = left.get(y, 0) - 1
-            marks += [y for y, u in zip(batch.column(0).to_pylist(), use, strict=True) if u]
-            texts.append(batch.column(1).filter(pa.array(use)).cast(pa.large_string()))
+            marks += batch.column(0).to_pylist()
+            texts.append(batch.column(1).cast(pa.large_string()))
         model = fit(pa.concat_arrays(texts), marks) if texts else fit([], [])
         yield pa.RecordBatch.from_arrays([pa.array([model.grams.tobytes()]), pa.array([model.bias])], names=["grams", "bias"])
 
-    ordered = found.repartition(1).sortWithinPartitions(F.xxhash64("_doc"), "_doc", F.xxhash64("_text"))
+    ordered = found.repartition(1).sortWithinPartitions(F.xxhash64("_doc"), "_doc")
     rows = arrow_rows(ordered, "_y", "_text").mapInArrow(tidy(work), "grams binary, bias double").collect()
     return Model(np.frombuffer(bytes(rows[0]["grams"])), rows[0]["bias"]) if rows else fit([], [])
 

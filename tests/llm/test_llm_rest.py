@@ -192,6 +192,14 @@ def test_toxicity_labels_without_documents_take_no_place(spark, make_docs):
     assert (a.grams == b.grams).all() and a.bias == b.bias
 
 
+def test_toxicity_learns_a_repeated_row_once(spark, make_docs):
+    rows, labels = toxic_rows(200)
+    labels = spark.createDataFrame(labels, "doc_id long, toxic int")
+    more = [r for r in rows for _ in range(1 if r[0] % 8 else 30)]
+    a, b = (toxicity.train(make_docs(x), labels, per_class=20) for x in (rows, more))
+    assert (a.grams == b.grams).all() and a.bias == b.bias
+
+
 def test_windows_cover_every_word():
     for n in (0, 1, 15, 16, 17, 31, 100):
         begin, end, _ = toxicity.windows(np.array([0, n]))
