@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rotorwatch.llm import ann, chat, counts, exact, mixing, nearcopies, packing, repeats, tokenfiles, toxicity
+from rotorwatch.llm import ann, chat, counts, divergence, exact, infill, jaccardjoin, mixing, nearcopies, packing, repeats, tokenfiles, toxicity
 from rotorwatch.llm.common import table, tokenizer_file
 
 WORDS, BYTES = "word_bpe_49k.json", "byte_bpe_50k.json"
@@ -75,6 +75,20 @@ def op10_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return left.select("doc_id", "n_bytes", n_removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op11_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccardjoin.jaccard_join(table(spark, sf_dir, "documents"))
+
+
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = infill.transform(table(spark, sf_dir, "documents"))
+    digests = (F.sha2(c, 256) for c in (F.col("output"), infill.restored()))
+    return made.select("doc_id", "n", "form", "prefix_chars", "middle_chars", *(d.alias(a) for d, a in zip(digests, ("output_sha256", "restored_sha256"), strict=True)))
+
+
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_format": op1_chat_format,
     "op2_mixing": op2_mixing,
@@ -86,4 +100,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_token_files": op8_token_files,
     "op9_toxicity": op9_toxicity,
     "op10_repeated_passages": op10_repeated_passages,
+    "op11_jaccard_join": op11_jaccard_join,
+    "op12_fill_in_middle": op12_fill_in_middle,
+    "op13_source_divergence": op13_source_divergence,
 }
