@@ -8,11 +8,12 @@ are replicated into the cell's window.  So every linked pair meets in the home c
 the same way again, down to a few documents that are compared outright.  All comparisons are on full sets.
 
 In Jaccard space nearly all documents are at distance one of each other, and no pivot tells them apart.  The first
-regions therefore are what shared rare shingles connect: of any floor((1 - t) n) + 1 shingles of a set, a linked one has
-one, and it suffices to look at those that come first in one order of all shingles, here frequent ones last; documents
-whose sizes rule out a link don't meet there.  Regions beyond ``LEAF`` shingles are cut by pivots in parallel, chunk by chunk;
-smaller ones are joined in one task.  A region that pivots do not halve is compared in blocks, where documents that are
-linked with one pivot need not be compared with each other: what is wanted is what connects, not all pairs.
+regions therefore are what equal parts of sets connect: shingles are dealt to more parts, by their hash, than two linked
+sets of a size class can differ in, so linked sets have an equal part.  Shingles that many texts hold are left out of
+the parts, so that a common passage doesn't make parts equal.  Regions beyond ``LEAF`` shingles are cut by pivots in parallel,
+chunk by chunk; smaller ones are joined in one task.  A region that pivots do not halve is compared in blocks, where
+documents that are linked with one pivot need not be compared with each other: what is wanted is what connects, not
+all pairs.
 """
 
 from __future__ import annotations
@@ -42,25 +43,34 @@ SLICE = 8 << 20
 _SLACK = 1e-9  # distances are compared as doubles, links as integers
 
 
-def frequent_shingles(docs: DataFrame, text: str, words: int) -> np.ndarray:
-    """At most ``FREQUENT`` shingles that many documents hold, by what the slices of text put forward.  They decide the order
-    of shingles alone: any order gives the same links."""
+def _ref(sigs: list[bytes]) -> np.ndarray:
+    return np.frombuffer(b"".join(sigs), np.int64)[::2]
+
+
+def set_rows(docs: DataFrame, doc_id: str, text: str, words: int) -> tuple[DataFrame, np.ndarray]:
+    """(id, n, sig, ref) of all rows, each one's set size, 128 bits that stand for its set, and the first 64 of them; and at most ``FREQUENT`` shingles that
+    many sets hold, by what the slices of text put forward.  Those decide which regions there are, never which links."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for _, part in text_slices(batch.column(0), SLICE):
-                sets = [s for s in shingles.shingle_sets(part, words) if len(s)]
-                if not sets:
-                    continue
-                found, n = np.unique(np.concatenate(sets), return_counts=True)
+            for at, part in text_slices(batch.column(1), SLICE):
+                sets = shingles.shingle_sets(part, words)
+                sigs = [shingles.signature(s) for s in sets]
+                different = dict(zip(sigs, sets, strict=True))
+                found, n = np.unique(np.concatenate(list(different.values())), return_counts=True)
                 found, n = found[n >= 8], n[n >= 8]
                 if len(n) > SLICE_FREQUENT:
                     top = np.argpartition(-n, SLICE_FREQUENT)[:SLICE_FREQUENT]
                     found, n = found[top], n[top]
-                yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(n)], names=["shingle", "n"])
+                yield rows([batch.column(0).slice(at, len(part)), pa.array([len(s) for s in sets], pa.int64()), pa.array(sigs, pa.binary()), pa.array(_ref(sigs))])
+                yield rows([pa.nulls(len(n), batch.column(0).type), pa.array(n), pa.nulls(len(n), pa.binary()), pa.array(found.view(np.int64))])
+
+    def rows(columns: list[pa.Array]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays(columns, names=["id", "n", "sig", "ref"])
 
-    found = arrow_rows(docs, text).mapInArrow(tidy(work), "shingle long, n long").groupBy("shingle").agg(F.sum("n").alias("n"))
-    found = kept(found, "frequent-shingles")
+    out = T.StructType([T.StructField("id", docs.schema[doc_id].dataType), T.StructField("n", T.LongType()), T.StructField("sig", T.BinaryType()), T.StructField("ref", T.LongType())])
+    both = kept(arrow_rows(docs, doc_id, text).mapInArrow(tidy(work), out), "join-sets")
+    found = kept(both.where("sig IS NULL").groupBy(F.col("ref").alias("shingle")).agg(F.sum("n").alias("n")), "frequent-shingles")
     held, least = 0, None
     level = F.floor(F.log2("n")).cast("int").alias("level")
     for r in found.groupBy(level).count().orderBy(F.desc("level")).collect():  # some 60 rows
@@ -68,40 +78,83 @@ def frequent_shingles(docs: DataFrame, text: str, words: int) -> np.ndarray:
         if held > FREQUENT:
             break
         least = 1 << r["level"]
-    rows = found.where(F.col("n") >= least).select("shingle").collect() if least else []
-    return np.sort(np.array([r[0] for r in rows], np.int64).view(np.uint64))
+    frequent = found.where(F.col("n") >= least).select("shingle").collect() if least else []
+    return both.where("sig IS NOT NULL"), np.sort(np.array([r[0] for r in frequent], np.int64).view(np.uint64))
 
 
-def first_keys(own: np.ndarray, frequent: np.ndarray, percent: int) -> np.ndarray:
-    """Keys of a set: its first shingles in the common order, with the size class; two linked sets have one in common."""
+def size_class(n: int) -> tuple[int, int]:
+    """A size's class, and the largest size in it: about half as much again as in the class before."""
+    most = place = 1
+    while most < n:
+        most, place = max(most + 1, most * 3 // 2), place + 1
+    return place, most
+
+
+def part_keys(own: np.ndarray, frequent: np.ndarray, percent: int) -> np.ndarray:
+    """Keys of a set's parts, in all size classes where it may meet a linked set; two different linked sets have one in common.
+
+    Linked sets of at most B shingles differ in at most H = floor(2 B (100 - percent) / (100 + percent)) ones.  In m > H parts at
+    least m - H are equal, and one of them isn't empty unless both sets have m - H empty parts, which only then get keys.
+    """
     n = len(own)
     if not n:
         return np.zeros(0, np.int64)
-    want = n * (100 - percent) // 100 + 1
-    last = frequent[np.minimum(np.searchsorted(frequent, own), len(frequent) - 1)] == own if len(frequent) else np.zeros(n, bool)
-    first = np.concatenate([own[~last], own[last]])[:want]
-    size = n.bit_length()
-    # a linked set has n * 100 // percent shingles at most; two linked ones meet in the class of the larger
-    classes = np.arange(size, (n * 100 // percent).bit_length() + 1, dtype=np.uint64)
-    return shingles._mixed((first[None, :] + (np.uint64(0x9E3779B97F4A7C15) * classes)[:, None]).ravel()).view(np.int64)
-
-
-def set_rows(docs: DataFrame, doc_id: str, text: str, frequent: np.ndarray, percent: int, words: int) -> DataFrame:
-    """(id, n, sig, keys): each row's set size, 128 bits that stand for its set, and its keys."""
+    if len(frequent):
+        own = own[frequent[np.minimum(np.searchsorted(frequent, own), len(frequent) - 1)] != own]
+    mixed = np.concatenate([[np.uint64(0)], np.cumsum(shingles._mixed(own + np.uint64(1)), dtype=np.uint64)])
+    out = []
+    place, most = size_class(n)
+    while True:
+        differ = 2 * most * (100 - percent) // (100 + percent)
+        if differ:  # none: linked sets are equal
+            parts = differ + 1 + differ // 4
+            border = np.searchsorted(own >> np.uint64(32), (np.arange(parts + 1, dtype=np.uint64) << np.uint64(32)) // np.uint64(parts))
+            border[-1] = len(own)
+            some = np.flatnonzero(np.diff(border)) if (np.diff(border) == 0).sum() < parts - differ else np.arange(parts)
+            key = mixed[border[some + 1]] - mixed[border[some]]
+            out.append(shingles._mixed(shingles._mixed(key + some.astype(np.uint64)) + np.uint64(place)))
+        if n * 100 // percent <= most:
+            return np.concatenate(out).view(np.int64) if out else np.zeros(0, np.int64)
+        most, place = max(most + 1, most * 3 // 2), place + 1
+
+
+def meetings(docs: DataFrame, text: str, frequent: np.ndarray, percent: int, words: int) -> DataFrame:
+    """(a, b): pairs of classes that connect all classes with an equal key.  Classes go by the first 64 bits of their signatures: two that
+    share these are in one region, no more."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[bytes] = set()  # copies in one task need their keys but once
         for batch in batches:
-            for at, part in text_slices(batch.column(1)):
-                sets = shingles.shingle_sets(part, words)
-                keys = [first_keys(s, frequent, percent) for s in sets]
-                ends = np.concatenate([[0], np.cumsum([len(k) for k in keys])]).astype(np.int32)
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(at, len(part)), pa.array([len(s) for s in sets], pa.int64()), pa.array([shingles.signature(s) for s in sets], pa.binary()),
-                     pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(keys)))], names=["id", "n", "sig", "keys"])
+            for _, part in text_slices(batch.column(0)):
+                keys, of = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+                for own in shingles.shingle_sets(part, words):
+                    sig = shingles.signature(own)
+                    if sig not in seen:
+                        seen.add(sig)
+                        keys.append(part_keys(own, frequent, percent))
+                        of.append(np.full(len(keys[-1]), _ref([sig])[0]))
+                if len(seen) > 1 << 16:
+                    seen.clear()
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys)), pa.array(np.concatenate(of))], names=["key", "ref"])
+
+    def edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, center = None, None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            key, ref = np.asarray(batch.column(0)), np.asarray(batch.column(1))
+            new = np.append(True, key[1:] != key[:-1])
+            new[0] = key[0] != last
+            begins = np.flatnonzero(new)
+            centers = ref[begins][np.cumsum(new) - 1] if len(begins) else np.zeros(len(ref), np.int64)
+            if not new[0]:
+                centers[: begins[0] if len(begins) else len(ref)] = center
+            last, center = key[-1], centers[-1]
+            pairs = np.unique(np.stack([ref, centers], axis=1)[ref != centers], axis=0)
+            yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
 
-    out = T.StructType([T.StructField("id", docs.schema[doc_id].dataType), T.StructField("n", T.LongType()), T.StructField("sig", T.BinaryType()),
-                        T.StructField("keys", T.ArrayType(T.LongType()))])
-    return arrow_rows(docs, doc_id, text).mapInArrow(tidy(work), out)
+    rows = arrow_rows(docs, text).mapInArrow(tidy(work), "key long, ref long").repartition("key").sortWithinPartitions("key", "ref")
+    return rows.mapInArrow(tidy(edges), "a long, b long").distinct()
 
 
 # what a task does with the sets it holds
@@ -411,16 +464,11 @@ def jaccard_join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", pe
     An empty table gives no rows; other columns of ``docs``, whatever their names, are not read.  ``leaf``: shingles of a region that
     one task joins.
     """
-    rows = kept(set_rows(docs, doc_id, text, frequent_shingles(docs, text, words), percent, words), "join-sets")
-    classes = kept(rows.where("n > 0").groupBy("sig").agg(F.min("id").alias("least"), F.first("n").alias("n"), F.first("keys").alias("keys")), "join-classes")
-    keys = kept(classes.select("sig", F.explode("keys").alias("key")), "join-keys")
-    shared = keys.groupBy("key").agg(F.min("sig").alias("center"), F.max("sig").alias("_last")).where("center < _last").select(F.col("key").alias("_key"), "center")
-    pairs = keys.join(shared, F.col("key") == F.col("_key")).where("sig != center").select(F.col("sig").alias("a"), F.col("center").alias("b"))
-    roots = kept(components(pairs), "join-regions")
+    rows, frequent = set_rows(docs, doc_id, text, words)
+    ids = kept(rows.where("n > 0").groupBy("sig").agg(F.min("id").alias("least"), F.first("n").alias("n"), F.first("ref").alias("ref")), "join-classes")
+    roots = kept(components(kept(meetings(docs, text, frequent, percent, words), "join-meetings")), "join-regions")
     roots = roots.unionByName(roots.select(F.col("root").alias("node"), "root").distinct())
-
-    ids = classes.select("sig", "least", "n")
-    wanted = kept(ids.join(roots, F.col("sig") == F.col("node")).select("sig", "least", "n", F.xxhash64("root").alias("region")), "join-wanted")
+    wanted = kept(ids.join(roots, F.col("ref") == F.col("node")).select("sig", "least", "n", F.col("root").alias("region")), "join-wanted")
     regions = own_sets(docs, doc_id, text, wanted, words).join(wanted, "sig")
     regions = kept(regions.select("region", F.lit((1 << 63) - 1).alias("ceiling"), F.lit(True).alias("home"), F.col("sig").alias("root"), "sig", "n", "own"), "regions")
     roots = components(joined(regions, percent, leaf))
@@ -428,6 +476,6 @@ def jaccard_join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", pe
     named = ids.join(roots, F.col("sig") == F.col("node"), "left").select("sig", "least", F.coalesce("root", "sig").alias("_root"))
     least = named.groupBy(F.col("_root").alias("_r")).agg(F.min("least").alias("component_id"))
     named = named.join(least, F.col("_root") == F.col("_r")).select(F.col("sig").alias("_sig"), "component_id")
-    out = rows.drop("keys").join(named, (F.col("sig") == F.col("_sig")) & (F.col("n") > 0), "left")
+    out = rows.drop("ref").join(named, (F.col("sig") == F.col("_sig")) & (F.col("n") > 0), "left")
     component = F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("id"))
     return out.select(F.col("id").alias(doc_id), F.col("n").alias("n_shingles"), component.alias("component_id"))

@@ -102,16 +102,19 @@ def test_threshold_is_met_exactly(make_docs):  # noqa: F811
 
 def test_linked_sets_share_a_key():
     rng = np.random.default_rng(5)
-    for percent in (40, 60, 85, 100):
-        for _ in range(150):
-            n = int(rng.integers(1, 80))
-            a = np.unique(rng.integers(0, 10 ** 6, n).astype(np.uint64))
-            b = np.unique(np.concatenate([a[rng.random(len(a)) < 0.9], rng.integers(0, 10 ** 6, int(rng.integers(0, n + 1))).astype(np.uint64)]))
-            frequent = np.sort(rng.choice(a, len(a) // 2, replace=False))
+    linked = 0
+    for percent in (40, 60, 85, 95):
+        for _ in range(400):
+            n = int(rng.integers(1, 90))
+            a = np.unique(rng.integers(0, 2 ** 63, n).astype(np.uint64))
+            b = np.unique(np.concatenate([a[rng.random(len(a)) < rng.uniform(percent / 100, 1)], rng.integers(0, 2 ** 63, int(rng.integers(0, n // 6 + 1))).astype(np.uint64)]))
+            frequent = np.sort(rng.choice(a, int(rng.integers(0, len(a) + 1)), replace=False))
             common = len(np.intersect1d(a, b))
-            if 100 * common >= percent * (len(a) + len(b) - common) and common:
-                keys = (set(jaccardjoin.first_keys(s, frequent, percent).tolist()) for s in (a, b))
-                assert set.intersection(*keys)
+            if 100 * common >= percent * (len(a) + len(b) - common) and common and not np.array_equal(a, b):
+                linked += 1
+                keys = [set(jaccardjoin.part_keys(s, frequent, percent).tolist()) for s in (a, b)]
+                assert keys[0] & keys[1]
+    assert linked > 200
 
 
 # fill in the middle
