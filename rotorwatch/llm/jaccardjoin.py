@@ -213,10 +213,29 @@ def overlaps(left: list[Member], right: list[Member]) -> tuple[np.ndarray, np.nd
     at = np.minimum(np.searchsorted(table, mine), len(table) - 1)
     hit = np.flatnonzero(table[at] == mine)
     who, at = np.repeat(np.arange(len(left)), n[0])[hit], at[hit]
+    # shingles that many hold are multiplied as matrices, others are looked up
+    common = np.flatnonzero(count > max(8, len(right) // 8))
+    inter = np.zeros((len(left), len(right)), np.int64)
+    place = np.full(len(table), -1)
+    for begin in range(0, len(common), 512):
+        some = common[begin: begin + 512]
+        place[:] = -1
+        place[some] = np.arange(len(some))
+        mine_in, their_in = (np.zeros((k, len(some)), np.float32) for k in (len(left), len(right)))
+        held = np.flatnonzero(place[at] >= 0)
+        mine_in[who[held], place[at[held]]] = 1
+        column = np.repeat(place, count)
+        held = np.flatnonzero(column >= 0)
+        their_in[owner[held], column[held]] = 1
+        inter += (mine_in @ their_in.T).astype(np.int64)
+    place[:] = 0
+    place[common] = -1
+    rare = place[at] >= 0
+    who, at = who[rare], at[rare]
     each = count[at]
     step = np.arange(int(each.sum())) - np.repeat(np.cumsum(each) - each, each)
     cell = np.repeat(who, each) * len(right) + owner[np.repeat(first[at], each) + step]
-    inter = np.bincount(cell, minlength=len(left) * len(right)).reshape(len(left), len(right))
+    inter += np.bincount(cell, minlength=len(left) * len(right)).reshape(len(left), len(right))
     return inter, n[0][:, None] + n[1][None, :] - inter
 
 
@@ -334,13 +353,13 @@ def leaf_links(regions: DataFrame, percent: int) -> DataFrame:
                 join(members, percent, links)
                 yield links.take()
                 members = []
-            members += _members(rows)
+            members += [m for m in _members(rows) if not (members and members[-1].sig == m.sig and members[-1].home)]
         if members:
             links = Links()
             join(members, percent, links)
             yield links.take()
 
-    rows = regions.repartition("region").sortWithinPartitions("region", "sig")
+    rows = regions.repartition("region").sortWithinPartitions("region", "sig", F.desc("home"))
     return arrow_rows(rows, "region", "home", "root", "sig", "own").mapInArrow(tidy(work), "a binary, b binary")
 
 
@@ -441,18 +460,23 @@ def joined(regions: DataFrame, percent: int, leaf: int = LEAF) -> DataFrame:
 
 
 def own_sets(docs: DataFrame, doc_id: str, text: str, wanted: DataFrame, words: int) -> DataFrame:
-    """(sig, own): the full set of each class in ``wanted`` (sig, least), from a row with an id of the class."""
+    """``wanted`` (sig, least, n, region) as members of their regions, with their full sets, from rows with an id of the class: a row
+    per class, or a few where rows repeat an id and a text."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[bytes] = set()
         for batch in batches:
             for _, part in text_slices(batch.column(0)):
-                sets = shingles.shingle_sets(part, words)
-                yield pa.RecordBatch.from_arrays([pa.array([shingles.signature(s) for s in sets], pa.binary()), pa.array([s.tobytes() for s in sets], pa.binary())], names=["sig", "own"])
+                found = [(shingles.signature(s), s) for s in shingles.shingle_sets(part, words)]
+                found = [(sig, s.tobytes()) for sig, s in found if not (sig in seen or seen.add(sig))]
+                if len(seen) > 1 << 16:
+                    seen.clear()
+                yield pa.RecordBatch.from_arrays([pa.array([f[k] for f in found], pa.binary()) for k in (0, 1)], names=["sig", "own"])
 
     ids = wanted.select(F.col("least").alias("_id")).distinct()
     rows = docs.select(F.col(doc_id).alias("_doc"), F.col(text).alias("_whole")).join(ids, F.col("_doc").eqNullSafe(F.col("_id")), "left_semi")
-    rows = arrow_rows(rows, "_whole").mapInArrow(tidy(work), "sig binary, own binary")
-    return rows.join(wanted.select("sig"), "sig", "left_semi").groupBy("sig").agg(F.first("own").alias("own"))
+    rows = arrow_rows(rows, "_whole").mapInArrow(tidy(work), "sig binary, own binary").join(wanted, "sig")
+    return rows.select("region", F.lit((1 << 63) - 1).alias("ceiling"), F.lit(True).alias("home"), F.col("sig").alias("root"), "sig", "n", "own")
 
 
 def jaccard_join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = PERCENT, words: int = WORDS, leaf: int = LEAF) -> DataFrame:
@@ -469,9 +493,13 @@ def jaccard_join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", pe
     roots = kept(components(kept(meetings(docs, text, frequent, percent, words), "join-meetings")), "join-regions")
     roots = roots.unionByName(roots.select(F.col("root").alias("node"), "root").distinct())
     wanted = kept(ids.join(roots, F.col("ref") == F.col("node")).select("sig", "least", "n", F.col("root").alias("region")), "join-wanted")
-    regions = own_sets(docs, doc_id, text, wanted, words).join(wanted, "sig")
-    regions = kept(regions.select("region", F.lit((1 << 63) - 1).alias("ceiling"), F.lit(True).alias("home"), F.col("sig").alias("root"), "sig", "n", "own"), "regions")
-    roots = components(joined(regions, percent, leaf))
+    # regions that a task holds are joined as they come; others are written, to be cut
+    large = kept(wanted.groupBy("region").agg(F.sum("n").alias("_total")).where(F.col("_total") > leaf).select("region"), "join-large")
+    links = leaf_links(own_sets(docs, doc_id, text, wanted.join(large, "region", "left_anti"), words), percent)
+    if large.limit(1).count():
+        regions = kept(own_sets(docs, doc_id, text, wanted.join(large, "region", "left_semi"), words).dropDuplicates(["sig"]), "regions")
+        links = links.unionByName(joined(regions, percent, leaf))
+    roots = components(links)
 
     named = ids.join(roots, F.col("sig") == F.col("node"), "left").select("sig", "least", F.coalesce("root", "sig").alias("_root"))
     least = named.groupBy(F.col("_root").alias("_r")).agg(F.min("least").alias("component_id"))
