@@ -473,7 +473,8 @@ def own_sets(docs: DataFrame, doc_id: str, text: str, wanted: DataFrame, words:
                     seen.clear()
                 yield pa.RecordBatch.from_arrays([pa.array([f[k] for f in found], pa.binary()) for k in (0, 1)], names=["sig", "own"])
 
-    ids = wanted.select(F.col("least").alias("_id")).distinct()
+    wanted = kept(wanted, "join-wanted")  # joined by its measured size: while it is small, no text is shuffled
+    ids = wanted.select(F.col("least").alias("_id"))
     rows = docs.select(F.col(doc_id).alias("_doc"), F.col(text).alias("_whole")).join(ids, F.col("_doc").eqNullSafe(F.col("_id")), "left_semi")
     rows = arrow_rows(rows, "_whole").mapInArrow(tidy(work), "sig binary, own binary").join(wanted, "sig")
     return rows.select("region", F.lit((1 << 63) - 1).alias("ceiling"), F.lit(True).alias("home"), F.col("sig").alias("root"), "sig", "n", "own")
@@ -490,9 +491,9 @@ def jaccard_join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", pe
     """
     rows, frequent = set_rows(docs, doc_id, text, words)
     ids = kept(rows.where("n > 0").groupBy("sig").agg(F.min("id").alias("least"), F.first("n").alias("n"), F.first("ref").alias("ref")), "join-classes")
-    roots = kept(components(kept(meetings(docs, text, frequent, percent, words), "join-meetings")), "join-regions")
+    roots = kept(components(meetings(docs, text, frequent, percent, words)), "join-roots")
     roots = roots.unionByName(roots.select(F.col("root").alias("node"), "root").distinct())
-    wanted = kept(ids.join(roots, F.col("ref") == F.col("node")).select("sig", "least", "n", F.col("root").alias("region")), "join-wanted")
+    wanted = kept(ids.join(roots, F.col("ref") == F.col("node")).select("sig", "least", "n", F.col("root").alias("region")), "join-regions")
     # regions that a task holds are joined as they come; others are written, to be cut
     large = kept(wanted.groupBy("region").agg(F.sum("n").alias("_total")).where(F.col("_total") > leaf).select("region"), "join-large")
     links = leaf_links(own_sets(docs, doc_id, text, wanted.join(large, "region", "left_anti"), words), percent)
