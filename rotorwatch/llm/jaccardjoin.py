@@ -23,7 +23,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -35,7 +35,8 @@ from rotorwatch.llm.pretokens import text_slices
 WORDS = 4
 PERCENT = 85
 RADIUS = 0.5  # distance to its pivot up to which a document is at home in a cell
-LEAF = 1 << 20  # shingles of a region that one task joins
+LEAF = 1 << 22  # shingles of a region that one task joins (32 MB); a document counts as 512 at least
+SPREAD = 3.0  # cells a member may be in, on average, for a cut to pay
 FEW = 48  # documents compared outright
 FREQUENT = 1 << 16  # frequent shingles that the order puts last: a fixed bound of 512 KB
 SLICE_FREQUENT = 4_096  # what each slice of text puts forward
@@ -277,6 +278,15 @@ def placed(members: list[Member], pivots: list[Member], percent: int, links: Lin
                 yield int(c), Member(False, root, m.sig, m.own)
 
 
+def whole(members: list[Member], pivots: list[Member], percent: int, links: Links) -> list[Member]:
+    """``members``, each with a pivot that it is linked with for its root.  Adds those links."""
+    inter, union = overlaps(members, pivots)
+    linked = 100 * inter >= percent * union
+    for k, j in zip(*np.nonzero(linked), strict=True):
+        links.add(members[k].sig, pivots[j].sig)
+    return [Member(m.home, pivots[int(row.argmax())].sig if row.any() else m.root, m.sig, m.own) for m, row in zip(members, linked, strict=True)]
+
+
 def outright(asking: list[Member], members: list[Member], percent: int, links: Links) -> None:
     """Links of ``asking`` members with all, where one of the two is at home, block by block."""
     home = np.array([m.home for m in members])
@@ -342,6 +352,11 @@ def _groups(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[tuple[bool
                 before, begin = values[begin], k
 
 
+def weight(leaf: int) -> Column:
+    """A member's share of a task of ``leaf`` shingles, so that neither shingles nor members add up."""
+    return F.greatest("n", F.lit(leaf >> 13))
+
+
 def leaf_links(regions: DataFrame, percent: int) -> DataFrame:
     """(a, b): links inside regions that fit a task each."""
 
@@ -371,7 +386,8 @@ def cut(regions: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
     """(cells, links) of regions that are too large for a task: (region, ceiling, home, root, sig, n, own) again, and links with pivots.
 
     ``regions`` also has ``parts`` (chunks that its members are dealt to), ``first`` (its first member by ``dice``) and ``dice``, a
-    hash.  The pivots of a region fill a quarter of a task, and every chunk gets them all.
+    hash.  The pivots of a region fill a quarter of a task, and every chunk gets them all.  Where the pivots themselves show that
+    cells would overlap too much to be worth it, the region stays whole, under a ceiling of 0.
     """
     pivot = F.col("home") & ((F.pmod("dice", F.col("parts")) == 0) | (F.col("sig") == F.col("first")))
     chunk = F.pmod(F.xxhash64("sig", F.lit(2)), F.col("parts")).cast("long")
@@ -393,8 +409,14 @@ def cut(regions: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
             if not ready:
                 stay, ready = apart(pivots, percent), True
                 names = [_cell(region, p.sig) for p in stay] + [_cell(region, b"")]
+                pays = sum(1 for _ in placed(pivots, stay, percent, links)) <= SPREAD * len(pivots)
             for at in range(0, batch.num_rows, 512):
-                found = list(placed(_members(batch.slice(at, 512)), stay, percent, links))
+                members = _members(batch.slice(at, 512))
+                if pays:
+                    found = list(placed(members, stay, percent, links))
+                else:
+                    found = [(-1, m) for m in whole(members, stay, percent, links)]
+                    ceiling = 0
                 cells = [[names[c] for c, _ in found], [ceiling] * len(found), [m.home for _, m in found], [m.root for _, m in found], [m.sig for _, m in found],
                          [len(m.own) for _, m in found], [m.own.tobytes() for _, m in found]]
                 pairs, links.found = links.found, []
@@ -440,7 +462,7 @@ def joined(regions: DataFrame, percent: int, leaf: int = LEAF) -> DataFrame:
     found = None
     while True:
         dice = F.xxhash64("region", "sig")
-        sizes = regions.groupBy("region").agg(F.sum("n").alias("total"), F.max("ceiling").alias("most"), F.bool_or("home").alias("some"), F.min_by("sig", dice).alias("any"),
+        sizes = regions.groupBy("region").agg(F.sum(weight(leaf)).alias("total"), F.max("ceiling").alias("most"), F.bool_or("home").alias("some"), F.min_by("sig", dice).alias("any"),
                                               F.min_by("sig", F.when(F.col("home"), dice)).alias("first")).where("some")
         sizes = kept(sizes.drop("some", "any"), "region-sizes")
         fits = F.col("total") <= leaf
@@ -452,7 +474,7 @@ def joined(regions: DataFrame, percent: int, leaf: int = LEAF) -> DataFrame:
             return found.unionByName(links) if found is not None else links
         rows = regions.drop("ceiling").join(large, "region").withColumn("dice", dice)
         stuck = F.col("total") > F.col("most")
-        links = links.unionByName(block_links(rows.where(stuck), percent))
+        links = links.unionByName(block_links(rows.where(stuck).withColumn("parts", F.ceil(F.col("parts") / 2)), percent))
         cells, more = cut(rows.where(~stuck).withColumn("ceiling", (F.col("total") / 2).cast("long")), percent)
         links = kept(links, "links").unionByName(more)
         found = found.unionByName(links) if found is not None else links
@@ -495,7 +517,7 @@ def jaccard_join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", pe
     roots = roots.unionByName(roots.select(F.col("root").alias("node"), "root").distinct())
     wanted = kept(ids.join(roots, F.col("ref") == F.col("node")).select("sig", "least", "n", F.col("root").alias("region")), "join-regions")
     # regions that a task holds are joined as they come; others are written, to be cut
-    large = kept(wanted.groupBy("region").agg(F.sum("n").alias("_total")).where(F.col("_total") > leaf).select("region"), "join-large")
+    large = kept(wanted.groupBy("region").agg(F.sum(weight(leaf)).alias("_total")).where(F.col("_total") > leaf).select("region"), "join-large")
     links = leaf_links(own_sets(docs, doc_id, text, wanted.join(large, "region", "left_anti"), words), percent)
     if large.limit(1).count():
         regions = kept(own_sets(docs, doc_id, text, wanted.join(large, "region", "left_semi"), words).dropDuplicates(["sig"]), "regions")
