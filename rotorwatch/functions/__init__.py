@@ -7,9 +7,9 @@ from rotorwatch.functions.columns import (  # noqa: F401
     first_present,
     fixed_decimals,
     health_status,
-    mean,
     reading_anomaly,
     safe_timestamp,
     shifted_event_time,
     status_label,
 )
+from rotorwatch.functions.exact import partial_means, whole_mean  # noqa: F401

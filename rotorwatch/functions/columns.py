@@ -49,12 +49,6 @@ def shifted_event_time(ts: str | Column = "event_time") -> Column:
     return col(ts) - F.expr("INTERVAL '0.000001' SECOND")
 
 
-def mean(c: str | Column) -> Column:
-    """Average of non-null values in double precision (null when none): no digit of the input is dropped, and no finite value
-    is refused.  Summation order may move the last bits; queries round where they are compared."""
-    return F.avg(col(c))
-
-
 def health_status(max_vibration: str | Column, max_temp: str | Column,
                   vib_limit: float, temp_limit: float) -> Column:
     """ALERT when a maximum is strictly above its limit; null maxima never alert."""

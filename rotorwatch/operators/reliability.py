@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from rotorwatch.config import DEFAULT, Settings
-from rotorwatch.functions import mean, reading_anomaly
+from rotorwatch.functions import partial_means, reading_anomaly, whole_mean
 from rotorwatch.operators.quality import split_valid
 
 
@@ -33,12 +33,12 @@ def daily_metrics(deduped: DataFrame, cfg: Settings = DEFAULT) -> DataFrame:
     """Per (machine_id, UTC date): reading count, anomaly count, average
     temperature and vibration, and uptime_score = 1 - anomalies / readings."""
     anomaly = reading_anomaly("temperature", "vibration", cfg.reading_temp_limit, cfg.reading_vib_limit)
-    agg = (deduped
-           .groupBy("machine_id", F.to_date("event_time").alias("date"))
-           .agg(F.count(F.lit(1)).alias("total_readings"),
-                F.count_if(anomaly).alias("anomaly_count"),
-                mean("temperature").alias("avg_daily_temp"),
-                mean("vibration").alias("avg_daily_vibration")))
+    parts = partial_means(deduped, ["machine_id", F.to_date("event_time").alias("date")],
+                          {"temperature": "avg_daily_temp", "vibration": "avg_daily_vibration"},
+                          F.count(F.lit(1)).alias("total_readings"), F.count_if(anomaly).alias("anomaly_count"))
+    agg = parts.groupBy("machine_id", "date").agg(
+        F.sum("total_readings").alias("total_readings"), F.sum("anomaly_count").alias("anomaly_count"),
+        whole_mean("avg_daily_temp").alias("avg_daily_temp"), whole_mean("avg_daily_vibration").alias("avg_daily_vibration"))
     return agg.withColumn("uptime_score", 1 - F.col("anomaly_count") / F.col("total_readings"))
 
 

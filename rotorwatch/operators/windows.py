@@ -1,7 +1,8 @@
 """Five-minute right-closed status windows.
 
 The same functions serve batch and streaming: a stream adds the watermark on
-``_wt`` between :func:`with_window_time` and :func:`aggregate_windows`.
+``_wt`` between :func:`with_window_time` and :func:`window_parts`, and joins the
+parts of its closed windows in each micro-batch (:func:`windows_of_parts`).
 """
 
 from __future__ import annotations
@@ -12,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rotorwatch.config import DEFAULT, Settings, duration
-from rotorwatch.functions import mean, health_status, shifted_event_time
+from rotorwatch.functions import health_status, partial_means, shifted_event_time, whole_mean
 
 WINDOW_TIME = "_wt"
 
@@ -29,22 +30,28 @@ def with_window_time(readings: DataFrame) -> DataFrame:
             .withColumn(WINDOW_TIME, shifted_event_time("event_time")))
 
 
-def aggregate_windows(readings_wt: DataFrame, cfg: Settings = DEFAULT) -> DataFrame:
-    """Per (machine_id, window): avg/max temperature and vibration, health status.
+def window_parts(readings_wt: DataFrame, cfg: Settings = DEFAULT) -> DataFrame:
+    """Per (machine_id, window), and per magnitude of the measurements: sums that
+    make exact averages, and maxima.
 
     Partial aggregation runs before the shuffle, so a machine with a huge share
-    of readings still sends one partial row per window per map task.
+    of readings still sends one partial row per window per map task.  A window
+    has one part, or two where a measurement crosses a power of 2 ** 28, in
+    practice; all of them close at once.
     """
-    agg = (readings_wt
-           .groupBy("machine_id", F.window(WINDOW_TIME, cfg.window).alias("w"))
-           .agg(mean("temperature").alias("avg_temp"),
-                F.max("temperature").alias("max_temp"),
-                mean("vibration").alias("avg_vibration"),
-                F.max("vibration").alias("max_vibration")))
+    parts = partial_means(readings_wt, ["machine_id", F.window(WINDOW_TIME, cfg.window).alias("w")],
+                          {"temperature": "avg_temp", "vibration": "avg_vibration"},
+                          F.max("temperature").alias("max_temp"), F.max("vibration").alias("max_vibration"))
+    return parts.select("machine_id", F.col("w.end").alias("window_end"), "avg_temp", "max_temp", "avg_vibration", "max_vibration")
+
+
+def windows_of_parts(parts: DataFrame, cfg: Settings = DEFAULT) -> DataFrame:
+    """Per (machine_id, window): avg/max temperature and vibration, health status."""
+    agg = parts.groupBy("machine_id", "window_end").agg(
+        whole_mean("avg_temp").alias("avg_temp"), F.max("max_temp").alias("max_temp"),
+        whole_mean("avg_vibration").alias("avg_vibration"), F.max("max_vibration").alias("max_vibration"))
     return agg.select(
-        "machine_id",
-        F.col("w.end").alias("window_end"),
-        "avg_temp", "max_temp", "avg_vibration", "max_vibration",
+        "machine_id", "window_end", "avg_temp", "max_temp", "avg_vibration", "max_vibration",
         health_status("max_vibration", "max_temp", cfg.window_vib_limit, cfg.window_temp_limit)
         .alias("health_status"),
     )
@@ -52,7 +59,7 @@ def aggregate_windows(readings_wt: DataFrame, cfg: Settings = DEFAULT) -> DataFr
 
 def window_status(readings: DataFrame, cfg: Settings = DEFAULT) -> DataFrame:
     """machine_status rows for every window that has at least one timed reading."""
-    return aggregate_windows(with_window_time(readings), cfg)
+    return windows_of_parts(window_parts(with_window_time(readings), cfg), cfg)
 
 
 def _window_floor(ts: dt.datetime, cfg: Settings) -> dt.datetime:

@@ -7,13 +7,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-AVERAGED = ("avg_temp", "avg_vibration", "avg_daily_temp", "avg_daily_vibration", "mean_vibration", "std_vibration", "zscore")
+# means and spreads of sliding frames, merged in steps that differ between engines; all other averages are exact
+AVERAGED = ("mean_vibration", "std_vibration", "zscore")
 
 
 def zone_free(df: DataFrame) -> DataFrame:
     """UTC timestamps as TIMESTAMP_NTZ (zone-free, wall clock in UTC), and
-    averages rounded to six decimals, as their last bits depend on the order
-    of summation.  Operators and tables keep every digit."""
+    the statistics of sliding frames rounded to six decimals.  Operators and tables keep every digit."""
     def edge(f: T.StructField):
         if isinstance(f.dataType, T.TimestampType):
             return F.col(f.name).cast("timestamp_ntz").alias(f.name)

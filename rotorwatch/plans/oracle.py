@@ -49,7 +49,10 @@ def with_tele(*ctes: str) -> str:
 
 
 def mean(c: str) -> str:
-    return f"round(avg({c}), 6)"
+    """Exact sum of doubles between 2 ** -16 and 2 ** 16 as an integer of 2 ** -68ths, rounded once (as two doubles are added),
+    then divided by the count."""
+    total, step = f"sum(CAST({c} * {2.0 ** 68!r} AS HUGEINT))", 1 << 40
+    return f"(CAST({total} // {step} AS DOUBLE) * {float(step)!r} + CAST({total} % {step} AS DOUBLE)) / count({c}) / {2.0 ** 68!r}"
 
 
 def fixed(c: str, digits: int) -> str:

@@ -15,7 +15,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from rotorwatch.config import DEFAULT, Settings, prepare, shared_dir
 from rotorwatch.operators.ingest import parse_envelopes
-from rotorwatch.operators.windows import WINDOW_TIME, aggregate_windows, with_window_time
+from rotorwatch.operators.windows import WINDOW_TIME, window_parts, windows_of_parts, with_window_time
 from rotorwatch.plans.hot_path import write_batch
 from rotorwatch.sinks.raw import raw_rows, land_batch
 
@@ -70,7 +70,8 @@ def in_time(readings: DataFrame, cfg: Settings = DEFAULT) -> Column:
 
 
 def status_stream(lines: DataFrame, cfg: Settings = DEFAULT) -> DataFrame:
-    """Closed five-minute windows per machine.  The watermark sits on the
+    """Parts of closed five-minute windows per machine; all parts of a window
+    come in one micro-batch, where ``windows_of_parts`` joins them.  The watermark sits on the
     shifted time ``_wt``; a window is emitted once, ``tolerance`` after its end
     has been passed by the newest event time, and later readings for it are
     dropped (counted in ``numRowsDroppedByWatermark``).  Readings ahead of
@@ -78,7 +79,7 @@ def status_stream(lines: DataFrame, cfg: Settings = DEFAULT) -> DataFrame:
     watermark."""
     readings, _ = parse_envelopes(lines, cfg, arrival=True)
     timed = with_window_time(readings.filter(in_time(readings, cfg))).withWatermark(WINDOW_TIME, cfg.tolerance)
-    return aggregate_windows(timed, cfg)
+    return window_parts(timed, cfg)
 
 
 def start_ahead_sink(lines: DataFrame, path: str, checkpoint: str, cfg: Settings = DEFAULT,
@@ -99,7 +100,7 @@ def start_hot_path(lines: DataFrame, root: str, checkpoint: str, cfg: Settings =
     the alert table, in the step that batches take (``hot_path.write_batch``)."""
     shared_dir(lines.sparkSession)
     writer = (status_stream(lines, cfg).writeStream
-              .foreachBatch(lambda batch, _: write_batch(batch.sparkSession, batch, root))
+              .foreachBatch(lambda batch, _: write_batch(batch.sparkSession, windows_of_parts(batch, cfg), root))
               .option("checkpointLocation", f"{checkpoint}/hot_path")
               .outputMode("append"))
     return _trigger(writer, trigger).start()
