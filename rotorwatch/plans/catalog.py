@@ -161,6 +161,33 @@ def q_alert_lifecycle_incremental(spark: SparkSession, sf_dir: str) -> DataFrame
     return zone_free(hot_path.read_alerts(spark, root).drop("alert_id"))
 
 
+@register("alert_lifecycle_shuffled")
+def q_alert_lifecycle_shuffled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The windows in three batches out of order, the first with every health status wrong, then corrected: the alerts of
+    the whole history."""
+    root = scratch_path(spark, "hot")
+    status = _status(spark, sf_dir)
+    part = F.pmod(F.xxhash64("machine_id", "window_end"), F.lit(3))
+    wrong = F.when(F.col("health_status") == "OK", "ALERT").otherwise("OK")
+    hot_path.write_batch(spark, status.filter(part == 0).withColumn("health_status", wrong), root)
+    for k in (2, 1, 0):
+        hot_path.write_batch(spark, status.filter(part == k), root)
+    return zone_free(hot_path.read_alerts(spark, root).drop("alert_id"))
+
+
+@register("open_alerts")
+def q_open_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Alerts that are open after two batches, the later half of the windows first, from the folders of open alerts."""
+    root = scratch_path(spark, "hot")
+    status = _status(spark, sf_dir)
+    late = F.col("window_end") > F.lit(dt.datetime(2024, 1, 2, tzinfo=dt.timezone.utc))
+    for part in (late, ~late):
+        hot_path.write_batch(spark, status.filter(part), root)
+    hot_path.status_table(spark, root).compact()
+    hot_path.alert_table(spark, root).compact()
+    return zone_free(hot_path.read_open_alerts(spark, root).drop("alert_id", "resolved"))
+
+
 @register("raw_mixed_writers")
 def q_raw_mixed_writers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One raw zone, landed by a stream (odd events) and by a batch (even ones): rows per partition."""

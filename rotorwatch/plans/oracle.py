@@ -121,6 +121,8 @@ alerts AS (
 
 ORACLE["alert_lifecycle"] = with_tele(WINDOWS, ALERTS) + "\nSELECT * FROM alerts"
 ORACLE["alert_lifecycle_incremental"] = ORACLE["alert_lifecycle"]
+ORACLE["alert_lifecycle_shuffled"] = ORACLE["alert_lifecycle"]
+ORACLE["open_alerts"] = with_tele(WINDOWS, ALERTS) + "\nSELECT machine_id, triggered_at, reason FROM alerts WHERE NOT resolved"
 ORACLE["raw_mixed_writers"] = ORACLE["raw_rows_by_partition"]
 ORACLE["alert_feed"] = ORACLE["alert_lifecycle"]
 ORACLE["status_feed"] = ORACLE["window_status"]
