@@ -54,6 +54,9 @@ class Settings:
     # a stream takes no reading whose time is further ahead of its arrival:
     # one device clock must not close every machine's windows
     max_ahead: str = "5 minutes"
+    # a message delivered twice counts once in a stream's windows, as long as
+    # its window is open
+    stream_dedup: bool = True
     gated: bool = True  # daily metrics skip rows that fail validation
     tie_breaker: tuple[str, ...] = ("event_id",)
     # documented-only detectors

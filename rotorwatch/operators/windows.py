@@ -30,6 +30,11 @@ def with_window_time(readings: DataFrame) -> DataFrame:
             .withColumn(WINDOW_TIME, shifted_event_time("event_time")))
 
 
+def with_window(readings_wt: DataFrame, cfg: Settings = DEFAULT) -> DataFrame:
+    """Adds each reading's window, ``w``."""
+    return readings_wt.withColumn("w", F.window(WINDOW_TIME, cfg.window))
+
+
 def window_parts(readings_wt: DataFrame, cfg: Settings = DEFAULT) -> DataFrame:
     """Per (machine_id, window), and per magnitude of the measurements: sums that
     make exact averages, and maxima.
@@ -39,7 +44,9 @@ def window_parts(readings_wt: DataFrame, cfg: Settings = DEFAULT) -> DataFrame:
     has one part, or two where a measurement crosses a power of 2 ** 28, in
     practice; all of them close at once.
     """
-    parts = partial_means(readings_wt, ["machine_id", F.window(WINDOW_TIME, cfg.window).alias("w")],
+    if "w" not in readings_wt.columns:
+        readings_wt = with_window(readings_wt, cfg)
+    parts = partial_means(readings_wt, ["machine_id", "w"],
                           {"temperature": "avg_temp", "vibration": "avg_vibration"},
                           F.max("temperature").alias("max_temp"), F.max("vibration").alias("max_vibration"))
     return parts.select("machine_id", F.col("w.end").alias("window_end"), "avg_temp", "max_temp", "avg_vibration", "max_vibration")

@@ -350,6 +350,32 @@ def q_stream_window_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     return zone_free(hot_path.read_status(spark, f"{root}/hot"))
 
 
+@register("stream_window_status_complete")
+def q_stream_window_status_complete(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stream with every tenth message delivered twice, stopped and resumed between the two deliveries, that then falls
+    quiet: a clock closes the last windows, so all windows of the clean batch are there."""
+    root = scratch_path(spark, "stream")
+    lines = _lines(spark, sf_dir)
+    end = telemetry_readings(spark, sf_dir).agg(F.max("event_time").alias("last"))
+
+    def drain() -> None:
+        messages, clock = streaming.message_stream(spark, f"{root}/landing"), streaming.clock_stream(spark, f"{root}/clock")
+        streaming.start_hot_path(messages, f"{root}/hot", f"{root}/ckpt", clock=clock).awaitTermination()
+
+    def beat(after: str) -> None:
+        end.select(F.date_format(F.col("last") + F.expr(f"INTERVAL {after}"), "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX").alias("value")) \
+            .write.mode("append").text(f"{root}/clock")
+
+    beat("-40 DAYS")
+    lines.select("value").write.text(f"{root}/landing")
+    drain()
+    lines.filter("event_id % 10 = 0").select("value").write.mode("append").text(f"{root}/landing")
+    drain()
+    beat("10 MINUTES")
+    drain()
+    return zone_free(hot_path.read_status(spark, f"{root}/hot"))
+
+
 @register("stream_alert_lifecycle")
 def q_stream_alert_lifecycle(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = _stream_runs(spark, sf_dir, ("hot",))

@@ -244,6 +244,7 @@ emitted AS (
                               - INTERVAL 5 SECOND FROM readings WHERE machine_id IS NOT NULL)
 )"""
 ORACLE["stream_window_status"] = with_tele(WINDOWS, EMITTED) + "\nSELECT * FROM emitted"
+ORACLE["stream_window_status_complete"] = ORACLE["window_status"]
 ORACLE["stream_alert_lifecycle"] = with_tele(WINDOWS, EMITTED, ALERTS.replace("FROM windows", "FROM emitted")) + \
     "\nSELECT * FROM alerts"
 ORACLE["stream_raw_rows_by_partition"] = ORACLE["raw_rows_by_partition"]

@@ -14,8 +14,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from rotorwatch.config import DEFAULT, Settings, prepare, shared_dir
+from rotorwatch.functions import safe_timestamp
 from rotorwatch.operators.ingest import parse_envelopes
-from rotorwatch.operators.windows import WINDOW_TIME, window_parts, windows_of_parts, with_window_time
+from rotorwatch.operators.windows import WINDOW_TIME, window_parts, windows_of_parts, with_window, with_window_time
 from rotorwatch.plans.hot_path import write_batch
 from rotorwatch.sinks.raw import raw_rows, land_batch
 
@@ -69,16 +70,46 @@ def in_time(readings: DataFrame, cfg: Settings = DEFAULT) -> Column:
     return F.col("event_time").isNull() | (F.col("event_time") <= arrival + F.expr(f"INTERVAL {cfg.max_ahead}"))
 
 
-def status_stream(lines: DataFrame, cfg: Settings = DEFAULT) -> DataFrame:
+def clock_stream(spark: SparkSession, path: str) -> DataFrame:
+    """Clock times, ISO text, one per line of the files landing under ``path``,
+    as ``beat``: whoever feeds the stream says up to when it is complete."""
+    return message_stream(spark, path).select(safe_timestamp("value").alias("beat"))
+
+
+def wall_clock(spark: SparkSession, seconds: int = 5) -> DataFrame:
+    """This cluster's clock as ``beat``, for streams whose devices keep its time."""
+    prepare(spark)
+    rate = spark.readStream.format("rate-micro-batch").option("rowsPerBatch", "1").option("advanceMillisPerBatch", str(seconds * 1000))
+    return rate.load().select(F.current_timestamp().alias("beat"))
+
+
+def status_stream(lines: DataFrame, cfg: Settings = DEFAULT, clock: DataFrame | None = None) -> DataFrame:
     """Parts of closed five-minute windows per machine; all parts of a window
     come in one micro-batch, where ``windows_of_parts`` joins them.  The watermark sits on the
     shifted time ``_wt``; a window is emitted once, ``tolerance`` after its end
     has been passed by the newest event time, and later readings for it are
     dropped (counted in ``numRowsDroppedByWatermark``).  Readings ahead of
     their arrival go to :func:`start_ahead_sink` instead and never move the
-    watermark."""
-    readings, _ = parse_envelopes(lines, cfg, arrival=True)
-    timed = with_window_time(readings.filter(in_time(readings, cfg))).withWatermark(WINDOW_TIME, cfg.tolerance)
+    watermark.
+
+    ``clock`` (a stream of ``beat`` times) moves the watermark as readings do,
+    so a stream that falls quiet closes its last windows too: each is emitted
+    once a beat is ``tolerance`` past its end.  With ``stream_dedup`` a message
+    that is delivered again while its window is open is dropped; what is
+    remembered of messages goes with their window.
+    """
+    keyed = lines.withColumn("_message", F.xxhash64("value"))
+    readings, _ = parse_envelopes(keyed, cfg, keep=("_message",), arrival=True)
+    timed = with_window_time(readings.filter(in_time(readings, cfg)))
+    if clock is not None:
+        timed = timed.unionByName(clock.filter("beat IS NOT NULL").select(F.col("beat").alias(WINDOW_TIME)), allowMissingColumns=True)
+    timed = timed.withWatermark(WINDOW_TIME, cfg.tolerance)
+    if clock is not None:
+        # beats have done their work; one predicate that names the time column is not pushed below the watermark
+        timed = timed.filter(F.col("machine_id").isNotNull() | F.col(WINDOW_TIME).isNull())
+    timed = with_window(timed, cfg)
+    if cfg.stream_dedup:
+        timed = timed.dropDuplicates(["w", "_message"])
     return window_parts(timed, cfg)
 
 
@@ -94,12 +125,13 @@ def start_ahead_sink(lines: DataFrame, path: str, checkpoint: str, cfg: Settings
 
 
 def start_hot_path(lines: DataFrame, root: str, checkpoint: str, cfg: Settings = DEFAULT,
-                   trigger: str | None = None) -> StreamingQuery:
+                   trigger: str | None = None, clock: DataFrame | None = None) -> StreamingQuery:
     """machine_status and active_alerts under ``root``.  The stream's state is
     its open windows; alerts follow from the windows of each micro-batch and
-    the alert table, in the step that batches take (``hot_path.write_batch``)."""
+    the alert table, in the step that batches take (``hot_path.write_batch``).
+    ``clock``: see :func:`status_stream`."""
     shared_dir(lines.sparkSession)
-    writer = (status_stream(lines, cfg).writeStream
+    writer = (status_stream(lines, cfg, clock).writeStream
               .foreachBatch(lambda batch, _: write_batch(batch.sparkSession, windows_of_parts(batch, cfg), root))
               .option("checkpointLocation", f"{checkpoint}/hot_path")
               .outputMode("append"))

@@ -176,3 +176,39 @@ def test_batches_follow_each_other(spark, tmp_root):
     alerts = sorted((r["machine_id"], r["triggered_at"].strftime("%H:%M"), r["resolved"], r["reason"]) for r in hot_path.read_alerts(spark, tmp_root).collect())
     assert alerts == [("m1", "00:05", True, "max_vibration=0.50, max_temp=99.0"), ("m2", "00:05", False, "max_vibration=0.50, max_temp=99.0")]
     assert hot_path.read_status(spark, tmp_root).count() == 4
+
+
+def test_a_clock_closes_the_windows_of_a_quiet_stream(spark, tmp_root):
+    land, clock = f"{tmp_root}/in", f"{tmp_root}/clock"
+    now = time.time()
+
+    def run():
+        q = jobs.start_hot_path(jobs.message_stream(spark, land), f"{tmp_root}/hot", f"{tmp_root}/ckpt", clock=jobs.clock_stream(spark, clock))
+        q.awaitTermination()
+        return {r["window_end"].strftime("%H:%M") for r in hot_path.read_status(spark, f"{tmp_root}/hot").collect()}
+
+    _land(land, "a.jsonl", [_msg("m1", "2024-01-01T00:01:00+00:00", 99.0), _msg("m2", "2024-01-01T00:07:00+00:00")], now - 100)
+    _land(clock, "a.txt", ["2024-01-01T00:07:00+00:00"], now - 100)
+    assert run() == {"00:05"}
+    _land(clock, "b.txt", ["2024-01-01T00:10:04+00:00", "no time"], now - 90)  # within the tolerance of the window's end
+    assert run() == {"00:05"}
+    _land(clock, "c.txt", ["2024-01-01T00:10:05+00:00"], now - 80)
+    assert run() == {"00:05", "00:10"}
+    assert hot_path.read_open_alerts(spark, f"{tmp_root}/hot").count() == 1
+    _land(land, "d.jsonl", [_msg("m2", "2024-01-01T00:09:00+00:00", 99.0)], now - 70)  # after its window closed
+    assert run() == {"00:05", "00:10"}
+    assert hot_path.read_open_alerts(spark, f"{tmp_root}/hot").count() == 1
+
+
+def test_a_message_delivered_twice_counts_once_and_is_forgotten_with_its_window(spark, tmp_root):
+    land = f"{tmp_root}/in"
+    now = time.time()
+    first = [_msg("m1", "2024-01-01T00:01:00+00:00", 70.0), _msg("m1", "2024-01-01T00:02:00+00:00", 80.0)]
+    for k, lines in enumerate([[first[0], first[0]], first, [first[0], _msg("m1", "2024-01-01T00:30:00+00:00")], [_msg("m1", "2024-01-01T00:50:00+00:00")]]):
+        _land(land, f"{k}.jsonl", lines, now - 100 + k)
+        q = jobs.start_hot_path(jobs.message_stream(spark, land), f"{tmp_root}/hot", f"{tmp_root}/ckpt")
+        q.awaitTermination()
+    status = {r["window_end"].strftime("%H:%M"): r["avg_temp"] for r in hot_path.read_status(spark, f"{tmp_root}/hot").collect()}
+    assert status == {"00:05": 75.0, "00:30": 70.0}
+    rows = [s["numRowsTotal"] for s in q.lastProgress["stateOperators"]]
+    assert rows == [1, 1]  # the open window's message, and its sums
