@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import hashlib
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -18,19 +21,26 @@ def raw_rows(readings: DataFrame) -> DataFrame:
             .select(*cols, F.to_date("event_time").alias("date")))
 
 
-def write_raw(readings: DataFrame, path: str, cfg: Settings = DEFAULT, mode: str = "append") -> None:
-    """Land readings under ``date=/machine_id=`` directories (partition columns
-    from settings).
+BATCH = "batch"  # the leaf folder of a landing
 
-    The ``rebalance`` hint lets AQE cluster rows by partition directory while
-    splitting an oversized (hot) partition over several tasks, so files are
-    neither tiny nor one giant file from one task.
+
+def write_raw(readings: DataFrame, path: str, cfg: Settings = DEFAULT, batch: str | None = None) -> None:
+    """Land readings under ``date=/machine_id=/batch=`` directories (partition
+    columns from settings, then the landing's own folder).
+
+    A landing under a ``batch`` name that was used before replaces what that
+    landing wrote, and nothing else; without a name it gets one of its own.
     """
-    _write(raw_rows(readings), path, cfg, mode)
+    _write(raw_rows(readings), path, cfg, batch or uuid.uuid4().hex)
 
 
-def _write(rows: DataFrame, path: str, cfg: Settings, mode: str) -> None:
-    rows = rows.hint("rebalance", *cfg.raw_partitions)
+def _write(rows: DataFrame, path: str, cfg: Settings, batch: str) -> None:
+    """The ``rebalance`` hint lets AQE cluster rows by partition directory while
+    splitting an oversized (hot) partition over several tasks, so files are
+    neither tiny nor one giant file from one task.  Dynamic partition overwrite
+    touches the leaf folders of this batch only.
+    """
+    rows = rows.hint("rebalance", *cfg.raw_partitions).withColumn(BATCH, F.lit(batch))
     if "machine_id" not in cfg.raw_partitions:
         # many machines: folders by date only (not machines x days folders);
         # rows sorted by machine inside each file, so Parquet row-group
@@ -38,37 +48,17 @@ def _write(rows: DataFrame, path: str, cfg: Settings, mode: str) -> None:
         # (folder columns first: that is the order the file writer needs, so it
         # adds no sort of its own that would undo the machine order)
         rows = rows.sortWithinPartitions(*cfg.raw_partitions, "machine_id", "event_time")
-    rows.write.mode(mode).partitionBy(*cfg.raw_partitions).parquet(path)
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*cfg.raw_partitions, BATCH).parquet(path)
 
 
 def land_batch(rows: DataFrame, path: str, batch_id: int, checkpoint: str, cfg: Settings = DEFAULT) -> None:
-    """Land a stream's micro-batch in the raw zone exactly once.
-
-    The batch is written beside the checkpoint first, and its files, whose
-    names are then settled, are moved into the zone one by one.  A repeated
-    batch goes on where the first attempt ended: a staged batch is not written
-    again, and a moved file is not moved again.
+    """Land a stream's micro-batch in the raw zone exactly once: its folders are
+    named by the stream's checkpoint and the batch, so a batch that is repeated,
+    whether it had ended or not, replaces itself.  No file is moved or renamed
+    by this code.
     """
-    spark = rows.sparkSession
-    hadoop = spark._jvm.org.apache.hadoop.fs
-    staged = hadoop.Path(f"{checkpoint}-staged/batch={batch_id}")
-    fs = staged.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
-    done = hadoop.Path(f"{checkpoint}-landed/batch={batch_id}")
-    if fs.exists(done):
-        return
-    if not fs.exists(hadoop.Path(staged, "_SUCCESS")):
-        _write(rows, staged.toString(), cfg, "overwrite")
-    base = fs.getFileStatus(staged).getPath().toUri().getPath()
-    files = fs.listFiles(staged, True)
-    while files.hasNext():  # as many as the batch has written, some per folder
-        file = files.next().getPath()
-        if not file.getName().endswith(".parquet"):
-            continue
-        folder = hadoop.Path(path + file.getParent().toUri().getPath()[len(base):])
-        fs.mkdirs(folder)
-        fs.rename(file, hadoop.Path(folder, f"b{batch_id}-{file.getName()}"))
-    fs.mkdirs(done)
-    fs.delete(staged, True)
+    stream = hashlib.sha256(checkpoint.rstrip("/").encode()).hexdigest()[:16]
+    _write(rows, path, cfg, f"{stream}-{batch_id}")
 
 
 def write_quarantine(rows: DataFrame, path: str, run: int | str = 0, source_file: str | None = None) -> None:

@@ -79,8 +79,8 @@ def clock_stream(spark: SparkSession, path: str) -> DataFrame:
 def wall_clock(spark: SparkSession, seconds: int = 5) -> DataFrame:
     """This cluster's clock as ``beat``, for streams whose devices keep its time."""
     prepare(spark)
-    rate = spark.readStream.format("rate-micro-batch").option("rowsPerBatch", "1").option("advanceMillisPerBatch", str(seconds * 1000))
-    return rate.load().select(F.current_timestamp().alias("beat"))
+    rate = spark.readStream.format("rate").option("rowsPerSecond", "1").load()
+    return rate.filter(F.col("value") % seconds == 0).select(F.col("timestamp").alias("beat"))
 
 
 def status_stream(lines: DataFrame, cfg: Settings = DEFAULT, clock: DataFrame | None = None) -> DataFrame:

@@ -157,12 +157,17 @@ def test_stream_and_batch_share_the_raw_zone(spark, tmp_root):
     for _ in range(2):  # a repeated micro-batch
         land_batch(raw_rows(batch), raw, 7, f"{tmp_root}/other", Settings())
     assert read_raw(spark, raw).count() == 5
-    # one that had been staged, and moved in part
-    land_batch(raw_rows(batch), raw, 8, f"{tmp_root}/third", Settings())
-    os.rmdir(f"{tmp_root}/third-landed/batch=8")
-    write_raw(batch.limit(0), f"{tmp_root}/third-staged/batch=8", mode="overwrite")
+    # one that stopped when part of its folders were there
+    land_batch(raw_rows(batch.filter("event_id = 5")), raw, 8, f"{tmp_root}/third", Settings())
+    assert read_raw(spark, raw).count() == 6
     land_batch(raw_rows(batch), raw, 8, f"{tmp_root}/third", Settings())
     assert read_raw(spark, raw).count() == 7
+    # a batch landing of a name replaces itself, one without is new
+    for _ in range(2):
+        write_raw(batch, raw, batch="night-1")
+    assert read_raw(spark, raw).count() == 9
+    write_raw(batch, raw)
+    assert read_raw(spark, raw).count() == 11
 
 
 def test_batches_follow_each_other(spark, tmp_root):
