@@ -483,23 +483,38 @@ def joined(regions: DataFrame, percent: int, leaf: int = LEAF) -> DataFrame:
 
 def own_sets(docs: DataFrame, doc_id: str, text: str, wanted: DataFrame, words: int) -> DataFrame:
     """``wanted`` (sig, least, n, region) as members of their regions, with their full sets, from rows with an id of the class: a row
-    per class, or a few where rows repeat an id and a text."""
+    per class, or a few where rows repeat an id and a text.
+
+    An id that is the least of one class says which region its text is for, so sets are shuffled once, by region; of ids with
+    several classes, the sets' signatures have to.
+    """
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[bytes] = set()
         for batch in batches:
-            for _, part in text_slices(batch.column(0)):
-                found = [(shingles.signature(s), s) for s in shingles.shingle_sets(part, words)]
-                found = [(sig, s.tobytes()) for sig, s in found if not (sig in seen or seen.add(sig))]
+            for at, part in text_slices(batch.column(0)):
+                rest = [c.slice(at, len(part)) for c in batch.columns[1:]]
+                expected = rest[0].to_pylist()
+                found = [(k, shingles.signature(s), s) for k, s in enumerate(shingles.shingle_sets(part, words))]
+                found = [(k, sig, s.tobytes()) for k, sig, s in found if expected[k] in (None, sig) and not (sig in seen or seen.add(sig))]
                 if len(seen) > 1 << 16:
                     seen.clear()
-                yield pa.RecordBatch.from_arrays([pa.array([f[k] for f in found], pa.binary()) for k in (0, 1)], names=["sig", "own"])
-
-    wanted = kept(wanted, "join-wanted")  # joined by its measured size: while it is small, no text is shuffled
-    ids = wanted.select(F.col("least").alias("_id"))
-    rows = docs.select(F.col(doc_id).alias("_doc"), F.col(text).alias("_whole")).join(ids, F.col("_doc").eqNullSafe(F.col("_id")), "left_semi")
-    rows = arrow_rows(rows, "_whole").mapInArrow(tidy(work), "sig binary, own binary").join(wanted, "sig")
-    return rows.select("region", F.lit((1 << 63) - 1).alias("ceiling"), F.lit(True).alias("home"), F.col("sig").alias("root"), "sig", "n", "own")
+                yield pa.RecordBatch.from_arrays([pa.array([f[1] for f in found], pa.binary()), pa.array([f[2] for f in found], pa.binary()),
+                                                  *(c.take(pa.array([f[0] for f in found], pa.int64())) for c in rest[1:])], names=["sig", "own", "n", "region"])
+
+    def sets(rows: DataFrame) -> DataFrame:
+        return arrow_rows(rows, "_whole", "_sig", "_n", "_region").mapInArrow(tidy(work), "sig binary, own binary, n long, region long")
+
+    texts = docs.select(F.col(doc_id).alias("_doc"), F.col(text).alias("_whole"))
+    ids = wanted.groupBy(F.col("least").alias("_id")).agg(F.count(F.lit(1)).alias("_classes"), F.first("sig").alias("_sig"), F.first("n").alias("_n"), F.first("region").alias("_region"))
+    ids = kept(ids, "join-ids")
+    one, several = (F.col("_classes") == 1) & F.col("_id").isNotNull(), (F.col("_classes") > 1) | F.col("_id").isNull()
+    members = sets(texts.join(ids.where(one), F.col("_doc") == F.col("_id")))
+    if ids.where(several).limit(1).count():
+        shared = texts.join(ids.where(several).select("_id"), F.col("_doc").eqNullSafe(F.col("_id")), "left_semi")
+        shared = sets(shared.select("_whole", F.lit(None).cast("binary").alias("_sig"), F.lit(0).cast("long").alias("_n"), F.lit(0).cast("long").alias("_region")))
+        members = members.unionByName(shared.select("sig", "own").join(wanted.select("sig", "n", "region"), "sig"))
+    return members.select("region", F.lit((1 << 63) - 1).alias("ceiling"), F.lit(True).alias("home"), F.col("sig").alias("root"), "sig", "n", "own")
 
 
 def jaccard_join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = PERCENT, words: int = WORDS, leaf: int = LEAF) -> DataFrame:
