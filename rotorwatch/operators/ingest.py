@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -11,6 +13,8 @@ from rotorwatch.functions import adjusted_time, first_present, finite_or_null, s
 from rotorwatch.operators.joins import measured
 from rotorwatch.schemas import BODY, CORRUPT_COLUMN, ENVELOPE, READING_COLUMNS
 
+# the name of a member that no line can hold: it is drawn anew in each process
+END = f"_end_{uuid.uuid4().hex}"
 JSON_OPTIONS = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT_COLUMN, "allowNonNumericNumbers": "true"}
 
 
@@ -61,11 +65,11 @@ def decode_lines(lines: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     one-element ``inline`` keeps the parse in a Generate node, which those
     filters cannot pass.
     """
-    line = F.concat(F.lit('{"_m":'), F.col("value"), F.lit(',"_end":1}'))
-    whole = T.StructType([T.StructField("_m", ENVELOPE), T.StructField("_end", T.IntegerType()),
+    line = F.concat(F.lit('{"_m":'), F.col("value"), F.lit(f',"{END}":1}}'))
+    whole = T.StructType([T.StructField("_m", ENVELOPE), T.StructField(END, T.IntegerType()),
                           T.StructField(CORRUPT_COLUMN, T.StringType())])
     parsed = lines.select(*keep, "value", F.inline(F.array(F.struct(F.from_json(line, whole, JSON_OPTIONS).alias("_p")))))
-    fine = F.col(f"_p.{CORRUPT_COLUMN}").isNull() & F.col("_p._m").isNotNull() & F.col("_p._end").isNotNull()
+    fine = F.col(f"_p.{CORRUPT_COLUMN}").isNull() & F.col("_p._m").isNotNull() & F.col(f"_p.{END}").isNotNull()
     return (parsed
             .filter(F.trim(F.regexp_replace("value", r"\s+", " ")) != "")
             .select(*keep, "_p._m.*", F.when(~fine, F.col("value")).alias(CORRUPT_COLUMN)))

@@ -103,3 +103,10 @@ def test_anything_after_the_first_value_makes_a_line_malformed(spark):
     good, bad = parse_envelopes(df, keep=("event_id",))
     assert sorted(r["event_id"] for r in good.collect()) == [0, 8, 13]  # {}: a message without any field
     assert {r["event_id"]: r["value"] for r in bad.collect()} == {k: lines[k] for k in (1, 2, 3, 4, 5, 9, 10, 11, 12, 14)}
+
+
+def test_a_line_cannot_close_the_object_it_is_parsed_in(spark):
+    good = '{"device_id":"m1","enqueued_time":"2024-01-01T00:01:00+00:00","body":{"machine_id":"m1"}}'
+    lines = spark.createDataFrame([(good,), (good + ',"_end":1} trailing junk',), (good + ',"_end":1}',), (good + " junk",)], "value string")
+    good_ones, corrupt = parse_envelopes(lines)
+    assert good_ones.count() == 1 and corrupt.count() == 3
