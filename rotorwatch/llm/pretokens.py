@@ -171,6 +171,24 @@ class _Store:
         self.ids = np.zeros(1 << 16, np.int32)
         self.starts = np.zeros(1 << 14, np.int64)
         self.used = 0
+        self.seen = np.zeros(0, bool)  # asked for again after it was added, where that is kept
+
+    def again(self, places: np.ndarray) -> None:
+        """Note that these were asked for; those added since the last call are not held to be asked for again."""
+        old = len(self.seen)
+        self.seen = np.concatenate([self.seen, np.zeros(len(self.index) - old, bool)])
+        self.seen[places[places < old]] = True
+
+    def recurring(self) -> _Store:
+        """A store of the pre-tokens that were asked for again, in place of this one."""
+        left, keys = _Store(), [k for k, s in zip(self.index, self.seen.tolist(), strict=True) if s]
+        at = np.flatnonzero(self.seen)
+        lengths = self.starts[at + 1] - self.starts[at]
+        ends = np.cumsum(lengths)
+        from_ = np.repeat(self.starts[at] - (ends - lengths), lengths) + np.arange(int(lengths.sum()))
+        left.add(keys, self.ids[from_], lengths)
+        left.seen = np.zeros(len(keys), bool)
+        return left
 
     def add(self, keys: list[bytes], ids: np.ndarray, lengths: np.ndarray) -> None:
         total, n = self.used + len(ids), len(self.index)
@@ -189,12 +207,13 @@ class Encoder:
 
     ``attach_space`` and ``lower`` say how the file's pre-tokenizer treats white space and capitals; see
     :func:`word_encoder` and :func:`byte_encoder`.  Special strings inside texts are handled as the library does.
+    ``retain``: a full cache keeps the pre-tokens that recurred, up to half its size, and gives up the others.
     """
 
-    def __init__(self, path: str, attach_space: bool, lower: bool) -> None:
+    def __init__(self, path: str, attach_space: bool, lower: bool, retain: bool = False) -> None:
         from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
-        self.attach_space, self.lower = attach_space, lower
+        self.attach_space, self.lower, self.retain = attach_space, lower, retain
         self.full = Tokenizer.from_file(path)
         self.store = _Store()
         vocabulary = self.full.get_vocab()
@@ -236,7 +255,7 @@ class Encoder:
     def cached(self, keys: list[bytes]) -> np.ndarray:
         """Places of the keys in the store; misses are encoded first."""
         if len(self.store.index) > CACHE_ENTRIES:
-            self.store = _Store()
+            self.store = self.store.recurring() if self.retain and np.count_nonzero(self.store.seen) <= CACHE_ENTRIES // 2 else _Store()
         known = self.store.index
         misses = [k for k in keys if k not in known]
         if misses:
@@ -244,7 +263,10 @@ class Encoder:
             if len(lengths) != len(order):
                 raise RuntimeError("the tokenizer split a pre-token differently from its own pattern")
             self.store.add(order, ids, lengths)
-        return np.fromiter((known[k] for k in keys), np.int64, len(keys))
+        places = np.fromiter((known[k] for k in keys), np.int64, len(keys))
+        if self.retain:
+            self.store.again(places)
+        return places
 
     def ids(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts (a slice of :func:`text_slices`) one after the other, and the texts' borders in them."""
@@ -275,17 +297,17 @@ def worker_cache() -> dict:
     return vars(sys.modules.setdefault("_rotorwatch_worker", types.ModuleType("_rotorwatch_worker"))).setdefault("cache", {})
 
 
-def _encoder(path: str, attach_space: bool, lower: bool) -> Encoder:
+def _encoder(path: str, attach_space: bool, lower: bool, retain: bool = False) -> Encoder:
     """One per worker process and file: it stays from task to task."""
-    cache, key = worker_cache(), (path, attach_space, lower)
+    cache, key = worker_cache(), (path, attach_space, lower, retain)
     if key not in cache:
         cache[key] = Encoder(*key)
     return cache[key]
 
 
-def word_encoder(path: str) -> Encoder:
+def word_encoder(path: str, retain: bool = False) -> Encoder:
     """For a file that drops white space, lower-cases, and marks word ends (``</w>``)."""
-    return _encoder(path, False, True)
+    return _encoder(path, False, True, retain)
 
 
 def byte_encoder(path: str) -> Encoder:

@@ -56,41 +56,48 @@ def unpack_ranks(control: bytes, data: bytes, n: int) -> np.ndarray:
     return out
 
 
+def _width(path: str, end_id: int) -> str:
+    """Two bytes an id if all fit."""
+    return "<u2" if max(pretokens.word_encoder(path).size, end_id + 1) <= 1 << 16 else "<u4"
+
+
 def token_ids(docs: DataFrame, path: str, end_id: int, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, n_tokens int, ids binary): each row's ids and the end id, little-endian, 2 bytes each if all ids fit."""
-    width = "<u2" if max(pretokens.word_encoder(path).size, end_id + 1) <= 1 << 16 else "<u4"
+    """(doc_id, n_tokens int, ids binary, counts): each row's ids and the end id, little-endian, 2 bytes each if all ids fit.
+
+    One more row per task, and only it, has ``counts``: how often each id occurs in the task's texts (id, n), a row per id of the
+    vocabulary at most; its ``n_tokens`` is null.
+    """
+    width = _width(path, end_id)
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = pretokens.word_encoder(path)
+        encoder = pretokens.word_encoder(path, retain=True)
+        total = np.zeros(max(encoder.size, end_id + 1), np.int64)
+        kind = pa.list_(pa.struct([("id", pa.int32()), ("n", pa.int64())]))
+        names, key = [doc_id, "n_tokens", "ids", "counts"], None
         for batch in batches:
+            key = batch.column(0).type
             for first, part in pretokens.text_slices(batch.column(1)):
                 ids, borders = encoder.ids(part)
-                ids = np.insert(ids, borders[1:], end_id).astype(width)
+                total += np.bincount(ids, minlength=len(total))
+                total[end_id] += len(part)
+                ids = np.insert(ids.astype(width), borders[1:], end_id)
                 borders = borders + np.arange(len(borders))
                 size = ids.dtype.itemsize
                 cells = pa.Array.from_buffers(pa.binary(), len(part), [None, pa.py_buffer((borders * size).astype(np.int32)), pa.py_buffer(ids)])
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, len(part)), pa.array(np.diff(borders).astype(np.int32)), cells], names=[doc_id, "n_tokens", "ids"])
-
-    out = T.StructType([docs.schema[doc_id], T.StructField("n_tokens", T.IntegerType()), T.StructField("ids", T.BinaryType())])
-    return arrow_rows(docs, doc_id, text).mapInArrow(tidy(encode), out)
-
-
-def id_counts(tokens: DataFrame, size: int) -> DataFrame:
-    """(id int, n long) over all rows of :func:`token_ids`: each task adds up its own, a row per id in the vocabulary."""
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(size, np.int64)
-        for batch in batches:
-            for n, ids in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                total += np.bincount(np.frombuffer(ids.as_buffer(), _width(ids.as_buffer().size, n)), minlength=size)
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, len(part)), pa.array(np.diff(borders).astype(np.int32)), cells, pa.nulls(len(part), kind)], names=names)
         some = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array(total[some])], names=["id", "n"])
+        if len(some):
+            pairs = pa.StructArray.from_arrays([pa.array(some.astype(np.int32)), pa.array(total[some])], names=["id", "n"])
+            yield pa.RecordBatch.from_arrays([pa.nulls(1, key), pa.nulls(1, pa.int32()), pa.nulls(1, pa.binary()), pa.ListArray.from_arrays(pa.array([0, len(some)], pa.int32()), pairs)], names=names)
 
-    return arrow_rows(tokens, "n_tokens", "ids").mapInArrow(tidy(count), "id int, n long").groupBy("id").agg(F.sum("n").alias("n"))
+    counts = T.ArrayType(T.StructType([T.StructField("id", T.IntegerType()), T.StructField("n", T.LongType())]))
+    out = T.StructType([docs.schema[doc_id], T.StructField("n_tokens", T.IntegerType()), T.StructField("ids", T.BinaryType()), T.StructField("counts", counts)])
+    return arrow_rows(docs, doc_id, text).mapInArrow(tidy(encode), out)
 
 
-def _width(size: int, n: int) -> str:
-    return "<u2" if size == 2 * n else "<u4"
+def id_counts(tokens: DataFrame) -> DataFrame:
+    """(id int, n long) over all rows of a written :func:`token_ids`, of which only the column ``counts`` is read."""
+    return tokens.select(F.inline("counts")).groupBy("id").agg(F.sum("n").alias("n"))
 
 
 @dataclass(frozen=True)
@@ -109,11 +116,11 @@ def write_token_files(docs: DataFrame, path: str, end_id: int = 1, doc_id: str =
     spark = docs.sparkSession
     folder = folder or scratch_path(spark, "token-files")
     tokens = kept(token_ids(docs, path, end_id, doc_id, text), "token-ids")
-    size = max(pretokens.word_encoder(path).size, end_id + 1)
-    counts = id_counts(tokens, size).orderBy(F.desc("n"), "id").collect()  # at most the vocabulary
+    size, width = max(pretokens.word_encoder(path).size, end_id + 1), _width(path, end_id)
+    counts = id_counts(tokens).orderBy(F.desc("n"), "id").collect()  # at most the vocabulary
     by_rank = np.array([r["id"] for r in counts], np.int64)
-    rank_of = np.zeros(size, np.uint32)
-    rank_of[by_rank] = np.arange(len(by_rank), dtype=np.uint32)
+    rank_of = np.zeros(size, width)
+    rank_of[by_rank] = np.arange(len(by_rank))
     ranks = spark.createDataFrame([(k, int(i)) for k, i in enumerate(by_rank)], "rank int, id int").coalesce(1)
     ranks.write.parquet(f"{folder}/ranks")
 
@@ -122,27 +129,36 @@ def write_token_files(docs: DataFrame, path: str, end_id: int = 1, doc_id: str =
         names, lengths, waiting, held = [], [], [], 0
 
         def close() -> pa.RecordBatch:
-            control, data = pack_ranks(rank_of[np.concatenate(waiting)])
-            cells = [[part], [block], [ahead], [held], pa.array([pa.concat_arrays(names).to_pylist()], pa.list_(kind)), [lengths], [control], [data]]
+            control, data = pack_ranks(np.concatenate(waiting))
+            cells = [[part], [block], [ahead], [held], pa.array([pa.concat_arrays(names).to_pylist()], pa.list_(kind)), [np.concatenate(lengths)], [control], [data]]
             types = [pa.int32(), pa.int32(), pa.int64(), pa.int64(), None, pa.list_(pa.int32()), pa.binary(), pa.binary()]
             return pa.RecordBatch.from_arrays([c if t is None else pa.array(c, t) for c, t in zip(cells, types, strict=True)], names=["part", "block", "ahead", "n_tokens", "doc_ids", "lengths", "control", "data"])
 
         for batch in batches:
             kind = batch.column(0).type
-            for k, (n, ids) in enumerate(zip(batch.column(1).to_pylist(), batch.column(2), strict=True)):
-                if held and held + n > BLOCK_TOKENS:
+            sizes, cells = batch.column(1).to_numpy(), batch.column(2)
+            borders = np.frombuffer(cells.buffers()[1], np.int32)[cells.offset: cells.offset + len(cells) + 1]
+            ranked = rank_of[np.frombuffer(cells.buffers()[2], np.uint8)[borders[0]: borders[-1]].view(width)] if len(cells) else np.zeros(0, width)
+            ends = np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)])
+            k = 0
+            while k < len(sizes):
+                # as many documents as still fit, or one whose block is its own
+                to = int(np.searchsorted(ends, ends[k] + BLOCK_TOKENS - held, "right")) - 1
+                if to <= k and held:
                     yield close()
                     block, ahead, names, lengths, waiting, held = block + 1, ahead + held, [], [], [], 0
-                raw = ids.as_buffer()
-                names.append(batch.column(0).slice(k, 1))
-                lengths.append(n)
-                waiting.append(np.frombuffer(raw, _width(raw.size, n)))
-                held += n
+                    continue
+                to = max(to, k + 1)
+                names.append(batch.column(0).slice(k, to - k))
+                lengths.append(sizes[k:to])
+                waiting.append(ranked[ends[k]: ends[to]])
+                held += int(ends[to] - ends[k])
+                k = to
         if held:
             yield close()
 
     out = T.StructType([T.StructField("part", T.IntegerType()), T.StructField("block", T.IntegerType()), T.StructField("ahead", T.LongType()), T.StructField("n_tokens", T.LongType()), T.StructField("doc_ids", T.ArrayType(docs.schema[doc_id].dataType)), T.StructField("lengths", T.ArrayType(T.IntegerType())), T.StructField("control", T.BinaryType()), T.StructField("data", T.BinaryType())])
-    ordered = tokens.repartitionByRange(F.col(doc_id).asc_nulls_first(), "n_tokens", F.xxhash64("ids")).sortWithinPartitions(F.col(doc_id).asc_nulls_first(), "n_tokens", F.xxhash64("ids"), "ids")
+    ordered = tokens.where("n_tokens IS NOT NULL").select(doc_id, "n_tokens", "ids").repartitionByRange(F.col(doc_id).asc_nulls_first(), "n_tokens", F.xxhash64("ids")).sortWithinPartitions(F.col(doc_id).asc_nulls_first(), "n_tokens", F.xxhash64("ids"), "ids")
     ordered.mapInArrow(tidy(blocks), out).write.parquet(f"{folder}/blocks")
     return TokenFiles(f"{folder}/blocks", f"{folder}/ranks", doc_id)
 
@@ -155,10 +171,10 @@ def read_token_files(spark: SparkSession, files: TokenFiles) -> DataFrame:
     blocks = spark.read.parquet(files.blocks)
     by_rank = np.array([r["id"] for r in spark.read.parquet(files.ranks).orderBy("rank").collect()], "<u4")  # at most the vocabulary
     kind = blocks.schema["doc_ids"].dataType.elementType
-    # what the parts before hold: a row per file, so small enough to send along (some 12 bytes a file)
+    # what the parts before hold: a row per file (some 12 bytes)
     sums = blocks.groupBy("part").agg(F.sum("n_tokens").alias("_sum"))
     before = sums.select(F.col("part").alias("_part"), F.coalesce(F.sum("_sum").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"))
-    joined = blocks.join(F.broadcast(before), F.col("part") == F.col("_part")).select((F.col("_before") + F.col("ahead")).alias("start"), "doc_ids", "lengths", "control", "data")
+    joined = blocks.join(before, F.col("part") == F.col("_part")).select((F.col("_before") + F.col("ahead")).alias("start"), "doc_ids", "lengths", "control", "data")
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
