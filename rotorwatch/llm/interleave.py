@@ -4,7 +4,9 @@ Text is read in symbols of eight bytes, so one step of the Burrows-Wheeler mappi
 eight bytes before it.  Each shard has its suffixes sorted by prefix doubling; the shards are merged by interleave
 refinement: the suffixes of all shards, shard after shard in their own order, are dealt out again and again, stably, by
 the symbol before each, so after k rounds they are sorted by their first k symbols, and a block is what has these in
-common.  Blocks of a single shard are settled, as that shard's own sort tells their common prefixes, and leave.
+common.  Blocks of a single shard are settled, as that shard's own sort tells their common prefixes, and leave.  Only
+suffixes that a whole string precedes are dealt, and many of them in parts that hold all strings of like beginnings, so
+the refinement's memory does not follow the number of shards.
 """
 
 from __future__ import annotations
@@ -12,6 +14,7 @@ from __future__ import annotations
 import numpy as np
 
 STEP = 8
+PART = 1 << 20  # suffixes refined at once
 
 
 def _stable(values: np.ndarray) -> np.ndarray:
@@ -25,13 +28,17 @@ def symbols(data: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """Rank of the eight bytes from each place, as far as its piece goes (zeros beyond); ``ends``: of each place's piece."""
     n = len(data)
     key = np.zeros(n, np.uint64)
-    at = np.arange(n)
+    left = np.minimum(ends - np.arange(n, dtype=np.int32), STEP).astype(np.uint8)
     for k in range(STEP):
-        cell = np.zeros(n, np.uint64)
-        cell[: max(0, n - k)] = data[k:]
-        cell[at + k >= ends] = 0
-        key = key << np.uint64(8) | cell
-    return np.unique(key, return_inverse=True)[1].astype(np.int64)
+        key <<= np.uint64(8)
+        key[: max(0, n - k)] |= data[k:] * (left[: max(0, n - k)] > k)
+    order = np.argsort(key)
+    key = key[order]
+    rank = np.zeros(n, np.int32)
+    np.cumsum(key[1:] != key[:-1], out=rank[1:])
+    out = np.empty(n, np.int32)
+    out[order] = rank
+    return out
 
 
 def sort_shard(rank: np.ndarray, ends: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
@@ -40,7 +47,7 @@ def sort_shard(rank: np.ndarray, ends: np.ndarray, length: int) -> tuple[np.ndar
     ``rank``: symbols of the shard's places, made dense here; places count from 0, as do ``ends``.
     """
     n = len(rank)
-    order = np.argsort(rank, kind="stable")
+    order = _stable(rank)
     held = rank[order]
     first = np.concatenate([[True], held[1:] != held[:-1]]) if n else np.zeros(0, bool)
     starts = np.flatnonzero(first)
@@ -83,28 +90,33 @@ def sort_shard(rank: np.ndarray, ends: np.ndarray, length: int) -> tuple[np.ndar
     return order, shared
 
 
-def refine(order: np.ndarray, shard: np.ndarray, begins: np.ndarray, symbol: np.ndarray, length: int) -> np.ndarray:
+def refine(order: np.ndarray, shard: np.ndarray, begins: np.ndarray, symbol: np.ndarray, length: int, part: int = PART) -> np.ndarray:
     """Places whose first ``length`` bytes occur in more than one shard.
 
-    ``order``: all places, shard after shard, sorted in each; ``shard`` and ``begins`` (of its piece) by place.
+    ``order``: all places, shard after shard, sorted in each; ``shard`` and ``begins`` (of its piece) by place.  Beyond
+    ``part`` suffixes they are dealt in parts, by the symbol that their strings begin with.
     """
-    now, block = order, np.zeros(len(order), np.int64)
-    for _ in range(length // STEP):
-        before = now - STEP
-        inside = before >= begins[now]
-        now, block = before[inside], block[inside]
-        by = _stable(symbol[now])
-        now, block = now[by], block[by]
-        if not len(now):
-            break
-        s = symbol[now]
-        starts = np.flatnonzero(np.concatenate([[True], (s[1:] != s[:-1]) | (block[1:] != block[:-1])]))
-        size = np.diff(np.concatenate([starts, [len(now)]]))
-        own = shard[now]
-        mixed = np.minimum.reduceat(own, starts) != np.maximum.reduceat(own, starts)
-        keep = np.repeat(mixed, size)
-        now, block = now[keep], np.repeat(np.arange(len(size)), size)[keep]
-    return now
+    full = order[order - begins[order] >= length]
+    parts = -(-len(full) // part)
+    kind = symbol[full - length] % max(1, parts)
+    found = [full[:0]]
+    for k in range(parts):
+        now = full[kind == k] if parts > 1 else full
+        block = np.zeros(len(now), np.int32)
+        for _ in range(length // STEP):
+            now = now - STEP
+            s = symbol[now]
+            by = _stable(s)
+            now, block, s = now[by], block[by], s[by]
+            starts = np.flatnonzero(np.concatenate([[True], (s[1:] != s[:-1]) | (block[1:] != block[:-1])]))
+            size = np.diff(np.concatenate([starts, [len(now)]]))
+            own = shard[now]
+            mixed = np.minimum.reduceat(own, starts) != np.maximum.reduceat(own, starts)
+            now, block = now[np.repeat(mixed, size)], np.repeat(np.arange(np.count_nonzero(mixed), dtype=np.int32), size[mixed])
+            if not len(now):
+                break
+        found.append(now)
+    return np.concatenate(found)
 
 
 def repeated(data: np.ndarray, borders: np.ndarray, length: int, shard_bytes: int) -> np.ndarray:
@@ -112,24 +124,23 @@ def repeated(data: np.ndarray, borders: np.ndarray, length: int, shard_bytes: in
 
     ``length`` is a multiple of the symbol's eight bytes.
     """
-    # a place more at each piece's end, for suffixes that begin there
-    size = np.diff(borders)
+    # a place more at each piece's end, for suffixes that begin there; places fit 32 bits
+    size = np.diff(borders).astype(np.int32)
     n = len(data) + len(size)
-    begin_of = borders[:-1] + np.arange(len(size))
-    piece = np.repeat(np.arange(len(size)), size + 1)
-    begins, ends = begin_of[piece], (begin_of + size)[piece]
+    begin_of = (borders[:-1] + np.arange(len(size))).astype(np.int32)
+    begins, ends = np.repeat(begin_of, size + 1), np.repeat(begin_of + size, size + 1)
+    inside = np.arange(n, dtype=np.int32) < ends
     wide = np.zeros(n, np.uint8)
-    at = np.arange(n)
-    wide[at < ends] = data
+    wide[inside] = data
     symbol = symbols(wide, ends)
-    shard = (np.concatenate([[0], np.cumsum(size + 1)[:-1]]) // shard_bytes)[piece]
+    shard = np.repeat((begin_of // shard_bytes).astype(np.int32), size + 1)
     out = np.zeros(n, bool)
     orders = []
     cuts = np.flatnonzero(np.concatenate([[True], shard[1:] != shard[:-1], [True]])) if n else np.zeros(1, int)
     for a, b in zip(cuts[:-1], cuts[1:], strict=True):
         order, shared = sort_shard(symbol[a:b], ends[a:b] - a, length)
         out[a:b] |= shared
-        orders.append(order + a)
+        orders.append((order + a).astype(np.int32))
     if len(orders) > 1:
         out[refine(np.concatenate(orders), shard, begins, symbol, length)] = True
-    return out[at < ends]
+    return out[inside]

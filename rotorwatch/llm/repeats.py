@@ -15,7 +15,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -25,9 +26,8 @@ from rotorwatch.llm.pretokens import flat, text_slices, worker_cache
 
 LENGTH = 400
 ANCHOR = 64
-PART = 4 << 20  # bytes of a text worked on at once
-SHARD, BATCH = 1 << 20, 4 << 20  # bytes of pieces: sorted at once, merged at once
-ROW = ("id", "mark", "mark2")  # tell rows apart
+PART = 1 << 20  # bytes of a text worked on at once
+SHARD, BATCH = 1 << 19, 1 << 20  # bytes of pieces: sorted at once, merged at once
 CROWD = 8_192  # different pieces of an anchor beyond which strings are compared by digest
 
 _BASE = 0x9E3779B97F4A7C15
@@ -39,7 +39,7 @@ def _powers(n: int) -> list[np.ndarray]:
     cache = worker_cache()
     if len(cache.get("powers", [""])[0]) <= n:
         one = np.ones(1, np.uint64)
-        size = max(n, PART + 2 * LENGTH) + 1
+        size = max(n, PART + LENGTH) + 1
         cache["powers"] = [np.multiply.accumulate(np.concatenate([one, np.full(size, b, np.uint64)])) for b in (_BASE, pow(_BASE, -1, 1 << 64))]
     return cache["powers"]
 
@@ -70,7 +70,7 @@ def anchored(data: np.ndarray, borders: np.ndarray, length: int, gram: int) -> t
     if n < length:
         return none, none.astype(np.uint64), none.astype(np.uint64), none, none, none
     strings = Strings(data)
-    hashes = strings.digests(np.arange(n - gram + 1), np.arange(gram, n + 1))
+    hashes = _mixed((strings.sums[gram:] - strings.sums[: n - gram + 1]) * strings.inverse[: n - gram + 1])
     # the least hash, then the first place, of each string: minima over doubling widths
     least = hashes >> np.uint64(24) << np.uint64(24) | np.arange(len(hashes), dtype=np.uint64)
     size = 1
@@ -96,50 +96,40 @@ def anchored(data: np.ndarray, borders: np.ndarray, length: int, gram: int) -> t
     return text[new], hashes[at], whole, first, last, at
 
 
-def _ids(docs: DataFrame, doc_id: str, text: str) -> list[Column]:
-    """What tells rows apart: the id, and for rows with the same one two 64-bit hashes of the text, the second seeded by its
-    length; rows equal in all are one text twice."""
-    whole = F.coalesce(F.col(text), F.lit(""))
-    return [F.col(doc_id).alias("id"), F.xxhash64(whole).alias("mark"), F.xxhash64(F.octet_length(whole), whole).alias("mark2"), whole.alias("text")]
+def numbered(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """(row, id, text): the rows of ``docs`` under numbers of their own, written, so that every later step tells them apart by one long."""
+    return kept(docs.select(F.monotonically_increasing_id().alias("row"), F.col(doc_id).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text")), "repeat-texts")
 
 
-def _same_row() -> Column:
-    """Join condition: a row's ``ROW`` columns equal those with an underscore."""
-    return F.col("id").eqNullSafe(F.col("_id")) & (F.col("mark") == F.col("_mark")) & (F.col("mark2") == F.col("_mark2"))
-
-
-def pieces(docs: DataFrame, doc_id: str, text: str, length: int, gram: int) -> DataFrame:
-    """(``ROW``, anchor, whole, first, last, at): the pieces of all texts; places are in the text, ``at`` counts from ``first``."""
+def pieces(rows: DataFrame, length: int, gram: int) -> DataFrame:
+    """(row, anchor, whole, first, last, at): the pieces of all texts; places are in the text, ``at`` counts from ``first``."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row, part in text_slices(batch.column(3), PART // 2):
+            for row, part in text_slices(batch.column(1), PART):
                 data, borders = flat(part)
                 # a text longer than a part is cut so that each string lies in one cut as a whole
                 for a in range(0, max(1, len(data) - length + 1), PART if len(part) == 1 else max(1, len(data))):
                     cut = data[a: a + PART + length - 1] if len(part) == 1 else data
                     of, anchor, whole, first, last, at = anchored(cut, np.array([0, len(cut)]) if len(part) == 1 else borders, length, gram)
                     zero = borders[of] - a if len(part) > 1 else np.full(len(of), -a)
-                    names = [batch.column(c).slice(row, len(part)).take(pa.array(of)) for c in (0, 1, 2)]
-                    cells = [pa.array(x) for x in (anchor.view(np.int64), whole.view(np.int64), first - zero, last - zero, (at - first).astype(np.int32))]
-                    yield pa.RecordBatch.from_arrays([*names, *cells], names=[*ROW, "anchor", "whole", "first", "last", "at"])
+                    cells = [pa.array(x) for x in (np.asarray(batch.column(0))[row + of], anchor.view(np.int64), whole.view(np.int64), first - zero, last - zero, (at - first).astype(np.int32))]
+                    yield pa.RecordBatch.from_arrays(cells, names=["row", "anchor", "whole", "first", "last", "at"])
 
-    out = T.StructType([T.StructField("id", docs.schema[doc_id].dataType), *(T.StructField(c, T.LongType()) for c in ("mark", "mark2", "anchor", "whole", "first", "last")), T.StructField("at", T.IntegerType())])
-    return arrow_rows(docs.select(*_ids(docs, doc_id, text)).where(F.octet_length("text") >= length), *ROW, "text").mapInArrow(tidy(work), out)
+    return arrow_rows(rows.where(F.octet_length("text") >= length), "row", "text").mapInArrow(tidy(work), "row long, anchor long, whole long, first long, last long, at int")
 
 
-def cut_out(docs: DataFrame, wanted: DataFrame, doc_id: str, text: str, length: int, crowd: int) -> DataFrame:
-    """(anchor, string, ``ROW``, first, single, piece): the bytes of the ``wanted`` pieces, or, where an anchor has a crowd of them,
+def cut_out(rows: DataFrame, wanted: DataFrame, length: int, crowd: int) -> DataFrame:
+    """(anchor, string, row, first, single, piece): the bytes of the ``wanted`` pieces, or, where an anchor has a crowd of them,
     a row for each string with its digest and no bytes."""
-    by_text = wanted.groupBy(*(F.col(c).alias(f"_{c}") for c in ROW)).agg(F.collect_list(F.struct("anchor", "first", "last", "at", "single", "kinds")).alias("_cuts"))
-    rows = docs.select(*_ids(docs, doc_id, text)).join(by_text, _same_row())
+    by_text = wanted.groupBy(F.col("row").alias("_row")).agg(F.collect_list(F.struct("anchor", "first", "last", "at", "single", "kinds")).alias("_cuts"))
+    rows = rows.join(by_text, F.col("row") == F.col("_row"))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        out = T.StructType(shape)
         for batch in batches:
             for row in range(batch.num_rows):
-                data = np.frombuffer(batch.column(3)[row].as_buffer(), np.uint8)
-                cuts = batch.column(4)[row].values
+                data = np.frombuffer(batch.column(1)[row].as_buffer(), np.uint8)
+                cuts = batch.column(2)[row].values
                 anchor, first, last, at, single, kinds = (np.asarray(cuts.field(k)) for k in range(6))
                 where, digest, piece = [], [], []
                 for k in range(len(anchor)):
@@ -157,31 +147,31 @@ def cut_out(docs: DataFrame, wanted: DataFrame, doc_id: str, text: str, length:
                 if not where:
                     continue
                 k = np.array([w[0] for w in where])
-                names = [batch.column(c).take(pa.array(np.full(len(k), row))) for c in (0, 1, 2)]
-                yield pa.RecordBatch.from_arrays([pa.array(anchor[k]), pa.array(digest, pa.int64()), *names, pa.array([w[1] for w in where], pa.int64()), pa.array(single[k]), pa.array(piece, pa.binary())], names=out.names)
+                number = np.full(len(k), batch.column(0)[row].as_py())
+                yield pa.RecordBatch.from_arrays([pa.array(anchor[k]), pa.array(digest, pa.int64()), pa.array(number), pa.array([w[1] for w in where], pa.int64()), pa.array(single[k]), pa.array(piece, pa.binary())], names=["anchor", "string", "row", "first", "single", "piece"])
 
-    shape = [T.StructField("anchor", T.LongType()), T.StructField("string", T.LongType()), T.StructField("id", docs.schema[doc_id].dataType), T.StructField("mark", T.LongType()), T.StructField("mark2", T.LongType()), T.StructField("first", T.LongType()), T.StructField("single", T.BooleanType()), T.StructField("piece", T.BinaryType())]
-    return arrow_rows(rows, *ROW, "text", "_cuts").mapInArrow(tidy(work), T.StructType(shape))
+    out = "anchor long, string long, row long, first long, single boolean, piece binary"
+    return arrow_rows(rows, "row", "text", "_cuts").mapInArrow(tidy(work), out)
 
 
 def merged(cut: DataFrame, length: int, shard: int, batch_bytes: int) -> DataFrame:
-    """(``ROW``, first, last): runs of starts of repeated strings in the pieces that occur once."""
+    """(row, first, last): runs of starts of repeated strings in the pieces that occur once."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def flush(rows: list[pa.RecordBatch]) -> pa.RecordBatch:
             table = pa.Table.from_batches(rows).combine_chunks()
-            column = table.column(6).chunk(0).cast(pa.large_binary())
+            column = table.column(4).chunk(0).cast(pa.large_binary())
             data, borders = flat(column)
             hit = interleave.repeated(data, borders, length, shard)
-            single = np.asarray(table.column(5))
-            piece = np.repeat(np.arange(len(single)), np.diff(borders))
+            single = np.asarray(table.column(3))
+            piece = np.repeat(np.arange(len(single), dtype=np.int32), np.diff(borders))
             at = np.flatnonzero(hit & single[piece])
             new = np.concatenate([[True], (at[1:] != at[:-1] + 1) | (piece[at[1:]] != piece[at[:-1]])]) if len(at) else np.zeros(0, bool)
             first = at[new]
             last = at[np.concatenate([np.flatnonzero(new)[1:] - 1, [len(at) - 1]])] if len(at) else first
             of = piece[first]
-            zero = np.asarray(table.column(4))[of] - borders[of]
-            return pa.RecordBatch.from_arrays([*(table.column(c).chunk(0).take(pa.array(of)) for c in (1, 2, 3)), pa.array(first + zero), pa.array(last + zero)], names=[*ROW, "first", "last"])
+            zero = np.asarray(table.column(2))[of] - borders[of]
+            return pa.RecordBatch.from_arrays([table.column(1).chunk(0).take(pa.array(of)), pa.array(first + zero), pa.array(last + zero)], names=["row", "first", "last"])
 
         waiting, held = [], 0
         for batch in batches:
@@ -191,42 +181,42 @@ def merged(cut: DataFrame, length: int, shard: int, batch_bytes: int) -> DataFra
             for end in ends:
                 group = batch.slice(begin, end - begin)
                 # the last group may go on in the next batch, so a flush comes before a group of another anchor
-                if held >= batch_bytes and waiting[-1].column(0)[-1] != group.column(0)[0]:
+                size = pc.sum(pc.binary_length(group.column(4))).as_py()
+                if held and held + size > batch_bytes and waiting[-1].column(0)[-1] != group.column(0)[0]:
                     yield flush(waiting)
                     waiting, held = [], 0
                 waiting.append(group)
-                held += sum(len(x) for x in group.column(6).to_pylist())
+                held += size
                 begin = end
         if waiting:
             yield flush(waiting)
 
-    out = T.StructType([*(f for f in cut.schema if f.name in ROW), T.StructField("first", T.LongType()), T.StructField("last", T.LongType())])
-    rows = cut.select("anchor", *ROW, "first", "single", "piece").repartition("anchor").sortWithinPartitions("anchor")
-    return arrow_rows(rows, "*").mapInArrow(tidy(work), out)
+    rows = cut.select("anchor", "row", "first", "single", "piece").repartition("anchor").sortWithinPartitions("anchor")
+    return arrow_rows(rows, "*").mapInArrow(tidy(work), "row long, first long, last long")
 
 
-def repeated_starts(docs: DataFrame, doc_id: str, text: str, length: int, gram: int, crowd: int, shard: int, batch: int) -> DataFrame:
-    """(``ROW``, first, last): runs of starts of repeated strings, by text."""
-    found = pieces(docs, doc_id, text, length, gram)
+def repeated_starts(texts: DataFrame, length: int, gram: int, crowd: int, shard: int, batch: int) -> DataFrame:
+    """(row, first, last): runs of starts of repeated strings in the ``numbered`` texts."""
+    found = kept(pieces(texts, length, gram), "repeat-all-pieces")
     # written, so that the join below has plain shuffles on both sides, whose skewed keys Spark can split
     often = kept(found.groupBy(F.col("anchor").alias("_a")).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("_a"), "repeat-anchors")
     found = kept(found.join(often, F.col("anchor") == F.col("_a")).drop("_a"), "repeat-pieces")
-    kinds = found.groupBy("anchor", "whole").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct(*ROW, "first", "last", "at")).alias("one"))
+    kinds = found.groupBy("anchor", "whole").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("row", "first", "last", "at")).alias("one"))
     by_anchor = kinds.groupBy(F.col("anchor").alias("_a")).agg(F.count(F.lit(1)).alias("kinds"))
     kinds = kept(kinds.join(by_anchor, F.col("anchor") == F.col("_a")).drop("_a"), "repeat-kinds")
 
     equal = kinds.where("n > 1").select(F.col("anchor").alias("_a"), F.col("whole").alias("_w"))
-    starts = found.join(equal, (F.col("anchor") == F.col("_a")) & (F.col("whole") == F.col("_w"))).select(*ROW, "first", "last")
+    starts = found.join(equal, (F.col("anchor") == F.col("_a")) & (F.col("whole") == F.col("_w"))).select("row", "first", "last")
 
     wanted = kinds.where("kinds > 1").select("anchor", "one.*", (F.col("n") == 1).alias("single"), "kinds")
-    cut = cut_out(docs, wanted, doc_id, text, length, crowd)
+    cut = cut_out(texts, wanted, length, crowd)
     if not kinds.where(F.col("kinds") > crowd).limit(1).count():
         return starts.unionByName(merged(cut, length, shard, batch))
     cut = kept(cut, "repeat-cuts")
     crowded = cut.where("piece IS NULL")
     twice = crowded.groupBy(F.col("anchor").alias("_a"), F.col("string").alias("_s")).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
     crowded = crowded.where("single").join(twice, (F.col("anchor") == F.col("_a")) & (F.col("string") == F.col("_s")))
-    starts = starts.unionByName(crowded.select(*ROW, "first", F.col("first").alias("last")))
+    starts = starts.unionByName(crowded.select("row", "first", F.col("first").alias("last")))
     return starts.unionByName(merged(cut.where("piece IS NOT NULL"), length, shard, batch))
 
 
@@ -240,9 +230,10 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     """
     if length % interleave.STEP or gram >= length:
         raise ValueError(f"length {length} must be a multiple of {interleave.STEP} and exceed {gram}")
-    starts = repeated_starts(docs, doc_id, text, length, gram, crowd, shard, batch)
-    by_text = starts.groupBy(*(F.col(c).alias(f"_{c}") for c in ROW)).agg(F.sort_array(F.collect_set(F.struct("first", "last"))).alias("_starts"))
-    rows = docs.select(*_ids(docs, doc_id, text)).join(by_text, _same_row(), "left")
+    texts = numbered(docs, doc_id, text)
+    starts = repeated_starts(texts, length, gram, crowd, shard, batch)
+    by_text = starts.groupBy(F.col("row").alias("_row")).agg(F.sort_array(F.collect_list(F.struct("first", "last"))).alias("_starts"))
+    rows = texts.join(by_text, F.col("row") == F.col("_row"), "left")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
