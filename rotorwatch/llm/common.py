@@ -55,11 +55,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def kept(df: DataFrame, name: str) -> DataFrame:
-    """``df`` as a table in the shared folder, read again: later steps neither repeat its work nor need its executors."""
+def kept(df: DataFrame, name: str, compression: str | None = None) -> DataFrame:
+    """``df`` as a table in the shared folder, read again: later steps neither repeat its work nor need its executors.
+    ``compression``: of its files, the session's own if none."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return spark.read.schema(df.schema).parquet(path)
 
 

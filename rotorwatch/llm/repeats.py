@@ -98,7 +98,7 @@ def anchored(data: np.ndarray, borders: np.ndarray, length: int, gram: int) -> t
 
 def numbered(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     """(row, id, text): the rows of ``docs`` under numbers of their own, written, so that every later step tells them apart by one long."""
-    return kept(docs.select(F.monotonically_increasing_id().alias("row"), F.col(doc_id).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text")), "repeat-texts")
+    return kept(docs.select(F.monotonically_increasing_id().alias("row"), F.col(doc_id).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text")), "repeat-texts", "zstd")
 
 
 def pieces(rows: DataFrame, length: int, gram: int) -> DataFrame:
@@ -197,7 +197,7 @@ def merged(cut: DataFrame, length: int, shard: int, batch_bytes: int) -> DataFra
 
 def repeated_starts(texts: DataFrame, length: int, gram: int, crowd: int, shard: int, batch: int) -> DataFrame:
     """(row, first, last): runs of starts of repeated strings in the ``numbered`` texts."""
-    found = kept(pieces(texts, length, gram), "repeat-all-pieces")
+    found = kept(pieces(texts, length, gram), "repeat-all-pieces", "zstd")
     # written, so that the join below has plain shuffles on both sides, whose skewed keys Spark can split
     often = kept(found.groupBy(F.col("anchor").alias("_a")).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("_a"), "repeat-anchors")
     found = kept(found.join(often, F.col("anchor") == F.col("_a")).drop("_a"), "repeat-pieces")
