@@ -104,6 +104,8 @@ def refine(order: np.ndarray, shard: np.ndarray, begins: np.ndarray, symbol: np.
         now = full[kind == k] if parts > 1 else full
         block = np.zeros(len(now), np.int32)
         for _ in range(length // STEP):
+            if not len(now):
+                break
             now = now - STEP
             s = symbol[now]
             by = _stable(s)
@@ -113,13 +115,11 @@ def refine(order: np.ndarray, shard: np.ndarray, begins: np.ndarray, symbol: np.
             own = shard[now]
             mixed = np.minimum.reduceat(own, starts) != np.maximum.reduceat(own, starts)
             now, block = now[np.repeat(mixed, size)], np.repeat(np.arange(np.count_nonzero(mixed), dtype=np.int32), size[mixed])
-            if not len(now):
-                break
         found.append(now)
     return np.concatenate(found)
 
 
-def repeated(data: np.ndarray, borders: np.ndarray, length: int, shard_bytes: int) -> np.ndarray:
+def repeated(data: np.ndarray, borders: np.ndarray, length: int, shard_bytes: int, part: int = PART) -> np.ndarray:
     """For pieces ``data`` between ``borders``: whether the ``length`` bytes from each place, inside its piece, start anywhere else.
 
     ``length`` is a multiple of the symbol's eight bytes.
@@ -142,5 +142,5 @@ def repeated(data: np.ndarray, borders: np.ndarray, length: int, shard_bytes: in
         out[a:b] |= shared
         orders.append((order + a).astype(np.int32))
     if len(orders) > 1:
-        out[refine(np.concatenate(orders), shard, begins, symbol, length)] = True
+        out[refine(np.concatenate(orders), shard, begins, symbol, length, part)] = True
     return out[inside]
