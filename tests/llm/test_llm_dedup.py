@@ -169,7 +169,8 @@ def test_interleave_finds_what_brute_force_finds():
         want = [i + length <= len(p) and seen[bytes(p[i: i + length])] > 1 for p in parts for i in range(len(p))]
         borders = np.concatenate([[0], np.cumsum([len(p) for p in parts])])
         for shard in (1, 50, 10**6):
-            assert interleave.repeated(np.concatenate(parts), borders, length, shard).tolist() == want
+            for part in (7, 10**6):  # suffixes refined at once
+                assert interleave.repeated(np.concatenate(parts), borders, length, shard, part).tolist() == want
 
 
 def repeat_rows():

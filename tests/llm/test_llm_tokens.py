@@ -33,15 +33,29 @@ def test_ids_equal_the_librarys(path, make):
             assert ids[borders[k]: borders[k + 1]].tolist() == library.encode(text, add_special_tokens=False).ids, repr(text)
 
 
-def test_cache_is_bounded_and_refilled(monkeypatch):
+@pytest.mark.parametrize("retain", [False, True])
+def test_cache_is_bounded_and_refilled(monkeypatch, retain):
     monkeypatch.setattr(pretokens, "CACHE_ENTRIES", 50)
-    encoder = pretokens.Encoder(WORDS, False, True)
+    encoder = pretokens.Encoder(WORDS, False, True, retain)
     library = Tokenizer.from_file(WORDS)
     for k in range(30):
-        text = " ".join(f"w{k}{j}" + "abcdefghij"[j] * 3 for j in range(10))
+        text = " ".join(f"w{k}{j} often w{k // 2} same{j % 3}" + "abcdefghij"[j] * 3 for j in range(10))
         assert encoder.ids(pa.array([text], pa.large_string()))[0].tolist() == library.encode(text, add_special_tokens=False).ids
 
 
+def test_a_full_cache_keeps_what_recurred(monkeypatch):
+    monkeypatch.setattr(pretokens, "CACHE_ENTRIES", 50)
+    encoder = pretokens.Encoder(WORDS, False, True, retain=True)
+    for k in range(30):
+        encoder.ids(pa.array([" ".join(["often", *("x" * (k + 1) + "abcdefghij"[j] * 2 for j in range(10))])], pa.large_string()))
+        assert b"often" in encoder.store.index and len(encoder.store.index) <= 2 * 50
+    # all recur: the cache is emptied rather than kept beyond half its size
+    many = pa.array([" ".join("y" + "abcdefghij"[j % 10] * (1 + j // 10) for j in range(60))], pa.large_string())
+    for _ in range(4):
+        encoder.ids(many)
+        assert len(encoder.store.index) <= 120
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.one_of(st.integers(0, 300), st.integers(0, 2**32 - 1)), max_size=200))
 def test_byte_aligned_coding_round_trip(values):
