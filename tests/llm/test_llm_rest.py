@@ -120,6 +120,66 @@ def test_nearest_recall(spark, sizes, monkeypatch):
     assert hit / total >= 0.9
 
 
+def brute(v, q, k=5):
+    u = v.astype(np.float64)
+    score = u @ u[q] / (np.linalg.norm(u, axis=1) * np.linalg.norm(u[q]))
+    score[q] = -2
+    return np.lexsort((np.arange(len(v)), -score))[:k].tolist()
+
+
+@pytest.mark.parametrize("shape", ["even", "clusters"])
+def test_nearest_over_many_lists(spark, shape, monkeypatch):
+    monkeypatch.setattr(ann, "LIST", 16)
+    monkeypatch.setattr(ann, "LEAST", 32)
+    seen = []
+    monkeypatch.setattr(ann, "calibrate", lambda *a, real=ann.calibrate: seen.append((len(a[0].centroids), real(*a))) or seen[-1][1])
+    rng = np.random.default_rng(4)
+    v = rng.normal(size=(8000, 12)).astype(np.float32)
+    if shape == "clusters":
+        v = (v * 0.1 + rng.normal(size=(80, 12))[rng.integers(0, 80, 8000)]).astype(np.float32)
+    rows = vectors(spark, [(k, x.tolist()) for k, x in enumerate(v)])
+    want = {q: brute(v, q) for q in range(0, 8000, 40)}
+    for exact in (False, True):
+        got = defaultdict(list)
+        for r in ann.search(rows, every=40, exact=exact).orderBy("query_id", "rank").collect():
+            got[r["query_id"]].append(r["vec_id"])
+        if exact:
+            assert got == want
+        else:
+            assert sum(len(set(want[q]) & set(got[q])) for q in want) / (5 * len(want)) >= 0.95
+    lists, visits = seen[0]
+    assert lists > 400 and visits.lists < lists / 4  # far from all are visited
+
+
+def test_graph_search_finds_the_nearest_centroids():
+    rng = np.random.default_rng(5)
+    v = ann.unit(rng.normal(size=(6000, 12)))
+    index = ann.fit(v, 6000 * ann.LIST)
+    found, far = index.nearest(v[:300], 40)
+    score = v[:300] @ index.centroids.T
+    best = np.argsort(-score, axis=1)[:, :40]
+    assert len(index.centroids) == 1500 and (np.diff(far, axis=1) >= 0).all()
+    assert np.mean([len(set(a) & set(b)) for a, b in zip(found.tolist(), best.tolist(), strict=True)]) >= 39
+
+
+def test_equal_vectors_tie_whatever_the_chunk(spark, monkeypatch):
+    monkeypatch.setattr(ann, "LIST", 8)
+    monkeypatch.setattr(ann, "CHUNK", 7)
+    rng = np.random.default_rng(6)
+    v = rng.normal(size=(400, 24)).astype(np.float32)
+    v[100:140] = v[3] * np.float32(2) ** rng.integers(-3, 4, 40)[:, None].astype(np.float32)  # equal cosines, different vectors
+    got = ann.search(vectors(spark, [(k, x.tolist()) for k, x in enumerate(v)]), every=101, exact=True).where("query_id = 101").orderBy("rank").collect()
+    assert [r["vec_id"] for r in got] == [3, 100, 102, 103, 104]
+    assert len({r["score"] for r in got}) == 1
+
+
+def test_dimension_is_an_argument(spark):
+    rows = [(0, [1.0, 0.0]), (2, [1.0, 0.1]), (1, [1.0]), (3, [2.0]), (5, [3.0])]
+    assert ann.search(vectors(spark, rows), every=2, dimension=2).count() == 2
+    assert ann.search(vectors(spark, rows), every=5).count() == 2 and ann.search(vectors(spark, rows), every=5, dimension=2).count() == 1
+    assert ann.search(vectors(spark, rows), every=1, dimension=7).count() == 0
+
+
 # toxicity
 
 
