@@ -33,6 +33,7 @@ DEGREE = 24  # neighbours of a centroid in the graph
 COPIES, COPY_RATIO = 4, 1.10  # lists a vector goes to, and how much farther than the first the others may be
 RECALL = 0.97  # of the held vectors' true neighbours that the visits must find
 LEAST = 1_024  # a query goes on to farther lists until the lists hold so many vectors
+HITS = 65_536  # rows a task holds to combine a query's hits of several chunks
 SLACK = 1e-3  # of distances computed in single precision, where ``exact`` rules lists out
 
 
@@ -334,7 +335,7 @@ def search(vectors: DataFrame, every: int, k: int = 5, vec_id: str = "vec_id", v
     def nearest(queries: DataFrame) -> DataFrame:
         both = data.drop("far").withColumn("chunk", chunk_of.cast("int")).withColumn("asks", F.lit(False)).unionByName(queries.withColumn("asks", F.lit(True)))
         both = both.repartition("list", "chunk").sortWithinPartitions("list", "chunk", "asks").select("list", "chunk", "asks", "id", "vector")
-        hits = both.mapInArrow(tidy(lambda batches: _scan(batches, k)), f"query_id {kinds['id']}, found {kinds['id']}, score double")
+        hits = both.mapInArrow(tidy(lambda batches: _combined(_scan(batches, k), k)), f"query_id {kinds['id']}, found {kinds['id']}, score double")
         hits = hits.groupBy("query_id", "found").agg(F.max("score").alias("score"))
         rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "found"))
         return hits.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", F.col("found").alias(vec_id), "score")
@@ -392,3 +393,31 @@ def _scan(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]
                 starts = np.searchsorted(q_at, q_at)  # of each query's run: q_at rises
                 best = best[np.arange(len(best)) - starts < many]
                 yield pa.RecordBatch.from_arrays([asked.column(3).take(pa.array(q_at[best])), ids.take(pa.array(at_[best])), pa.array(values[best])], names=["query_id", "found", "score"])
+
+
+def _combined(hits: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
+    """The hits of a task with, as far as ``HITS`` rows at once allow, each query's best ``k`` ids only."""
+    held, rows = [], 0
+    for batch in hits:
+        held.append(batch)
+        rows += batch.num_rows
+        if rows >= HITS:
+            best = _best(held, k)
+            held, rows = [best], best.num_rows
+            if rows >= HITS // 2:  # other queries, mostly: nothing to gain from holding them
+                yield best
+                held, rows = [], 0
+    if rows:
+        yield _best(held, k)
+
+
+def _best(held: list[pa.RecordBatch], k: int) -> pa.RecordBatch:
+    hits = pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+    query, found, score = (np.asarray(hits.column(c)) for c in range(3))
+    order = np.lexsort((-score, found, query))  # an id's best score first
+    once = np.ones(len(order), bool)
+    once[1:] = (query[order[1:]] != query[order[:-1]]) | (found[order[1:]] != found[order[:-1]])
+    order = order[once]
+    order = order[np.lexsort((found[order], -score[order], query[order]))]
+    place = np.arange(len(order)) - np.searchsorted(query[order], query[order])
+    return hits.take(pa.array(order[place < k]))

@@ -165,6 +165,7 @@ def test_graph_search_finds_the_nearest_centroids():
 def test_equal_vectors_tie_whatever_the_chunk(spark, monkeypatch):
     monkeypatch.setattr(ann, "LIST", 8)
     monkeypatch.setattr(ann, "CHUNK", 7)
+    monkeypatch.setattr(ann, "HITS", 16)
     rng = np.random.default_rng(6)
     v = rng.normal(size=(400, 24)).astype(np.float32)
     v[100:140] = v[3] * np.float32(2) ** rng.integers(-3, 4, 40)[:, None].astype(np.float32)  # equal cosines, different vectors
