@@ -7,6 +7,7 @@ import uuid
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 from rotorwatch.config import CONTENT_TYPE, DEFAULT, Settings
 from rotorwatch.functions import adjusted_time, first_present, finite_or_null, safe_timestamp
@@ -113,3 +114,25 @@ def split_registered(readings: DataFrame, devices: DataFrame, key: str = "machin
     """
     known = measured(devices.filter(F.col("registered")).select(F.col("device_id").alias(key)).distinct())
     return readings.join(known, key, "left_semi"), readings.join(known, key, "left_anti")
+
+
+def with_registration(readings: DataFrame, history: DataFrame, at: str = "arrived_at", key: str = "machine_id") -> DataFrame:
+    """``readings`` with ``registered``: whether the device was registered at the
+    reading's time ``at``.
+
+    ``history`` has ``device_id``, ``registered`` and ``valid_from``; a row holds
+    until the device's next one, a null ``valid_from`` from ever on.  Of rows with
+    one time the refusal counts, and a null ``registered`` is a refusal.  Devices
+    without a row, rows before a device's first, and null times are not
+    registered.  A device's periods are disjoint, so no reading is doubled.
+    ``history`` is expected to be a table, by whose size Spark plans the join.
+    """
+    marks = (history.filter(F.col("device_id").isNotNull())
+             .groupBy(F.col("device_id").alias("_device"),
+                      F.coalesce("valid_from", F.lit("0001-01-01 00:00:00").cast("timestamp")).alias("_from"))
+             .agg(F.min(F.coalesce("registered", F.lit(False))).alias("_registered")))
+    ahead = Window.partitionBy("_device").orderBy("_from")
+    periods = marks.withColumn("_to", F.lead("_from").over(ahead)).filter("_registered")
+    within = ((F.col(key) == F.col("_device")) & (F.col(at) >= F.col("_from"))
+              & (F.col("_to").isNull() | (F.col(at) < F.col("_to"))))
+    return readings.join(periods, within, "left").select(*readings.columns, F.col("_device").isNotNull().alias("registered"))

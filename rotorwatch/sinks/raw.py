@@ -12,13 +12,13 @@ from rotorwatch.config import DEFAULT, Settings
 from rotorwatch.schemas import RAW_FILE
 
 
-def raw_rows(readings: DataFrame) -> DataFrame:
+def raw_rows(readings: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """Rows the raw zone accepts: timed and with a machine; adds the UTC date.
     Readings with missing measurements pass through (validation is later)."""
     cols = [c for c in RAW_FILE.fieldNames() if c in readings.columns]
     return (readings
             .filter(F.col("event_time").isNotNull() & F.col("machine_id").isNotNull())
-            .select(*cols, F.to_date("event_time").alias("date")))
+            .select(*cols, F.to_date("event_time").alias("date"), *keep))
 
 
 BATCH = "batch"  # the leaf folder of a landing

@@ -15,7 +15,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from rotorwatch.config import DEFAULT, Settings, prepare, shared_dir
 from rotorwatch.functions import safe_timestamp
-from rotorwatch.operators.ingest import parse_envelopes
+from rotorwatch.operators.ingest import parse_envelopes, with_registration
 from rotorwatch.operators.windows import WINDOW_TIME, window_parts, windows_of_parts, with_window, with_window_time
 from rotorwatch.plans.hot_path import write_batch
 from rotorwatch.sinks.raw import raw_rows, land_batch
@@ -40,7 +40,8 @@ def _trigger(writer, trigger: str | None):
 
 
 def start_raw_sink(lines: DataFrame, raw_path: str, corrupt_path: str, checkpoint: str,
-                   cfg: Settings = DEFAULT, trigger: str | None = None) -> tuple[StreamingQuery, StreamingQuery]:
+                   cfg: Settings = DEFAULT, trigger: str | None = None, registry: str | None = None,
+                   rejected_path: str | None = None) -> tuple[StreamingQuery, StreamingQuery]:
     """Parse messages; land timed readings in the partitioned raw zone and
     undecodable lines in the corrupt-line folder.  Readings with missing
     measurements pass through to raw (validation happens in the batch run).
@@ -49,11 +50,37 @@ def start_raw_sink(lines: DataFrame, raw_path: str, corrupt_path: str, checkpoin
     one zone, files are rebalanced, and a repeated micro-batch adds nothing
     (``sinks.raw.land_batch``).  ``event_id`` is a hash of the
     message: a total order for ties that does not depend on how files are split.
+
+    ``registry``: a folder with a table of devices (``ingest.with_registration``).
+    Readings of devices not registered when they arrived then land in
+    ``rejected_path``, laid out like the raw zone, and not in the raw zone.  The
+    registry is read anew for every micro-batch, so a device registered while the
+    stream runs is taken from then on; what arrived earlier stays rejected, also
+    when a batch is repeated later.  Without an arrival time the micro-batch's
+    own time, which its repetition keeps, decides.
     """
+    if (registry is None) != (rejected_path is None):
+        raise ValueError("registry and rejected_path go together")
     keyed = lines.withColumn("event_id", F.xxhash64("value"))
-    readings, corrupt = parse_envelopes(keyed, cfg, keep=("event_id",))
-    raw_q = _trigger(raw_rows(readings).writeStream
-                     .foreachBatch(lambda batch, batch_id: land_batch(batch, raw_path, batch_id, f"{checkpoint}/raw", cfg))
+    readings, corrupt = parse_envelopes(keyed, cfg, keep=("event_id",), arrival=registry is not None)
+    if registry is None:
+        rows = raw_rows(readings)
+    else:
+        rows = raw_rows(readings.withColumn("arrived_at", F.coalesce("arrived_at", F.current_timestamp())), keep=("arrived_at",))
+
+    def land(batch: DataFrame, batch_id: int) -> None:
+        if registry is None:
+            land_batch(batch, raw_path, batch_id, f"{checkpoint}/raw", cfg)
+            return
+        batch = batch.persist()
+        try:
+            marked = with_registration(batch, batch.sparkSession.read.parquet(registry))
+            for taken, path in ((True, raw_path), (False, rejected_path)):
+                land_batch(marked.filter(F.col("registered") == taken).drop("registered", "arrived_at"), path, batch_id, f"{checkpoint}/raw", cfg)
+        finally:
+            batch.unpersist()
+
+    raw_q = _trigger(rows.writeStream.foreachBatch(land)
                      .option("checkpointLocation", f"{checkpoint}/raw")
                      .outputMode("append"), trigger).start()
     bad_q = _trigger(corrupt.select("value").writeStream.format("parquet")

@@ -217,3 +217,36 @@ def test_a_message_delivered_twice_counts_once_and_is_forgotten_with_its_window(
     assert status == {"00:05": 75.0, "00:30": 70.0}
     rows = [s["numRowsTotal"] for s in q.lastProgress["stateOperators"]]
     assert rows == [1, 1]  # the open window's message, and its sums
+
+
+def test_devices_registered_while_the_stream_runs(spark, tmp_root):
+    land, registry = f"{tmp_root}/in", f"{tmp_root}/devices"
+    schema = "device_id string, registered boolean, valid_from timestamp"
+
+    def register(rows):
+        spark.createDataFrame(rows, "device_id string, registered boolean, t string").selectExpr(
+            "device_id", "registered", "to_timestamp(t) AS valid_from").write.mode("append").parquet(registry)
+
+    def drain():
+        raw_q, bad_q = jobs.start_raw_sink(jobs.message_stream(spark, land), f"{tmp_root}/raw", f"{tmp_root}/bad",
+                                           f"{tmp_root}/ckpt", registry=registry, rejected_path=f"{tmp_root}/rejected")
+        raw_q.awaitTermination()
+        bad_q.awaitTermination()
+
+    def landed(name):
+        return sorted((r["machine_id"], r["event_time"].strftime("%H:%M")) for r in spark.read.parquet(f"{tmp_root}/{name}").collect())
+
+    spark.createDataFrame([], schema).write.parquet(registry)
+    register([("m1", True, None), ("m2", False, None), ("m4", True, "2024-01-01T00:00:00Z"), ("m4", False, "2024-01-01T00:10:00Z"),
+              ("m5", True, None), ("m5", False, None), ("m6", None, None), (None, True, None)])
+    _land(land, "a.jsonl", [_msg(m, f"2024-01-01T00:0{k}:00+00:00") for k in (1, 5) for m in ("m1", "m2", "m3", "m4", "m5", "m6")], time.time() - 10)
+    drain()
+    assert landed("raw") == [("m1", "00:01"), ("m1", "00:05"), ("m4", "00:01"), ("m4", "00:05")]
+    assert landed("rejected") == sorted((m, t) for m in ("m2", "m3", "m5", "m6") for t in ("00:01", "00:05"))
+    # m3 is registered as of 00:10, m4 refused as of then
+    register([("m3", True, "2024-01-01T00:10:00Z")])
+    _land(land, "b.jsonl", [_msg(m, t) for t in ("2024-01-01T00:09:59+00:00", "2024-01-01T00:10:00+00:00") for m in ("m3", "m4")], time.time() - 5)
+    drain()
+    assert landed("raw")[2:] == [("m3", "00:10"), ("m4", "00:01"), ("m4", "00:05"), ("m4", "00:09")]
+    assert ("m3", "00:09") in landed("rejected") and ("m4", "00:10") in landed("rejected")
+    assert len(landed("raw")) + len(landed("rejected")) == 16
