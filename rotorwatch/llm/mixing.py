@@ -48,12 +48,14 @@ def mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str
     document is in if at least half of it lies within the rest, so a source misses its target by half a document at
     most.  (source, key) is range-partitioned, so a source of any size spreads over tasks, and prefix sums go by part.
 
-    ``size``: a column that holds the sizes; else they are the texts' words.  ``quality``: positive weights, 1 where null or left out.  Null sources are a source; null texts have size 0 and
+    ``size``: a column that holds the sizes; else they are the texts' words.  ``quality``: weights, 1 where null or left out;
+    documents whose weight is 0, negative or NaN come after all others of their source, in order of their ids.  Null sources are a source; null texts have size 0 and
     are taken 0 times beyond the epochs; rows with equal ids share a key and stay rows of their own; an empty table gives no rows.  Reruns
     give the same mix.  Other columns of ``docs`` matter only to ``quality``.
     """
     u = (F.shiftrightunsigned(F.xxhash64(F.lit(seed), F.col(doc_id)), 11) + F.lit(0.5)) / F.lit(float(1 << 53))
-    key = -F.log(u) / F.coalesce(quality.cast("double") if quality is not None else F.lit(1.0), F.lit(1.0))
+    weight = F.coalesce(quality.cast("double") if quality is not None else F.lit(1.0), F.lit(1.0))
+    key = F.when((weight > 0) & ~F.isnan(weight), -F.log(u) / weight).otherwise(F.lit(float("inf")))
     sized = kept(docs.select(F.col(doc_id).alias("_id"), F.col(source).alias("source"), (F.col(size).cast("long") if size else words(F.col(text))).alias("size"), key.alias("_key")), "mix-sizes")
     order = [F.col("source").asc_nulls_last(), F.col("_key"), F.col("_id"), F.col("size")]
     parts = range_kept(sized, "mix-order", order, ["_id", "source", "size", "_key"])

@@ -75,6 +75,19 @@ def test_better_documents_are_likelier(make_docs):
     assert sum(r["times"] for r in got) == 833 and good > 450  # of 500
 
 
+def test_weights_that_are_not_positive_come_last(make_docs):
+    docs = make_docs([(k, "w " * 10, "abc"[k % 3]) for k in range(300)])
+    weights = {0: 0.0, 1: -1.0, 2: float("nan"), 3: None, 4: float("inf")}
+    quality = F.col("doc_id") % 5
+    quality = F.when(quality == 0, 0.0).when(quality == 1, -1.0).when(quality == 2, float("nan")).when(quality == 4, float("inf"))
+    got = mixing.mix(docs, quality=quality).where("source = 'c'").collect()
+    taken = {r["doc_id"]: r["times"] for r in got}
+    assert sum(taken.values()) == 83  # of 100
+    fine = {i for i in taken if weights[i % 5] is None or weights[i % 5] == float("inf")}
+    rest = sorted(set(taken) - fine)
+    assert all(taken[i] == 1 for i in fine) and [i for i in rest if taken[i]] == rest[: 83 - len(fine)]
+
+
 # nearest vectors
 
 
