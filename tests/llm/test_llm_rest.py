@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 import __spark_entry__ as entry_mod
 import corpus_pipeline
-from llm_fixtures import SF, make_docs, odd_rows  # noqa: F401
+from llm_fixtures import SF, make_docs, odd_rows, prose  # noqa: F401
 from rotorwatch.llm import ann, mixing, toxicity
 from rotorwatch.llm.oracle import ORACLE
 from rotorwatch.llm.queries import QUERIES
@@ -325,6 +325,19 @@ def test_pipeline_stages(spark, tmp_root, odd_rows):
     assert {r["doc_id"]: r["n"] for r in tokens} == {r["doc_id"]: r["one"] * mixed[r["doc_id"]] for r in tokens} and len(tokens) == len({d for d in mixed if d is not None and d > 11})
 
 
+def test_pipeline_keeps_columns_of_any_name(spark, make_docs, tmp_root):
+    names = ["SCORE", "_n", "_row", "_copy", "_times", "_rows", "_stays", "_taken", "_extra0", "_doc"]
+    docs = make_docs([(k, prose(k, 60), "ab"[k % 2]) for k in range(20)]).select("doc_id", "text", "source")
+    docs = docs.select(F.concat(F.lit("of "), F.col("doc_id")).alias("mark"), "*", *(F.concat(F.lit(c), F.col("doc_id")).alias(c) for c in names))
+    spark.createDataFrame([(1, 0, 1)], "doc_id long, toxic int, quality int").write.parquet(f"{tmp_root}/labels.parquet")
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        if name != "near dedup":  # its rows are joined as those of the stage before
+            docs, before = corpus_pipeline.kept(stage(spark, docs, tmp_root), "test-names"), docs
+            assert docs.columns == before.columns
+            rows = docs.collect()
+            assert rows and all(r["mark"] == f"of {r['doc_id']}" and all(r[c] == f"{c}{r['doc_id']}" for c in names) for r in rows)
+
+
 def test_pipeline_of_nothing(spark, tmp_root):
     pipeline_input(spark, tmp_root, [], [])
     assert corpus_pipeline.run(spark, tmp_root).count() == 0
