@@ -6,6 +6,9 @@ told apart by their id and a hash of their text, so repeated ids do no harm.
 
 from __future__ import annotations
 
+import functools
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -17,16 +20,32 @@ from rotorwatch.llm.queries import END_ID, WORDS, quality_weight
 ROW = "_row"
 
 
+READ = ("doc_id", "text", "source")  # the columns that stages know
+
+
+def _own_names(stage: Callable[[SparkSession, DataFrame, str], DataFrame]) -> Callable[[SparkSession, DataFrame, str], DataFrame]:
+    """``stage`` with names of their own for all other columns while it runs, so that they clash with none of its helpers."""
+
+    @functools.wraps(stage)
+    def renamed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        inside = docs.toDF(*(c if c in READ else f"_extra{k}" for k, c in enumerate(docs.columns)))
+        return stage(spark, inside, sf_dir).toDF(*docs.columns)
+
+    return renamed
+
+
 def _with_row(docs: DataFrame) -> DataFrame:
     return docs.withColumn(ROW, F.struct("doc_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("mark")))
 
 
+@_own_names
 def toxic_out(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose whole text scores below one half; the model learns from this stage's documents that are labelled."""
     model = toxicity.train(docs, table(spark, sf_dir, "labels"))
     return toxicity.score(docs, model, carry=tuple(docs.columns)).where(F.col("score") < 0.5).select(*docs.columns)
 
 
+@_own_names
 def exact_copies_out(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents with equal texts but for A-Z, that with the smallest id; of rows with equal id and text, one."""
     rows = _with_row(docs)
@@ -35,6 +54,7 @@ def exact_copies_out(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     return rows.withColumn("_n", F.row_number().over(Window.partitionBy(ROW).orderBy(ROW))).where("_n = 1").select(*docs.columns)
 
 
+@_own_names
 def near_copies_out(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document, that with the smallest id, of each group linked by five-word shingles and a similarity of 0.8 or more."""
     rows = _with_row(docs)
@@ -42,6 +62,7 @@ def near_copies_out(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return rows.join(stay, F.col(ROW).eqNullSafe(F.col("_stays")), "left_semi").select(*docs.columns)
 
 
+@_own_names
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mix takes it: its row repeated, or left out where its source is over its target."""
     rows = _with_row(docs)
