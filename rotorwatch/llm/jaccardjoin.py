@@ -41,6 +41,7 @@ FEW = 48  # documents compared outright
 FREQUENT = 1 << 16  # frequent shingles that the order puts last: a fixed bound of 512 KB
 SLICE_FREQUENT = 4_096  # what each slice of text puts forward
 SLICE = 8 << 20
+WANTED_BITS = 1 << 26  # of the bitmap of wanted ids: a fixed bound of 8 MB
 _SLACK = 1e-9  # distances are compared as doubles, links as integers
 
 
@@ -481,12 +482,26 @@ def joined(regions: DataFrame, percent: int, leaf: int = LEAF) -> DataFrame:
         regions = cells
 
 
+def likely(rows: DataFrame, key: str, ids: DataFrame, most: int = WANTED_BITS) -> DataFrame:
+    """Those of ``rows`` whose ``key`` may be an ``_id`` of ``ids``, null included: all that are, and of the others about one in
+    sixteen.  What tells them apart is a bitmap of hashes of at most ``most`` bits; beyond that, more others stay."""
+    bits = min(most, max(1 << 15, 16 * ids.count()))
+
+    def place(id_column: str) -> Column:
+        return F.pmod(F.xxhash64(id_column), F.lit(bits))
+
+    maps = ids.groupBy(F.bitmap_bucket_number(place("_id")).alias("_bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(place("_id"))).alias("_bits"))
+    at = F.bitmap_bit_position(place(key))
+    byte = F.conv(F.hex(F.col("_bits").substr((F.floor(at / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("long")
+    return rows.join(F.broadcast(maps), (F.bitmap_bucket_number(place(key)) == F.col("_bucket")) & (F.bit_get(byte, (at % 8).cast("int")) == 1), "left_semi")
+
+
 def own_sets(docs: DataFrame, doc_id: str, text: str, wanted: DataFrame, words: int) -> DataFrame:
     """``wanted`` (sig, least, n, region) as members of their regions, with their full sets, from rows with an id of the class: a row
     per class, or a few where rows repeat an id and a text.
 
     An id that is the least of one class says which region its text is for, so sets are shuffled once, by region; of ids with
-    several classes, the sets' signatures have to.
+    several classes, the sets' signatures have to.  Texts are shuffled by id, but for those that a bitmap shows are not wanted.
     """
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -508,6 +523,7 @@ def own_sets(docs: DataFrame, doc_id: str, text: str, wanted: DataFrame, words:
     texts = docs.select(F.col(doc_id).alias("_doc"), F.col(text).alias("_whole"))
     ids = wanted.groupBy(F.col("least").alias("_id")).agg(F.count(F.lit(1)).alias("_classes"), F.first("sig").alias("_sig"), F.first("n").alias("_n"), F.first("region").alias("_region"))
     ids = kept(ids, "join-ids")
+    texts = likely(texts, "_doc", ids)
     one, several = (F.col("_classes") == 1) & F.col("_id").isNotNull(), (F.col("_classes") > 1) | F.col("_id").isNull()
     members = sets(texts.join(ids.where(one), F.col("_doc") == F.col("_id")))
     if ids.where(several).limit(1).count():

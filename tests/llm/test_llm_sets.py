@@ -68,6 +68,47 @@ def test_join_odd_rows(make_docs, odd_rows):  # noqa: F811
     assert jaccardjoin.jaccard_join(make_docs([])).count() == 0
 
 
+def test_bitmap_of_wanted_ids(spark):
+    ids = spark.range(0, 200_000, 40).selectExpr("id AS _id").unionByName(spark.sql("SELECT CAST(NULL AS long) _id"))
+    rows = spark.range(200_000).selectExpr("id AS _doc").unionByName(spark.sql("SELECT CAST(NULL AS long) _doc"))
+    got = [r[0] for r in jaccardjoin.likely(rows, "_doc", ids).collect()]
+    assert len(got) == len(set(got)) and {r[0] for r in ids.collect()} <= set(got) and len(got) < 30_000
+    # a bitmap as small as can be tells little apart, and loses none
+    few = [r[0] for r in jaccardjoin.likely(rows, "_doc", ids, most=64).collect()]
+    assert {r[0] for r in ids.collect()} <= set(few)
+    floats = spark.sql("SELECT explode(array(0D, 1.5D, double('NaN'))) _id"), spark.sql("SELECT explode(array(-0D, 1.5D, double('NaN'))) _doc")
+    assert jaccardjoin.likely(floats[1], "_doc", floats[0]).count() == 3
+    assert jaccardjoin.likely(rows, "_doc", ids.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("repeated", [False, True])
+def test_texts_that_are_not_wanted_are_not_shuffled(spark, make_docs, monkeypatch, repeated):
+    """Where ids are too many to be broadcast, few texts besides those of classes that meet others go through the shuffle."""
+    rows = family(31, 0, 12, 60, 3) + [(100 + k, " ".join(f"u{k}_{j}" for j in range(30)), "u") for k in range(600)]
+    if repeated:  # ids of several classes, null too
+        rows += [(d, t, s) for d, (_, t, s) in zip([0, 0, None, None], family(32, 0, 4, 60, 2), strict=True)]
+    seen = spark.sparkContext.accumulator(0)
+    real = jaccardjoin.likely
+
+    def counted(*given):
+        def count(batches):
+            for batch in batches:
+                seen.add(batch.num_rows)
+                yield batch
+
+        left = real(*given)
+        return left.mapInArrow(count, left.schema)
+
+    monkeypatch.setattr(jaccardjoin, "likely", counted)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert joined(jaccardjoin.jaccard_join(make_docs(rows))) == components_of(rows, 85)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert 12 <= seen.value <= 120
+
+
 @pytest.mark.parametrize(("percent", "leaf"), [(85, jaccardjoin.LEAF), (85, 4_000), (60, 2_500), (40, 2_500)])
 def test_join_of_families_and_a_common_passage(make_docs, percent, leaf):  # noqa: F811
     common = " ".join(f"licence{k}" for k in range(60))
