@@ -354,7 +354,7 @@ def test_run_is_the_stages(spark):
 def test_registered():
     names = set(entry_mod.queries())
     assert {*QUERIES, "pipeline"} <= names
-    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in QUERIES) == list(range(1, 14))
 
 
 @pytest.mark.parametrize("name", sorted(ORACLE))
