@@ -10,7 +10,7 @@ the same way again, down to a few documents that are compared outright.  All com
 In Jaccard space nearly all documents are at distance one of each other, and no pivot tells them apart.  The first
 regions therefore are what equal parts of sets connect: shingles are dealt to more parts, by their hash, than two linked
 sets of a size class can differ in, so linked sets have an equal part.  Shingles that many texts hold are left out of
-the parts, so that a common passage doesn't make parts equal.  Regions beyond ``LEAF`` shingles are cut by pivots in parallel,
+the parts, so that a common passage doesn't make parts equal, and parts of single shingles don't count, so that chance doesn't.  Regions beyond ``LEAF`` shingles are cut by pivots in parallel,
 chunk by chunk; smaller ones are joined in one task.  A region that pivots do not halve is compared in blocks, where
 documents that are linked with one pivot need not be compared with each other: what is wanted is what connects, not
 all pairs.
@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -41,6 +42,7 @@ FEW = 48  # documents compared outright
 FREQUENT = 1 << 16  # frequent shingles that the order puts last: a fixed bound of 512 KB
 SLICE_FREQUENT = 4_096  # what each slice of text puts forward
 SLICE = 8 << 20
+TURNS = 8  # ways to deal out a set to parts, before empty parts count
 WANTED_BITS = 1 << 26  # of the bitmap of wanted ids: a fixed bound of 8 MB
 _SLACK = 1e-9  # distances are compared as doubles, links as integers
 
@@ -85,39 +87,53 @@ def set_rows(docs: DataFrame, doc_id: str, text: str, words: int) -> tuple[DataF
 
 
 def size_class(n: int) -> tuple[int, int]:
-    """A size's class, and the largest size in it: about half as much again as in the class before."""
+    """A size's class, and the largest size in it: about a quarter more than in the class before."""
     most = place = 1
     while most < n:
-        most, place = max(most + 1, most * 3 // 2), place + 1
+        most, place = max(most + 1, most * 5 // 4), place + 1
     return place, most
 
 
 def part_keys(own: np.ndarray, frequent: np.ndarray, percent: int) -> np.ndarray:
     """Keys of a set's parts, in all size classes where it may meet a linked set; two different linked sets have one in common.
 
-    Linked sets of at most B shingles differ in at most H = floor(2 B (100 - percent) / (100 + percent)) ones.  In m > H parts at
-    least m - H are equal, and one of them isn't empty unless both sets have m - H empty parts, which only then get keys.
+    Linked sets of at most B shingles differ in at most H = floor(2 B (100 - percent) / (100 + percent)) ones, so in m > H parts at
+    least m - H are equal.  A part gets a key if it has two shingles at least: long texts that have nothing else in common share
+    single ones, more the larger the table is.  Where a set has m - H parts or more without a key, an equal one may be among
+    them, and the set is dealt out again, by another hash and with its frequent shingles; so are all sets that it could
+    miss there.  The later turns take single shingles, and the last one empty parts.
     """
     n = len(own)
     if not n:
         return np.zeros(0, np.int64)
+    rare = own
     if len(frequent):
-        own = own[frequent[np.minimum(np.searchsorted(frequent, own), len(frequent) - 1)] != own]
-    mixed = np.concatenate([[np.uint64(0)], np.cumsum(shingles._mixed(own + np.uint64(1)), dtype=np.uint64)])
+        rare = own[frequent[np.minimum(np.searchsorted(frequent, own), len(frequent) - 1)] != own]
+    dealt: list[tuple[np.ndarray, np.ndarray]] = []
     out = []
     place, most = size_class(n)
     while True:
         differ = 2 * most * (100 - percent) // (100 + percent)
-        if differ:  # none: linked sets are equal
-            parts = differ + 1 + differ // 4
-            border = np.searchsorted(own >> np.uint64(32), (np.arange(parts + 1, dtype=np.uint64) << np.uint64(32)) // np.uint64(parts))
-            border[-1] = len(own)
-            some = np.flatnonzero(np.diff(border)) if (np.diff(border) == 0).sum() < parts - differ else np.arange(parts)
-            key = mixed[border[some + 1]] - mixed[border[some]]
-            out.append(shingles._mixed(shingles._mixed(key + some.astype(np.uint64)) + np.uint64(place)))
+        parts = differ + 1 + differ // 3
+        for turn in range(TURNS + 1 if differ else 0):  # none: linked sets are equal
+            if turn == len(dealt):
+                again = np.sort(shingles._mixed(own + np.uint64(turn))) if turn else rare
+                dealt.append((again >> np.uint64(32), np.concatenate([[np.uint64(0)], np.cumsum(shingles._mixed(again + np.uint64(1)), dtype=np.uint64)])))
+            at, mixed = dealt[turn]
+            part = (at * np.uint64(parts)) >> np.uint64(32)
+            border = np.concatenate([[0], np.flatnonzero(part[1:] != part[:-1]) + 1, [len(part)]]) if len(part) else np.zeros(1, np.int64)
+            has = np.diff(border) >= (2 if turn < TURNS // 2 and most >= 4 * parts else 1)
+            some, key = part[border[:-1][has]], (mixed[border[1:]] - mixed[border[:-1]])[has]
+            weak = parts - len(some)
+            if turn == TURNS:
+                none = np.setdiff1d(np.arange(parts, dtype=np.uint64), some)
+                some, key = np.append(some, none), np.append(key, np.zeros(len(none), np.uint64))
+            out.append(shingles._mixed(shingles._mixed(key + some) + np.uint64(place + (turn << 32))))
+            if weak < parts - differ:
+                break
         if n * 100 // percent <= most:
             return np.concatenate(out).view(np.int64) if out else np.zeros(0, np.int64)
-        most, place = max(most + 1, most * 3 // 2), place + 1
+        most, place = max(most + 1, most * 5 // 4), place + 1
 
 
 def meetings(docs: DataFrame, text: str, frequent: np.ndarray, percent: int, words: int) -> DataFrame:
@@ -201,46 +217,56 @@ class Member:
 
 
 def overlaps(left: list[Member], right: list[Member]) -> tuple[np.ndarray, np.ndarray]:
-    """[l, r]: sizes of intersections and of unions; by parts of ``left`` that bound what is held at once."""
+    """[l, r]: sizes of intersections and of unions; ``right`` is sorted once, ``left`` goes by parts that bound what is held at once."""
     n = np.array([len(m.own) for m in left]), np.array([len(m.own) for m in right])
-    if len(left) > 1 and n[0].sum() * len(right) > 1 << 23:
-        half = len(left) // 2
-        return tuple(np.vstack(x) for x in zip(overlaps(left[:half], right), overlaps(left[half:], right), strict=True))
     theirs = np.concatenate([m.own for m in right])
-    owner = np.repeat(np.arange(len(right)), n[1])
     order = np.argsort(theirs, kind="stable")
-    theirs, owner = theirs[order], owner[order]
-    table, first, count = np.unique(theirs, return_index=True, return_counts=True)
-    mine = np.concatenate([m.own for m in left])
-    at = np.minimum(np.searchsorted(table, mine), len(table) - 1)
-    hit = np.flatnonzero(table[at] == mine)
-    who, at = np.repeat(np.arange(len(left)), n[0])[hit], at[hit]
+    theirs, owner = theirs[order], np.repeat(np.arange(len(right)), n[1])[order]
+    first = np.flatnonzero(np.append(True, theirs[1:] != theirs[:-1]))
+    table, count = theirs[first], np.diff(np.append(first, len(theirs)))
     # shingles that many hold are multiplied as matrices, others are looked up
     common = np.flatnonzero(count > max(8, len(right) // 8))
-    inter = np.zeros((len(left), len(right)), np.int64)
     place = np.full(len(table), -1)
-    for begin in range(0, len(common), 512):
-        some = common[begin: begin + 512]
-        place[:] = -1
-        place[some] = np.arange(len(some))
-        mine_in, their_in = (np.zeros((k, len(some)), np.float32) for k in (len(left), len(right)))
-        held = np.flatnonzero(place[at] >= 0)
-        mine_in[who[held], place[at[held]]] = 1
-        column = np.repeat(place, count)
-        held = np.flatnonzero(column >= 0)
-        their_in[owner[held], column[held]] = 1
-        inter += (mine_in @ their_in.T).astype(np.int64)
-    place[:] = 0
-    place[common] = -1
-    rare = place[at] >= 0
-    who, at = who[rare], at[rare]
-    each = count[at]
-    step = np.arange(int(each.sum())) - np.repeat(np.cumsum(each) - each, each)
-    cell = np.repeat(who, each) * len(right) + owner[np.repeat(first[at], each) + step]
-    inter += np.bincount(cell, minlength=len(left) * len(right)).reshape(len(left), len(right))
+    place[common] = np.arange(len(common))
+    inter = np.zeros((len(left), len(right)), np.int64)
+    for begin, end in _parts(n[0], 1 << 20):
+        mine = np.concatenate([m.own for m in left[begin:end]])
+        at = np.minimum(np.searchsorted(table, mine), len(table) - 1)
+        hit = np.flatnonzero(table[at] == mine)
+        who, at = np.repeat(np.arange(end - begin), n[0][begin:end])[hit], at[hit]
+        column = place[at]
+        for low in range(0, len(common), 512):
+            some = common[low: low + 512]
+            mine_in, their_in = (np.zeros((k, len(some)), np.float32) for k in (end - begin, len(right)))
+            held = np.flatnonzero((column >= low) & (column < low + 512))
+            mine_in[who[held], column[held] - low] = 1
+            their_in[owner[_runs(first[some], count[some])], np.repeat(np.arange(len(some)), count[some])] = 1
+            inter[begin:end] += (mine_in @ their_in.T).astype(np.int64)
+        who, at = who[column < 0], at[column < 0]
+        border = np.searchsorted(who, np.arange(end - begin + 1))
+        found = np.concatenate([[0], np.cumsum(count[at])])[border]
+        for low, high in _parts(np.diff(found), 1 << 21):
+            rows, these = who[border[low]: border[high]] - low, at[border[low]: border[high]]
+            cell = np.repeat(rows, count[these]) * len(right) + owner[_runs(first[these], count[these])]
+            inter[begin + low: begin + high] += np.bincount(cell, minlength=(high - low) * len(right)).reshape(high - low, len(right))
     return inter, n[0][:, None] + n[1][None, :] - inter
 
 
+def _parts(sizes: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
+    """(begin, end) of runs of ``sizes`` that add up to ``most`` at the most, or are one."""
+    ends = np.cumsum(sizes)
+    begin = 0
+    while begin < len(sizes):
+        end = max(begin + 1, int(np.searchsorted(ends, (ends[begin - 1] if begin else 0) + most, "right")))
+        yield begin, end
+        begin = end
+
+
+def _runs(first: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """The places of runs that begin at ``first``, one run after the other."""
+    return np.arange(int(count.sum())) + np.repeat(first - np.cumsum(count) + count, count)
+
+
 def apart(pivots: list[Member], percent: int) -> list[Member]:
     """Of ``pivots``, in order of their signatures, those that no earlier one is linked with: a tight group needs but one."""
     pivots = sorted(pivots, key=lambda m: m.sig)
@@ -279,19 +305,19 @@ def placed(members: list[Member], pivots: list[Member], percent: int, links: Lin
                 yield int(c), Member(False, root, m.sig, m.own)
 
 
-def whole(members: list[Member], pivots: list[Member], percent: int, links: Links) -> list[Member]:
-    """``members``, each with a pivot that it is linked with for its root.  Adds those links."""
+def whole(members: list[Member], pivots: list[Member], roots: list[bytes], percent: int, links: Links) -> list[Member]:
+    """``members``, each with the root (of ``roots``) of a pivot that it is linked with for its own.  Adds those links."""
     inter, union = overlaps(members, pivots)
     linked = 100 * inter >= percent * union
     for k, j in zip(*np.nonzero(linked), strict=True):
         links.add(members[k].sig, pivots[j].sig)
-    return [Member(m.home, pivots[int(row.argmax())].sig if row.any() else m.root, m.sig, m.own) for m, row in zip(members, linked, strict=True)]
+    return [Member(m.home, roots[int(row.argmax())] if row.any() else m.root, m.sig, m.own) for m, row in zip(members, linked, strict=True)]
 
 
 def outright(asking: list[Member], members: list[Member], percent: int, links: Links) -> None:
     """Links of ``asking`` members with all, where one of the two is at home, block by block."""
     home = np.array([m.home for m in members])
-    block = 64
+    block = 256
     for at in range(0, len(asking), block):
         some = asking[at: at + block]
         inter, union = overlaps(members, some)
@@ -399,7 +425,7 @@ def cut(regions: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pivots: list[Member] = []
-        links, stay, ready = Links(), [], False
+        links, stay, roots, ready = Links(), [], [], False
         for new, batch in _groups(batches, 3):
             region, _, is_pivot, ceiling = (batch.column(c)[0].as_py() for c in range(4))
             if is_pivot:
@@ -410,13 +436,15 @@ def cut(regions: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
             if not ready:
                 stay, ready = apart(pivots, percent), True
                 names = [_cell(region, p.sig) for p in stay] + [_cell(region, b"")]
-                pays = sum(1 for _ in placed(pivots, stay, percent, links)) <= SPREAD * len(pivots)
+                most = int(SPREAD * len(pivots))
+                pays = sum(1 for _ in islice(placed(pivots, stay, percent, links), most + 1)) <= most
+                roots = [links.root(p.sig) for p in stay]  # by the pivots' links, which are the same in every chunk
             for at in range(0, batch.num_rows, 512):
                 members = _members(batch.slice(at, 512))
                 if pays:
                     found = list(placed(members, stay, percent, links))
                 else:
-                    found = [(-1, m) for m in whole(members, stay, percent, links)]
+                    found = [(-1, m) for m in whole(members, stay, roots, percent, links)]
                     ceiling = 0
                 cells = [[names[c] for c, _ in found], [ceiling] * len(found), [m.home for _, m in found], [m.root for _, m in found], [m.sig for _, m in found],
                          [len(m.own) for _, m in found], [m.own.tobytes() for _, m in found]]
@@ -485,7 +513,7 @@ def joined(regions: DataFrame, percent: int, leaf: int = LEAF) -> DataFrame:
 def likely(rows: DataFrame, key: str, ids: DataFrame, most: int = WANTED_BITS) -> DataFrame:
     """Those of ``rows`` whose ``key`` may be an ``_id`` of ``ids``, null included: all that are, and of the others about one in
     sixteen.  What tells them apart is a bitmap of hashes of at most ``most`` bits; beyond that, more others stay."""
-    bits = min(most, max(1 << 15, 16 * ids.count()))
+    bits = min(most, max(1 << 9, 16 * ids.count()))
 
     def place(id_column: str) -> Column:
         return F.pmod(F.xxhash64(id_column), F.lit(bits))

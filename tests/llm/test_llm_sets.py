@@ -158,6 +158,58 @@ def test_linked_sets_share_a_key():
     assert linked > 200
 
 
+def test_linked_larger_sets_share_a_key():
+    rng = np.random.default_rng(6)
+    linked = 0
+    for _ in range(200):
+        a = np.unique(rng.integers(0, 2 ** 63, int(rng.integers(90, 3000))).astype(np.uint64))
+        b = np.unique(np.concatenate([a[rng.random(len(a)) < rng.uniform(0.86, 1)], rng.integers(0, 2 ** 63, int(rng.integers(0, len(a) // 20))).astype(np.uint64)]))
+        frequent = np.sort(rng.choice(a, int(len(a) * rng.choice([0, 0.1, 0.9, 1])), replace=False))
+        common = len(np.intersect1d(a, b))
+        if 100 * common >= 85 * (len(a) + len(b) - common) and not np.array_equal(a, b):
+            linked += 1
+            assert np.intersect1d(*(jaccardjoin.part_keys(s, frequent, 85) for s in (a, b))).size
+    assert linked > 50
+
+
+@pytest.mark.parametrize(("size", "sets", "shared"), [(12, 3000, 0), (20, 2000, 0), (300, 400, 3), (2000, 150, 20)])
+def test_sets_alike_by_chance_share_no_key(size, sets, shared):
+    """A few shingles that all hold, or parts that are empty, don't tie sets that have nothing else in common."""
+    rng = np.random.default_rng(7)
+    common = rng.integers(0, 2 ** 64, shared, dtype=np.uint64)
+    none = np.zeros(0, np.uint64)
+    keys = [np.unique(jaccardjoin.part_keys(np.unique(np.append(common, rng.integers(0, 2 ** 64, size, dtype=np.uint64))), none, 85)) for _ in range(sets)]
+    assert np.unique(np.concatenate(keys), return_counts=True)[1].max() == 1
+
+
+def test_overlaps_of_uneven_sets():
+    rng = np.random.default_rng(8)
+    pool = rng.integers(0, 2 ** 64, 3000, dtype=np.uint64)
+
+    def members(count, most):
+        return [jaccardjoin.Member(True, b"", b"", np.unique(rng.choice(pool[: int(rng.integers(1, 3000))], int(rng.integers(1, most))))) for _ in range(count)]
+
+    for left, right, most in ((1, 1, 2), (3, 70, 50), (400, 3, 4000), (40, 120, 900)):
+        a, b = members(left, most), members(right, most)
+        inter, union = jaccardjoin.overlaps(a, b)
+        assert inter.tolist() == [[len(np.intersect1d(x.own, y.own)) for y in b] for x in a]
+        assert union.tolist() == [[len(np.union1d(x.own, y.own)) for y in b] for x in a]
+
+
+def test_pivots_are_sorted_once(monkeypatch):
+    """A large group of copies, each changed elsewhere, is held against many pivots without sorting them over and over."""
+    rng = np.random.default_rng(9)
+    base = rng.integers(0, 2 ** 64, 400, dtype=np.uint64)
+    group = []
+    for k in range(800):
+        own = np.where(rng.random(400) < 0.12, rng.integers(0, 2 ** 64, 400, dtype=np.uint64), base)
+        group.append(jaccardjoin.Member(True, b"%016d" % k, b"%016d" % k, np.unique(own)))
+    sorts, real = [], np.argsort
+    monkeypatch.setattr(np, "argsort", lambda *given, **named: sorts.append(1) or real(*given, **named))
+    assert len(jaccardjoin.apart(group, 85)) > 10
+    assert len(sorts) == 1
+
+
 # fill in the middle
 
 
